@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, secrets
+from . import chat, contamination, media, secrets, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
+    "op3_media_columns": media.op3_media_columns,
+    "op4_decontamination": contamination.op4_decontamination,
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
 
 ORACLE = {
+    "op1_warc": warc.OP1_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
 }
