@@ -177,5 +177,24 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(listed, 256).alias("items_sha256"), "contaminated")
 
 
+OP4_SQL = """
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, CAST(least(13, len(w)) AS BIGINT) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS g
+  FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0
+), d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), dw AS (
+  SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM d, (SELECT DISTINCT k FROM bw) q, unnest(range(1, len(w) - k + 2)) t(i)
+), m AS (SELECT dw.r, dw.k, dw.i, bw.item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.g = bw.g),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, k, i FROM m) x, unnest(range(i, i + k)) t(p) GROUP BY r),
+j AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN j USING (r)
+"""
+
+
 def items_digest(items: list[int]) -> str:
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()

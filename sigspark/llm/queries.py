@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import chat, contamination, media, secrets, warc
+from . import chat, contamination, jaccard, media, secrets, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_media_columns": media.op3_media_columns,
     "op4_decontamination": contamination.op4_decontamination,
     "op8_chat_formatting": chat.op8_chat_formatting,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
 
 ORACLE = {
     "op1_warc": warc.OP1_SQL,
+    "op4_decontamination": contamination.OP4_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
+    "op9_jaccard_join": jaccard.OP9_SQL,
 }
