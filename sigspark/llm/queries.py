@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, contamination, jaccard, media, secrets, warc
+from . import chat, contamination, jaccard, media, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_media_columns": media.op3_media_columns,
     "op4_decontamination": contamination.op4_decontamination,
+    "op6_suffix_array_dedup": suffix_dedup.op6_suffix_array_dedup,
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_secret_scans": secrets.op10_secret_scans,
