@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, contamination, jaccard, media, secrets, suffix_dedup, warc
+from . import chat, contamination, jaccard, language, media, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_media_columns": media.op3_media_columns,
     "op4_decontamination": contamination.op4_decontamination,
     "op6_suffix_array_dedup": suffix_dedup.op6_suffix_array_dedup,
+    "op7_language_id": language.op7_language_id,
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_secret_scans": secrets.op10_secret_scans,
