@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, contamination, jaccard, language, media, secrets, suffix_dedup, warc
+from . import chat, contamination, jaccard, language, media, quality, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_quality_classifier": quality.op2_quality_classifier,
     "op3_media_columns": media.op3_media_columns,
     "op4_decontamination": contamination.op4_decontamination,
     "op6_suffix_array_dedup": suffix_dedup.op6_suffix_array_dedup,
