@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, contamination, jaccard, language, media, quality, secrets, suffix_dedup, warc
+from . import chat, contamination, jaccard, language, media, pieces, quality, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op3_media_columns": media.op3_media_columns,
     "op4_decontamination": contamination.op4_decontamination,
+    "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_suffix_array_dedup": suffix_dedup.op6_suffix_array_dedup,
     "op7_language_id": language.op7_language_id,
     "op8_chat_formatting": chat.op8_chat_formatting,
