@@ -1,4 +1,494 @@
-"""Driver registry of the signal and event queries (filled by the plans modules)."""
+"""Driver registry: one query for each operator, with its SQL.
+
+There are no recordings among the driver's tables, so ``events`` stands for
+samples, triggers and digital words (a user is a session), ``embeddings`` for
+multi-axis rows and small frames, ``lineitem`` for wide numeric rows, ``pages``
+and ``documents`` for text scans.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sigspark.functions import columns as C
+from sigspark.functions import kernels as K
+from sigspark.operators import events as E
+from sigspark.operators import frames as V
+from sigspark.operators import ordered as O
+from sigspark.operators import signals as S
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+
+USER = ["user_id"]
+TIME_ORDER = ["ts", "event_id"]
+DAY_MS = 86_400_000
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def samples(spark: SparkSession, sf: str) -> DataFrame:
+    """events with a dense index in each session and a digital word."""
+    e = read(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return O.with_index(e, USER, TIME_ORDER).withColumn("word", ((F.col("event_id") * 7919) % 65536).cast("int"))
+
+
+SAMPLES = "s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx, (event_id * 7919) % 65536 AS word FROM events)"
+
+
+def clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """Triggers with milliseconds since the session's first event."""
+    e = read(spark, sf, "events").select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    out = S.with_statistic(e, USER, first=F.min("us")).where("event_type = 'click'")
+    return out.select("user_id", "event_id", ((F.col("us") - F.col("first")) / 1000.0).alias("t_ms"))
+
+
+CLICKS = "c AS (SELECT user_id, event_id, t_ms FROM (SELECT user_id, event_id, event_type, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id)) / 1000.0 AS t_ms FROM events) WHERE event_type = 'click')"
+
+
+def axes(spark: SparkSession, sf: str) -> DataFrame:
+    """embeddings as nine raw axes of sessions (label) of samples (vec_id)."""
+    e = read(spark, sf, "embeddings")
+    return e.select("vec_id", "label", *(F.element_at("embedding", i + 1).cast("double").alias(n) for i, n in enumerate(f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz")))
+
+
+AXES = "x AS (SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {n}" for i, n in enumerate(f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz")) + " FROM embeddings)"
+
+
+def pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """embeddings as 8 x 8 images of 0..255."""
+    return read(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: C.clip(F.floor(F.abs(v) * 400), 0, 255).cast("int")).alias("pixels"))
+
+
+PIXELS = "p AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(greatest(0, least(255, floor(abs(v) * 400))) AS INTEGER)) AS pixels FROM embeddings)"
+
+
+# -- digital words, edges, runs ---------------------------------------------------------
+
+
+@query(f"""
+WITH {SAMPLES}, b AS (SELECT user_id, sample_idx, bit, (word >> bit) & 1 AS v FROM s, range(16) r(bit)),
+e AS (SELECT *, lag(v, 1, 0) OVER w AS p, lead(v, 1, 0) OVER w AS n FROM b WINDOW w AS (PARTITION BY user_id, bit ORDER BY sample_idx))
+SELECT user_id, CAST(bit AS INTEGER) AS bit, count(*) FILTER (v = 1 AND p = 0) AS n_start, count(*) FILTER (v = 1 AND n = 0) AS n_end,
+  min(CASE WHEN v = 1 AND p = 0 THEN (sample_idx + 1) / 1250.0 END) AS first_start_s, max(CASE WHEN v = 1 AND n = 0 THEN (sample_idx + 2) / 1250.0 END) AS last_end_s
+FROM e GROUP BY user_id, bit HAVING count(*) FILTER (v = 1) > 0
+""")
+def digital_edges(spark: SparkSession, sf: str) -> DataFrame:
+    edges = O.word_edges(samples(spark, sf), USER, "sample_idx", "word")
+    start, end = F.col("phase") == "start", F.col("phase") == "end"
+    return edges.groupBy("user_id", "bit").agg(F.count_if(start).alias("n_start"), F.count_if(end).alias("n_end"), (F.min(F.when(start, F.col("tick"))) / 1250.0).alias("first_start_s"), (F.max(F.when(end, F.col("tick"))) / 1250.0).alias("last_end_s"))
+
+
+@query(f"""
+WITH {SAMPLES}, b AS (SELECT user_id, sample_idx, bit, (word >> bit) & 1 AS v FROM s, range(16) r(bit)),
+g AS (SELECT *, sample_idx - row_number() OVER (PARTITION BY user_id, bit ORDER BY sample_idx) AS run FROM b WHERE v = 1)
+SELECT user_id, CAST(bit AS INTEGER) AS bit, min(sample_idx) + 1 AS start_tick, max(sample_idx) + 2 AS end_tick, count(*) AS ticks FROM g GROUP BY user_id, bit, run
+""")
+def edge_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ["user_id", "bit"]
+    return O.runs(O.word_edges(samples(spark, sf), USER, "sample_idx", "word"), keys)
+
+
+@query("SELECT event_id, CAST(bit AS INTEGER) AS bit, CAST((((event_id * 7919) % 65536) >> bit) & 1 AS INTEGER) AS is_set FROM events, range(16) r(bit)")
+def bit_expand(spark: SparkSession, sf: str) -> DataFrame:
+    words = read(spark, sf, "events").select("event_id", ((F.col("event_id") * 7919) % 65536).alias("word"))
+    return words.select("event_id", F.posexplode(C.bit_list("word", 16)).alias("bit", "is_set"))
+
+
+@query(f"""
+WITH {SAMPLES}, e AS (SELECT user_id, sample_idx, CAST(value > 100 AS INTEGER) AS v FROM s),
+n AS (SELECT *, lag(v, 1, 0) OVER w AS p, lead(v, 1, 0) OVER w AS q FROM e WINDOW w AS (PARTITION BY user_id ORDER BY sample_idx))
+SELECT user_id, 'start' AS phase, sample_idx + 1 AS tick FROM n WHERE v = 1 AND p = 0
+UNION ALL SELECT user_id, 'end', sample_idx + 2 FROM n WHERE v = 1 AND q = 0
+""")
+def threshold_detect(spark: SparkSession, sf: str) -> DataFrame:
+    return O.threshold_edges(samples(spark, sf), USER, "sample_idx", "value", 100)
+
+
+@query("SELECT event_id, CAST(w AS INTEGER) AS unsigned_word, CAST(CASE WHEN w >= 32768 THEN w - 65536 ELSE w END AS INTEGER) AS signed_word FROM (SELECT event_id, (event_id * 7919) % 65536 AS w FROM events)")
+def reinterpret_word(spark: SparkSession, sf: str) -> DataFrame:
+    w = C.signed16((F.col("event_id") * 7919) % 65536)
+    return read(spark, sf, "events").select("event_id", C.unsigned16(w).alias("unsigned_word"), w.alias("signed_word"))
+
+
+# -- events -----------------------------------------------------------------------------
+
+
+@query(f"WITH {CLICKS} SELECT user_id, event_id, t_ms FROM (SELECT *, t_ms - lag(t_ms, 1, 0) OVER (PARTITION BY user_id ORDER BY t_ms) AS gap FROM c) WHERE gap > {DAY_MS}")
+def interval_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return E.interval_filter(clicks(spark, sf), USER, "t_ms", DAY_MS)
+
+
+@query(f"""
+WITH RECURSIVE {CLICKS}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t_ms, event_id) AS k FROM c),
+g AS (SELECT user_id, event_id, t_ms, k, t_ms AS last, TRUE AS keep FROM n WHERE k = 1
+  UNION ALL SELECT n.user_id, n.event_id, n.t_ms, n.k, CASE WHEN n.t_ms >= g.last + {DAY_MS} THEN n.t_ms ELSE g.last END, n.t_ms >= g.last + {DAY_MS}
+  FROM g JOIN n ON n.user_id = g.user_id AND n.k = g.k + 1)
+SELECT user_id, event_id, t_ms FROM g WHERE keep
+""")
+def greedy_refractory(spark: SparkSession, sf: str) -> DataFrame:
+    return O.greedy_refractory(clicks(spark, sf), USER, ["t_ms", "event_id"], "t_ms", DAY_MS)
+
+
+@query(f"WITH {CLICKS} SELECT user_id, event_id, t_ms FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t_ms, event_id) AS k FROM c) WHERE k % 2 = 1")
+def every_other(spark: SparkSession, sf: str) -> DataFrame:
+    return O.every_other(clicks(spark, sf), USER, ["t_ms", "event_id"])
+
+
+@query("SELECT event_id, user_id, value FROM events e WHERE event_type = 'click' AND NOT EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id AND v.value = e.value)")
+def detect_only_anti(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events")
+    return E.detect_only(e.where("event_type = 'click'").select("event_id", "user_id", "value"), e.where("event_type = 'view'"), ["user_id", "value"])
+
+
+@query("""
+SELECT event_id, 'start' AS phase, event_id * 800 AS time FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, 'end', event_id * 800 + CAST(floor(value) AS BIGINT) FROM events WHERE event_type = 'purchase'
+""")
+def start_end_interleave(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events").where("event_type = 'purchase'")
+    return E.interleave(e.select("event_id", (F.col("event_id") * 800).alias("a"), (F.col("event_id") * 800 + F.floor("value").cast("long")).alias("b")), ["event_id"], "a", "b")
+
+
+@query("SELECT event_id, printf('%.6f' || chr(9) || '%s', (event_id / 1250.0) * 1000.0, 'DigitIn start ' || (event_id % 16 + 1)) AS line FROM events")
+def event_format(spark: SparkSession, sf: str) -> DataFrame:
+    label = C.event_label(F.lit("DigitIn"), F.lit("start"), F.col("event_id") % 16 + 1)
+    return read(spark, sf, "events").select("event_id", C.event_line(F.col("event_id") / 1250.0, label).alias("line"))
+
+
+@query("SELECT round(event_id / 1250.0, 6) AS time, 'StimOn end ' || (event_id % 4 + 1) AS description, 'StimOn' AS kind, 'end' AS phase, CAST(event_id % 4 + 1 AS INTEGER) AS channel FROM events")
+def event_parse(spark: SparkSession, sf: str) -> DataFrame:
+    label = C.event_label(F.lit("StimOn"), F.lit("end"), F.col("event_id") % 4 + 1)
+    lines = read(spark, sf, "events").select(F.format_string("%s\t%s", (F.col("event_id") / 1250.0 * 1000.0).cast("string"), label).alias("value"))
+    return E.from_text(lines).withColumn("time", F.round("time", 6))
+
+
+@query("SELECT event_id, 'device_event.d' || lpad(CAST(event_id % 16 + 1 AS VARCHAR), 2, '0') || '.evt' AS file FROM events")
+def event_file_name(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "events").select("event_id", C.file_number("device_event.d", F.col("event_id") % 16 + 1).alias("file"))
+
+
+@query("SELECT page_id, replace(url, 'http://', 'file://') AS path FROM pages")
+def path_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "pages").select("page_id", C.sibling("url", "http://", "file://").alias("path"))
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_type = 'click' AND event_id >= (SELECT max(event_id) FROM events WHERE event_type = 'view' AND event_id < 500)")
+def stim_ready(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events").select("event_id", "user_id", "event_type")
+    return E.after_last(e.where("event_type = 'click'").drop("event_type"), e.where("event_type = 'view' AND event_id < 500"), "event_id")
+
+
+@query(f"WITH {CLICKS} SELECT user_id, event_id, t_ms - lag(t_ms, 1, 0) OVER (PARTITION BY user_id ORDER BY t_ms) AS step FROM c")
+def first_difference(spark: SparkSession, sf: str) -> DataFrame:
+    return O.first_difference(clicks(spark, sf), USER, ["t_ms"], "t_ms").select("user_id", "event_id", "step")
+
+
+# -- selection, zipping, joins ------------------------------------------------------------
+
+
+@query("SELECT vec_id, CAST(embedding[5] AS DOUBLE) AS x1, CAST(embedding[1] AS DOUBLE) AS x2, CAST(embedding[5] AS DOUBLE) AS x3 FROM embeddings")
+def channel_project(spark: SparkSession, sf: str) -> DataFrame:
+    x = C.channels("embedding", [5, 1, 5])
+    return read(spark, sf, "embeddings").select("vec_id", *(F.get(x, F.lit(i)).cast("double").alias(f"x{i + 1}") for i in range(3)))
+
+
+@query(f"WITH {SAMPLES} SELECT user_id, sample_idx, value FROM s WHERE sample_idx BETWEEN 5 AND 20")
+def range_read(spark: SparkSession, sf: str) -> DataFrame:
+    return S.sample_range(samples(spark, sf), "sample_idx", 1 << 40, 5, 20).select("user_id", "sample_idx", "value")
+
+
+@query("SELECT user_id, count(*) // 3 AS n_frames FROM events GROUP BY user_id")
+def frame_count(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "events").groupBy("user_id").agg(C.frame_count(F.count("*") * 160_000, 480_000).alias("n_frames"))
+
+
+@query("SELECT event_id, CAST((event_id % 102400) // 320 AS INTEGER) AS r, CAST((event_id % 102400) % 320 AS INTEGER) AS c FROM events")
+def pixel_position(spark: SparkSession, sf: str) -> DataFrame:
+    linear = F.col("event_id") % 102_400 + 1
+    return read(spark, sf, "events").select("event_id", C.row_of(linear).alias("r"), C.column_of(linear).alias("c"))
+
+
+@query("""
+WITH a AS (SELECT user_id, value AS a, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx FROM events WHERE event_type = 'click'),
+b AS (SELECT user_id, value AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx FROM events WHERE event_type = 'view')
+SELECT user_id, sample_idx, a, b FROM a JOIN b USING (user_id, sample_idx)
+""")
+def zip_truncate(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    side = lambda kind, name: O.with_index(e.where(F.col("event_type") == kind), USER, TIME_ORDER).select("user_id", "sample_idx", F.col("value").alias(name))
+    return S.zip_signals(side("click", "a"), side("view", "b"), USER, "sample_idx")
+
+
+@query("SELECT l_orderkey, " + ", ".join(f"round(sum(l_quantity) FILTER (l_linenumber = {i}), 6) AS ch{i}" for i in range(1, 8)) + " FROM lineitem GROUP BY l_orderkey")
+def channel_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    wide = S.pivot_channels(read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"], "l_linenumber", "l_quantity", list(range(1, 8)))
+    return wide.select("l_orderkey", *(F.round(f"`{i}`", 6).alias(f"ch{i}") for i in range(1, 8)))
+
+
+@query("SELECT v.vec_id AS frame_idx, v.label, count(*) AS n_samples, round(sum(value), 4) AS total FROM events e JOIN embeddings v ON e.event_id // 20 = v.vec_id GROUP BY v.vec_id, v.label")
+def av_bucket_join(spark: SparkSession, sf: str) -> DataFrame:
+    audio = read(spark, sf, "events").select("event_id", "value")
+    frames = read(spark, sf, "embeddings").select(F.col("vec_id").alias("frame_idx"), "label")
+    return S.attach_frames(audio, frames, [], "event_id", 20).groupBy("frame_idx", "label").agg(F.count("*").alias("n_samples"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query(f"WITH {SAMPLES} SELECT user_id, sample_idx, sample_idx / 1250.0 AS t FROM s")
+def sample_index(spark: SparkSession, sf: str) -> DataFrame:
+    return samples(spark, sf).select("user_id", "sample_idx", C.seconds_of("sample_idx", 1250).alias("t"))
+
+
+# -- scaling, statistics, calibration -----------------------------------------------------
+
+_SCALES = [*[C.ACC_SCALE] * 3, *[C.GYR_SCALE] * 3, *C.MAG_SCALE]
+_NAMES = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
+
+
+@query("SELECT vec_id, " + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE) * 1000.0 * {s!r}, 9) AS {n}" for i, (s, n) in enumerate(zip(_SCALES, _NAMES, strict=True))) + " FROM embeddings")
+def imu_scale(spark: SparkSession, sf: str) -> DataFrame:
+    scaled = read(spark, sf, "embeddings").select("vec_id", C.imu_scaled(F.transform("embedding", lambda v: v.cast("double") * 1000.0)).alias("s")).select("vec_id", "s.*")
+    return scaled.select("vec_id", *(F.round(n, 9).alias(n) for n in _NAMES))
+
+
+@query("SELECT vec_id, " + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE) * 1000.0 * {C.ACC3_SCALE!r}, 9) AS acc_{a}" for i, a in enumerate("xyz")) + " FROM embeddings")
+def imu3_scale(spark: SparkSession, sf: str) -> DataFrame:
+    scaled = read(spark, sf, "embeddings").select("vec_id", C.imu3_scaled(F.transform("embedding", lambda v: v.cast("double") * 1000.0)).alias("s")).select("vec_id", "s.*")
+    return scaled.select("vec_id", *(F.round(f"acc_{a}", 9).alias(f"acc_{a}") for a in "xyz"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(sqrt(l_quantity * l_quantity + l_discount * l_discount + l_tax * l_tax), 6) AS norm FROM lineitem")
+def vector_norm(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(C.norm("l_quantity", "l_discount", "l_tax"), 6).alias("norm"))
+
+
+@query(f"WITH {AXES} SELECT vec_id, " + ", ".join(f"round(gyr_{a} - median(gyr_{a}) OVER (PARTITION BY label), 6) AS gyr_{a}" for a in "xyz") + " FROM x")
+def gyro_bias(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.remove_median(axes(spark, sf), ["label"], [f"gyr_{a}" for a in "xyz"])
+    return out.select("vec_id", *(F.round(f"gyr_{a}", 6).alias(f"gyr_{a}") for a in "xyz"))
+
+
+@query(f"WITH {AXES}, g AS (SELECT *, median(sqrt(acc_x * acc_x + acc_y * acc_y + acc_z * acc_z)) OVER (PARTITION BY label) AS m FROM x) SELECT vec_id, " + ", ".join(f"round(acc_{a} / m * 9.81, 6) AS acc_{a}" for a in "xyz") + " FROM g")
+def acc_gain(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.calibrate_gain(axes(spark, sf), ["label"], [f"acc_{a}" for a in "xyz"])
+    return out.select("vec_id", *(F.round(f"acc_{a}", 6).alias(f"acc_{a}") for a in "xyz"))
+
+
+@query("SELECT l_returnflag, round(median(l_quantity), 6) AS m_quantity, round(median(l_extendedprice), 6) AS m_price, round(median(l_discount), 6) AS m_discount FROM lineitem GROUP BY l_returnflag")
+def column_median(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.round(F.median("l_quantity"), 6).alias("m_quantity"), F.round(F.median("l_extendedprice"), 6).alias("m_price"), F.round(F.median("l_discount"), 6).alias("m_discount"))
+
+
+@query("SELECT l_returnflag, count(*) AS n, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS std FROM lineitem GROUP BY l_returnflag")
+def mean_std(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("mean"), F.round(F.stddev_samp("l_extendedprice"), 4).alias("std"))
+
+
+@query("SELECT l_returnflag, CAST(CASE WHEN l_extendedprice < 0 THEN 0 WHEN l_extendedprice >= 100000 THEN 21 ELSE floor(l_extendedprice * 20 / 100000) + 1 END AS BIGINT) AS bin, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def histogram_bins(spark: SparkSession, sf: str) -> DataFrame:
+    return S.histogram(read(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice"), ["l_returnflag"], "l_extendedprice", 0, 100_000, 20)
+
+
+@query(f"WITH {SAMPLES} SELECT user_id, sample_idx, round(sum(value / 100.0) OVER (PARTITION BY user_id ORDER BY sample_idx), 6) AS speed FROM s")
+def integrate_cumsum(spark: SparkSession, sf: str) -> DataFrame:
+    out = O.running_sum(samples(spark, sf), USER, "sample_idx", F.col("value") / 100.0, "speed", chunk=64)
+    return out.select("user_id", "sample_idx", F.round("speed", 6).alias("speed"))
+
+
+@query(f"WITH {AXES} SELECT vec_id, " + ", ".join(f"round(acc_{a} - median(acc_{a}) OVER (), 6) AS acc_{a}" for a in "xyz") + " FROM x")
+def gravity_remove(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.remove_median(axes(spark, sf), [], [f"acc_{a}" for a in "xyz"])
+    return out.select("vec_id", *(F.round(f"acc_{a}", 6).alias(f"acc_{a}") for a in "xyz"))
+
+
+@query(f"WITH {AXES} SELECT vec_id, round(acc_x - acc_y, 6) AS x FROM x")
+def montage_diff(spark: SparkSession, sf: str) -> DataFrame:
+    return axes(spark, sf).select("vec_id", F.round(C.differential("acc_x", "acc_y"), 6).alias("x"))
+
+
+@query(f"WITH {AXES} SELECT vec_id, round(2 * acc_x - acc_y - acc_z, 6) AS x FROM x")
+def montage_csd(spark: SparkSession, sf: str) -> DataFrame:
+    return axes(spark, sf).select("vec_id", F.round(C.current_source_density("acc_x", "acc_y", "acc_z"), 6).alias("x"))
+
+
+@query(f"WITH {AXES}, q AS (SELECT *, sqrt(gyr_x * gyr_x + gyr_y * gyr_y + gyr_z * gyr_z + 1) AS m FROM x), u AS (SELECT vec_id, acc_x, acc_y, acc_z, 1 / m AS w, gyr_x / m AS a, gyr_y / m AS b, gyr_z / m AS c FROM q) SELECT vec_id, " + "round((1 - 2 * (b * b + c * c)) * acc_x + 2 * (a * b - w * c) * acc_y + 2 * (a * c + w * b) * acc_z, 6) AS x, round(2 * (a * b + w * c) * acc_x + (1 - 2 * (a * a + c * c)) * acc_y + 2 * (b * c - w * a) * acc_z, 6) AS y, round(2 * (a * c - w * b) * acc_x + 2 * (b * c + w * a) * acc_y + (1 - 2 * (a * a + b * b)) * acc_z, 6) AS z FROM u")
+def rotate_to_world(spark: SparkSession, sf: str) -> DataFrame:
+    m = F.sqrt(F.col("gyr_x") * F.col("gyr_x") + F.col("gyr_y") * F.col("gyr_y") + F.col("gyr_z") * F.col("gyr_z") + 1)
+    turned = axes(spark, sf).withColumn("r", C.quaternion_matrix(1 / m, F.col("gyr_x") / m, F.col("gyr_y") / m, F.col("gyr_z") / m))
+    return turned.select("vec_id", C.rotated("r", F.col("acc_x"), F.col("acc_y"), F.col("acc_z")).alias("v")).select("vec_id", *(F.round(f"v.{a}", 6).alias(a) for a in "xyz"))
+
+
+# -- filters, resampling --------------------------------------------------------------------
+
+_TAPS = [0.1, 0.2, 0.4, 0.2, 0.1]
+
+
+@query(f"WITH {SAMPLES} SELECT user_id, sample_idx, round(" + " + ".join(f"{t} * " + ("value" if not k else f"lag(value, {k}, 0) OVER w") for k, t in enumerate(_TAPS)) + ", 6) AS y FROM s WINDOW w AS (PARTITION BY user_id ORDER BY sample_idx)")
+def fir_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return O.fir(samples(spark, sf), USER, ["sample_idx"], "value", _TAPS).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
+
+
+@query(f"WITH {SAMPLES} SELECT user_id, sample_idx, round(avg(value) OVER (PARTITION BY user_id ORDER BY sample_idx ROWS 7 PRECEDING), 6) AS y FROM s")
+def moving_average(spark: SparkSession, sf: str) -> DataFrame:
+    return O.moving_average(samples(spark, sf), USER, ["sample_idx"], "value", 8).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
+
+
+@query(f"""
+WITH RECURSIVE {SAMPLES}, f AS (SELECT user_id, sample_idx, 0.2137546291 * value AS y FROM s WHERE sample_idx = 0
+  UNION ALL SELECT s.user_id, s.sample_idx, 0.2137546291 * s.value + (1 - 0.2137546291) * f.y FROM f JOIN s ON s.user_id = f.user_id AND s.sample_idx = f.sample_idx + 1)
+SELECT user_id, sample_idx, round(y, 6) AS y FROM f
+""")
+def iir_first_order(spark: SparkSession, sf: str) -> DataFrame:
+    return O.iir_first_order(samples(spark, sf), USER, ["sample_idx"], "value", 0.2137546291).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
+
+
+_BUTTER = K.butter2(100, 1250, "high")
+
+
+@query("SELECT " + ", ".join(f"round(CAST({float(v)!r} AS DOUBLE), 9) AS {n}" for n, v in zip(("b0", "b1", "b2", "a1", "a2"), [*_BUTTER[0], *_BUTTER[1][1:]], strict=True)))
+def filter_design(spark: SparkSession, sf: str) -> DataFrame:
+    b, a = K.butter2(100, 1250, "high")
+    return spark.range(1).select(*(F.round(F.lit(float(v)), 9).alias(n) for n, v in zip(("b0", "b1", "b2", "a1", "a2"), [*b, *a[1:]], strict=True)))
+
+
+_RESAMPLE_TAPS = [0.1, 0.3, 0.5, 0.8, 0.5, 0.3, 0.1]
+
+
+@query(f"""
+WITH {SAMPLES}, t AS (SELECT * FROM (VALUES {", ".join(f"({k}, {c})" for k, c in enumerate(_RESAMPLE_TAPS))}) v(k, c)),
+n AS (SELECT user_id, max(sample_idx) + 1 AS n FROM s GROUP BY user_id)
+SELECT user_id, (sample_idx * 2 + k - 3) // 5 AS sample_idx, round(sum(value * c), 6) AS y FROM s JOIN n USING (user_id), t
+WHERE (sample_idx * 2 + k - 3) % 5 = 0 AND sample_idx * 2 + k - 3 >= 0 AND sample_idx * 2 + k - 3 < ceil(n * 2 / 5.0) * 5 GROUP BY 1, 2
+""")
+def resample_polyphase(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.resample_by_join(samples(spark, sf), USER, "sample_idx", "value", 2, 5, _RESAMPLE_TAPS)
+    return out.select("user_id", "sample_idx", F.round("y", 6).alias("y"))
+
+
+@query()
+def zero_phase_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return S.zero_phase_filter(samples(spark, sf), USER, "sample_idx", "value", 0.5, 1250).withColumn("y", F.round("y", 6))
+
+
+@query()
+def resample_channel(spark: SparkSession, sf: str) -> DataFrame:
+    return S.resample(samples(spark, sf), USER, "sample_idx", "value", 2, 25).withColumn("y", F.round("y", 6))
+
+
+@query()
+def ahrs_fusion(spark: SparkSession, sf: str) -> DataFrame:
+    return S.fuse_orientation(axes(spark, sf), ["label"], "vec_id", 100.0).select("label", "vec_id", *(F.round(F.get("q", F.lit(i)), 6).alias(f"q_{n}") for i, n in enumerate("wxyz")))
+
+
+@query()
+def dsp_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    modes = S.dsp_mode(samples(spark, sf), USER, "sample_idx", "value", "cascade", K.butter2(4, 1250, "high"), K.butter2(12, 1250), 5.0)
+    return modes.select("user_id", "sample_idx", F.round("dsp1", 6).alias("dsp1"), F.round("dsp2", 6).alias("dsp2"), "trigger")
+
+
+# -- conversions ----------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(greatest(-32768, least(32767, round(l_extendedprice))) AS SMALLINT) AS i16, CAST(trunc(greatest(0, least(255, l_quantity * 7.7))) AS INTEGER) AS u8 FROM lineitem")
+def clip_cast(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", C.saturate_int16("l_extendedprice").alias("i16"), C.truncate_to(F.col("l_quantity") * 7.7, 0, 255, "int").alias("u8"))
+
+
+@query("SELECT event_id, CAST((event_id * 7919) % 65536 - 32768 AS INTEGER) AS pcm, CAST(((event_id * 7919) % 65536 + 32768) % 65536 AS INTEGER) AS wrapped FROM events")
+def signed_audio(spark: SparkSession, sf: str) -> DataFrame:
+    w = (F.col("event_id") * 7919) % 65536
+    return read(spark, sf, "events").select("event_id", C.audio_sample(w).alias("pcm"), C.audio_sample(w, compat=True).alias("wrapped"))
+
+
+@query("SELECT event_id, CAST(((b0 & 127) << 3) | ((b1 & 224) >> 5) AS INTEGER) AS p0, CAST(((b1 & 7) << 7) | ((b2 & 254) >> 1) AS INTEGER) AS p1 FROM (SELECT event_id, CAST(event_id * 31 % 256 AS INTEGER) AS b0, CAST(event_id * 57 % 256 AS INTEGER) AS b1, CAST(event_id * 101 % 256 AS INTEGER) AS b2 FROM events)")
+def unpack_10bit(spark: SparkSession, sf: str) -> DataFrame:
+    b = [(F.col("event_id") * m % 256).cast("int") for m in (31, 57, 101)]
+    return read(spark, sf, "events").select("event_id", C.unpack_first(b[0], b[1]).alias("p0"), C.unpack_second(b[1], b[2]).alias("p1"))
+
+
+@query(f"WITH {PIXELS} SELECT vec_id, array_to_string(list_reverse(pixels), ',') AS image FROM p")
+def rotate180(spark: SparkSession, sf: str) -> DataFrame:
+    return pixels(spark, sf).select("vec_id", F.array_join(C.rotate180("pixels"), ",").alias("image"))
+
+
+@query(f"WITH {PIXELS}, m AS (SELECT *, list_sum(pixels) / 64.0 AS mean FROM p) SELECT vec_id, round(mean, 6) AS mean, array_to_string(list_transform(pixels, lambda v: CAST(floor(greatest(0, least(255, v * coalesce(160.0 / nullif(mean, 0), 1.0)))) AS INTEGER)), ',') AS image FROM m")
+def brightness_normalise(spark: SparkSession, sf: str) -> DataFrame:
+    return pixels(spark, sf).select("vec_id", F.round(C.array_mean("pixels"), 6).alias("mean"), F.array_join(C.brightened("pixels"), ",").alias("image"))
+
+
+@query(f"""
+WITH {PIXELS}, v AS (SELECT vec_id, unnest(pixels) AS v, generate_subscripts(pixels, 1) - 1 AS place FROM p),
+c AS (SELECT vec_id, v, sum(count(*)) OVER (PARTITION BY vec_id ORDER BY v) AS cdf FROM v GROUP BY vec_id, v),
+l AS (SELECT vec_id, min(cdf) AS low, max(cdf) AS al FROM c GROUP BY vec_id)
+SELECT vec_id, CAST(place AS INTEGER) AS place, CAST(CASE WHEN al = low THEN v ELSE round((cdf - low) * 255.0 / (al - low)) END AS INTEGER) AS equalised FROM v JOIN c USING (vec_id, v) JOIN l USING (vec_id)
+""")
+def hist_equalise(spark: SparkSession, sf: str) -> DataFrame:
+    long = pixels(spark, sf).select("vec_id", F.posexplode("pixels").alias("place", "v"))
+    return S.equalise_histogram(long, ["vec_id"], "v").select("vec_id", "place", F.col("equalised").cast("int").alias("equalised"))
+
+
+@query()
+def badpixel_median(spark: SparkSession, sf: str) -> DataFrame:
+    return V.repair_pixels(pixels(spark, sf), "pixels", 8, [1, 10, 11, 12, 64]).select("vec_id", F.array_join(F.transform("image", lambda v: v.cast("int")), ",").alias("image"))
+
+
+@query()
+def demosaic(spark: SparkSession, sf: str) -> DataFrame:
+    return V.demosaic(pixels(spark, sf), "pixels", 8).select("vec_id", F.array_join(F.transform("image", lambda v: F.round(v, 4)), ",").alias("image"))
+
+
+@query("SELECT event_id, (event_id * 37 % 1024) / 4.0 AS v FROM events")
+def scale_10_to_8(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "events").select("event_id", ((F.col("event_id") * 37 % 1024) / 4.0).alias("v"))
+
+
+# -- text scans, headers, streaming windows ---------------------------------------------------
+
+
+@query("SELECT page_id, regexp_extract(html, '(?i)<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '(?i)<li>')) AS n_items FROM pages")
+def xml_regex(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "pages").select("page_id", F.regexp_extract("html", "(?i)<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(?i)<li>"), F.lit(0))).cast("long").alias("n_items"))
+
+
+_XML = "'<parameters><nChannels>64</nChannels><samplingRate>20000</samplingRate><channel skip=\"0\">' || (event_id % 7) || '</channel><channel skip=\"1\">3</channel><CHANNEL SKIP=\"0\">' || (event_id % 5) || '</CHANNEL></parameters>'"
+
+
+@query("SELECT event_id, 64 AS n_channels, 20000 AS fs, CAST(least(event_id % 7, event_id % 5) + 1 AS VARCHAR) || ',' || CAST(greatest(event_id % 7, event_id % 5) + 1 AS VARCHAR) AS good, CAST(event_id % 7 + 1 AS VARCHAR) || ',' || CAST(event_id % 5 + 1 AS VARCHAR) AS selected FROM events")
+def good_channels(spark: SparkSession, sf: str) -> DataFrame:
+    x = read(spark, sf, "events").select("event_id", F.expr(_XML).alias("xml"))
+    return x.select("event_id", C.xml_number("xml", "nChannels").alias("n_channels"), C.xml_number("xml", "samplingRate").alias("fs"), F.array_join(C.xml_channels("xml", True), ",").alias("good"), F.array_join(C.xml_channels("xml", False), ",").alias("selected"))
+
+
+@query("SELECT doc_id, octet_length(encode(text)) // (2 * 4) AS n_samples, CASE WHEN source = 'src0' THEN 1250 ELSE 20000 END AS fs FROM documents")
+def sample_count(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "documents").select("doc_id", F.floor(F.octet_length("text") / 8).cast("long").alias("n_samples"), F.when(F.col("source") == "src0", 1250).otherwise(20000).alias("fs"))
+
+
+@query("SELECT CAST(n AS INTEGER) AS n, kind, CASE kind WHEN 0 THEN 'A-' || lpad(CAST(n - 1 AS VARCHAR), 3, '0') ELSE 'CH' || (n - 1) END AS name FROM (SELECT n, 0 AS kind FROM range(1, 65) r(n) UNION ALL SELECT n, 3 FROM range(1, 17) r(n))")
+def channel_header(spark: SparkSession, sf: str) -> DataFrame:
+    from sigspark.sources.intan import channel_table
+
+    return channel_table(spark, 64)
+
+
+@query("SELECT doc_id, CAST(2 * length(source) AS BIGINT) AS n FROM documents")
+def utf16_string(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "documents").select("doc_id", C.utf16_string("source")["length"].alias("n"))
+
+
+@query("SELECT date_trunc('second', ts) AS second, count(*) AS n_frames FROM events GROUP BY 1")
+def fps_window(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    return e.groupBy(F.window("ts", "1 second")).agg(F.count("*").alias("n_frames")).select(F.col("window.start").cast("timestamp_ntz").alias("second"), "n_frames")
