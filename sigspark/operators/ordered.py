@@ -28,8 +28,9 @@ def with_neighbours(df: DataFrame, keys: list[str], index: str, value: str, pad:
     The first and last sample of each chunk are also sent to the chunk beside it.
     """
     own = F.floor(F.col(index) / chunk).cast("long")
-    beside = F.when(F.pmod(F.col(index), F.lit(chunk)) == 0, own - 1).when(F.pmod(F.col(index), F.lit(chunk)) == chunk - 1, own + 1)
-    dealt = df.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_compact(F.array(own, beside))))
+    place = F.pmod(F.col(index), F.lit(chunk))
+    beside = F.array(own, F.when(place == 0, own - 1), F.when(place == chunk - 1, own + 1))
+    dealt = df.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_compact(beside)))
     w = W.partitionBy(*keys, "_chunk").orderBy(index)
     out = dealt.withColumns({"prev": F.lag(value, 1).over(w), "next": F.lead(value, 1).over(w)})
     out = out.where("_own = _chunk").drop("_own", "_chunk")

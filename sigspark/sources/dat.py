@@ -16,6 +16,7 @@ import glob
 import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +100,7 @@ class DatReader(DataSourceReader):
                 raw = np.frombuffer(f.read(n * self.frame_bytes), np.uint8).reshape(n, self.nch, self.dtype.itemsize + self.skip)
                 x = np.ascontiguousarray(raw[:, :, : self.dtype.itemsize]).view(self.dtype)[:, :, 0][:, [c - 1 for c in self.select]]
                 index = np.arange(at, at + n)
-                value = pa.array(x.reshape(-1).astype(object) if self.dtype.str[1:] == "u8" else x.reshape(-1)).cast(kind)
+                value = pa.array([Decimal(v) for v in x.reshape(-1).tolist()], kind) if self.dtype.str[1:] == "u8" else pa.array(x.reshape(-1)).cast(kind)
                 if self.layout == "long":
                     rows = [pa.repeat(pa.scalar(partition.session), x.size), pa.array(np.repeat(index, x.shape[1])), pa.array(np.tile(np.array(self.select, np.int32), n)), value]
                     yield pa.RecordBatch.from_arrays(rows, names=["session", "sample_idx", "channel", "value"])
