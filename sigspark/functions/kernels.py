@@ -134,6 +134,28 @@ def matrix_of(q: np.ndarray) -> np.ndarray:
     return np.array([[1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)], [2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)], [2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y)]])
 
 
+def pitch_shift(x: np.ndarray, semitones: float, n: int = 1024) -> np.ndarray:
+    """Pitch changed and length kept: a phase vocoder stretches time, linear interpolation undoes it."""
+    x = np.asarray(x, float)
+    rate = 2.0 ** (-semitones / 12)
+    hop, shape = n // 4, np.hanning(n)
+    wide = np.pad(x, (n // 2, n))
+    frames = np.lib.stride_tricks.sliding_window_view(wide, n)[::hop]
+    spectra = np.fft.rfft(frames * shape, axis=1)
+    advance = 2 * np.pi * hop * np.arange(n // 2 + 1) / n
+    at = np.arange(0, len(spectra) - 1, rate)
+    phase, out, weight = np.angle(spectra[0]), np.zeros(len(at) * hop + n), np.zeros(len(at) * hop + n)
+    for k, t in enumerate(at):
+        i, part = int(t), t - int(t)
+        size = (1 - part) * np.abs(spectra[i]) + part * np.abs(spectra[i + 1])
+        out[k * hop : k * hop + n] += np.fft.irfft(size * np.exp(1j * phase)) * shape
+        weight[k * hop : k * hop + n] += shape**2
+        turn = np.angle(spectra[i + 1]) - np.angle(spectra[i]) - advance
+        phase = phase + advance + turn - 2 * np.pi * np.round(turn / (2 * np.pi))
+    stretched = (out / np.maximum(weight, 1e-8))[n // 2 :]
+    return np.interp(np.arange(len(x)) / rate, np.arange(len(stretched)), stretched)
+
+
 # -- frames -------------------------------------------------------------------------------
 
 SIDE = 320
@@ -210,3 +232,21 @@ def decode_frame(raw: bytes, bad: list[int] | None = None, target: float | None
     image = repair(image, bad) if bad else image
     rgb = demosaic(np.rot90(image, 2).astype(np.uint16))
     return brightness(rgb, target) if target else np.clip(rgb, 0, 255).astype(np.uint8)
+
+
+def letterbox(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Bilinear resize that keeps the aspect ratio, centred on black."""
+    h, w = image.shape[:2]
+    scale = min(height / h, width / w)
+    nh, nw = max(1, round(h * scale)), max(1, round(w * scale))
+    r, c = np.clip((np.arange(nh) + 0.5) / scale - 0.5, 0, h - 1), np.clip((np.arange(nw) + 0.5) / scale - 0.5, 0, w - 1)
+    r0, c0 = np.floor(r).astype(int), np.floor(c).astype(int)
+    r1, c1 = np.minimum(r0 + 1, h - 1), np.minimum(c0 + 1, w - 1)
+    extra = (1,) * (image.ndim - 2)
+    fr, fc = (r - r0).reshape(-1, 1, *extra), (c - c0).reshape(1, -1, *extra)
+    x = image.astype(float)
+    mixed = x[r0][:, c0] * (1 - fr) * (1 - fc) + x[r1][:, c0] * fr * (1 - fc) + x[r0][:, c1] * (1 - fr) * fc + x[r1][:, c1] * fr * fc
+    out = np.zeros((height, width, *image.shape[2:]), image.dtype)
+    top, left = (height - nh) // 2, (width - nw) // 2
+    out[top : top + nh, left : left + nw] = np.round(mixed) if image.dtype.kind in "iu" else mixed
+    return out

@@ -114,6 +114,11 @@ def resample(df: DataFrame, keys: list[str], index: str, value: str, p: int, q:
     return _per_channel(df, keys, index, value, lambda x: K.resample(x, p, q), _schema(df, keys, index))
 
 
+def pitch_shift(df: DataFrame, keys: list[str], index: str, value: str, semitones: float) -> DataFrame:
+    """(keys, index, y): pitch changed, length kept."""
+    return _per_channel(df, keys, index, value, lambda x: K.pitch_shift(x, semitones), _schema(df, keys, index))
+
+
 def resample_by_join(df: DataFrame, keys: list[str], index: str, value: str, p: int, q: int, taps: list[float]) -> DataFrame:
     """(keys, index, y): the same as a relation: samples meet the taps, products are summed by output sample.
 

@@ -117,7 +117,10 @@ class Part(WriterCommitMessage):
 
 
 class DatWriter(DataSourceArrowWriter):
-    """One part a task, named after its first sample; commit joins them in order unless ``parts`` is set."""
+    """One part a task, written as its rows stream by; commit joins them in order unless ``parts`` is set.
+
+    The path must be one that all executors share.
+    """
 
     def __init__(self, options: dict, overwrite: bool):
         self.path, self.dtype = options["path"].removeprefix("file://"), options.get("dtype", "int16")
@@ -128,22 +131,23 @@ class DatWriter(DataSourceArrowWriter):
         from pyspark import TaskContext
 
         dtype = format_of(self.dtype)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in iterator:
-            if batch.num_rows:
-                x = np.array(batch.column("x").to_pylist(), float)
-                held.append((batch.column("sample_idx").to_numpy(), x))
         os.makedirs(f"{self.path}.parts", exist_ok=True)
         name = f"{self.path}.parts/{TaskContext.get().taskAttemptId()}"
-        if not held:
-            return Part("", 0, 0)
-        index, x = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        x = x[np.argsort(index, kind="stable")]
-        if dtype.kind in "iu":
-            info = np.iinfo(dtype)
-            x = np.clip(np.sign(x) * np.floor(np.abs(x) + 0.5), info.min, info.max)
-        x.astype(dtype).tofile(name)
-        return Part(name, int(index.min()), len(index))
+        first, last, n = 0, -1, 0
+        with open(name, "wb") as out:
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                index = batch.column("sample_idx").to_numpy()
+                if n and index[0] <= last or (np.diff(index) <= 0).any():
+                    raise ValueError("rows must come in order of sample_idx; write_dat sorts them")
+                first, last, n = (first if n else int(index[0])), int(index[-1]), n + len(index)
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+                if dtype.kind in "iu":
+                    info, x = np.iinfo(dtype), x.astype(float)
+                    x = np.clip(np.sign(x) * np.floor(np.abs(x) + 0.5), info.min, info.max)
+                out.write(x.astype(dtype).tobytes())
+        return Part(name if n else "", first, n)
 
     def commit(self, messages: list[Part]) -> None:
         import shutil

@@ -151,3 +151,24 @@ def test_bits_and_samples(spark):
     sat = spark.createDataFrame([(40000.0,), (-40000.0,), (2.5,), (-2.5,)], "x double").select(C.saturate_int16("x").alias("y"))
     assert [r.y for r in sat.collect()] == [32767, -32768, 3, -3]
     assert spark.range(1).select(C.utf16_string(F.lit("")).alias("s")).first().s.length == 0
+
+
+def test_pitch_shift():
+    t = np.arange(16_000) / 8000
+    y = K.pitch_shift(np.sin(2 * np.pi * 800 * t), -12)
+    assert len(y) == len(t)
+    peak = np.abs(np.fft.rfft(y[4000:12_000] * np.hanning(8000))).argmax()
+    assert abs(peak - 400) <= 3
+
+
+def test_bands_and_hilbert():
+    x = np.sin(2 * np.pi * 8 * np.arange(5000) / 1250)
+    inside = outside = x
+    for b, a in K.band2(4, 12, 1250):
+        inside = K.iir(b, a, inside)[0]
+    for b, a in K.band2(100, 200, 1250):
+        outside = K.iir(b, a, outside)[0]
+    assert np.abs(inside[2500:]).max() > 0.7 and np.abs(outside[2500:]).max() < 0.02
+    tone = np.cos(2 * np.pi * 0.2 * np.arange(400))
+    turned = np.convolve(tone, K.hilbert_taps(), "same")
+    assert np.allclose(turned[50:350], np.sin(2 * np.pi * 0.2 * np.arange(400))[50:350], atol=0.02)

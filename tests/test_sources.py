@@ -142,6 +142,13 @@ def test_frames(spark, tmp_path):
     assert abs(np.frombuffer(rows[3].rgb, np.uint8).mean() - 160) < 20
 
 
+def test_letterbox():
+    out = K.letterbox(np.full((10, 20, 3), 7, np.uint8), 40, 40)
+    assert out.shape == (40, 40, 3) and (out[10:30] == 7).all() and (out[:10] == 0).all()
+    ramp = np.tile(np.arange(8.0), (8, 1))
+    assert np.allclose(K.letterbox(ramp, 8, 8), ramp)
+
+
 def test_image_kernels():
     m = np.arange(64.0).reshape(8, 8)
     assert (np.rot90(np.rot90(m, 2), 2) == m).all()
