@@ -1,6 +1,6 @@
 """Quality classification by hierarchical empirical Bayes.
 
-A logistic model (word and shape features, fitted to a bounded sample of
+A logistic model (word, stem and shape features, fitted to a bounded sample of
 labelled rows) gives each document's own evidence for two heads, quality and
 toxic. Grouped aggregation over all documents turns that evidence into host
 and path posteriors: a host is pulled towards the global rate with a strength
@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialize, table
 from .contamination import words_of
-from .shingles import word_hashes
+from .shingles import prefix_hashes, word_hashes
 
 #: Rows of the labelled sample, words chosen for each head, least documents of a chosen word.
 SAMPLE_ROWS = 12_000
 WORDS_PER_HEAD = 256
 LEAST_DOCS = 3
 RIDGE = 1.0
+#: Bytes of the beginnings of words that are features beside the words.
+STEMS = (5, 6, 7, 8)
 HEADS = ("quality", "toxic")
 #: Bounds of the prior strengths in rows, and the strength of a host for its paths.
 STRENGTH = (1.0, 10_000.0)
@@ -63,7 +65,11 @@ def shape_of(text: bytes) -> list[float]:
 
 
 def _distinct_words(text: bytes) -> np.ndarray:
-    return np.unique(word_hashes(b" ".join(words_of(text)))[1].view(np.int64)) if text.strip() else np.zeros(0, np.int64)
+    """Hashes of the different words of a text and of their beginnings, which stand for stems."""
+    data = b" ".join(words_of(text))
+    if not data:
+        return np.zeros(0, np.int64)
+    return np.unique(np.concatenate((word_hashes(data)[1], prefix_hashes(data, STEMS))).view(np.int64))
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,6 +39,31 @@ def _block_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def _block_prefixes(data: bytes, lengths: tuple[int, ...]) -> np.ndarray:
+    a = np.frombuffer(data, np.uint8)
+    space = np.concatenate(([True], a == 32, [True]))
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    up, down = _power_tables(len(a) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_WORDS[a] * up[: len(a)])))
+    out = []
+    for n in lengths:
+        at = starts[ends - starts > n]
+        out.append(mix64(((total[at + n] - total[at]) * down[at]) ^ np.uint64(0x5851F42D4C957F2D * n & (1 << 64) - 1)))
+    return np.concatenate(out)
+
+
+def prefix_hashes(data: bytes, lengths: tuple[int, ...]) -> np.ndarray:
+    """Hashes of the first bytes of each longer word, for each of the lengths."""
+    out, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        end = data.find(b" ", at + BLOCK)
+        end = len(data) if end < 0 else end
+        out.append(_block_prefixes(data[at:end], lengths))
+        at = end
+    return np.concatenate(out)
+
+
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start byte and hash of each word of normalised data; long data go block by block, cut at spaces."""
     if len(data) <= 2 * BLOCK:
