@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +61,27 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, max_rows: int)
     return left.join(right, on, how)
 
 
+_slot: dict[str, object] = {}
+
+
+def in_worker(ident: str, build: Callable[[], object]) -> object:
+    """An object that a worker keeps between tasks; it keeps one at a time, whatever operator it is of."""
+    if ident not in _slot:
+        _slot.clear()
+        release_memory()
+        _slot[ident] = build()
+    return _slot[ident]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system, so that workers that live on do not hold a past stage's."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit words (the public splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)

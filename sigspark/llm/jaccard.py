@@ -8,9 +8,11 @@ many documents have last: their counts come from all documents, and choosing
 another order would change the work but not the result.
 
 The first shingles are the short inverted lists. Within a list, members are
-compared with a leader first; when the components of those links are known,
-only pairs of different components remain, so copies of one text cost links in
-proportion to their number. Each query then gets its candidates' full sets:
+compared with a leader first, the one with the fewest shingles of its own;
+when the components of those links are known, only pairs of different
+components remain, so copies of one text cost links in proportion to their
+number. Pairs whose own shingles alone make them differ too much are left out:
+that bound is exact. Each query then gets its candidates' full sets:
 short lists are merged by a heap, long ones probed by binary search
 (DivideSkip), and a last count decides exactly.
 
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, join_checked, materialize, table
+from .common import bounded_batches, in_worker, join_checked, materialize, release_memory, table
 from .components import components
 from .shingles import groups_of, rank_in_doc, set_keys, shingle_sets
 
@@ -55,7 +57,7 @@ def needed(n: np.ndarray) -> np.ndarray:
 # -- frequent shingles ----------------------------------------------------------------
 
 
-def _count_early(batches: Iterator[pa.RecordBatch], n_ranges: int) -> Iterator[pa.RecordBatch]:
+def _count_shingles(batches: Iterator[pa.RecordBatch], n_ranges: int) -> Iterator[pa.RecordBatch]:
     """For each range of shingle hashes, the low words met and their counts, as packed arrays."""
 
     def packed(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -73,15 +75,16 @@ def _count_early(batches: Iterator[pa.RecordBatch], n_ranges: int) -> Iterator[p
     held, size = [], 0
     for batch in batches:
         for _, group in groups_of(batch.column(0).cast(pa.binary()).to_pylist()):
-            doc, h, n = shingle_sets(group)
-            early = h[rank_in_doc(doc) < 2 * (n - needed(n) + 1)[doc]]
-            held.append((early & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-            size += len(early)
+            _, h, _ = shingle_sets(group)
+            held.append((h & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+            size += len(h)
             if size >= 4_000_000:
                 yield packed(held)
                 held, size = [], 0
     if size:
         yield packed(held)
+    held.clear()
+    release_memory()
 
 
 def mix_range(low: np.ndarray, n_ranges: int) -> np.ndarray:
@@ -105,7 +108,7 @@ def frequent_bits(docs: DataFrame) -> np.ndarray:
     """Bit table of the low hash words of the most frequent shingles, counted over all documents."""
     spark = docs.sparkSession
     n_ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = docs.select("text").mapInArrow(lambda b: _count_early(b, n_ranges), "part long, once binary, many binary, counts binary")
+    counts = docs.select("text").mapInArrow(lambda b: _count_shingles(b, n_ranges), "part long, once binary, many binary, counts binary")
     found = materialize(counts.groupBy("part").applyInArrow(_sum_counts, "low long, n long"), "frequent")
     by_size = found.groupBy(F.floor(F.log2("n")).alias("k")).count().orderBy(F.desc("k")).collect()  # a row for each power of two
     least, held = 0, 0
@@ -126,16 +129,11 @@ def frequent_bits(docs: DataFrame) -> np.ndarray:
 class _Bits:
     """A broadcast bit table, unpacked once in each worker."""
 
-    unpacked: dict[str, np.ndarray] = {}
-
     def __init__(self, spark: SparkSession, bits: np.ndarray):
         self.broadcast, self.ident = spark.sparkContext.broadcast(bits), uuid.uuid4().hex
 
     def get(self) -> np.ndarray:
-        if self.ident not in _Bits.unpacked:
-            _Bits.unpacked.clear()
-            _Bits.unpacked[self.ident] = np.unpackbits(self.broadcast.value).astype(bool)
-        return _Bits.unpacked[self.ident]
+        return in_worker(self.ident, lambda: np.unpackbits(self.broadcast.value).astype(bool))
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -143,7 +141,8 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64)))
 
 
-SETS_DDL = "doc_id long, n long, key1 long, key2 long, prefix array<long>"
+#: light: infrequent shingles of the set if the prefix holds them all, else -1.
+SETS_DDL = "doc_id long, n long, key1 long, key2 long, light long, prefix array<long>"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.RecordBatch]:
@@ -155,9 +154,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.R
             late = bits[h & mask]
             order = np.lexsort((h, late, doc))
             doc, h = doc[order], h[order]
-            early = rank_in_doc(doc) < (n - needed(n) + 1)[doc]
+            size = n - needed(n) + 1
+            early = rank_in_doc(doc) < size[doc]
+            light = np.bincount(doc[~late[order]], minlength=len(group))
+            light[light > size] = -1
             prefix = _lists(h[early].view(np.int64), np.bincount(doc[early], minlength=len(group)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), pa.array(n), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), prefix], names=["doc_id", "n", "key1", "key2", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), pa.array(n), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(light), prefix], names=["doc_id", "n", "key1", "key2", "light", "prefix"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +178,8 @@ def _partition(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(batches) if batches else None
 
 
-def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of shingles that two documents or more have."""
+def _shared_lists(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.RecordBatch]:
+    """The rows of shingles that two documents or more have, and whether these are infrequent ones."""
     tab = _partition(batches)
     if tab is None:
         return
@@ -188,12 +190,14 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     keep = np.zeros(len(t), bool)
     keep[1:] |= same
     keep[:-1] |= same
-    yield from tab.take(pa.array(np.sort(order[keep]))).to_batches(max_chunksize=50_000)
+    tab = tab.take(pa.array(np.sort(order[keep])))
+    late = shared.get()[tab.column("token").to_numpy() & ((1 << FREQUENT_BITS) - 1)]
+    yield from tab.append_column("is_light", pa.array((~late).astype(np.int64))).to_batches(max_chunksize=50_000)
 
 
-def _sorted_groups(tab: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def _sorted_groups(tab: pa.Table, *by: str) -> tuple[dict[str, np.ndarray], np.ndarray]:
     cols = {c: tab.column(c).to_numpy() for c in tab.column_names}
-    order = np.lexsort((cols["rep"], cols["n"], cols["token"]))
+    order = np.lexsort((*(cols[c] for c in reversed(by)), cols["token"]))
     cols = {c: v[order] for c, v in cols.items()}
     cuts = np.flatnonzero(np.concatenate(([True], cols["token"][1:] != cols["token"][:-1], [True])))
     return cols, cuts
@@ -206,30 +210,48 @@ def _pair_batches(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([pa.array(pairs[at : at + 50_000, 0]), pa.array(pairs[at : at + 50_000, 1])], names=["a", "b"])
 
 
+def _may_link(na, nb, alone_a, alone_b):
+    """Sizes fit, and the infrequent shingles that only one of both has are no more than their difference may be.
+
+    Those of a document are known to be its alone if its prefix and the other's
+    hold all their infrequent shingles (alone >= 0 for both).
+    """
+    known = (alone_a >= 0) & (alone_b >= 0)
+    return (PERCENT * np.maximum(na, nb) <= 100 * np.minimum(na, nb)) & ~(known & ((100 + PERCENT) * (alone_a + alone_b) > (100 - PERCENT) * (na + nb)))
+
+
 def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In each list, by set size, the pair of each member with its leader: the first whose size still fits."""
+    """In each list, the pair of each member with the first leader that it may link with.
+
+    Members come by the share of shingles that they alone have: an original
+    has none, so it leads before the copies that were changed.
+    """
     tab = _partition(batches)
     if tab is None:
         return
-    cols, cuts = _sorted_groups(tab)
-    n, rep, left, right = cols["n"], cols["rep"], [], []
+    alone = tab.column("alone").to_numpy()
+    tab = tab.append_column("share", pa.array(np.where(alone < 0, 2.0, alone / tab.column("n").to_numpy())))
+    cols, cuts = _sorted_groups(tab, "share", "rep")
+    n, rep, alone, left, right = cols["n"], cols["rep"], cols["alone"], [], []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        while a < b - 1:
-            fits = a + int(np.searchsorted(n[a:b], n[a] * 100 // PERCENT, "right"))
-            if fits > a + 1:
-                right.append(rep[a + 1 : fits])
-                left.append(np.full(fits - a - 1, rep[a]))
-            a = max(fits, a + 1)
+        open_ = np.arange(a, b)
+        while len(open_) > 1:
+            i, rest = open_[0], open_[1:]
+            fit = _may_link(n[i], n[rest], alone[i], alone[rest])
+            if fit.any():
+                right.append(rep[rest[fit]])
+                left.append(np.full(int(fit.sum()), rep[i]))
+            open_ = rest[~fit]
     yield from _pair_batches(left, right)
 
 
 def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In each list, the pairs of different components whose sizes and places allow a link."""
+    """In each list, the pairs of different components whose sizes, places and own shingles allow a link."""
     tab = _partition(batches)
     if tab is None:
         return
-    cols, cuts = _sorted_groups(tab)
-    n, rep, pos, comp = (cols[c] for c in ("n", "rep", "pos", "comp"))
+    cols, cuts = _sorted_groups(tab, "n", "rep")
+    n, rep, pos, comp, alone = (cols[c] for c in ("n", "rep", "pos", "comp", "alone"))
     left, right, held = [], [], 0
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if (comp[a:b] == comp[a]).all():
@@ -240,7 +262,7 @@ def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             j = slice(i + 1, end)
             most = np.minimum(n[i] - pos[i], n[j] - pos[j])
-            fit = (comp[j] != comp[i]) & (100 * most >= PERCENT * (n[i] + n[j] - most))
+            fit = (comp[j] != comp[i]) & (100 * most >= PERCENT * (n[i] + n[j] - most)) & _may_link(n[i], n[j], alone[i], alone[j])
             if fit.any():
                 right.append(rep[j][fit])
                 left.append(np.full(int(fit.sum()), rep[i]))
@@ -251,6 +273,34 @@ def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _pair_batches(left, right)
 
 
+def _plausible(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.RecordBatch]:
+    """Pairs that differ little enough in the part of the order that both prefixes cover.
+
+    Sets that link differ in at most a ninth of their summed sizes, so a larger
+    difference in that part alone rules the pair out.
+    """
+    bits, mask = shared.get(), np.uint64((1 << FREQUENT_BITS) - 1)
+
+    def side(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+        col = batch.column(name)
+        h = col.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        return (bits[h & mask].astype(np.uint64) << np.uint64(63)) | (h >> np.uint64(1)), np.concatenate(([0], np.cumsum(col.value_lengths().to_numpy(zero_copy_only=False))))
+
+    for batch in batches:
+        (left, lcut), (right, rcut) = side(batch, "left"), side(batch, "right")
+        n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+        keep = np.zeros(len(n), bool)
+        for i in range(len(n)):
+            x, y = left[lcut[i] : lcut[i + 1]], right[rcut[i] : rcut[i + 1]]
+            end = min(x[-1], y[-1])
+            x, y = x[: np.searchsorted(x, end, "right")], y[: np.searchsorted(y, end, "right")]
+            merged = np.concatenate((x, y))
+            merged.sort()
+            both = int((merged[1:] == merged[:-1]).sum())
+            keep[i] = (100 + PERCENT) * (len(merged) - 2 * both) <= (100 - PERCENT) * n[i]
+        yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[keep]) for c in ("a", "b")], names=["a", "b"])
+
+
 # -- T-occurrence search ----------------------------------------------------------------
 
 
@@ -345,23 +395,35 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = _Bits(spark, frequent_bits(docs))
     sets = materialize(docs.mapInArrow(lambda b: _prefixes(b, bits), SETS_DDL), "prefixes")
-    classes = sets.where("n > 0").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"))
+    classes = sets.where("n > 0").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("light").alias("light"), F.any_value("prefix").alias("prefix"))
     classes = materialize(classes, "classes")
-    tokens = classes.where("rep IS NOT NULL").select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
-    lists = tokens.select("token", "rep", "n", F.col("pos").cast("long").alias("pos")).repartition(n_parts, "token")
-    lists = materialize(lists.mapInArrow(_shared_lists, "token long, rep long, n long, pos long"), "lists")
-    wanted = lists.select(F.col("rep").alias("doc_id")).distinct()
-    full = join_checked(docs, wanted, "doc_id", "left_semi", BROADCAST_ROWS)
-    full = materialize(full.mapInArrow(_full_sets, "rep long, hashes binary").where("length(hashes) > 0"), "sets")
+    tokens = classes.where("rep IS NOT NULL").select("rep", "n", "light", F.posexplode("prefix").alias("pos", "token"))
+    lists = tokens.select("token", "rep", "n", "light", F.col("pos").cast("long").alias("pos")).repartition(n_parts, "token")
+    lists = materialize(lists.mapInArrow(lambda b: _shared_lists(b, bits), "token long, rep long, n long, light long, pos long, is_light long"), "lists")
+    alone = F.when(F.col("light") < 0, -1).otherwise(F.col("light") - F.sum("is_light"))
+    known = materialize(lists.groupBy("rep", "n", "light").agg(alone.alias("alone")), "alone")
+    lists = join_checked(lists.drop("is_light"), known, ["rep", "n", "light"], "inner", BROADCAST_ROWS).select("token", "rep", "n", "pos", "alone")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs that link: first what the prefixes allow, then by full sets, made for what is left."""
+        met = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        prefixes = join_checked(classes.select("rep", "n", "prefix"), met, "rep", "left_semi", BROADCAST_ROWS)
+        sided = pairs.join(prefixes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("left")), "a")
+        sided = sided.join(prefixes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("right")), "b")
+        likely = materialize(sided.select("a", "b", "na", "nb", "left", "right").mapInArrow(lambda b: _plausible(b, bits), "a long, b long").distinct(), "likely")
+        ends = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        full = join_checked(docs, ends, "doc_id", "left_semi", BROADCAST_ROWS)
+        full = materialize(full.mapInArrow(_full_sets, "rep long, hashes binary").where("length(hashes) > 0"), "sets")
+        return materialize(verify(likely, full), "links")
 
     first = lists.repartition(n_parts, "token").mapInArrow(_leader_pairs, "a long, b long").distinct().where("a <> b")
     first = materialize(first, "pairs")
-    links = materialize(verify(first, full), "links")
+    links = confirmed(first)
     comp = components(links)
-    labelled = lists.join(comp, lists.rep == comp.node, "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("comp"))
+    labelled = join_checked(lists, comp.withColumnRenamed("node", "rep"), "rep", "left", BROADCAST_ROWS).select("token", "rep", "n", "pos", "alone", F.coalesce("component", "rep").alias("comp"))
     rest = labelled.repartition(n_parts, "token").mapInArrow(_other_pairs, "a long, b long").distinct().where("a <> b")
     rest = materialize(rest.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = verify(rest, full)
+    more = confirmed(rest)
     comp = materialize(components(links.unionByName(more)), "components")
 
     named = classes.select("key1", "key2", "n", "rep").join(comp, F.col("rep") == F.col("node"), "left").select("key1", "key2", "n", F.coalesce("component", "rep").alias("component_id"))
