@@ -22,4 +22,5 @@ ORACLE = {
     "op4_decontamination": contamination.OP4_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
+    "op10_secret_scans": secrets.OP10_SQL,
 }

@@ -148,6 +148,41 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _sql_found(name: str, rank: int, kind: str, pattern: str, value: int = 0) -> str:
+    q = pattern.replace("'", "''")
+    return f"""{name} AS (
+  SELECT r, {rank} AS rank, '{kind}' AS kind, f[i] AS m, v[i] AS v,
+    CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+  FROM (SELECT r, regexp_extract_all(t, '{q}') AS f, regexp_extract_all(t, '{q}', {value}) AS v, regexp_split_to_array(t, '{q}') AS g FROM d WHERE regexp_matches(t, '{q}')) x, unnest(range(1, len(f) + 1)) u(i)
+)"""
+
+
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+{_sql_found("s0", 0, "assign", ASSIGN, 2)}, {_sql_found("s1", 1, "access", ACCESS)}, {_sql_found("s2", 2, "hex", HEX)}, {_sql_found("s3", 3, "entropy", CANDIDATE)},
+base AS (
+  SELECT r, rank, kind, a, a + length(m) AS b FROM s0 WHERE length(v) >= {ASSIGN_LEAST}
+  UNION ALL SELECT r, rank, kind, a, a + length(m) FROM s1 UNION ALL SELECT r, rank, kind, a, a + length(m) FROM s2
+), wanted AS (
+  SELECT row_number() OVER () AS c, r, a, m, CASE WHEN regexp_full_match(m, '[0-9a-fA-F]+') THEN {THRESHOLDS["hex"]} WHEN regexp_full_match(m, '[A-Za-z0-9]+') THEN {THRESHOLDS["alnum"]} ELSE {THRESHOLDS["base64"]} END AS least
+  FROM s3 WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT regexp_matches(m, '{ALLOWED}')
+    AND NOT EXISTS (SELECT 1 FROM base WHERE base.r = s3.r AND base.a <= s3.a AND base.b >= s3.a + length(s3.m))
+), windows AS (
+  SELECT c, i, substr(m, CAST(j AS INTEGER), 1) AS ch, count(*) AS n FROM wanted, unnest(range(1, length(m) - {WINDOW - 2})) w(i), unnest(range(i, i + {WINDOW})) p(j) GROUP BY c, i, ch
+), high AS (
+  SELECT c, min(i) AS first, max(i) AS last FROM (SELECT c, i, log2({WINDOW}) - sum(n * log2(n)) / {WINDOW} AS h FROM windows GROUP BY c, i) e JOIN wanted USING (c) WHERE h >= least - 1e-9 GROUP BY c
+), spans AS (
+  SELECT * FROM base UNION ALL SELECT r, 3, 'entropy', a + first - 1, a + last - 1 + {WINDOW} FROM high JOIN wanted USING (c)
+), sums AS (
+  SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank, b) FILTER (rank < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank, b) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN sums USING (r)
+"""
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda k: F.size(F.filter("base_spans", lambda s: s["rank"] == k)).cast("long")
