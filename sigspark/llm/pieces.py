@@ -14,9 +14,9 @@ the model's rule: its state is the set of open boundaries, and each step closes
 the boundary inside the best-ranked edge that spans just two symbols.
 
 The commonest ``TABLE_WORDS`` words are encoded that way and sent to the
-workers as a table of bounded size; each worker builds the same lattice for
-the remaining words it meets (see the README for why those are not joined
-back by a shuffle), and for words beyond ``MASK_BITS`` characters.
+workers as a table of bounded size; each worker folds the remaining words it
+meets by the same rule in memory (see the README for why those are not joined
+back by a shuffle), as it does words beyond ``MASK_BITS`` characters.
 
 Cases: null and empty texts have no tokens; characters that no piece has
 become byte tokens; U+2581 itself is read as a space, as by the library; rows
@@ -29,24 +29,25 @@ import hashlib
 import heapq
 import re
 import uuid
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, table
+from .common import bounded_batches, in_worker, materialize, release_memory, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Words that are sent to the workers, and characters that a word of the lattice has at most (bits of its state).
-TABLE_WORDS = 400_000
+TABLE_WORDS = 300_000
 MASK_BITS = 60
 #: Distinct words that a task counts before it hands them on.
-FLUSH_WORDS = 400_000
+FLUSH_WORDS = 300_000
 
 
 class Vocabulary:
@@ -77,7 +78,7 @@ class Vocabulary:
         return Vocabulary(ids, {p: order[m.get_score(i)] for p, i in ids.items()}, names, byte_ids, m.unk_id())
 
     def fold(self, word: str) -> list[str]:
-        """Symbols of a word: the lattice of one word, folded in memory."""
+        """Symbols of a word: as ``encode_words``, but only edges that span two symbols are looked up, step by step."""
         if len(word) > MASK_BITS:
             return self._fold_long(word)
         symbols, ranks = list(word), self.ranks
@@ -126,15 +127,19 @@ class Vocabulary:
             out.extend([i] if i is not None else [self.byte_ids[b] for b in s.encode()])
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.names.__getitem__, ids.tolist()))[1:]
+    def decode(self, ids: Iterable[int]) -> bytes:
+        """Bytes of ids, with the space that the normal form puts in front."""
+        return b"".join(map(self.names.__getitem__, ids))
 
     def shared(self) -> tuple:
         return self.ids, self.ranks, self.names, self.byte_ids, self.unknown
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def keys_of(text: str) -> list[str]:
+    """Words of a text that is not empty, each without the first of its leading U+2581."""
+    if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+        return [w[1:] for w in WORD.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,15 +149,18 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = list(counts.items())
         for at in range(0, len(items), 50_000):
             words, n = zip(*items[at : at + 50_000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([SPACE + w for w in words], pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            counts.update(words_of(text))
+            if text:
+                counts.update(keys_of(text))
         if len(counts) > FLUSH_WORDS:
             yield from out()
             counts.clear()
     yield from out()
+    counts.clear()
+    release_memory()
 
 
 def _bits(at: Column, n: Column) -> Column:
@@ -210,59 +218,89 @@ def word_table(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> DataFr
 
 
 class _Shared:
-    """Vocabulary and word table as one broadcast of bounded size, unpacked once in each worker."""
-
-    loaded: dict[str, tuple[Vocabulary, dict[str, bytes]]] = {}
+    """Vocabulary and word table as one broadcast of bounded size, unpacked once in each worker: words by their keys."""
 
     def __init__(self, vocab: Vocabulary, words: DataFrame):
         got = words.select("word", "ids").toArrow()
-        sizes = got.column("ids").combine_chunks()
-        packed = ("\n".join(w.replace("\\", "\\\\").replace("\n", "\\n") for w in got.column("word").to_pylist()), sizes.value_lengths().to_numpy().astype(np.int32), sizes.flatten().to_numpy().astype(np.int32))
-        self.broadcast, self.ident = words.sparkSession.sparkContext.broadcast((vocab.shared(), got.num_rows, *packed)), uuid.uuid4().hex
+        ids = got.column("ids").combine_chunks()
+        names = got.column("word").combine_chunks().cast(pa.binary())
+        flat = lambda x, kind: x.flatten().to_numpy().astype(kind)
+        packed = (b"".join(names.to_pylist()), np.array([len(w) for w in names.to_pylist()], np.int32), ids.value_lengths().to_numpy().astype(np.int32), flat(ids, np.int32)) if got.num_rows else None
+        self.broadcast, self.ident = words.sparkSession.sparkContext.broadcast((vocab.shared(), packed)), uuid.uuid4().hex
+
+    def _unpack(self) -> tuple[Vocabulary, dict[str, bytes]]:
+        vocab, packed = self.broadcast.value
+        if packed is None:
+            return Vocabulary(*vocab), {}
+        names, name_sizes, sizes, ids = packed
+        ends, cuts = np.cumsum(name_sizes).tolist(), np.concatenate(([0], np.cumsum(sizes))).tolist()
+        own = (names[a:b].decode()[1:] for a, b in zip([0, *ends], ends))
+        return Vocabulary(*vocab), {w: ids[a:b].tobytes() for w, a, b in zip(own, cuts[:-1], cuts[1:], strict=True)}
 
     def get(self) -> tuple[Vocabulary, dict[str, bytes]]:
-        if self.ident not in _Shared.loaded:
-            _Shared.loaded.clear()
-            vocab, n, words, sizes, ids = self.broadcast.value
-            cuts = np.concatenate(([0], np.cumsum(sizes)))
-            names = [re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], w) if "\\" in w else w for w in words.split("\n")] if n else []
-            _Shared.loaded[self.ident] = (Vocabulary(*vocab), {w: ids[a:b].tobytes() for w, a, b in zip(names, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)})
-        return _Shared.loaded[self.ident]
+        return in_worker(self.ident, self._unpack)
+
+
+class _Words(dict):
+    """Ids of words by key: the shared table's, or folded here; ``bad`` are keys whose ids do not decode to the word."""
+
+    def __init__(self, vocab: Vocabulary, known: dict[str, bytes]):
+        self.vocab, self.known, self.bad = vocab, known, set()
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.known.get(key)
+        if got is None:
+            got = array("i", self.vocab.encode_word(SPACE + key)).tobytes()
+        if self.vocab.decode(array("i", got)) != (SPACE + key).replace(SPACE, " ").encode():
+            self.bad.add(key)
+        self[key] = got
+        return got
+
 
+#: Words that a worker remembers.
+REMEMBERED = 400_000
 
-def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decode: bool) -> Iterator[pa.RecordBatch]:
+
+def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decode: bool, digest: bool) -> Iterator[pa.RecordBatch]:
     vocab, known = shared.get()
-    own: dict[str, bytes] = {}
+    words = _Words(vocab, known)
+    first = min(vocab.byte_ids)
     for batch in batches:
-        ids, sizes, same = [], [], []
+        ids, same = [], []
         for t in batch.column(text).to_pylist():
-            parts = []
-            for w in words_of(t):
-                b = known.get(w) or own.get(w)
-                if b is None:
-                    b = own[w] = np.array(vocab.encode_word(w), np.int32).tobytes()
-                parts.append(b)
-            packed = np.frombuffer(b"".join(parts), np.int32)
-            ids.append(packed)
-            sizes.append(len(packed))
-            same.append(vocab.decode(packed) == (t or "").encode() if decode else None)
-        if len(own) > 300_000:
-            own.clear()
-        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
-        made = {"token_ids": lists, "round_trip": pa.array(same, pa.bool_())}
+            keys = keys_of(t) if t else []
+            ids.append(np.frombuffer(b"".join([words[k] for k in keys]), np.int32))
+            same.append(SPACE not in (t or "") and (not words.bad or words.bad.isdisjoint(keys)) if decode else None)
+            if len(words) > REMEMBERED:
+                words.clear()
+        made = {"round_trip": pa.array(same, pa.bool_())}
+        if digest:
+            made["n_tokens"] = pa.array(map(len, ids), pa.int64())
+            made["n_byte_tokens"] = pa.array([int(((x >= first) & (x < first + 256)).sum()) for x in ids], pa.int64())
+            made["ids_sha256"] = pa.array([hashlib.sha256(x.astype("<i4", copy=False).tobytes()).hexdigest() for x in ids], pa.string())
+        else:
+            offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32))
+            made["token_ids"] = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
         yield pa.RecordBatch.from_arrays([made.get(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
+    words.clear()
+    release_memory()
+
 
+def encode(docs: DataFrame, model: str = MODEL, text: str = "text", decode: bool = True, digest: bool = False) -> DataFrame:
+    """docs with ``token_ids`` and, if asked for, ``round_trip``: whether decoding them gives the text back.
 
-def encode(docs: DataFrame, model: str = MODEL, text: str = "text", decode: bool = True) -> DataFrame:
-    """docs with ``token_ids`` and, if asked for, ``round_trip``: whether decoding them gives the text back."""
-    if clash := {"token_ids", "round_trip"} & set(docs.columns):
+    With ``digest`` the ids stay in the worker and their number, the number of
+    byte tokens and a SHA-256 of the ids as little-endian 32-bit words come instead.
+    """
+    own = {"n_tokens": "bigint", "n_byte_tokens": "bigint", "ids_sha256": "string"} if digest else {"token_ids": "array<int>"}
+    own["round_trip"] = "boolean"
+    if clash := own.keys() & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are the operator's own")
     bounded_batches(docs.sparkSession)
     vocab = Vocabulary.load(model)
     shared = _Shared(vocab, word_table(docs, vocab, text))
-    slots = docs.select("*", F.lit(None).cast("array<int>").alias("token_ids"), F.lit(None).cast("boolean").alias("round_trip"))
-    return slots.mapInArrow(lambda b: _encode(b, shared, text, decode), slots.schema)
+    slots = docs.select("*", *(F.lit(None).cast(t).alias(c) for c, t in own.items()))
+    return slots.mapInArrow(lambda b: _encode(b, shared, text, decode, digest), slots.schema)
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -279,19 +317,6 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     return out.mapInArrow(run, out.schema)
 
 
-def _digest(batches: Iterator[pa.RecordBatch], first_byte: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        col = batch.column("token_ids")
-        ids = col.flatten().to_numpy()
-        cuts = np.concatenate(([0], np.cumsum(col.value_lengths().to_numpy())))
-        made = []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            own = ids[a:b]
-            made.append((len(own), int(((own >= first_byte) & (own < first_byte + 256)).sum()), hashlib.sha256(own.astype("<i4").tobytes()).hexdigest()))
-        n, raw, digest = zip(*made, strict=True) if made else ((), (), ())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(raw, pa.int64()), pa.array(digest, pa.string()), batch.column("round_trip")], names=["doc_id", "n_tokens", "n_byte_tokens", "ids_sha256", "round_trip"])
-
-
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "token_ids", "round_trip").mapInArrow(lambda b: _digest(b, 3), "doc_id long, n_tokens long, n_byte_tokens long, ids_sha256 string, round_trip boolean")
+    found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return found.select("doc_id", "n_tokens", "n_byte_tokens", "ids_sha256", "round_trip")

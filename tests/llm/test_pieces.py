@@ -1,5 +1,7 @@
+import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -49,5 +51,13 @@ def test_documents(spark, library):
     assert all(r.token_ids == library.encode(r.text) for r in got)
 
 
+def test_digest(spark, library):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    for r in pieces.encode(df, digest=True).collect():
+        ids = library.encode(TEXTS[r.doc_id] or "")
+        assert (r.n_tokens, r.n_byte_tokens, r.round_trip) == (len(ids), sum(3 <= i < 259 for i in ids), True)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+
+
 def test_empty(spark):
     assert pieces.encode(spark.createDataFrame([], "doc_id long, text string")).count() == 0
