@@ -30,19 +30,48 @@ def steady_state(b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.linalg.solve(np.eye(n - 1) - companion, b[1:] - a[1:] * b[0])
 
 
-def iir(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Causal filter in transposed direct form; returns the output and the state to go on with."""
-    n = max(len(a), len(b))
-    b, a = (np.pad(np.asarray(v, float), (0, n - len(v))) / a[0] for v in (b, a))
-    z = [0.0] * n if state is None else [*map(float, state), 0.0]
+def _step_by_step(b: np.ndarray, a: np.ndarray, x: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Output, and the state after each sample, of the transposed direct form."""
+    n, z = len(b), [*z.tolist(), 0.0]
     bs, as_ = b.tolist(), a.tolist()
-    y = np.empty(len(x))
-    for i, v in enumerate(np.asarray(x, float).tolist()):
+    y, states = np.empty(len(x)), np.empty((len(x), n - 1))
+    for i, v in enumerate(x.tolist()):
         out = bs[0] * v + z[0]
         for k in range(1, n):
             z[k - 1] = bs[k] * v - as_[k] * out + z[k]
-        y[i] = out
-    return y, np.array(z[: n - 1])
+        y[i], states[i] = out, z[: n - 1]
+    return y, states
+
+
+def iir(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray | None = None, block: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Causal filter; returns the output and the state to go on with.
+
+    Blocks of samples are filtered from a zero state by one matrix product; the
+    states at their starts follow one another, and their part is added.
+    """
+    n = max(len(a), len(b))
+    b, a = (np.pad(np.asarray(v, float), (0, n - len(v))) / a[0] for v in (b, a))
+    x = np.asarray(x, float)
+    z = np.zeros(n - 1) if state is None else np.asarray(state, float)
+    y, whole = np.empty(len(x)), len(x) // block
+    if whole and n > 1:
+        pulse, after = _step_by_step(b, a, np.eye(1, block)[0], np.zeros(n - 1))
+        free = [_step_by_step(b, a, np.zeros(block), unit) for unit in np.eye(n - 1)]
+        lag = np.subtract.outer(np.arange(block), np.arange(block))
+        response = np.where(lag >= 0, pulse[np.maximum(lag, 0)], 0.0)
+        parts = x[: whole * block].reshape(whole, block)
+        gain = np.stack([f[1][-1] for f in free], 1)
+        into = parts @ after[::-1]
+        starts = np.empty((whole, n - 1))
+        for k in range(whole):
+            starts[k] = z
+            z = gain @ z + into[k]
+        y[: whole * block] = (parts @ response.T + starts @ np.stack([f[0] for f in free])).reshape(-1)
+    else:
+        whole = 0
+    tail, states = _step_by_step(b, a, x[whole * block :], z)
+    y[whole * block :] = tail
+    return y, (states[-1] if len(states) else z)
 
 
 def zero_phase(b: np.ndarray, a: np.ndarray, x: np.ndarray, pad: int | None = None) -> np.ndarray:

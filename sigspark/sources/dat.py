@@ -97,8 +97,14 @@ class DatReader(DataSourceReader):
             for at in range(partition.first, partition.last + 1, BATCH):
                 n = min(BATCH, partition.last - at + 1)
                 f.seek(at * self.frame_bytes)
-                raw = np.frombuffer(f.read(n * self.frame_bytes), np.uint8).reshape(n, self.nch, self.dtype.itemsize + self.skip)
-                x = np.ascontiguousarray(raw[:, :, : self.dtype.itemsize]).view(self.dtype)[:, :, 0][:, [c - 1 for c in self.select]]
+                raw = f.read(n * self.frame_bytes)
+                if self.skip:
+                    spaced = np.frombuffer(raw, np.uint8).reshape(n, self.nch, self.dtype.itemsize + self.skip)
+                    x = np.ascontiguousarray(spaced[:, :, : self.dtype.itemsize]).view(self.dtype)[:, :, 0]
+                else:
+                    x = np.frombuffer(raw, self.dtype).reshape(n, self.nch)
+                if self.select != list(range(1, self.nch + 1)):
+                    x = x[:, [c - 1 for c in self.select]]
                 index = np.arange(at, at + n)
                 value = pa.array([Decimal(v) for v in x.reshape(-1).tolist()], kind) if self.dtype.str[1:] == "u8" else pa.array(x.reshape(-1)).cast(kind)
                 if self.layout == "long":
