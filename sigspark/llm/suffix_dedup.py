@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_WORDS, bounded_batches, materialize, mix64, table
+from .common import BYTE_WORDS, bounded_batches, materialize, mix64, release_memory, table
 
 LENGTH = 100
 GRAM = 32
@@ -47,7 +47,7 @@ CORE = LENGTH - BIN + 1
 #: Bytes of a block: places inside it fit the low bits of a rank.
 BLOCK = 1 << 16
 PLACE = np.uint64((1 << 17) - 1)
-FLUSH = 1_000_000
+FLUSH = 500_000
 
 _MULTIPLIERS = mix64(np.arange(11, 17, dtype=np.uint64)) | np.uint64(1)
 _P = np.uint64(0xD1342543DE82EF95)
@@ -182,6 +182,8 @@ def _send_runs(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.R
             held, size = [], 0
     if size:
         yield flush()
+    held.clear()
+    release_memory()
 
 
 LEFT_DDL = "kind long, doc_id long, place long, lo long, hi long"
