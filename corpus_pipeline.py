@@ -6,7 +6,8 @@ the columns of ``documents``.
 
 Cases: rows that share a doc_id are one document and stay or go together; a
 row with null doc_id is never a near duplicate of another; null texts have no
-language and go with the first stage; an empty table gives no rows.
+language and go with the first stage; an empty table gives no rows; extra
+columns stay until the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from sigspark.llm import common, contamination, jaccard, language, pieces, secre
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the fused evidence is sure of."""
-    return language.identify_documents(docs).where("lang_keep").select(*docs.columns)
+    renamed, back = common.set_aside(docs, language.OWN)
+    return back(language.identify_documents(renamed).where("lang_keep").select(*renamed.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +37,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked and n_chars brought up to date."""
-    found = secrets.scan_secrets(docs)
+    renamed, back = common.set_aside(docs, {"base_spans", "secret_spans"})
+    found = secrets.scan_secrets(renamed)
     found = found.withColumn("text", secrets.redact(F.col("text"), F.col("secret_spans")))
     found = found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    return back(found.select(*renamed.columns))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

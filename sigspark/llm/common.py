@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +45,10 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches of bounded bytes, so that a worker's memory does not follow the length of texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def small_enough(df: DataFrame, max_rows: int) -> bool:
@@ -61,6 +63,17 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, max_rows: int)
     return left.join(right, on, how)
 
 
+def without(df: DataFrame, names) -> DataFrame:
+    """df without columns of these names: an operator's own take their place."""
+    return df.drop(*(c for c in df.columns if c in names))
+
+
+def set_aside(df: DataFrame, names) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with columns of these names renamed, and what renames them back."""
+    clash = {c: f"_aside_{c}" for c in df.columns if c in names}
+    return df.withColumnsRenamed(clash), lambda out: out.withColumnsRenamed({v: k for k, v in clash.items()})
+
+
 _slot: dict[str, object] = {}
 
 
@@ -73,9 +86,23 @@ def in_worker(ident: str, build: Callable[[], object]) -> object:
     return _slot[ident]
 
 
+def tidy(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's generator that gives its memory back when it ends."""
+
+    @functools.wraps(run)
+    def wrapped(*args, **kwargs):
+        try:
+            yield from run(*args, **kwargs)
+        finally:
+            release_memory()
+
+    return wrapped
+
+
 def release_memory() -> None:
     """Give freed memory back to the system, so that workers that live on do not hold a past stage's."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):

@@ -13,7 +13,7 @@ one pass over the documents each, so that the broadcast stays bounded.
 Cases: null text has no words; a null item_id adds hits but is no listed item;
 repeated rows and ties are kept one by one on the document side and count once
 on the item side; empty tables give no rows or no hits; extra columns are
-ignored or, in ``decontaminate``, kept.
+kept, but in ``scan`` those named like its results are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, table
+from .common import bounded_batches, in_worker, materialize, set_aside, table, tidy, without
 
 WINDOW = 13
 #: Bytes to the normal form: A-Z lower-cased, ASCII that is no letter or digit to a space.
@@ -42,9 +42,6 @@ SHARE = 20
 #: Columns that the operator adds.
 OWN = {"n_words": "bigint", "runs": "array<struct<first:int,end:int>>", "items": "array<bigint>", "spans": "array<struct<start:int,end:int>>", "n_hit": "bigint", "n_items": "bigint", "contaminated": "boolean"}
 
-_built: dict[str, ahocorasick.Automaton] = {}
-
-
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_NORMAL).split()
 
@@ -55,16 +52,13 @@ def windows_of(words: list[bytes]) -> list[bytes]:
     return [b" " + b" ".join(words[i : i + WINDOW]) + b" " for i in range(max(1, len(words) - WINDOW + 1))]
 
 
-def _automaton(shared) -> ahocorasick.Automaton:
-    if shared.id not in _built:
-        _built.clear()
-        a = ahocorasick.Automaton()
-        for k, (pattern, items) in enumerate(shared.value):
-            a.add_word(pattern.decode(), (k, pattern.count(b" ") - 1, items))
-        if len(a):
-            a.make_automaton()
-        _built[shared.id] = a
-    return _built[shared.id]
+def _build(windows: list[tuple[bytes, list[int]]]) -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for k, (pattern, items) in enumerate(windows):
+        a.add_word(pattern.decode(), (k, pattern.count(b" ") - 1, items))
+    if len(a):
+        a.make_automaton()
+    return a
 
 
 def _runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -94,8 +88,9 @@ def find_windows(text: bytes | None, automaton: ahocorasick.Automaton) -> tuple[
     return len(words), _runs(spans), items
 
 
+@tidy
 def _scan(batches: Iterator[pa.RecordBatch], shared, offsets: bool) -> Iterator[pa.RecordBatch]:
-    automaton = _automaton(shared)
+    automaton = in_worker(shared.id, lambda: _build(shared.value))
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         before = zip(batch.column("runs").to_pylist(), batch.column("items").to_pylist(), strict=True)
@@ -132,9 +127,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, offsets: bool = False, keep_text
     spark = docs.sparkSession
     bounded_batches(spark)
     extra = {k: OWN[k] for k in ("n_words", "runs", "items", "spans")}
-    if clash := extra.keys() & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are the operator's own")
-    out = docs.select("*", *(F.lit(None).cast(t).alias(c) for c, t in extra.items()))
+    out = without(docs, extra).select("*", *(F.lit(None).cast(t).alias(c) for c, t in extra.items()))
     blocks = _blocks(benchmark, block_bytes)
     block = next(blocks)
     for more in itertools.chain(blocks, [None]):
@@ -164,10 +157,8 @@ def with_verdict(scanned: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without its contaminated rows, columns as they were."""
-    if set(docs.columns) & OWN.keys():
-        docs = docs.select(F.struct("*").alias("row"), "text")
-        return with_verdict(scan(docs, benchmark)).where("NOT contaminated").select("row.*")
-    return with_verdict(scan(docs, benchmark)).where("NOT contaminated").drop(*OWN)
+    renamed, back = set_aside(docs, OWN)
+    return back(with_verdict(scan(renamed, benchmark)).where("NOT contaminated").drop(*OWN))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

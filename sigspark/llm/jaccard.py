@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_worker, join_checked, materialize, release_memory, table
+from .common import bounded_batches, in_worker, join_checked, materialize, table, tidy
 from .components import components
 from .shingles import groups_of, rank_in_doc, set_keys, shingle_sets
 
@@ -45,6 +45,8 @@ FREQUENT = 24
 #: Entries of the table of frequent shingles that is sent to the workers; it holds 2 ** FREQUENT_BITS bits.
 MOST_FREQUENT = 500_000
 FREQUENT_BITS = 24
+#: Shingles that a task counts before it sends the counts.
+COUNTED = 1_000_000
 #: Rows up to which the list of candidates is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -57,6 +59,7 @@ def needed(n: np.ndarray) -> np.ndarray:
 # -- frequent shingles ----------------------------------------------------------------
 
 
+@tidy
 def _count_shingles(batches: Iterator[pa.RecordBatch], n_ranges: int) -> Iterator[pa.RecordBatch]:
     """For each range of shingle hashes, the low words met and their counts, as packed arrays."""
 
@@ -78,13 +81,11 @@ def _count_shingles(batches: Iterator[pa.RecordBatch], n_ranges: int) -> Iterato
             _, h, _ = shingle_sets(group)
             held.append((h & np.uint64(0xFFFFFFFF)).astype(np.uint32))
             size += len(h)
-            if size >= 4_000_000:
+            if size >= COUNTED:
                 yield packed(held)
                 held, size = [], 0
     if size:
         yield packed(held)
-    held.clear()
-    release_memory()
 
 
 def mix_range(low: np.ndarray, n_ranges: int) -> np.ndarray:
@@ -145,6 +146,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 SETS_DDL = "doc_id long, n long, key1 long, key2 long, light long, prefix array<long>"
 
 
+@tidy
 def _prefixes(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.RecordBatch]:
     bits, mask = shared.get(), np.uint64((1 << FREQUENT_BITS) - 1)
     for batch in batches:
@@ -162,6 +164,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), pa.array(n), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(light), prefix], names=["doc_id", "n", "key1", "key2", "light", "prefix"])
 
 
+@tidy
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, group in groups_of(batch.column(1).cast(pa.binary()).to_pylist()):
@@ -178,6 +181,7 @@ def _partition(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(batches) if batches else None
 
 
+@tidy
 def _shared_lists(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.RecordBatch]:
     """The rows of shingles that two documents or more have, and whether these are infrequent ones."""
     tab = _partition(batches)
@@ -220,6 +224,7 @@ def _may_link(na, nb, alone_a, alone_b):
     return (PERCENT * np.maximum(na, nb) <= 100 * np.minimum(na, nb)) & ~(known & ((100 + PERCENT) * (alone_a + alone_b) > (100 - PERCENT) * (na + nb)))
 
 
+@tidy
 def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In each list, the pair of each member with the first leader that it may link with.
 
@@ -245,6 +250,7 @@ def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from _pair_batches(left, right)
 
 
+@tidy
 def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In each list, the pairs of different components whose sizes, places and own shingles allow a link."""
     tab = _partition(batches)
@@ -273,6 +279,7 @@ def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _pair_batches(left, right)
 
 
+@tidy
 def _plausible(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.RecordBatch]:
     """Pairs that differ little enough in the part of the order that both prefixes cover.
 
@@ -352,6 +359,7 @@ def linked(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
     return [k for k, both in hits.items() if 100 * both >= PERCENT * (len(query) + len(sets[k]) - both)]
 
 
+@tidy
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by a: its own set first (b null; several where rows share its doc_id), then the sets of its candidates."""
     query_id, queries, ids, sets = None, [], [], []

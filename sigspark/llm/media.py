@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, table
+from .common import bounded_batches, table, tidy
 
 UNIT = 64
 RATE = 8000
@@ -90,6 +90,7 @@ def peak_pairs(peaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return times[order], codes[order]
 
 
+@tidy
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).to_pylist()
@@ -99,6 +100,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []

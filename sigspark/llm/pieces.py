@@ -20,7 +20,8 @@ back by a shuffle), as it does words beyond ``MASK_BITS`` characters.
 
 Cases: null and empty texts have no tokens; characters that no piece has
 become byte tokens; U+2581 itself is read as a space, as by the library; rows
-are kept one by one; an empty table gives no rows; extra columns are kept.
+are kept one by one; an empty table gives no rows; extra columns are kept,
+those named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_worker, materialize, release_memory, table
+from .common import bounded_batches, in_worker, materialize, table, tidy, without
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -142,6 +143,7 @@ def keys_of(text: str) -> list[str]:
     return text.split(" ")
 
 
+@tidy
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
 
@@ -159,8 +161,6 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from out()
             counts.clear()
     yield from out()
-    counts.clear()
-    release_memory()
 
 
 def _bits(at: Column, n: Column) -> Column:
@@ -261,6 +261,7 @@ class _Words(dict):
 REMEMBERED = 400_000
 
 
+@tidy
 def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decode: bool, digest: bool) -> Iterator[pa.RecordBatch]:
     vocab, known = shared.get()
     words = _Words(vocab, known)
@@ -282,8 +283,6 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decod
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32))
             made["token_ids"] = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
         yield pa.RecordBatch.from_arrays([made.get(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
-    words.clear()
-    release_memory()
 
 
 def encode(docs: DataFrame, model: str = MODEL, text: str = "text", decode: bool = True, digest: bool = False) -> DataFrame:
@@ -294,8 +293,7 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", decode: bool
     """
     own = {"n_tokens": "bigint", "n_byte_tokens": "bigint", "ids_sha256": "string"} if digest else {"token_ids": "array<int>"}
     own["round_trip"] = "boolean"
-    if clash := own.keys() & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are the operator's own")
+    docs = without(docs, own)
     bounded_batches(docs.sparkSession)
     vocab = Vocabulary.load(model)
     shared = _Shared(vocab, word_table(docs, vocab, text))
@@ -307,7 +305,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     """tokens(token_ids, ...) with ``decoded``."""
     names = Vocabulary.load(model).names
     shared = tokens.sparkSession.sparkContext.broadcast(names)
-    out = tokens.select("*", F.lit(None).cast("string").alias("decoded"))
+    out = without(tokens, {"decoded"}).select("*", F.lit(None).cast("string").alias("decoded"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, table
+from .common import bounded_batches, materialize, table, tidy
 from .contamination import words_of
 from .shingles import prefix_hashes, word_hashes
 
@@ -72,6 +72,7 @@ def _distinct_words(text: bytes) -> np.ndarray:
     return np.unique(np.concatenate((word_hashes(data)[1], prefix_hashes(data, STEMS))).view(np.int64))
 
 
+@tidy
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = [batch.column(c).to_numpy() for c in HEADS]
@@ -158,6 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(chosen, mean, scale, np.stack(weights, 1))
 
 
+@tidy
 def _evidence(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     model = Model(*shared.value)
     for batch in batches:

@@ -9,7 +9,8 @@ suppressed; base findings never are.
 
 Cases: a null or empty text has no findings; offsets are code points, end
 exclusive; rows are kept one by one, ties and repeats included; an empty table
-gives no rows; extra columns are ignored.
+gives no rows; extra columns are kept, those named like the results are
+replaced.
 """
 
 from __future__ import annotations

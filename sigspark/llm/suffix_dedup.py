@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_WORDS, bounded_batches, materialize, mix64, release_memory, table
+from .common import BYTE_WORDS, bounded_batches, materialize, mix64, table, tidy
 
 LENGTH = 100
 GRAM = 32
@@ -152,6 +152,7 @@ def _earliest(keys: tuple[np.ndarray, ...], doc: np.ndarray, lo: np.ndarray) ->
 RUNS_DDL = "part long, kind long, rank binary, content binary, shape binary, doc binary, lo binary"
 
 
+@tidy
 def _send_runs(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
     """Round 1, sending side: runs packed by part; equal runs of one task are sent once, the others as spans."""
     held: list[tuple[np.ndarray, ...]] = []
@@ -182,8 +183,6 @@ def _send_runs(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.R
             held, size = [], 0
     if size:
         yield flush()
-    held.clear()
-    release_memory()
 
 
 LEFT_DDL = "kind long, doc_id long, place long, lo long, hi long"
@@ -224,6 +223,7 @@ def _digest(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
+@tidy
 def _send_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 2, sending side: bins of at most BIN windows, at fixed distances before the anchor."""
     for batch in batches:
@@ -251,6 +251,7 @@ def _bins(rows: list[tuple]) -> pa.RecordBatch:
 WINDOWS_DDL = "kind long, doc_id long, lo long, hi long, window binary"
 
 
+@tidy
 def _rank_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 2, receiving side: kind 0 are removed spans, kind 1 single windows with their digest."""
     classes: dict[tuple, dict[tuple, tuple[int, int]]] = {}
@@ -286,6 +287,7 @@ def _rank_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+@tidy
 def _cut_out(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -318,6 +320,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return one.where("kind = 0").select("doc_id", "lo", "hi").unionByName(two.where("kind = 0").select("doc_id", "lo", "hi")).unionByName(three.select("doc_id", "lo", "hi"))
 
 
+@tidy
 def _union_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of one task merged by document."""
     held = [tuple(batch.column(c).to_numpy() for c in ("doc_id", "lo", "hi")) for batch in batches]

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fresh_path, materialize, table
+from .common import bounded_batches, fresh_path, materialize, table, tidy
 
 REVISIT_LEAST = 1000
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -77,6 +77,7 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n"  # the writer's line separator is the second CRLF
 
 
+@tidy
 def _write(batches: Iterator[pa.RecordBatch], segment_bytes: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     serial, part = 0, TaskContext.get().partitionId()
     for batch in batches:
@@ -155,6 +156,7 @@ def _page(ident: str) -> int | None:
     return None if number == "None" else int(number)
 
 
+@tidy
 def _parse(batches: Iterator[pa.RecordBatch], with_block: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(0):
@@ -181,6 +183,7 @@ def _parse(batches: Iterator[pa.RecordBatch], with_block: bool) -> Iterator[pa.R
             yield pa.RecordBatch.from_pylist(out, schema=SEGMENT)
 
 
+@tidy
 def _reassemble(batches: Iterator[pa.RecordBatch], with_block: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

@@ -48,9 +48,12 @@ def test_run_equals_brute_force(spark, tmp_path):
 
 
 def test_stages_keep_the_columns(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet").where(F.col("doc_id") < 60)
+    clash = ["runs", "spans", "items", "n_words", "contaminated", "lang_id", "_ll", "_host", "base_spans", "secret_spans", "token_ids", "round_trip", "component_id", "rep", "n", "row", "key1"]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where(F.col("doc_id") < 60).select("*", *(F.lit(c).alias(c) for c in clash))
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, DATA).dtypes == docs.dtypes
+        out = stage(spark, docs, DATA)
+        assert out.dtypes == docs.dtypes and all(r[c] == c for r in out.collect() for c in clash)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).where("round_trip").count() == docs.count()
 
 
 def test_empty(spark):
