@@ -20,6 +20,7 @@ QUERIES = {
 ORACLE = {
     "op1_warc": warc.OP1_SQL,
     "op4_decontamination": contamination.OP4_SQL,
+    "op6_suffix_array_dedup": suffix_dedup.OP6_SQL,
     "op8_chat_formatting": chat.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
     "op10_secret_scans": secrets.OP10_SQL,

@@ -163,11 +163,14 @@ def _send_runs(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.R
         rank, content, shape, doc, lo = (x[order] for x in (rank, content, shape, doc, lo))
         gone = merge_spans(doc[later], lo[later], lo[later] + (shape[later] & 127) + LENGTH)
         rank, content, shape, doc, lo = (x[first] for x in (rank, content, shape, doc, lo))
-        part = (rank >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)  # rank is in order, so part is
+        # anchors have the least ranks of their windows, so the high bits would deal to few parts
+        part = (rank & np.uint64(0xFFFFFFFF)) * np.uint64(n_parts) >> np.uint64(32)
+        order = np.argsort(part, kind="stable")
+        part, rank, content, shape, doc, lo = (x[order] for x in (part, rank, content, shape, doc, lo))
         cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
         rows = [(int(part[a]), 1, rank[a:b].tobytes(), content[a:b].tobytes(), shape[a:b].astype(np.uint16).tobytes(), doc[a:b].tobytes(), lo[a:b].astype(np.uint32).tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         if len(gone[0]):
-            rows.append((int(rank[0] % np.uint64(n_parts)), 0, gone[2].tobytes(), None, None, gone[0].tobytes(), gone[1].tobytes()))
+            rows.append((int(content[0] % np.uint64(n_parts)), 0, gone[2].tobytes(), None, None, gone[0].tobytes(), gone[1].tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), *[pa.binary()] * 5], strict=True)], names=["part", "kind", "rank", "content", "shape", "doc", "lo"])
 
     size = 0
@@ -337,5 +340,19 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     return docs.select("doc_id", "text").join(spans, "doc_id", "left").mapInArrow(lambda b: _cut_out(b, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, s, md5(substr(h, CAST(2 * s + 1 AS INTEGER), 200)) AS k FROM d, unnest(range(0, greatest(n - 99, 0))) t(s)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS place FROM w) x WHERE place > 1),
+g AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (SELECT doc_id, s, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 1 ELSE 0 END AS fresh FROM r) x),
+i AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM g GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM i),
+k AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, CAST(2 * before + 1 AS INTEGER), CAST(2 * (a - before) AS INTEGER)), '' ORDER BY a) AS head, max(b) AS last FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS INTEGER)))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
