@@ -46,7 +46,9 @@ FREQUENT = 24
 MOST_FREQUENT = 500_000
 FREQUENT_BITS = 24
 #: Shingles that a task counts before it sends the counts.
-COUNTED = 1_000_000
+COUNTED = 500_000
+#: Candidates of a query that are searched at a time and sent to one task.
+CANDIDATES = 256
 #: Rows up to which the list of candidates is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -361,20 +363,20 @@ def linked(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
 
 @tidy
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by a: its own set first (b null; several where rows share its doc_id), then the sets of its candidates."""
-    query_id, queries, ids, sets = None, [], [], []
+    """Rows come by a and cut: its own set first (b null; several where rows share its doc_id), then the sets of its candidates."""
+    query, queries, ids, sets = (None, None), [], [], []
 
     def flush() -> pa.RecordBatch:
         good = sorted({ids[k] for q in queries for k in linked(q, sets)}) if sets else []
-        return pa.RecordBatch.from_arrays([pa.array([query_id] * len(good), pa.int64()), pa.array(good, pa.int64())], names=["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array([query[0]] * len(good), pa.int64()), pa.array(good, pa.int64())], names=["u", "v"])
 
     for batch in batches:
-        for a, b, hashes in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "hashes")), strict=True):
-            if a != query_id or len(sets) == 256:
+        for a, cut, b, hashes in zip(*(batch.column(c).to_pylist() for c in ("a", "cut", "b", "hashes")), strict=True):
+            if (a, cut) != query or len(sets) == CANDIDATES:
                 yield flush()
                 ids, sets = [], []
-            if a != query_id:
-                query_id, queries = a, []
+            if (a, cut) != query:
+                query, queries = (a, cut), []
             if b is None:
                 queries.append(np.frombuffer(hashes, np.uint64))
             else:
@@ -384,11 +386,16 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v) of the pairs(a, b) that link; sets(rep, hashes) holds both sides."""
-    candidates = pairs.join(sets, pairs.b == sets.rep).select("a", "b", "hashes")
-    queries = sets.join(pairs.select("a").distinct(), F.col("rep") == F.col("a"), "left_semi").select(F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "hashes")
+    """(u, v) of the pairs(a, b) that link; sets(rep, hashes) holds both sides.
+
+    A query with many candidates is dealt out in cuts, its own set sent to each.
+    """
+    cuts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CANDIDATES).cast("long").alias("cuts"))
+    cut = F.pmod(F.xxhash64("b"), F.col("cuts")).alias("cut")
+    candidates = pairs.join(cuts, "a").select("a", "b", cut).join(sets, F.col("b") == F.col("rep")).select("a", "cut", "b", "hashes")
+    queries = sets.join(cuts, F.col("rep") == F.col("a")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"), F.lit(None).cast("long").alias("b"), "hashes")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = candidates.unionByName(queries).repartition(n, "a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
+    dealt = candidates.unionByName(queries).repartition(n, "a", "cut").sortWithinPartitions("a", "cut", F.col("b").asc_nulls_first())
     return dealt.mapInArrow(_verify, "u long, v long")
 
 

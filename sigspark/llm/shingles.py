@@ -14,7 +14,7 @@ NORMAL = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in r
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _Q = mix64(np.arange(101, 101 + WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

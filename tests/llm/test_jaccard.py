@@ -51,6 +51,7 @@ EDGE = [(1, None, "x"), (2, "", None), (3, " \n", "x"), (4, "one two", "x"), (5,
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_are_exact(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT", 8)
+    monkeypatch.setattr(jaccard, "CANDIDATES", 5)
     rows = corpus(seed) + EDGE
     rows += rows[5:7]
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string, rep string")).collect()
