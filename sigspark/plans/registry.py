@@ -478,7 +478,7 @@ def sample_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT CAST(n AS INTEGER) AS n, kind, CASE kind WHEN 0 THEN 'A-' || lpad(CAST(n - 1 AS VARCHAR), 3, '0') ELSE 'CH' || (n - 1) END AS name FROM (SELECT n, 0 AS kind FROM range(1, 65) r(n) UNION ALL SELECT n, 3 FROM range(1, 17) r(n))")
 def channel_header(spark: SparkSession, sf: str) -> DataFrame:
-    from sigspark.sources.intan import channel_table
+    from sigspark.sources.rhd import channel_table
 
     return channel_table(spark, 64)
 

@@ -12,7 +12,7 @@ from sigspark.functions import columns as C
 from sigspark.operators import events as E
 from sigspark.operators import ordered as O
 from sigspark.operators import signals as S
-from sigspark.sources import dat, header, intan
+from sigspark.sources import dat, header, rhd
 
 LFP_RATE = 1250
 IMU_RATE = 100
@@ -113,7 +113,7 @@ def export(session: Session, spark: SparkSession, folder: str) -> None:
     """Files beside the recording: time.dat, info.rhd, amplifier_cat.lfp; tables as Parquet. What exists is left alone."""
     n = session.combined.count()
     dat.write_index(spark, n, os.path.join(folder, "time.dat"))
-    intan.write_header(os.path.join(folder, "info.rhd"), fs=session.mode["fs"], nch=session.mode["nch"], cl_mode=session.mode["cl_mode"])
+    rhd.write_header(os.path.join(folder, "info.rhd"), fs=session.mode["fs"], nch=session.mode["nch"], cl_mode=session.mode["cl_mode"])
     dat.write_dat(session.combined, os.path.join(folder, "amplifier_cat.lfp"))
     for name in ("lfp", "events", "stimulation", "detected_only", "imu"):
         getattr(session, name).write.mode("ignore").parquet(os.path.join(folder, name))

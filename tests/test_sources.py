@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sigspark.functions import kernels as K
 from sigspark.operators import frames as V
-from sigspark.sources import dat, header, intan, text
+from sigspark.sources import dat, header, rhd, text
 from sigspark.sources import frames as fs
 
 
@@ -95,13 +95,13 @@ def test_header(spark, tmp_path, blocks):
 
 @pytest.mark.parametrize("nch", [4, 64])
 def test_vendor_header(spark, nch):
-    data = intan.header_bytes(20000, nch, 3)
+    data = rhd.header_bytes(20000, nch, 3)
     assert struct.unpack_from("<I2hfh", data) == (0xC6912702, 0, 0, 20000.0, 3)
-    text_bytes = lambda s: len(intan.q_string(s))
-    rows = intan.channel_table(spark, nch).collect()
+    text_bytes = lambda s: len(rhd.q_string(s))
+    rows = rhd.channel_table(spark, nch).collect()
     assert len(rows) == nch + nch // 4
     assert len(data) == 8 + 30 + 10 + 12 + 2 + sum(text_bytes(s) for s in ("Port A", "A", "ADC", "ADC")) + 12 + sum(2 * text_bytes(r.name) + 28 for r in rows)
-    assert intan.q_string("") == b"\0\0\0\0" and intan.q_string("A") == b"\2\0\0\0A\0"
+    assert rhd.q_string("") == b"\0\0\0\0" and rhd.q_string("A") == b"\2\0\0\0A\0"
 
 
 def test_metadata(spark, tmp_path):
