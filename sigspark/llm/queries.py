@@ -17,6 +17,9 @@ QUERIES = {
     "op10_secret_scans": secrets.op10_secret_scans,
 }
 
+#: Further queries of an operator, over the table that has the rest of its evidence.
+MORE = {"op7_language_id_pages": language.op7_language_id_pages}
+
 ORACLE = {
     "op1_warc": warc.OP1_SQL,
     "op4_decontamination": contamination.OP4_SQL,
