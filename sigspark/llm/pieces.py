@@ -242,17 +242,15 @@ class _Shared:
 
 
 class _Words(dict):
-    """Ids of words by key: the shared table's, or folded here; ``bad`` are keys whose ids do not decode to the word."""
+    """Ids of words by key: the shared table's, or folded here."""
 
     def __init__(self, vocab: Vocabulary, known: dict[str, bytes]):
-        self.vocab, self.known, self.bad = vocab, known, set()
+        self.vocab, self.known = vocab, known
 
     def __missing__(self, key: str) -> bytes:
         got = self.known.get(key)
         if got is None:
             got = array("i", self.vocab.encode_word(SPACE + key)).tobytes()
-        if self.vocab.decode(array("i", got)) != (SPACE + key).replace(SPACE, " ").encode():
-            self.bad.add(key)
         self[key] = got
         return got
 
@@ -271,7 +269,7 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decod
         for t in batch.column(text).to_pylist():
             keys = keys_of(t) if t else []
             ids.append(np.frombuffer(b"".join([words[k] for k in keys]), np.int32))
-            same.append(SPACE not in (t or "") and (not words.bad or words.bad.isdisjoint(keys)) if decode else None)
+            same.append(vocab.decode(ids[-1].tolist())[1:] == (t or "").encode() if decode else None)
             if len(words) > REMEMBERED:
                 words.clear()
         made = {"round_trip": pa.array(same, pa.bool_())}

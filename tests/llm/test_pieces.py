@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -61,3 +62,23 @@ def test_digest(spark, library):
 
 def test_empty(spark):
     assert pieces.encode(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_round_trip_decodes_the_ids_of_the_document(monkeypatch):
+    """Words that encode well but are lost, swapped or joined wrongly do not give the text back."""
+
+    class Shared:
+        vocab = pieces.Vocabulary.load()
+
+        def get(self):
+            return self.vocab, {}
+
+    texts = [None, "", "one", "one two two three", "a  b ", f"x{pieces.SPACE}y", "one one"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.nulls(len(texts), pa.list_(pa.int32())), pa.nulls(len(texts), pa.bool_())], names=["text", "token_ids", "round_trip"])
+    run = lambda: [r for b in pieces._encode(iter([batch]), Shared(), "text", True, False) for r in b.column("round_trip").to_pylist()]
+    keys_of = pieces.keys_of
+    assert run() == [True, True, True, True, True, False, True]
+    monkeypatch.setattr(pieces, "keys_of", lambda t: keys_of(t)[:-1])
+    assert run() == [True, True, False, False, False, False, False]
+    monkeypatch.setattr(pieces, "keys_of", lambda t: keys_of(t)[::-1])
+    assert run() == [True, True, True, False, False, False, True]
