@@ -45,7 +45,11 @@ def from_text(lines: DataFrame, value: str = "value", keep: list[str] | None = N
     return out.select(*keep, "time", "description", part(1).alias("kind"), part(2).alias("phase"), part(3).cast("int").alias("channel"))
 
 
-def after_last(events: DataFrame, others: DataFrame, time: str) -> DataFrame:
-    """Events not before the last of the others; one number is broadcast."""
+def after_last(events: DataFrame, others: DataFrame, time: str, keys: list[str] | None = None) -> DataFrame:
+    """Events not before the last of the others; one number is broadcast, or with keys one a key is joined."""
+    if keys:
+        last = others.groupBy(*keys).agg(F.max(time).alias("_last"))
+        joined = events.join(last, keys, "left").where(F.col("_last").isNull() | (F.col(time) >= F.col("_last")))
+        return joined.select(*events.columns)
     last = others.agg(F.max(time).alias("_last"))
     return events.join(F.broadcast(last), F.col("_last").isNull() | (F.col(time) >= F.col("_last"))).drop("_last")

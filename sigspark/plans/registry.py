@@ -192,6 +192,12 @@ def stim_ready(spark: SparkSession, sf: str) -> DataFrame:
     return E.after_last(e.where("event_type = 'click'").drop("event_type"), e.where("event_type = 'view' AND event_id < 500"), "event_id")
 
 
+@query("SELECT e.event_id, e.user_id FROM events e LEFT JOIN (SELECT user_id, max(event_id) AS last FROM events WHERE event_type = 'view' GROUP BY user_id) v ON e.user_id = v.user_id WHERE e.event_type = 'click' AND (v.last IS NULL OR e.event_id >= v.last)")
+def stim_ready_by_user(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events").select("event_id", "user_id", "event_type")
+    return E.after_last(e.where("event_type = 'click'").drop("event_type"), e.where("event_type = 'view'"), "event_id", USER)
+
+
 @query(f"WITH {CLICKS} SELECT user_id, event_id, t_ms - lag(t_ms, 1, 0) OVER (PARTITION BY user_id ORDER BY t_ms) AS step FROM c")
 def first_difference(spark: SparkSession, sf: str) -> DataFrame:
     return O.first_difference(clicks(spark, sf), USER, ["t_ms"], "t_ms").select("user_id", "event_id", "step")

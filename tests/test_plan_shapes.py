@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,3 +48,15 @@ def test_byte_ranges_are_pruned(spark, tmp_path):
     path = make(f"{tmp_path}/s/a.dat", range(1000))
     df = dat.read_dat(spark, path, 1, frames_per_partition=10).where("sample_idx BETWEEN 105 AND 114")
     assert df.rdd.getNumPartitions() == 1 and df.count() == 10
+
+
+def test_last_response_is_sought_over_all_ids(spark, tmp_path):
+    rows = [(i, "ab"[i % 2], "view" if i in (10, 700, 801) else "click") for i in range(900)] + [(9, "c", "click"), (20, None, "click")]
+    spark.createDataFrame(rows, "event_id long, user_id string, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    got = registry.QUERIES["stim_ready_by_user"](spark, str(tmp_path)).collect()
+    last = {"a": 700, "b": 801}
+    want = [(i, u) for i, u, kind in rows if kind == "click" and i >= last.get(u, 0)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(map(str, con.execute(registry.ORACLE["stim_ready_by_user"]).fetchall())) == sorted(map(str, want))
