@@ -81,11 +81,21 @@ def format_chat(conversations: DataFrame) -> DataFrame:
     return out.select("conv_id", "formatted", "escaped", runs.alias("loss_runs"))
 
 
+def loss_text(formatted: Column, runs: Column) -> Column:
+    """What the loss mask covers of a formatted conversation, unescaped."""
+    escaped = formatted.startswith("~")
+    size = lambda r: r["before"] + r["text"] + r["after"]
+    none = F.array().cast("array<int>")
+    ends = F.aggregate(runs, none, lambda s, r: F.concat(s, F.array(F.coalesce(F.element_at(F.when(F.size(s) > 0, s), -1), F.when(escaped, 1).otherwise(0)) + size(r))))
+    covered = F.filter(F.arrays_zip(runs.alias("r"), ends.alias("end")), lambda z: z["r"]["in_loss"])
+    cut = F.transform(covered, lambda z: F.substr(formatted, z["end"] - z["r"]["after"] - z["r"]["text"] + 1, z["r"]["text"]))
+    return F.array_join(F.when(escaped, F.transform(cut, unescape)).otherwise(cut), "")
+
+
 def read_chat(formatted: DataFrame) -> DataFrame:
-    """(conv_id, turns, loss_text) recovered from ``formatted`` alone."""
+    """(conv_id, formatted, turns, loss_text): turns recovered from ``formatted`` alone, loss_text cut from it by ``loss_runs``."""
     out = formatted.withColumn("turns", parse_turns(F.col("formatted")))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
-    return out.select("conv_id", "formatted", "turns", loss.alias("loss_text"))
+    return out.select("conv_id", "formatted", "turns", loss_text(F.col("formatted"), F.col("loss_runs")).alias("loss_text"))
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sigspark.llm import chat, secrets
 
@@ -107,3 +108,16 @@ def test_digest_form(spark, tmp_path):
     spark.createDataFrame([(7, "token=abcdefghijklmnop")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     r = secrets.op10_secret_scans(spark, str(tmp_path)).first()
     assert (r.n_assign, r.base_sha256) == (1, hashlib.sha256(b"assign:0:22").hexdigest())
+
+
+def test_loss_text_is_what_the_mask_covers(spark):
+    """A mask that covers the user's turn, or is off by two characters, shows in the result."""
+    rows = [(1, 0, "user", "hi é😀"), (1, 1, "assistant", "yes ~ [ok]"), (1, 2, "assistant", ""), (2, 0, "user", "a </s> ~<["), (2, 1, "assistant", "b</s>[INST] ~t"), (3, 0, "user", "alone")]
+    made = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    read = lambda df: {r.conv_id: r.loss_text for r in chat.read_chat(df).collect()}
+    assert read(made) == {1: "yes ~ [ok]", 2: "b</s>[INST] ~t", 3: ""}
+    field = lambda f: made.withColumn("loss_runs", F.transform("loss_runs", f))
+    other = field(lambda r: r.withField("in_loss", ~r["in_loss"]))
+    assert read(other) == {1: "hi é😀", 2: "a </s> ~<[", 3: "alone"}
+    late = field(lambda r: r.withField("before", r["before"] + 2).withField("after", r["after"] - 2)).where("conv_id = 1")
+    assert read(late) == {1: "s ~ [ok] ["}
