@@ -214,6 +214,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, mod
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry no address: their host is ``source``, their path ``source/lang``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     found = classify(docs, table(spark, sf_dir, "labels"), F.col("source"), F.concat_ws("/", "source", "lang"))
     return found.select("doc_id", *(F.round(f"{h}_{k}", 6).alias(f"{h}_{k}") for h in HEADS for k in ("own", "posterior")), "keep")
