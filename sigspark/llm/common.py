@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: dict[str, str] = {}
@@ -23,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where it is unset and all runs in one process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/sigspark"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="sigspark-")
@@ -51,13 +53,36 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+#: Bytes that a task is to hold of a shuffle, and that a table may have to be broadcast.
+PART_BYTES = 64 << 20
+BROADCAST_BYTES = 48 << 20
+
+
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+def parts_for(spark: SparkSession, n_bytes: int) -> int:
+    """Partitions for a shuffle of so many bytes: the session's number, or more to keep each at PART_BYTES."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PART_BYTES))
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about."""
+    of = {"string": F.octet_length, "binary": F.octet_length}
+    sizes = [of[t](c) if t in of else 8 * F.size(c) if t.startswith("array") else F.lit(8) for c, t in df.dtypes]
+    return sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(8))
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Whether df has at most max_rows rows; reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether df has at most max_rows rows and BROADCAST_BYTES bytes; reads no more than one row beyond."""
+    n, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(_width(df))).first()
+    return n <= max_rows and (size or 0) <= BROADCAST_BYTES
 
 
 def join_checked(left: DataFrame, right: DataFrame, on, how: str, max_rows: int) -> DataFrame:
-    """Join that broadcasts ``right`` only after counting that it is small, else shuffles."""
+    """Join that broadcasts ``right`` only after measuring that it is small, else shuffles."""
     if small_enough(right, max_rows):
         right = F.broadcast(right)
     return left.join(right, on, how)

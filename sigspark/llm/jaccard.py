@@ -16,10 +16,14 @@ that bound is exact. Each query then gets its candidates' full sets:
 short lists are merged by a heap, long ones probed by binary search
 (DivideSkip), and a last count decides exactly.
 
+Shingles are 64-bit hashes of words that are hashed modulo primes. There are
+two independent kinds: the first finds candidates, sets are one class only if
+both agree, and the last count is by the second.
+
 Cases: null, empty and blank texts have the empty set and are linked with
 nothing; fewer than five words are one shingle; repeated rows are kept, rows
-that share a doc_id count as one document when links are followed; a row with
-null doc_id gets the component of an equal set, else null; an empty table
+that share a doc_id count as one document when links are followed, whatever
+their texts; a row with null doc_id gets the component of an equal set, else null; an empty table
 gives no rows; extra columns are ignored.
 """
 
@@ -34,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_worker, join_checked, materialize, table, tidy
+from .common import bounded_batches, in_worker, join_checked, materialize, parts_for, table, text_bytes, tidy
 from .components import components
-from .shingles import groups_of, rank_in_doc, set_keys, shingle_sets
+from .shingles import groups_of, rank_in_doc, set_key, shingle_sets
 
 #: Similarity as a ratio of integers, 100 * intersection >= 80 * union.
 PERCENT = 80
@@ -110,9 +114,10 @@ def _sum_counts(tab: pa.Table) -> pa.Table:
 def frequent_bits(docs: DataFrame) -> np.ndarray:
     """Bit table of the low hash words of the most frequent shingles, counted over all documents."""
     spark = docs.sparkSession
-    n_ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # about a shingle a word, four bytes each
+    n_ranges = parts_for(spark, text_bytes(docs))
     counts = docs.select("text").mapInArrow(lambda b: _count_shingles(b, n_ranges), "part long, once binary, many binary, counts binary")
-    found = materialize(counts.groupBy("part").applyInArrow(_sum_counts, "low long, n long"), "frequent")
+    found = materialize(counts.repartition(n_ranges, "part").groupBy("part").applyInArrow(_sum_counts, "low long, n long"), "frequent")
     by_size = found.groupBy(F.floor(F.log2("n")).alias("k")).count().orderBy(F.desc("k")).collect()  # a row for each power of two
     least, held = 0, 0
     for row in by_size:
@@ -153,8 +158,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.R
     bits, mask = shared.get(), np.uint64((1 << FREQUENT_BITS) - 1)
     for batch in batches:
         for at, group in groups_of(batch.column(1).cast(pa.binary()).to_pylist()):
-            doc, h, n = shingle_sets(group)
-            key1, key2 = set_keys(doc, h, len(group))
+            doc, h, n, g = shingle_sets(group, (0, 1))
+            key1, key2 = set_key(doc, h, len(group)), set_key(doc, g, len(group))
             late = bits[h & mask]
             order = np.lexsort((h, late, doc))
             doc, h = doc[order], h[order]
@@ -170,7 +175,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared: _Bits) -> Iterator[pa.R
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, group in groups_of(batch.column(1).cast(pa.binary()).to_pylist()):
-            doc, h, n = shingle_sets(group)
+            doc, h, n = shingle_sets(group, (1,))
             cuts = np.concatenate(([0], np.cumsum(n)))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), pa.array([h[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["rep", "hashes"])
 
@@ -401,49 +406,98 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 # -- the join ---------------------------------------------------------------------------
 
-
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    bounded_batches(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = _Bits(spark, frequent_bits(docs))
-    sets = materialize(docs.mapInArrow(lambda b: _prefixes(b, bits), SETS_DDL), "prefixes")
-    classes = sets.where("n > 0").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("light").alias("light"), F.any_value("prefix").alias("prefix"))
-    classes = materialize(classes, "classes")
-    tokens = classes.where("rep IS NOT NULL").select("rep", "n", "light", F.posexplode("prefix").alias("pos", "token"))
-    lists = tokens.select("token", "rep", "n", "light", F.col("pos").cast("long").alias("pos")).repartition(n_parts, "token")
-    lists = materialize(lists.mapInArrow(lambda b: _shared_lists(b, bits), "token long, rep long, n long, light long, pos long, is_light long"), "lists")
-    alone = F.when(F.col("light") < 0, -1).otherwise(F.col("light") - F.sum("is_light"))
-    known = materialize(lists.groupBy("rep", "n", "light").agg(alone.alias("alone")), "alone")
-    lists = join_checked(lists.drop("is_light"), known, ["rep", "n", "light"], "inner", BROADCAST_ROWS).select("token", "rep", "n", "pos", "alone")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
+#: Bytes of a row of the lists of documents by shingle.
+LIST_BYTES = 48
+
+
+class _Search:
+    """Classes of equal sets, their lists, and the search for links between classes."""
+
+    def __init__(self, docs: DataFrame):
+        spark = docs.sparkSession
+        self.docs = docs.select("doc_id", "text")
+        bounded_batches(spark)
+        self.bits = bits = _Bits(spark, frequent_bits(self.docs))
+        self.sets = materialize(self.docs.mapInArrow(lambda b: _prefixes(b, bits), SETS_DDL), "prefixes")
+        classes = self.sets.where("n > 0").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("light").alias("light"), F.any_value("prefix").alias("prefix"))
+        self.classes = materialize(classes, "classes")
+        listed = self.classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+        self.n_parts = n_parts = parts_for(spark, listed * LIST_BYTES)
+        tokens = self.classes.where("rep IS NOT NULL").select("rep", "n", "light", F.posexplode("prefix").alias("pos", "token"))
+        lists = tokens.select("token", "rep", "n", "light", F.col("pos").cast("long").alias("pos")).repartition(n_parts, "token")
+        lists = materialize(lists.mapInArrow(lambda b: _shared_lists(b, bits), "token long, rep long, n long, light long, pos long, is_light long"), "lists")
+        alone = F.when(F.col("light") < 0, -1).otherwise(F.col("light") - F.sum("is_light"))
+        known = materialize(lists.groupBy("rep", "n", "light").agg(alone.alias("alone")), "alone")
+        self.lists = join_checked(lists.drop("is_light"), known, ["rep", "n", "light"], "inner", BROADCAST_ROWS).select("token", "rep", "n", "pos", "alone")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link: first what the prefixes allow, then by full sets, made for what is left."""
+        bits = self.bits
         met = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        prefixes = join_checked(classes.select("rep", "n", "prefix"), met, "rep", "left_semi", BROADCAST_ROWS)
+        prefixes = join_checked(self.classes.select("rep", "n", "prefix"), met, "rep", "left_semi", BROADCAST_ROWS)
         sided = pairs.join(prefixes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("left")), "a")
         sided = sided.join(prefixes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("right")), "b")
         likely = materialize(sided.select("a", "b", "na", "nb", "left", "right").mapInArrow(lambda b: _plausible(b, bits), "a long, b long").distinct(), "likely")
         ends = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        full = join_checked(docs, ends, "doc_id", "left_semi", BROADCAST_ROWS)
+        full = join_checked(self.docs, ends, "doc_id", "left_semi", BROADCAST_ROWS)
         full = materialize(full.mapInArrow(_full_sets, "rep long, hashes binary").where("length(hashes) > 0"), "sets")
         return materialize(verify(likely, full), "links")
 
-    first = lists.repartition(n_parts, "token").mapInArrow(_leader_pairs, "a long, b long").distinct().where("a <> b")
-    first = materialize(first, "pairs")
-    links = confirmed(first)
-    comp = components(links)
-    labelled = join_checked(lists, comp.withColumnRenamed("node", "rep"), "rep", "left", BROADCAST_ROWS).select("token", "rep", "n", "pos", "alone", F.coalesce("component", "rep").alias("comp"))
-    rest = labelled.repartition(n_parts, "token").mapInArrow(_other_pairs, "a long, b long").distinct().where("a <> b")
-    rest = materialize(rest.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = confirmed(rest)
-    comp = materialize(components(links.unionByName(more)), "components")
-
-    named = classes.select("key1", "key2", "n", "rep").join(comp, F.col("rep") == F.col("node"), "left").select("key1", "key2", "n", F.coalesce("component", "rep").alias("component_id"))
-    out = sets.select("doc_id", "key1", "key2", "n").join(named, ["key1", "key2", "n"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    def shared_ids(self) -> DataFrame:
+        """(u, v): each doc_id that rows of different sets share, with the representatives of their classes."""
+        own = self.sets.where("n > 0 AND doc_id IS NOT NULL")
+        several = own.groupBy("doc_id").agg(F.min("key1").alias("least"), F.max("key1").alias("most")).where("least <> most").select("doc_id")
+        several = materialize(several, "shared-ids")
+        rows = join_checked(own.select("doc_id", "key1", "key2", "n"), several, "doc_id", "left_semi", BROADCAST_ROWS).distinct()
+        return rows.join(self.classes.select("key1", "key2", "n", "rep"), ["key1", "key2", "n"]).select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).where("u <> v").distinct()
+
+    def with_leaders(self) -> tuple[DataFrame, DataFrame]:
+        """Pairs of members of a list with its leaders, and those of them that link."""
+        pairs = self.lists.repartition(self.n_parts, "token").mapInArrow(_leader_pairs, "a long, b long").distinct().where("a <> b")
+        pairs = materialize(pairs, "pairs")
+        return pairs, self.confirmed(pairs)
+
+    def others(self, done: DataFrame, group: DataFrame | None) -> DataFrame:
+        """Further links: pairs of a list that are not done, of different groups(rep, comp) if given."""
+        lists = self.lists.withColumn("comp", F.col("rep"))
+        if group is not None:
+            lists = join_checked(self.lists, group, "rep", "left", BROADCAST_ROWS).withColumn("comp", F.coalesce("comp", "rep"))
+        rest = lists.select("token", "rep", "n", "pos", "alone", "comp").repartition(self.n_parts, "token").mapInArrow(_other_pairs, "a long, b long").distinct().where("a <> b")
+        return self.confirmed(materialize(rest.join(done, ["a", "b"], "left_anti"), "pairs"))
+
+    def rows(self, of_class: DataFrame) -> DataFrame:
+        """(doc_id, n_shingles, and the other columns of of_class(rep, ...)) for each row; null without shingles."""
+        named = self.classes.select("key1", "key2", "n", "rep").join(of_class, "rep", "left")
+        out = self.sets.select("doc_id", "key1", "key2", "n").join(named, ["key1", "key2", "n"], "left")
+        return out.drop("key1", "key2").withColumnRenamed("n", "n_shingles")
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
+    search = _Search(docs)
+    same = materialize(search.shared_ids(), "links")
+    pairs, links = search.with_leaders()
+    links = links.unionByName(same)
+    group = components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    links = links.unionByName(search.others(pairs, group))
+    group = materialize(components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp")), "components")
+    out = search.rows(group)
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "rep")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, (u, v) with u < v by class representative, and (doc_id, n_shingles, rep, n_links) for each row.
+
+    n_links counts the classes that the row's class links with; rows of one
+    class are equal and not listed as pairs. Near copies of one text are
+    compared pair by pair here, as each pair may be a link to report.
+    """
+    search = _Search(docs)
+    pairs, links = search.with_leaders()
+    links = links.unionByName(search.others(pairs, None))
+    links = materialize(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct(), "links")
+    counts = links.select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    return links, search.rows(counts).select("doc_id", "n_shingles", "rep", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 OP9_SQL = """

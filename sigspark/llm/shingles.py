@@ -1,82 +1,117 @@
-"""Word and shingle hashes of whole texts, vectorised over batches of documents."""
+"""Word and shingle hashes of whole texts, vectorised over batches of documents.
+
+There are two independent kinds of hash, 64 bits each: candidates are found by
+kind 0, equality and similarity are decided by kind 1 or by both.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 
-from .common import BYTE_WORDS, mix64
+from .common import mix64
 
 WIDTH = 5
 #: A-Z lower-cased; the six separators become a space.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
-_P = 0x9E3779B97F4A7C15
-_P_INVERSE = pow(_P, -1, 1 << 64)
-_Q = mix64(np.arange(101, 101 + WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
-BLOCK = 1 << 19
+#: Two primes below 2**32 and two bases for each of two independent word hashes, drawn by rule.
+_PRIMES = (4294967291, 4294967279)
+_BASES = tuple(tuple(int(x) % (p - 65_536) + 65_536 for x, p in zip(mix64(np.arange(seed, seed + 2, dtype=np.uint64)), _PRIMES, strict=True)) for seed in (1001, 2001))
+_Q = tuple(mix64(np.arange(seed, seed + WIDTH + 1, dtype=np.uint64)) | np.uint64(1) for seed in (101, 201))
+BLOCK = 1 << 18
+#: Longer words are hashed one by one, so that a block with the word at its end stays below _REACH bytes; at least 2 * BLOCK.
+LONG_WORD = 1 << 19
+_REACH = 1 << 20
+
+_powers: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _power_table(base: int, prime: int) -> np.ndarray:
+    """Powers of base modulo prime, 0 to _REACH, by doubling."""
+    if (base, prime) not in _powers:
+        out = np.ones(_REACH + 1, np.uint64)
+        size = 1
+        while size < len(out):
+            step = out[: min(size, len(out) - size)] * np.uint64(pow(base, size, prime)) % np.uint64(prime)
+            out[size : size + len(step)] = step
+            size += len(step)
+        _powers[base, prime] = out
+    return _powers[base, prime]
+
+
+def _edges(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    space = np.concatenate(([True], a == 32, [True]))
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    return edge[::2], edge[1::2]
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
+class _Sums:
+    """Hashes of stretches of a block: polynomials of their bytes modulo two primes.
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        n = max(n, BLOCK)
-        for k, base in enumerate((_P, _P_INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0], _powers[1]
+    The sums of a block stay below 2**61, so nothing wraps around; a hash
+    modulo a power of two would collide for structured words whatever its base.
+    """
 
+    def __init__(self, a: np.ndarray, kind: int):
+        digits = a.astype(np.uint64) + np.uint64(1)
+        self.tables = [_power_table(b, p) for b, p in zip(_BASES[kind], _PRIMES, strict=True)]
+        self.totals = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(digits * t[: len(a)]))) for t in self.tables]
 
-def _block_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    a = np.frombuffer(data, np.uint8)
-    space = np.concatenate(([True], a == 32, [True]))
-    edge = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = edge[::2], edge[1::2]
-    up, down = _power_tables(len(a) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_WORDS[a] * up[: len(a)])))
-    return starts, mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        low, high = ((total[ends] - total[starts]) % np.uint64(p) * table[_REACH - starts] % np.uint64(p) for total, table, p in zip(self.totals, self.tables, _PRIMES, strict=True))
+        return mix64((high << np.uint64(32)) | low)
 
 
-def _block_prefixes(data: bytes, lengths: tuple[int, ...]) -> np.ndarray:
-    a = np.frombuffer(data, np.uint8)
-    space = np.concatenate(([True], a == 32, [True]))
-    edge = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = edge[::2], edge[1::2]
-    up, down = _power_tables(len(a) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_WORDS[a] * up[: len(a)])))
-    out = []
-    for n in lengths:
-        at = starts[ends - starts > n]
-        out.append(mix64(((total[at + n] - total[at]) * down[at]) ^ np.uint64(0x5851F42D4C957F2D * n & (1 << 64) - 1)))
-    return np.concatenate(out)
+def _long_hash(word: bytes, kind: int) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=bytes([kind])).digest(), "little")
 
 
-def prefix_hashes(data: bytes, lengths: tuple[int, ...]) -> np.ndarray:
-    """Hashes of the first bytes of each longer word, for each of the lengths."""
-    out, at = [np.zeros(0, np.uint64)], 0
+def _blocks(data: bytes) -> Iterator[tuple[int, int, bool]]:
+    """Start and end of consecutive blocks cut at spaces, and whether a block is one long word."""
+    at = 0
     while at < len(data):
-        end = data.find(b" ", at + BLOCK)
-        end = len(data) if end < 0 else end
-        out.append(_block_prefixes(data[at:end], lengths))
+        if len(data) - at <= 2 * BLOCK:
+            end = len(data)
+        else:
+            end = data.find(b" ", at + BLOCK)
+            end = len(data) if end < 0 else end
+        if end - at > BLOCK:
+            first = data.rfind(b" ", at, at + BLOCK) + 1 or at
+            if end - first > LONG_WORD:
+                if first > at:
+                    yield at, first, False
+                yield first, end, True
+                at = end
+                continue
+        yield at, end, False
         at = end
+
+
+def prefix_hashes(data: bytes, lengths: tuple[int, ...]) -> np.ndarray:
+    """Hashes of the first bytes of each longer word, for each of the lengths."""
+    out = [np.zeros(0, np.uint64)]
+    for at, end, alone in _blocks(data):
+        a = np.frombuffer(data, np.uint8, (at + max(lengths) + 1 if alone else end) - at, at)
+        hashed, (starts, ends) = _Sums(a, 0), _edges(a)
+        for n in lengths:
+            long = starts[ends - starts > n]
+            out.append(mix64(hashed(long, long + n) ^ np.uint64(0x5851F42D4C957F2D * n & (1 << 64) - 1)))
     return np.concatenate(out)
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start byte and hash of each word of normalised data; long data go block by block, cut at spaces."""
-    if len(data) <= 2 * BLOCK:
-        return _block_words(data)
-    starts, hashes, at = [], [], 0
-    while at < len(data):
-        end = data.find(b" ", at + BLOCK)
-        end = len(data) if end < 0 else end
-        s, h = _block_words(data[at:end])
-        starts.append(s + at)
-        hashes.append(h)
-        at = end
-    return np.concatenate(starts), np.concatenate(hashes)
+def word_hashes(data: bytes, kinds: tuple[int, ...] = (0,)) -> tuple[np.ndarray, ...]:
+    """Start byte of each word of normalised data, and its hash of each of the kinds."""
+    parts: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in kinds))]
+    for at, end, alone in _blocks(data):
+        if alone:
+            parts.append((np.array([at], np.int64), *(np.array([_long_hash(data[at:end], k)], np.uint64) for k in kinds)))
+            continue
+        a = np.frombuffer(data, np.uint8, end - at, at)
+        starts, ends = _edges(a)
+        parts.append((starts + at, *(_Sums(a, k)(starts, ends) for k in kinds)))
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
 def groups_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
@@ -92,52 +127,50 @@ def groups_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield at, group
 
 
-def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document number and hash of each distinct shingle, sorted by both, and set sizes; fewer than WIDTH words make one shingle."""
+def _shingles(words: np.ndarray, kind: int, whole: np.ndarray, short: np.ndarray, first: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of WIDTH words that begin where ``whole`` is true, then of the short texts."""
+    q = _Q[kind]
+    s = np.zeros(len(whole), np.uint64)
+    for j in range(WIDTH):
+        s += words[j : j + len(whole)] * q[j]
+    t = q[WIDTH] * n_words[short].astype(np.uint64)
+    for j in range(WIDTH - 1):
+        has = n_words[short] > j
+        t[has] += words[first[short[has]] + j] * q[j]
+    return mix64(np.concatenate((s[whole], t)))
+
+
+def shingle_sets(texts: list[bytes], kinds: tuple[int, ...] = (0,)) -> tuple[np.ndarray, ...]:
+    """Document number and hash of each distinct shingle, sorted by both, then set sizes, then its hashes of any further kind.
+
+    Fewer than WIDTH words make one shingle.
+    """
     lengths = np.array([len(t) for t in texts], np.int64) + 1
     doc_start = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)[:-1]))
-    starts, words = word_hashes(b" ".join(texts))
+    starts, *words = word_hashes(b" ".join(texts), kinds)
     doc = np.searchsorted(doc_start, starts, "right") - 1
     n_words = np.bincount(doc, minlength=len(texts))
     first = np.concatenate((np.zeros(1, np.int64), np.cumsum(n_words)[:-1]))
-    n = len(words) - WIDTH + 1
-    parts_doc, parts_hash = [], []
-    if n > 0:
-        s = np.zeros(n, np.uint64)
-        for j in range(WIDTH):
-            s += words[j : j + n] * _Q[j]
-        whole = doc[:n] == doc[WIDTH - 1 :]
-        parts_doc.append(doc[:n][whole])
-        parts_hash.append(mix64(s[whole]))
+    n = max(0, len(starts) - WIDTH + 1)
+    whole = doc[:n] == doc[len(doc) - n :]
     short = np.flatnonzero((n_words > 0) & (n_words < WIDTH))
-    if len(short):
-        s = _Q[WIDTH] * n_words[short].astype(np.uint64)
-        for j in range(WIDTH - 1):
-            has = n_words[short] > j
-            s[has] += words[first[short[has]] + j] * _Q[j]
-        parts_doc.append(short)
-        parts_hash.append(mix64(s))
-    if not parts_doc:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    d, h = np.concatenate(parts_doc), np.concatenate(parts_hash)
+    d = np.concatenate((doc[:n][whole], short))
+    h, *more = (_shingles(w, k, whole, short, first, n_words) for w, k in zip(words, kinds, strict=True))
     order = np.lexsort((h, d))
     d, h = d[order], h[order]
     fresh = np.ones(len(d), bool)
     fresh[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1])
     d, h = d[fresh], h[fresh]
-    return d, h, np.bincount(d, minlength=len(texts))
-
-
-def set_keys(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit keys of each document's set; equal sets have equal keys."""
-    keys = []
-    for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
-        total = np.zeros(n_docs, np.uint64)
-        if len(doc):
-            at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-            total[doc[at]] = np.add.reduceat(mix64(hashes ^ np.uint64(salt)), at)
-        keys.append(total)
-    return keys[0], keys[1]
+    return d, h, np.bincount(d, minlength=len(texts)), *(g[order][fresh] for g in more)
+
+
+def set_key(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> np.ndarray:
+    """A 64-bit key of each document's set; equal sets have equal keys."""
+    total = np.zeros(n_docs, np.uint64)
+    if len(doc):
+        at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+        total[doc[at]] = np.add.reduceat(mix64(hashes ^ np.uint64(0x243F6A8885A308D3)), at)
+    return total
 
 
 def rank_in_doc(doc: np.ndarray) -> np.ndarray:
