@@ -9,8 +9,9 @@ no ``<`` or ``[``, so the second rendering always parses back.
 Escapes (fixed values): ``~`` -> ``~t``, ``<`` -> ``~l``, ``[`` -> ``~b``.
 
 Cases: null text or role is the empty string; turns are ordered by turn (null
-first), ties by role then text, and repeated rows are kept; a null conv_id is
-a conversation of its own; an empty table gives no rows; extra columns are
+first), ties by role then text, and repeated rows are kept; rows with
+a null conv_id are one conversation; a conversation is one row and must fit a
+task, offsets in it come from running sums, however long it is; an empty table gives no rows; extra columns are
 ignored.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrays import cut, running_sum
 from .common import table
 
 LOSS_ROLE = "assistant"
@@ -68,7 +70,9 @@ def format_chat(conversations: DataFrame) -> DataFrame:
     same = raw.withColumn("escaped", ~F.coalesce(parse_turns(F.col("raw")) == F.col("t"), F.lit(False)))
     safe = F.transform("t", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
     out = same.withColumn("u", F.when(F.col("escaped"), safe).otherwise(F.col("t")))
-    out = out.withColumn("formatted", F.when(F.col("escaped"), F.concat(F.lit("~"), _render(F.col("u")))).otherwise(F.col("raw")))
+    out = out.withColumn("safe", F.when(F.col("escaped"), F.concat(F.lit("~"), _render(F.col("u")))))
+    broken = F.raise_error(F.concat(F.lit("the escaped form does not parse back, conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    out = out.withColumn("formatted", F.when(~F.col("escaped"), F.col("raw")).when(parse_turns(F.col("safe")) == F.col("t"), F.col("safe")).otherwise(broken))
     runs = F.transform(
         F.arrays_zip("t", "u"),
         lambda z: F.struct(
@@ -84,12 +88,12 @@ def format_chat(conversations: DataFrame) -> DataFrame:
 def loss_text(formatted: Column, runs: Column) -> Column:
     """What the loss mask covers of a formatted conversation, unescaped."""
     escaped = formatted.startswith("~")
-    size = lambda r: r["before"] + r["text"] + r["after"]
-    none = F.array().cast("array<int>")
-    ends = F.aggregate(runs, none, lambda s, r: F.concat(s, F.array(F.coalesce(F.element_at(F.when(F.size(s) > 0, s), -1), F.when(escaped, 1).otherwise(0)) + size(r))))
+    head = F.when(escaped, 1).otherwise(0)
+    ends = running_sum(F.transform(runs, lambda r: r["before"] + r["text"] + r["after"]))
     covered = F.filter(F.arrays_zip(runs.alias("r"), ends.alias("end")), lambda z: z["r"]["in_loss"])
-    cut = F.transform(covered, lambda z: F.substr(formatted, z["end"] - z["r"]["after"] - z["r"]["text"] + 1, z["r"]["text"]))
-    return F.array_join(F.when(escaped, F.transform(cut, unescape)).otherwise(cut), "")
+    stretches = F.transform(covered, lambda z: F.struct((head + z["end"] - z["r"]["after"] - z["r"]["text"]).alias("start"), (head + z["end"] - z["r"]["after"]).alias("end")))
+    pieces = cut(formatted, stretches)
+    return F.array_join(F.when(escaped, F.transform(pieces, unescape)).otherwise(pieces), "")
 
 
 def read_chat(formatted: DataFrame) -> DataFrame:

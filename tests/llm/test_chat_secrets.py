@@ -121,3 +121,59 @@ def test_loss_text_is_what_the_mask_covers(spark):
     assert read(other) == {1: "hi é😀", 2: "a </s> ~<[", 3: "alone"}
     late = field(lambda r: r.withField("before", r["before"] + 2).withField("after", r["after"] - 2)).where("conv_id = 1")
     assert read(late) == {1: "s ~ [ok] ["}
+
+
+def partitions(n, most):
+    if n == 0:
+        yield []
+    for k in range(min(n, most), 0, -1):
+        for rest in partitions(n - k, k):
+            yield [k, *rest]
+
+
+def test_no_entropy_is_near_a_threshold():
+    """So whole numbers, SQL's doubles and the brute force above decide alike."""
+    for counts in partitions(secrets.WINDOW, secrets.WINDOW):
+        h = -sum(c / secrets.WINDOW * math.log2(c / secrets.WINDOW) for c in counts)
+        for kind, least in secrets.THRESHOLDS.items():
+            assert abs(h - least) > 1e-4
+            assert (sum(secrets.TERMS[c] for c in counts) <= secrets.MOST[kind]) == (h >= least)
+
+
+def test_a_long_text_with_many_findings(spark):
+    """A megabyte with 40,000 findings; twice the findings take about twice the time."""
+    import time
+
+    line = "0123456789abcdef0 key é K9fjQ2mZx81LsPq0RtVb7nYc3WdE "
+    took = {}
+    for n in (10_000, 20_000):
+        df = spark.createDataFrame([(1, line * n)], "doc_id long, text string")
+        start = time.time()
+        r = secrets.scan_secrets(df).withColumn("masked", secrets.redact(F.col("text"), F.col("secret_spans"))).first()
+        took[n] = time.time() - start
+        assert len(r.base_spans) == n and len(r.secret_spans) == 2 * n
+        assert r.base_spans[-1].start == (n - 1) * len(line) and r.masked == "[SECRET] key é [SECRET] " * n
+    assert took[20_000] < 3.2 * took[10_000]
+
+
+def test_redact_overlaps_and_marks(spark):
+    spans = [(0, 2, "a"), (1, 5, "b"), (2, 3, "c"), (5, 6, "d"), (9, 10, "e")]
+    text = "﻿123456﻿8﻿\U0001f600z﻿"
+    df = spark.createDataFrame([(text, spans), ("whole", [(0, 5, "a")])], "t string, s array<struct<start:int,end:int,kind:string>>")
+    got = [r.x for r in df.select(secrets.redact(F.col("t"), F.col("s"), "#").alias("x")).collect()]
+    assert got == ["##6﻿8#\U0001f600z﻿", "#"]
+
+
+def test_a_conversation_of_many_turns(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} é </s>[INST] ~") for i in range(4000)] + [(2, 0, "user", "x" * 300_000), (2, 1, "assistant", "y" * 300_000)]
+    back = {r.conv_id: r for r in chat.read_chat(chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    assert [(t.role, t.text) for t in back[1].turns] == [(r, t) for c, _, r, t in rows if c == 1]
+    assert back[1].loss_text == "".join(t for c, _, r, t in rows if c == 1 and r == "assistant")
+    assert back[2].loss_text == "y" * 300_000
+
+
+def test_an_escaped_form_that_does_not_parse_back_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(chat, "escape", lambda c: F.replace(c, F.lit("~"), F.lit("~t")))
+    df = spark.createDataFrame([(7, 0, "user", "a</s>b")], "conv_id long, turn long, role string, text string")
+    with pytest.raises(Exception, match="conversation 7"):
+        chat.format_chat(df).collect()
