@@ -47,7 +47,7 @@ def _edges(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-class _Sums:
+class Sums:
     """Hashes of stretches of a block: polynomials of their bytes modulo two primes.
 
     The sums of a block stay below 2**61, so nothing wraps around; a hash
@@ -94,7 +94,7 @@ def prefix_hashes(data: bytes, lengths: tuple[int, ...]) -> np.ndarray:
     out = [np.zeros(0, np.uint64)]
     for at, end, alone in _blocks(data):
         a = np.frombuffer(data, np.uint8, (at + max(lengths) + 1 if alone else end) - at, at)
-        hashed, (starts, ends) = _Sums(a, 0), _edges(a)
+        hashed, (starts, ends) = Sums(a, 0), _edges(a)
         for n in lengths:
             long = starts[ends - starts > n]
             out.append(mix64(hashed(long, long + n) ^ np.uint64(0x5851F42D4C957F2D * n & (1 << 64) - 1)))
@@ -110,7 +110,7 @@ def word_hashes(data: bytes, kinds: tuple[int, ...] = (0,)) -> tuple[np.ndarray,
             continue
         a = np.frombuffer(data, np.uint8, end - at, at)
         starts, ends = _edges(a)
-        parts.append((starts + at, *(_Sums(a, k)(starts, ends) for k in kinds)))
+        parts.append((starts + at, *(Sums(a, k)(starts, ends) for k in kinds)))
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 

@@ -17,10 +17,10 @@ def brute(rows):
     for d, b in texts:
         for s in range(len(b) - 99):
             if first[b[s : s + 100]] < (d, s):
-                gone.setdefault(d, set()).update(range(s, s + 100))
+                gone.setdefault((d, b), set()).update(range(s, s + 100))
     for d, t, *_ in rows:
         b = (t or "").encode()
-        g = {i for i in gone.get(d, ()) if i < len(b)} if d is not None else set()
+        g = gone.get((d, b), set())
         runs = sum(1 for i in g if i - 1 not in g)
         out.append((d, len(b), len(g), runs, hashlib.sha256(bytes(c for i, c in enumerate(b) if i not in g)).hexdigest()))
     return sorted(out, key=str)
@@ -53,6 +53,7 @@ def test_exact(spark, seed, block, monkeypatch):
     monkeypatch.setattr(sd, "BLOCK", block)
     rows = corpus(seed)
     rows += [rows[20], (None, rows[21][1], "n")]
+    rows += [(rows[30][0], rows[31][1], "other"), (rows[30][0], rows[40][1] + "!", "other"), (rows[12][0], "é" + rows[13][1], "x"), (rows[33][0], None, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     got = sd.remove_repeats(df).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == brute(rows)
@@ -68,3 +69,16 @@ def test_long_text(spark):
 
 def test_empty(spark):
     assert sd.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_that_share_a_doc_id(spark):
+    """A text loses what it repeats itself, not what another row of its doc_id repeats."""
+    rng = random.Random(3)
+    a, u, v = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3))
+    rows = [(1, a), (5, a), (5, u), (7, v), (7, v + "tail"), (8, "x" + u + "y"), (8, "zz" + u), (8, "x" + u + "w")]
+    got = sorted(tuple(r)[:5] for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows)
+    assert [(r[0], r[2]) for r in got] == [(1, 0), (5, 0), (5, 300), (7, 0), (7, 0), (8, 300), (8, 300), (8, 300)]
+    last = [(2, u + "q"), (2, u + "r")]
+    got = sorted(tuple(r)[:5] for r in sd.remove_repeats(spark.createDataFrame(rows + last, "doc_id long, text string")).collect())
+    assert got == brute(rows + last)
