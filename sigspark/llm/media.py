@@ -125,7 +125,8 @@ def fingerprint(media: DataFrame) -> DataFrame:
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the stored form and, beside ``feature``, the time-coded arrays that it stands for."""
     found = fingerprint(encode_wav(table(spark, sf_dir, "documents")))
     pairs = F.transform(F.arrays_zip("pair_times", "pair_codes"), lambda p: F.concat_ws(":", p["pair_times"].cast("string"), p["pair_codes"].cast("string")))
     feature = F.concat_ws("/", F.col("n_frames").cast("string"), F.size("pair_codes").cast("string"), F.sha2(F.array_join(pairs, ","), 256))
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "pair_times", "pair_codes")
