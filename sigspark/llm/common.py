@@ -40,10 +40,15 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: In a folder of scheme file:, the default file system starts processes (chmod) for each file that a task creates; the raw
+#: one does not. Other schemes are not touched.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Cut the lineage through a table in the shared folder, which outlives any executor."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**PLAIN_FILES).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
