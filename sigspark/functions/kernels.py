@@ -190,7 +190,13 @@ def pitch_shift(x: np.ndarray, semitones: float, n: int = 1024) -> np.ndarray:
 SIDE = 320
 LINE_BYTES, LINE_HEAD = 492, 12
 FRAME_BYTES = 160_000
-#: Linear numbers (1-based) of sensor pixels to repair are a parameter: they belong to one camera.
+#: Linear numbers (1-based) of the camera's sensor pixels that are repaired, in the order of their repair.
+BAD_PIXELS = [
+    7140, 6820, 6500, 6501, 6502, 13647, 13327, 13007, 13008, 13009, 33158, 32838, 32518, 32519, 32520, 85188, 84868, 84548, 84549, 84550,
+    20154, 19834, 19514, 19515, 19516, 26652, 26332, 26012, 26013, 26014, 39666, 39346, 39026, 39027, 39028, 46164, 45844, 45524, 45525, 45526,
+    52671, 52351, 52031, 52032, 52033, 59178, 58858, 58538, 58539, 58540, 65676, 65356, 65036, 65037, 65038, 72183, 71863, 71543, 71544, 71545,
+    78690, 78370, 78050, 78051, 78052, 91695, 91375, 91055, 91056, 91057, 98202, 97882, 97562, 97563, 97564,
+]
 
 
 def deframe(raw: bytes) -> np.ndarray:
@@ -200,7 +206,7 @@ def deframe(raw: bytes) -> np.ndarray:
 
 
 def unpack10(payload: np.ndarray) -> np.ndarray:
-    """Pixels (0..1023) of bytes in threes, two pixels each."""
+    """Pixels (0..1023) of bytes in threes, two pixels each; masks and shifts are fixed values of the sensor's format."""
     b = payload.reshape(-1, 3).astype(np.uint16)
     first = ((b[:, 0] & 0x7F) << 3) | (b[:, 1] >> 5)
     second = ((b[:, 1] & 0x07) << 7) | (b[:, 2] >> 1)

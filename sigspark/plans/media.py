@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigspark.functions import columns as C
+from sigspark.functions.kernels import BAD_PIXELS
 from sigspark.operators import frames as V
 from sigspark.operators import signals as S
 from sigspark.sources import dat, wav
@@ -30,8 +31,8 @@ def save_wav(samples: DataFrame, path: str) -> None:
     wav.write_wav(samples, path, AUDIO_RATE)
 
 
-def video(spark: SparkSession, path: str, bad_pixels: list[int] | None = None, target: float = 160.0) -> DataFrame:
-    """(path, frame_idx, t, rgb) of a file of raw frames."""
+def video(spark: SparkSession, path: str, bad_pixels: list[int] | None = BAD_PIXELS, target: float = 160.0) -> DataFrame:
+    """(path, frame_idx, t, rgb) of a file of raw frames; the listed pixels are repaired (None: none)."""
     out = V.decode_frames(frame_source.read_frames(spark, path), bad_pixels, target)
     return out.select("path", "frame_idx", C.seconds_of("frame_idx", VIDEO_RATE).alias("t"), "rgb")
 

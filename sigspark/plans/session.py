@@ -19,8 +19,8 @@ IMU_RATE = 100
 #: 1-based analog channels of the digital word, the inertial axes and the electrode stand-ins.
 DIGITAL, INERTIAL, STAND_IN = 1, list(range(2, 11)), [5, 6]
 FILES = {"amplifier": "amplifier.dat", "analog": "analogin.dat", "params": "CE_params.bin"}
-#: Digital inputs (bits) of the stimulation triggers and of the detector.
-STIM_BITS, DETECT_BIT = (0, 1, 2, 3), 13
+#: Digital inputs (bits) of the stimulation triggers; those of the first are detections, those of the second stimulations.
+STIM_BITS, DETECT_BIT, DELIVERED_BIT = (0, 1, 2, 3), 0, 1
 
 
 @dataclass
@@ -34,7 +34,8 @@ class Session:
     events: DataFrame
     stimulation: DataFrame
     detected_only: DataFrame
-    imu: DataFrame
+    #: None where the analog file has no room for nine axes.
+    imu: DataFrame | None
 
 
 def long_form(wide: DataFrame, name: str = "x") -> DataFrame:
@@ -57,14 +58,38 @@ def device_events(edges: DataFrame) -> DataFrame:
     return E.labelled(out.withColumn("channel", F.col("bit") + 1), "DigitIn").drop("channel", "tick")
 
 
-def stimulation_events(events: DataFrame, interval_s: list[float], per_channel: bool = False) -> DataFrame:
-    """Stimulation starts more than the interval after the trigger before; one interval serves all channels unless asked otherwise."""
+def stimulation_events(events: DataFrame, interval_ms: list[float], per_channel: bool = False) -> DataFrame:
+    """Stimulation starts more than the interval after the trigger before; the first interval serves all channels unless asked otherwise.
+
+    Intervals are milliseconds, as in the header; times are seconds. The first trigger is compared with time 0.
+    """
     starts = E.starts(events).where(F.col("bit").isin(*STIM_BITS))
-    gap = F.get(F.array(*map(F.lit, interval_s)), F.col("bit") if per_channel else F.lit(0))
+    gap = F.get(F.array(*(F.lit(ms / 1000) for ms in interval_ms)), F.col("bit") if per_channel else F.lit(0))
     out = O.first_difference(starts, ["session", "bit"], ["time"], "time", 0.0, "_gap").where(F.col("_gap") > gap).drop("_gap")
     return E.labelled(out.withColumn("channel", F.col("bit") + 1), "StimOn").drop("channel")
 
 
+def detected_only(stimulation: DataFrame, compat: bool = False) -> DataFrame:
+    """Starts of the first stimulation list at whose time the second has none.
+
+    compat takes every other event of both lists, which hold starts only, and names the last channel, as the tool did.
+    """
+    micro = stimulation.withColumn("us", F.round(F.col("time") * 1_000_000).cast("long"))
+    one, two = (micro.where(F.col("bit") == b) for b in (DETECT_BIT, DELIVERED_BIT))
+    if compat:
+        one, two = (O.every_other(x, ["session"], ["time"]) for x in (one, two))
+    out = E.detect_only(one, two, ["session", "us"]).drop("us")
+    return E.labelled(out.withColumn("channel", F.lit(STIM_BITS[-1] + 1) if compat else F.col("bit") + 1), "Detect").drop("channel")
+
+
+def scale_axes(df: DataFrame, axes: str = "x", n_axes: int = 9) -> DataFrame:
+    """df with its raw axes as columns in units: nine as acc, gyr and mag, three as acc of the older device."""
+    if n_axes not in (3, 9):
+        raise ValueError("there are 3 or 9 axes")
+    rest = [c for c in df.columns if c != axes]
+    return df.select(*rest, (C.imu_scaled if n_axes == 9 else C.imu3_scaled)(axes).alias("_s")).select(*rest, "_s.*")
+
+
 def imu(analog: DataFrame, fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFrame:
     """(session, sample_idx, t, q, R, accel_*, speed_*): inertial axes resampled, scaled, calibrated and fused."""
     keys = ["session"]
@@ -72,7 +97,7 @@ def imu(analog: DataFrame, fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFram
     nine = long_form(analog.withColumn("x", C.channels("x", INERTIAL)))
     slow = S.resample(nine, [*keys, "channel"], "sample_idx", "value", rate, fs)
     wide = S.pivot_channels(slow, [*keys, "sample_idx"], "channel", "y", list(range(9)))
-    wide = wide.select(*keys, "sample_idx", C.imu_scaled(F.array(*(F.col(str(i)) for i in range(9)))).alias("s")).select(*keys, "sample_idx", "s.*")
+    wide = scale_axes(wide.select(*keys, "sample_idx", F.array(*(F.col(str(i)) for i in range(9))).alias("x")))
     wide = S.calibrate_gain(wide, keys, names[:3])
     wide = S.remove_median(wide, keys, names[3:6])
     fused = S.fuse_orientation(wide, keys, "sample_idx", rate)
@@ -102,11 +127,10 @@ def preprocess(spark: SparkSession, folder: str, compat: bool = False) -> Sessio
     words = analog.select("session", "sample_idx", C.unsigned16(F.element_at("x", DIGITAL)).alias("word"))
     edges = O.word_edges(words, ["session"], "sample_idx", "word")
     events = device_events(edges)
-    stimulation = stimulation_events(events, system["stim_interval"] if not compat else [system["stim_interval"][0]] * 4)
-    micro = lambda df: df.withColumn("us", F.round(F.col("time") * 1_000_000).cast("long"))
-    detected = E.detect_only(micro(E.starts(events).where(F.col("bit") == DETECT_BIT)), micro(stimulation.where("bit = 0")), ["session", "us"]).drop("us")
-    detected = E.labelled(detected.withColumn("channel", F.col("bit") + 1), "Detect").drop("channel")
-    return Session(mode, slow, combined, edges, events, stimulation, detected, imu(analog))
+    stimulation = stimulation_events(events, system["stim_interval"])
+    detected = detected_only(stimulation, compat)
+    axes = imu(analog) if mode["analog_channels"] >= INERTIAL[-1] else None
+    return Session(mode, slow, combined, edges, events, stimulation, detected, axes)
 
 
 def export(session: Session, spark: SparkSession, folder: str) -> None:
@@ -116,4 +140,6 @@ def export(session: Session, spark: SparkSession, folder: str) -> None:
     rhd.write_header(os.path.join(folder, "info.rhd"), fs=session.mode["fs"], nch=session.mode["nch"], cl_mode=session.mode["cl_mode"])
     dat.write_dat(session.combined, os.path.join(folder, "amplifier_cat.lfp"))
     for name in ("lfp", "events", "stimulation", "detected_only", "imu"):
+        if getattr(session, name) is None:
+            continue
         getattr(session, name).write.mode("ignore").parquet(os.path.join(folder, name))

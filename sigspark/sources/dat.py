@@ -1,6 +1,7 @@
 """Interleaved binary signals: a Python data source and sink ("sigdat").
 
-Options: path (a file, a folder or a glob), nch, dtype (default int16),
+Options: path (a file, a folder or a glob), file (name or pattern of the files
+of a folder, default *.dat; one file a session), nch, dtype (default int16),
 select (1-based channels, order and duplicates kept), start and until (0-based,
 the end included; a negative start counts from the end), skip_bytes (bytes
 skipped after each value), frames_per_partition, layout (wide or long).
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import glob
 import os
+import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -37,13 +39,17 @@ def format_of(name: str) -> np.dtype:
     return np.dtype(FORMATS[name])
 
 
-def files_of(path: str) -> list[str]:
+def files_of(path: str, name: str = "*.dat") -> list[str]:
     path = path.removeprefix("file://")
     if os.path.isdir(path):
-        return sorted(p for p in glob.glob(f"{path}/**/*.dat", recursive=True))
+        return sorted(p for p in glob.glob(f"{path}/**/{name}", recursive=True))
     return sorted(glob.glob(path)) or [path]
 
 
+def session_of(path: str) -> str:
+    return os.path.basename(os.path.dirname(os.path.abspath(path)))
+
+
 @dataclass
 class Frames(InputPartition):
     path: str
@@ -63,7 +69,11 @@ class DatReader(DataSourceReader):
         self.start, self.until = float(options.get("start", 0)), float(options.get("until", "inf"))
         self.per_partition = int(options.get("frames_per_partition", 1 << 20))
         self.layout = options.get("layout", "wide")
-        self.files = files_of(options["path"])
+        self.files = files_of(options["path"], options.get("file", "*.dat"))
+        owner: dict[str, str] = {}
+        for f in self.files:
+            if owner.setdefault(session_of(f), f) != f:
+                raise ValueError(f"{owner[session_of(f)]} and {f} are of one session; choose one with the option file")
         self.frame_bytes = self.nch * (self.dtype.itemsize + self.skip)
         self.low, self.high = 0, 1 << 62
 
@@ -85,8 +95,7 @@ class DatReader(DataSourceReader):
             n = os.path.getsize(path) // self.frame_bytes
             first, last = resolve_range(n, self.start, self.until)
             first, last = max(first, self.low), min(last, self.high)
-            session = os.path.basename(os.path.dirname(os.path.abspath(path)))
-            out += [Frames(path, session, at, min(at + self.per_partition - 1, last)) for at in range(first, last + 1, self.per_partition)]
+            out += [Frames(path, session_of(path), at, min(at + self.per_partition - 1, last)) for at in range(first, last + 1, self.per_partition)]
         return out or [Frames("", "", 0, -1)]
 
     def read(self, partition: Frames) -> Iterator[pa.RecordBatch]:
@@ -122,15 +131,23 @@ class Part(WriterCommitMessage):
     frames: int
 
 
+def wav_header(frames: int, rate: int) -> bytes:
+    """What stands before the samples of a mono 16-bit PCM file."""
+    return struct.pack("<4sI4s4sI2H2I2H4sI", b"RIFF", 36 + 2 * frames, b"WAVE", b"fmt ", 16, 1, 1, rate, 2 * rate, 2, 16, b"data", 2 * frames)
+
+
 class DatWriter(DataSourceArrowWriter):
     """One part a task, written as its rows stream by; commit joins them in order unless ``parts`` is set.
 
+    With ``wav_rate``, commit puts a WAV header in front.
+
     The path must be one that all executors share.
     """
 
     def __init__(self, options: dict, overwrite: bool):
         self.path, self.dtype = options["path"].removeprefix("file://"), options.get("dtype", "int16")
         self.append, self.parts = not overwrite, options.get("parts", "false") == "true"
+        self.wav_rate = int(options.get("wav_rate", 0))
         format_of(self.dtype)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
@@ -161,7 +178,10 @@ class DatWriter(DataSourceArrowWriter):
         if self.parts:
             return
         with open(self.path, "ab" if self.append else "wb") as out:
-            for m in sorted((m for m in messages if m and m.path), key=lambda m: m.first):
+            made = sorted((m for m in messages if m and m.path), key=lambda m: m.first)
+            if self.wav_rate:
+                out.write(wav_header(sum(m.frames for m in made), self.wav_rate))
+            for m in made:
                 with open(m.path, "rb") as f:
                     shutil.copyfileobj(f, out, 1 << 20)
         shutil.rmtree(f"{self.path}.parts", ignore_errors=True)
@@ -194,15 +214,15 @@ def register(spark: SparkSession) -> None:
 
 
 def read_dat(spark: SparkSession, path: str, nch: int, **options: object) -> DataFrame:
-    """A recording, or all of a folder or glob: a session is the name of the folder a file lies in."""
+    """A recording, or all of a folder or glob: a session is the name of the folder a file lies in, and has one file (option ``file``)."""
     register(spark)
     return spark.read.format("sigdat").options(nch=nch, **options).load(path)
 
 
-def write_dat(frames: DataFrame, path: str, dtype: str = "int16", mode: str = "overwrite") -> None:
+def write_dat(frames: DataFrame, path: str, dtype: str = "int16", mode: str = "overwrite", **options: object) -> None:
     """frames(sample_idx, x) as interleaved samples, by range of sample; values are rounded and saturated."""
     register(frames.sparkSession)
-    frames.select("sample_idx", "x").repartitionByRange("sample_idx").sortWithinPartitions("sample_idx").write.format("sigdat").options(dtype=dtype).mode(mode).save(path)
+    frames.select("sample_idx", "x").repartitionByRange("sample_idx").sortWithinPartitions("sample_idx").write.format("sigdat").options(dtype=dtype, **options).mode(mode).save(path)
 
 
 def write_index(spark: SparkSession, n: int, path: str) -> None:

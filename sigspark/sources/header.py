@@ -74,6 +74,9 @@ def read_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def recording_mode(fs: int, nch: int) -> dict[str, object]:
-    """Rates and channels that follow from a header: without a rate, analog channels 5 and 6 stand in for the electrodes."""
-    analog = 16 if nch == 64 else 8
-    return {"fs": fs or 1250, "nch": nch if fs else 2, "analog_channels": analog, "from_analog": not fs}
+    """Rates and channels that follow from a header: without a rate, analog channels 5 and 6 stand in for the electrodes.
+
+    Only a recording of 64 electrodes has 16 analog channels; without a rate there are two, whatever the header says.
+    """
+    nch = nch if fs else 2
+    return {"fs": fs or 1250, "nch": nch, "analog_channels": 16 if nch == 64 else 8, "from_analog": not fs}

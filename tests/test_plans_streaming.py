@@ -64,7 +64,7 @@ def build_session(folder, fs=20000, nch=64, n=2500):
     if fs:
         make(f"{folder}/amplifier.dat", rng.integers(-3000, 3000, (n * fs // 1250, nch)).reshape(-1))
     with open(f"{folder}/CE_params.bin", "wb") as f:
-        f.write(header.pack({"fs": fs, "Nch": nch, "stim_interval": [0.1, 9, 9, 9]}, header.SYSTEM_FIELDS))
+        f.write(header.pack({"fs": fs, "Nch": nch, "stim_interval": [100, 9, 9, 9]}, header.SYSTEM_FIELDS))
 
 
 def test_session(spark, tmp_path):
@@ -76,18 +76,64 @@ def test_session(spark, tmp_path):
     got = {(r.bit, r.phase, round(r.time * 1250)) for r in s.events.collect()}
     assert {(0, "start", 1), (0, "start", 101), (0, "end", 121), (13, "start", 701), (15, "end", 1501)} <= got
     assert [round(r.time * 1250) for r in s.stimulation.orderBy("time").collect()] == [401]
-    assert sorted(round(r.time * 1250) for r in s.detected_only.collect()) == [101, 701]
+    assert [(r.bit, round(r.time * 1250), r.description) for r in s.detected_only.collect()] == [(0, 401, "Detect start 1")]
     imu = s.imu.orderBy("sample_idx").collect()
     assert len(imu) == 120 and np.allclose([np.linalg.norm(r.q) for r in imu], 1)
     session.export(s, spark, folder)
     assert os.path.getsize(f"{folder}/amplifier_cat.lfp") == 1500 * 80 * 2 and os.path.getsize(f"{folder}/time.dat") == 6000
 
 
-def test_session_without_electrodes(spark, tmp_path):
+@pytest.mark.parametrize("nch", [32, 64])
+def test_session_without_electrodes(spark, tmp_path, nch):
+    """Without a rate there are two stand-ins and 8 analog channels, also if the header says 64."""
     folder = f"{tmp_path}/rec"
     build_session(folder, fs=0, nch=32, n=600)
+    with open(f"{folder}/CE_params.bin", "wb") as f:
+        f.write(header.pack({"fs": 0, "Nch": nch, "stim_interval": [100, 9, 9, 9]}, header.SYSTEM_FIELDS))
     s = session.preprocess(spark, folder)
-    assert s.mode["from_analog"] and s.lfp.select("channel").distinct().count() == 2
+    assert s.mode["from_analog"] and s.mode["analog_channels"] == 8 and s.lfp.select("channel").distinct().count() == 2
+    assert s.combined.count() == 600 and len(s.combined.first().x) == 10 and s.imu is None
+    session.export(s, spark, folder)
+    assert os.path.getsize(f"{folder}/amplifier_cat.lfp") == 600 * 10 * 2
+
+
+def triggers(spark, *lists):
+    return spark.createDataFrame([("s", bit, "start", t) for bit, times in lists for t in times], "session string, bit int, phase string, time double")
+
+
+def test_stimulations_and_detections(spark):
+    """Intervals in milliseconds; detected only: times of the first list that the second has not."""
+    events = triggers(spark, (0, [0.05, 0.48, 0.5, 0.96, 1.44]), (1, [0.48, 0.96]), (13, [0.2, 0.7]))
+    stim = session.stimulation_events(events, [100.0, 9, 9, 9])
+    assert sorted((r.bit, r.time) for r in stim.collect()) == [(0, 0.48), (0, 0.96), (0, 1.44), (1, 0.48), (1, 0.96)]
+    assert sorted((r.time, r.description) for r in session.detected_only(stim).collect()) == [(1.44, "Detect start 1")]
+    # every other of (0.48, 0.96, 1.44) less every other of (0.48, 0.96)
+    assert sorted((r.time, r.description) for r in session.detected_only(stim, compat=True).collect()) == [(1.44, "Detect start 4")]
+    own = session.stimulation_events(events, [100.0, 450.0, 9, 9], per_channel=True)
+    assert sorted((r.bit, r.time) for r in own.collect()) == [(0, 0.48), (0, 0.96), (0, 1.44), (1, 0.48), (1, 0.96)]
+    none = session.stimulation_events(events, [500.0] * 4)
+    assert sorted((r.bit, r.time) for r in none.collect()) == []
+
+
+def test_axes_by_their_number(spark):
+    df = spark.createDataFrame([(1, [16384.0] * 9)], "k long, x array<double>")
+    assert len(session.scale_axes(df).columns) == 10
+    three = session.scale_axes(df.withColumn("x", F.slice("x", 1, 3)), n_axes=3)
+    assert three.columns == ["k", "acc_x", "acc_y", "acc_z"] and abs(three.first().acc_x - 16384 / 65535 * 2) < 1e-9
+    with pytest.raises(ValueError, match="axes"):
+        session.scale_axes(df, n_axes=6)
+
+
+def test_listed_pixels_are_repaired_by_default(spark, tmp_path):
+    image = np.full((320, 320), 400)
+    bad = [divmod(n - 1, 320) for n in K.BAD_PIXELS]
+    for r, c in bad:
+        image[r, c] = 1020
+    os.makedirs(tmp_path, exist_ok=True)
+    with open(f"{tmp_path}/misc.dat", "wb") as f:
+        f.write(raw_frame(image))
+    done = [np.frombuffer(media.video(spark, f"{tmp_path}/misc.dat", *x).first().rgb, np.uint8) for x in ((), (None,))]
+    assert (done[0] == 160).all() and (done[1] > 160).any()
 
 
 def test_media(spark, tmp_path):

@@ -88,7 +88,8 @@ def test_header(spark, tmp_path, blocks):
         f.write(header.pack(system, header.SYSTEM_FIELDS) + b"".join(header.pack(d, header.DSP_FIELDS) for d in dsp))
     row = header.read_header(spark, f"{tmp_path}/CE_params.bin").first()
     assert row.sys.asDict() == system and [d.asDict() for d in row.dsp] == dsp
-    assert header.recording_mode(0, 64) == {"fs": 1250, "nch": 2, "analog_channels": 16, "from_analog": True}
+    assert header.recording_mode(0, 64) == {"fs": 1250, "nch": 2, "analog_channels": 8, "from_analog": True}
+    assert [header.recording_mode(*x)["analog_channels"] for x in ((20000, 64), (20000, 32), (0, 32))] == [16, 8, 8]
     with pytest.raises(ValueError, match="512"):
         header.parse(b"short")
 
@@ -162,3 +163,29 @@ def test_image_kernels():
     assert (K.brightness(np.zeros((2, 2))) == 0).all()
     rgb = K.equalise_luminance(np.random.default_rng(1).integers(0, 256, (4, 4, 3)))
     assert rgb.shape == (4, 4, 3) and rgb.dtype == np.uint8
+
+
+def test_a_session_has_one_file(spark, tmp_path):
+    for name in ("amplifier", "analogin"):
+        make(f"{tmp_path}/recA/{name}.dat", range(8) if name == "amplifier" else range(100, 108))
+    make(f"{tmp_path}/recB/amplifier.dat", range(4))
+    with pytest.raises(Exception, match="one session"):
+        dat.read_dat(spark, str(tmp_path), 1).count()
+    got = dat.read_dat(spark, str(tmp_path), 1, file="amplifier.dat").collect()
+    assert sorted((r.session, r.sample_idx, r.x[0]) for r in got) == [("recA", i, i) for i in range(8)] + [("recB", i, i) for i in range(4)]
+
+
+def test_recordings_with_their_metadata(spark, tmp_path):
+    xml = '<p><nChannels>4</nChannels><samplingRate>20000</samplingRate><channel skip="0">2</channel><channel skip="0">0</channel></p>'
+    for name, n in (("a.dat", 83), ("a.lfp", 16)):
+        make(f"{tmp_path}/{name}", np.zeros(n))
+    (tmp_path / "a.xml").write_text(xml)
+    make(f"{tmp_path}/b.dat", np.zeros(4))
+    got = {os.path.basename(r.path): tuple(r)[1:] for r in text.recordings(spark, f"{tmp_path}/*.{{dat,lfp}}", f"{tmp_path}/*.xml").collect()}
+    assert got == {"a.dat": (20, 4, 20000, [1, 3], [3, 1]), "a.lfp": (4, 4, 1250, [1, 3], [3, 1]), "b.dat": (None, None, None, None, None)}
+
+
+def test_viewer_range(spark, tmp_path):
+    (tmp_path / "v.nrs").write_text("<startTime>5000</startTime><duration>700</duration><offset>-3</offset>")
+    for compat, until in ((False, 5700), (True, 10000)):
+        assert text.read_viewer(spark, str(tmp_path / "v.nrs"), compat).first().until == until
