@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 
@@ -20,14 +22,33 @@ def band2(low: float, high: float, fs: float) -> list[tuple[np.ndarray, np.ndarr
     return [butter2(low, fs, "high"), butter2(high, fs, "low")]
 
 
+def _same_length(b: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = max(len(a), len(b))
+    return np.pad(np.asarray(b, float), (0, n - len(b))) / a[0], np.pad(np.asarray(a, float), (0, n - len(a))) / a[0]
+
+
+def state_matrix(b: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """What one sample of zero input does to the state of the transposed direct form."""
+    _, a = _same_length(b, a)
+    out = np.zeros((len(a) - 1, len(a) - 1))
+    out[:, 0] = -a[1:]
+    out[:-1, 1:] = np.eye(len(a) - 2)
+    return out
+
+
+def state_after(b: np.ndarray, a: np.ndarray, state: np.ndarray, n: int) -> np.ndarray:
+    """The state after n samples of zero input.
+
+    The poles of a filter far below its rate nearly coincide, so the power is taken in extended precision.
+    """
+    return (np.linalg.matrix_power(state_matrix(b, a).astype(np.longdouble), n) @ state.astype(np.longdouble)).astype(float)
+
+
 def steady_state(b: np.ndarray, a: np.ndarray) -> np.ndarray:
     """State of the transposed direct form that a constant input of 1 holds."""
-    n = max(len(a), len(b))
-    b, a = np.pad(b, (0, n - len(b))) / a[0], np.pad(a, (0, n - len(a))) / a[0]
-    companion = np.zeros((n - 1, n - 1))
-    companion[:, 0] = -a[1:]
-    companion[:-1, 1:] = np.eye(n - 2)
-    return np.linalg.solve(np.eye(n - 1) - companion, b[1:] - a[1:] * b[0])
+    step = state_matrix(b, a)
+    b, a = _same_length(b, a)
+    return np.linalg.solve(np.eye(len(step)) - step, b[1:] - a[1:] * b[0])
 
 
 def _step_by_step(b: np.ndarray, a: np.ndarray, x: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,30 +64,36 @@ def _step_by_step(b: np.ndarray, a: np.ndarray, x: np.ndarray, z: np.ndarray) ->
     return y, states
 
 
+@functools.lru_cache(maxsize=16)
+def _block_matrices(b: tuple[float, ...], a: tuple[float, ...], block: int) -> tuple[np.ndarray, ...]:
+    """For a block: response to its samples, output and last state that a state at its start adds, state that its samples add."""
+    n, b, a = len(b), np.array(b), np.array(a)
+    pulse, after = _step_by_step(b, a, np.eye(1, block)[0], np.zeros(n - 1))
+    free = [_step_by_step(b, a, np.zeros(block), unit) for unit in np.eye(n - 1)]
+    lag = np.subtract.outer(np.arange(block), np.arange(block))
+    return np.where(lag >= 0, pulse[np.maximum(lag, 0)], 0.0), np.stack([f[0] for f in free]), np.stack([f[1][-1] for f in free], 1), after[::-1]
+
+
 def iir(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray | None = None, block: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Causal filter; returns the output and the state to go on with.
 
     Blocks of samples are filtered from a zero state by one matrix product; the
     states at their starts follow one another, and their part is added.
     """
-    n = max(len(a), len(b))
-    b, a = (np.pad(np.asarray(v, float), (0, n - len(v))) / a[0] for v in (b, a))
+    b, a = _same_length(b, a)
+    n = len(b)
     x = np.asarray(x, float)
     z = np.zeros(n - 1) if state is None else np.asarray(state, float)
     y, whole = np.empty(len(x)), len(x) // block
     if whole and n > 1:
-        pulse, after = _step_by_step(b, a, np.eye(1, block)[0], np.zeros(n - 1))
-        free = [_step_by_step(b, a, np.zeros(block), unit) for unit in np.eye(n - 1)]
-        lag = np.subtract.outer(np.arange(block), np.arange(block))
-        response = np.where(lag >= 0, pulse[np.maximum(lag, 0)], 0.0)
+        response, free, gain, after = _block_matrices(tuple(b.tolist()), tuple(a.tolist()), block)
         parts = x[: whole * block].reshape(whole, block)
-        gain = np.stack([f[1][-1] for f in free], 1)
-        into = parts @ after[::-1]
+        into = parts @ after
         starts = np.empty((whole, n - 1))
         for k in range(whole):
             starts[k] = z
             z = gain @ z + into[k]
-        y[: whole * block] = (parts @ response.T + starts @ np.stack([f[0] for f in free])).reshape(-1)
+        y[: whole * block] = (parts @ response.T + starts @ free).reshape(-1)
     else:
         whole = 0
     tail, states = _step_by_step(b, a, x[whole * block :], z)
@@ -74,6 +101,11 @@ def iir(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray | None =
     return y, (states[-1] if len(states) else z)
 
 
+def edge_length(b: np.ndarray, a: np.ndarray) -> int:
+    """Samples that a signal is prolonged by at each end."""
+    return 3 * (max(len(a), len(b)) - 1)
+
+
 def zero_phase(b: np.ndarray, a: np.ndarray, x: np.ndarray, pad: int | None = None) -> np.ndarray:
     """Forward and backward filtering with odd reflection at both ends and steady-state start.
 
@@ -82,7 +114,7 @@ def zero_phase(b: np.ndarray, a: np.ndarray, x: np.ndarray, pad: int | None = No
     x = np.asarray(x, float)
     if len(x) < 2:
         return x.copy()
-    pad = 3 * (max(len(a), len(b)) - 1) if pad is None else pad
+    pad = edge_length(b, a) if pad is None else pad
     pad = min(pad, len(x) - 1)
     wide = np.concatenate((2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2 : -pad - 2 : -1]))
     zi = steady_state(b, a)
@@ -106,12 +138,16 @@ def resample(x: np.ndarray, p: int, q: int, taps: np.ndarray | None = None) -> n
     if p == q:
         return x.copy()
     taps = resample_taps(p, q) if taps is None else np.asarray(taps, float)
-    mid, n_out = len(taps) // 2, -(-len(x) * p // q)
-    out = np.zeros(n_out)
-    at = np.arange(n_out) * q + mid  # place in the upsampled signal, delay of the filter added
+    return resample_part(x, 0, p, q, taps, 0, -(-len(x) * p // q))
+
+
+def resample_part(x: np.ndarray, first: int, p: int, q: int, taps: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Output samples start..end - 1 of a change of rate by p/q, of a signal of which x begins at sample ``first``; zeros beyond x."""
+    out = np.zeros(end - start)
+    at = np.arange(start, end) * q + len(taps) // 2  # place in the upsampled signal, delay of the filter added
     for k in range(-(-len(taps) // p)):
         j = at % p + k * p
-        i = (at - j) // p
+        i = (at - j) // p - first
         good = (j < len(taps)) & (i >= 0) & (i < len(x))
         out[good] += taps[j[good]] * x[i[good]]
     return out

@@ -8,12 +8,18 @@ an index use windows over the keys.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sigspark.functions import kernels as K
+
+from .joins import same_keys
+
 CHUNK = 1 << 20
 
 
@@ -72,24 +78,36 @@ def threshold_edges(df: DataFrame, keys: list[str], index: str, value: str, leve
 
 
 def running_sum(df: DataFrame, keys: list[str], index: str, value: Column | str, name: str, chunk: int = CHUNK) -> DataFrame:
-    """Cumulative sum along the index: sums inside chunks, plus the total of the chunks before."""
-    v = F.col(value) if isinstance(value, str) else value
+    """Cumulative sum along the index: sums inside chunks, plus the total of the chunks before. A null adds nothing; rows with null keys are a group."""
+    v = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0.0))
     cut = df.withColumn("_v", v).withColumn("_chunk", F.floor(F.col(index) / chunk).cast("long"))
     totals = cut.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_t"))
     before = totals.withColumn("_before", F.coalesce(F.sum("_t").over(W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))).drop("_t")
     inside = F.sum("_v").over(W.partitionBy(*keys, "_chunk").orderBy(index).rowsBetween(W.unboundedPreceding, W.currentRow))
-    out = cut.withColumn(name, inside).join(before, [*keys, "_chunk"])
+    out = cut.withColumn(name, inside).transform(lambda x: same_keys(x, before, [*keys, "_chunk"]))
     return out.withColumn(name, F.col(name) + F.col("_before")).drop("_v", "_chunk", "_before")
 
 
-def fir(df: DataFrame, keys: list[str], order: list[str], value: str, taps: list[float], name: str = "y") -> DataFrame:
-    """Causal weighted sum of the last samples; zeros before the first."""
-    w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, sum((F.lit(t) * F.lag(value, k, 0.0).over(w) for k, t in enumerate(taps[1:], 1)), F.lit(taps[0]) * F.col(value)))
+def _with_halo(df: DataFrame, index: str, before: int, chunk: int) -> DataFrame:
+    """df with ``_own`` and ``_chunk``: the last ``before`` samples of a chunk are also sent to the next one."""
+    chunk = max(chunk, before)
+    own = F.floor(F.col(index) / chunk).cast("long")
+    after = F.when(F.pmod(F.col(index), F.lit(chunk)) >= chunk - before, own + 1)
+    return df.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_compact(F.array(own, after))))
 
 
-def moving_average(df: DataFrame, keys: list[str], order: list[str], value: str, n: int, name: str = "y") -> DataFrame:
-    return df.withColumn(name, F.avg(value).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(1 - n, 0)))
+def fir(df: DataFrame, keys: list[str], index: str, value: str, taps: list[float], name: str = "y", chunk: int = CHUNK) -> DataFrame:
+    """Causal weighted sum of the last samples of a dense index; zeros before the first, and for nulls."""
+    w = W.partitionBy(*keys, "_chunk").orderBy(index)
+    x = F.coalesce(F.col(value), F.lit(0.0))
+    y = sum((F.lit(t) * F.lag(x, k, 0.0).over(w) for k, t in enumerate(taps[1:], 1)), F.lit(taps[0]) * x)
+    return _with_halo(df, index, len(taps) - 1, chunk).withColumn(name, y).where("_own = _chunk").drop("_own", "_chunk")
+
+
+def moving_average(df: DataFrame, keys: list[str], index: str, value: str, n: int, name: str = "y", chunk: int = CHUNK) -> DataFrame:
+    """Mean of the last n samples of a dense index, fewer at the start; nulls do not count."""
+    w = W.partitionBy(*keys, "_chunk").orderBy(index).rowsBetween(1 - n, 0)
+    return _with_halo(df, index, n - 1, chunk).withColumn(name, F.avg(value).over(w)).where("_own = _chunk").drop("_own", "_chunk")
 
 
 def every_other(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -123,32 +141,38 @@ def sequential(df: DataFrame, keys: list[str], order: list[str], value: str, ste
 
 def iir_first_order(df: DataFrame, keys: list[str], order: list[str], value: str, gain: float, name: str = "y") -> DataFrame:
     """y[n] = gain * x[n] + (1 - gain) * y[n - 1], from y[-1] = 0."""
-
-    def step(y: float, x: float) -> tuple[float, float]:
-        y = gain * (x or 0.0) + (1 - gain) * y
-        return y, y
-
-    return sequential(df, keys, order, value, step, lambda: 0.0, name, "double")
+    return iir_filter(df, keys, order, value, [gain], [1.0, gain - 1.0], name)
 
 
 def iir_filter(df: DataFrame, keys: list[str], order: list[str], value: str, b: list[float], a: list[float], name: str = "y") -> DataFrame:
-    """Causal filter of any order, its state carried along each key."""
-    n = max(len(a), len(b))
-    b, a = [x / a[0] for x in [*b, *[0.0] * (n - len(b))]], [x / a[0] for x in [*a, *[0.0] * (n - len(a))]]
+    """Causal filter of any order, its state carried along each key; a null sample counts as 0.
+
+    Rows stream sorted by key; the samples of one key in an Arrow batch are filtered at once.
+    """
+    slots = df.withColumn(name, F.lit(None).cast("double"))
+    b, a = np.asarray(b, float), np.asarray(a, float)
 
-    def step(z: list[float], x: float) -> tuple[list[float], float]:
-        x = x or 0.0
-        y = b[0] * x + z[0]
-        return [*(b[k] * x - a[k] * y + (z[k] if k < n - 1 else 0.0) for k in range(1, n))], y
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state = None, None
+        for batch in batches:
+            held = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True)) or [()] * batch.num_rows
+            x = batch.column(value).cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+            y, at = np.empty(len(x)), 0
+            for key, rows in groupby(held):
+                end = at + sum(1 for _ in rows)
+                y[at:end], state = K.iir(b, a, x[at:end], state if key == now else None)
+                now, at = key, end
+            yield pa.RecordBatch.from_arrays([pa.array(y) if n == name else c for n, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
 
-    return sequential(df, keys, order, value, step, lambda: [0.0] * (n - 1), name, "double")
+    dealt = slots.repartition(*keys) if keys else slots.coalesce(1)
+    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, slots.schema)
 
 
 def greedy_refractory(df: DataFrame, keys: list[str], order: list[str], time: str, least: float) -> DataFrame:
-    """Events at least ``least`` after the last one kept."""
+    """Events at least ``least`` after the last one kept; a row without a time is no event and is left out."""
 
     def step(last: float | None, t: float) -> tuple[float | None, bool]:
         keep = last is None or t >= last + least
         return (t if keep else last), keep
 
-    return sequential(df, keys, order, time, step, lambda: None, "_keep", "boolean").where("_keep").drop("_keep")
+    return sequential(df.where(F.col(time).isNotNull()), keys, order, time, step, lambda: None, "_keep", "boolean").where("_keep").drop("_keep")

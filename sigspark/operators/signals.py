@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from sigspark.functions import columns as C
 from sigspark.functions import kernels as K
 
+from .joins import same_keys
+
 
 def sample_range(df: DataFrame, index: str, n: int, start: float, until: float) -> DataFrame:
     """Samples start..until, the end included; a negative start counts from the end, and then until 0 means the end."""
@@ -30,7 +33,7 @@ def resolve_range(n: int, start: float, until: float) -> tuple[int, int]:
 
 def zip_signals(left: DataFrame, right: DataFrame, keys: list[str], index: str) -> DataFrame:
     """Both signals side by side, as long as the shorter one."""
-    return left.join(right, [*keys, index])
+    return same_keys(left, right, [*keys, index])
 
 
 def pivot_channels(df: DataFrame, keys: list[str], channel: str, value: str, channels: list) -> DataFrame:
@@ -40,20 +43,18 @@ def pivot_channels(df: DataFrame, keys: list[str], channel: str, value: str, cha
 
 def attach_frames(samples: DataFrame, frames: DataFrame, keys: list[str], index: str, per_frame: int, frame: str = "frame_idx") -> DataFrame:
     """Samples with the frame that is shown while they play."""
-    return samples.withColumn(frame, F.floor(F.col(index) / per_frame).cast("long")).join(frames, [*keys, frame])
+    return samples.withColumn(frame, F.floor(F.col(index) / per_frame).cast("long")).transform(lambda df: same_keys(df, frames, [*keys, frame]))
 
 
 def with_statistic(df: DataFrame, keys: list[str], **statistics: Column) -> DataFrame:
     """df with statistics of its group on each row: aggregated first, then joined back.
 
     The aggregation combines before its shuffle where the function allows; the
-    join can be split by Spark where a key is common.
+    join can be split by Spark where a key is common. Rows with null keys are a
+    group, null values do not count in a statistic, and no row is lost.
     """
-    if not keys:
-        one = df.agg(*(c.alias(n) for n, c in statistics.items()))
-        return df.crossJoin(F.broadcast(one))  # one row
     groups = df.groupBy(*keys).agg(*(c.alias(n) for n, c in statistics.items()))
-    return df.join(groups, keys)
+    return same_keys(df, groups, keys)
 
 
 def remove_median(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -74,16 +75,16 @@ def histogram(df: DataFrame, keys: list[str], value: str, low: float, high: floa
 
 
 def equalise_histogram(df: DataFrame, keys: list[str], value: str, name: str = "equalised") -> DataFrame:
-    """8-bit values mapped through the cumulative histogram of their group (256 rows a group)."""
+    """8-bit values mapped through the cumulative histogram of their group (256 rows a group); a null stays null and does not count."""
     from pyspark.sql import Window as W
 
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     w = W.partitionBy(*keys).orderBy(value)
     cdf = counts.withColumn("_cdf", F.sum("_n").over(w)).withColumn("_low", F.first("_cdf").over(w))
     whole = W.partitionBy(*keys)
     cdf = cdf.withColumn("_all", F.max("_cdf").over(whole))
     even = F.when(F.col("_all") == F.col("_low"), F.col(value)).otherwise(F.round((F.col("_cdf") - F.col("_low")) * 255.0 / F.nullif(F.col("_all") - F.col("_low"), F.lit(0))).cast("int"))
-    return df.join(cdf.select(*keys, value, even.alias(name)), [*keys, value])
+    return same_keys(df, cdf.select(*keys, value, even.alias(name)), [*keys, value], "left")
 
 
 def _per_channel(df: DataFrame, keys: list[str], index: str, value: str, kernel, schema: str) -> DataFrame:
@@ -103,19 +104,147 @@ def _schema(df: DataFrame, keys: list[str], index: str) -> str:
     return ", ".join([*(f"{k} {dict(df.dtypes)[k]}" for k in keys), f"{index} long", "y double"])
 
 
-def zero_phase_filter(df: DataFrame, keys: list[str], index: str, value: str, cutoff: float, fs: float, kind: str = "high", design_fs: float | None = None) -> DataFrame:
-    """(keys, index, y): second-order Butterworth, forward and backward; design_fs reproduces a cutoff designed at another rate."""
+#: Samples of a chunk: what a task holds of a channel.
+CHUNK = 1 << 18
+
+
+def _chunked(df: DataFrame, keys: list[str], index: str, value: str, chunk: int, before: int, after: int) -> DataFrame:
+    """(keys, index, value, _chunk): channels cut into chunks of a dense index from 0, by arithmetic on the index.
+
+    A chunk also gets the last ``before`` samples of the chunk before it and the first ``after`` of the one behind it.
+    """
+    at = F.col(index)
+    reach = F.sequence(F.floor(F.greatest(at - after, F.lit(0)) / chunk).cast("long"), F.floor((at + before) / chunk).cast("long"))
+    out = df.select(*keys, at.cast("long").alias(index), F.col(value).cast("double").alias(value))
+    return out.withColumn("_chunk", F.explode(reach))
+
+
+class _Part:
+    """A chunk's samples: its own are x[own:stop], from sample ``first`` on; ``last`` if no sample follows them."""
+
+    def __init__(self, tab: pa.Table, index: str, value: str, chunk: int):
+        at = tab.column(index).to_numpy()
+        order = np.argsort(at, kind="stable")
+        self.at, self.x = at[order], tab.column(value).to_numpy(zero_copy_only=False)[order]
+        if len(at) and self.at[-1] - self.at[0] + 1 != len(at):
+            raise ValueError("the samples of a channel are not numbered 0, 1, 2, ...")
+        self.number = tab.column("_chunk")[0].as_py()
+        self.first, end = self.number * chunk, (self.number + 1) * chunk
+        self.own, self.stop = (int(i) for i in np.searchsorted(self.at, (self.first, end)))
+        if self.own < self.stop and self.at[self.own] != self.first:
+            raise ValueError("the samples of a channel are not numbered 0, 1, 2, ...")
+        self.last = self.stop == len(self.at)
+
+
+def _kind(df: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {dict(df.dtypes)[n]}" for n in names)
+
+
+def zero_phase_filter(df: DataFrame, keys: list[str], index: str, value: str, cutoff: float, fs: float, kind: str = "high", design_fs: float | None = None, chunk: int = CHUNK) -> DataFrame:
+    """(keys, index, y): second-order Butterworth, forward and backward; design_fs reproduces a cutoff designed at another rate.
+
+    A channel is many chunks. Each is filtered from a zero state; the states at
+    the chunks' borders follow one another by a power of the filter's state
+    matrix (a row for each chunk), and each chunk is filtered again from its
+    state; the same is done backward. The samples are shuffled once.
+    """
     b, a = K.butter2(cutoff, design_fs or fs, kind)
-    return _per_channel(df, keys, index, value, lambda x: K.zero_phase(b, a, x), _schema(df, keys, index))
+    edge, start = K.edge_length(b, a), K.steady_state(b, a)
+    chunk = max(chunk, edge + 1)
+    cut = _chunked(df, keys, index, value, chunk, edge, 1)
+    groups = [*keys, "_chunk"]
+    state_ddl = f"{_kind(cut, groups)}, _len long, _edge double, _state array<double>"
+    out_ddl = _schema(df, keys, index)
+
+    def wide(p: _Part) -> tuple[np.ndarray, int]:
+        """The chunk's samples with the prolongations of the channel's ends that fall to it, and the length of the first."""
+        x = p.x[p.own : p.stop]
+        before = after = x[:0]
+        if p.number == 0:
+            pad = min(edge, len(x) - 1)
+            before = 2 * x[0] - x[pad:0:-1]
+        if p.last:
+            pad = min(edge, p.stop - 1)
+            after = 2 * x[-1] - p.x[p.stop - pad - 1 : p.stop - 1][::-1]
+        return np.concatenate((before, x, after)), len(before)
+
+    def row(tab: pa.Table, n: int, edge_value: float, state: np.ndarray) -> pa.Table:
+        own = {"_len": pa.array([n], pa.int64()), "_edge": pa.array([edge_value], pa.float64()), "_state": pa.array([state.tolist()], pa.list_(pa.float64()))}
+        return pa.table({**{k: tab.column(k).slice(0, 1) for k in groups}, **own})
+
+    def none(tab: pa.Table) -> pa.Table:
+        return row(tab, 0, 0.0, start).slice(0, 0)
+
+    def follow(tab: pa.Table, backward: bool) -> pa.Table:
+        """Of a channel's chunks, the state that each starts with."""
+        order = np.argsort(tab.column("_chunk").to_numpy())
+        rows = tab.take(pa.array(order[::-1] if backward else order))
+        z, out = start * rows.column("_edge")[0].as_py(), []
+        for n, own in zip(rows.column("_len").to_pylist(), rows.column("_state").to_pylist(), strict=True):
+            out.append(z.tolist())
+            z = K.state_after(b, a, z, n) + np.array(own)
+        return rows.set_column(rows.schema.get_field_index("_state"), "_state", pa.array(out, pa.list_(pa.float64())))
+
+    def forward_state(tab: pa.Table) -> pa.Table:
+        p = _Part(tab, index, value, chunk)
+        if p.own == p.stop:
+            return none(tab)
+        x, _ = wide(p)
+        return row(tab, len(x), x[0], K.iir(b, a, x)[1])
+
+    def forward(p: _Part, states: pa.Table) -> tuple[np.ndarray, int]:
+        x, before = wide(p)
+        return K.iir(b, a, x, np.array(states.column("_state")[0].as_py()))[0], before
+
+    def backward_state(tab: pa.Table, states: pa.Table) -> pa.Table:
+        if not states.num_rows:
+            return none(tab)
+        y, _ = forward(_Part(tab, index, value, chunk), states)
+        return row(tab, len(y), y[-1], K.iir(b, a, y[::-1])[1])
+
+    def result(tab: pa.Table, states: pa.Table) -> pa.Table:
+        p = _Part(tab, index, value, chunk)
+        own = p.x[p.own : p.stop]
+        if states.num_rows and not (p.number == 0 and p.last and len(own) == 1):
+            y, before = forward(p, states)
+            own = K.iir(b, a, y[::-1], np.array(states.column("_back")[0].as_py()))[0][::-1][before : before + len(own)]
+        return pa.table({**{k: pa.repeat(tab.column(k)[0], len(own)) for k in keys}, index: pa.array(p.at[p.own : p.stop]), "y": pa.array(own)})
+
+    by_key = keys or [F.lit(0).alias("_all")]
+    first = cut.groupBy(*groups).applyInArrow(forward_state, state_ddl).groupBy(*by_key).applyInArrow(lambda t: follow(t, False), state_ddl)
+    then = cut.groupBy(*groups).cogroup(first.groupBy(*groups)).applyInArrow(backward_state, state_ddl).groupBy(*by_key).applyInArrow(lambda t: follow(t, True), state_ddl)
+    states = same_keys(first, then.select(*groups, F.col("_state").alias("_back")), groups)
+    return cut.groupBy(*groups).cogroup(states.groupBy(*groups)).applyInArrow(result, out_ddl)
+
+
+def resample(df: DataFrame, keys: list[str], index: str, value: str, p: int, q: int, chunk: int = CHUNK) -> DataFrame:
+    """(keys, index, y): rate changed by p/q with the kernel's own low-pass.
+
+    A chunk gets, beside its samples, those that the kernel reaches on both
+    sides, and makes the output samples that fall into it.
+    """
+    g = math.gcd(p, q)
+    p, q = p // g, q // g
+    if p == q:
+        return df.select(*keys, F.col(index).cast("long").alias(index), F.col(value).cast("double").alias("y"))
+    taps = K.resample_taps(p, q)
+    halo = len(taps) // (2 * p) + 1
+    chunk = q * max(1, -(-max(chunk, halo) // q))
 
+    def run(tab: pa.Table) -> pa.Table:
+        part = _Part(tab, index, value, chunk)
+        start = part.first // q * p
+        end = start
+        if part.own < part.stop:
+            end = -(-(part.first + part.stop - part.own) * p // q) if part.last else (part.first + chunk) // q * p
+        y = K.resample_part(part.x, int(part.at[0]), p, q, taps, start, end)
+        return pa.table({**{k: pa.repeat(tab.column(k)[0], len(y)) for k in keys}, index: pa.array(np.arange(start, end)), "y": pa.array(y)})
 
-def resample(df: DataFrame, keys: list[str], index: str, value: str, p: int, q: int) -> DataFrame:
-    """(keys, index, y): rate changed by p/q with the kernel's own low-pass."""
-    return _per_channel(df, keys, index, value, lambda x: K.resample(x, p, q), _schema(df, keys, index))
+    return _chunked(df, keys, index, value, chunk, halo, halo).groupBy(*keys, "_chunk").applyInArrow(run, _schema(df, keys, index))
 
 
 def pitch_shift(df: DataFrame, keys: list[str], index: str, value: str, semitones: float) -> DataFrame:
-    """(keys, index, y): pitch changed, length kept."""
+    """(keys, index, y): pitch changed, length kept. The phase goes through a whole channel, which one task holds."""
     return _per_channel(df, keys, index, value, lambda x: K.pitch_shift(x, semitones), _schema(df, keys, index))
 
 
@@ -124,13 +253,17 @@ def resample_by_join(df: DataFrame, keys: list[str], index: str, value: str, p:
 
     Any length of signal, no group in one task; y[m] = sum of taps[k] * x[n] with n * p + k - mid = m * q.
     """
-    mid = len(taps) // 2
-    weights = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(t)).alias("c")) for k, t in enumerate(taps)))
+    mid, n_taps = len(taps) // 2, len(taps)
+    weights = F.array(*(F.lit(float(t)) for t in taps))
     length = df.groupBy(*keys).agg((F.max(index) + 1).alias("_n"))
-    met = df.join(length, keys).select(*keys, "_n", F.col(index).alias("_i"), F.col(value).alias("_x"), F.explode(weights).alias("_t"))
-    at = F.col("_i") * p + F.col("_t.k") - mid
-    met = met.where((at % q == 0) & (at >= 0) & (at < F.ceil(F.col("_n") * p / F.lit(q)) * q))
-    return met.groupBy(*keys, F.floor(at / q).cast("long").alias(index)).agg(F.sum(F.col("_x") * F.col("_t.c")).alias("y"))
+    place = F.col("_i") * p - mid
+    # the taps k for which place + k is a multiple of q
+    first = F.pmod(-place, F.lit(q))
+    met = same_keys(df, length, keys).select(*keys, "_n", F.col(index).alias("_i"), F.col(value).alias("_x"))
+    met = met.withColumn("_k", F.explode(F.when(first < n_taps, F.sequence(first.cast("int"), F.lit(n_taps - 1), F.lit(q)))))
+    at = place + F.col("_k")
+    met = met.where((at >= 0) & (at < F.ceil(F.col("_n") * p / F.lit(q)) * q))
+    return met.groupBy(*keys, F.floor(at / q).cast("long").alias(index)).agg(F.sum(F.col("_x") * F.get(weights, F.col("_k"))).alias("y"))
 
 
 def fuse_orientation(df: DataFrame, keys: list[str], index: str, fs: float, gain: float = 0.1) -> DataFrame:

@@ -343,12 +343,12 @@ _TAPS = [0.1, 0.2, 0.4, 0.2, 0.1]
 
 @query(f"WITH {SAMPLES} SELECT user_id, sample_idx, round(" + " + ".join(f"{t} * " + ("value" if not k else f"lag(value, {k}, 0) OVER w") for k, t in enumerate(_TAPS)) + ", 6) AS y FROM s WINDOW w AS (PARTITION BY user_id ORDER BY sample_idx)")
 def fir_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return O.fir(samples(spark, sf), USER, ["sample_idx"], "value", _TAPS).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
+    return O.fir(samples(spark, sf), USER, "sample_idx", "value", _TAPS, chunk=64).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
 
 
 @query(f"WITH {SAMPLES} SELECT user_id, sample_idx, round(avg(value) OVER (PARTITION BY user_id ORDER BY sample_idx ROWS 7 PRECEDING), 6) AS y FROM s")
 def moving_average(spark: SparkSession, sf: str) -> DataFrame:
-    return O.moving_average(samples(spark, sf), USER, ["sample_idx"], "value", 8).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
+    return O.moving_average(samples(spark, sf), USER, "sample_idx", "value", 8, chunk=64).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
 
 
 @query(f"""

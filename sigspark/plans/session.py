@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,20 +98,22 @@ def imu(analog: DataFrame, fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFram
     nine = long_form(analog.withColumn("x", C.channels("x", INERTIAL)))
     slow = S.resample(nine, [*keys, "channel"], "sample_idx", "value", rate, fs)
     wide = S.pivot_channels(slow, [*keys, "sample_idx"], "channel", "y", list(range(9)))
-    wide = scale_axes(wide.select(*keys, "sample_idx", F.array(*(F.col(str(i)) for i in range(9))).alias("x")))
+    # read twice and more by the statistics and filters that follow; at this rate it is a twelfth of the recording
+    wide = scale_axes(wide.select(*keys, "sample_idx", F.array(*(F.col(str(i)) for i in range(9))).alias("x"))).persist(StorageLevel.DISK_ONLY)
     wide = S.calibrate_gain(wide, keys, names[:3])
     wide = S.remove_median(wide, keys, names[3:6])
     fused = S.fuse_orientation(wide, keys, "sample_idx", rate)
     q = [F.get("q", F.lit(i)) for i in range(4)]
     fused = fused.withColumn("R", C.quaternion_matrix(*q))
-    fused = fused.withColumn("w", C.rotated("R", F.col("acc_x"), F.col("acc_y"), F.col("acc_z"))).select(*keys, "sample_idx", "q", "R", *(F.col(f"w.{a}").alias(f"accel_{a}") for a in "xyz"))
+    fused = fused.withColumn("w", C.rotated("R", F.col("acc_x"), F.col("acc_y"), F.col("acc_z"))).select(*keys, "sample_idx", "q", "R", *(F.col(f"w.{a}").alias(f"accel_{a}") for a in "xyz")).persist(StorageLevel.DISK_ONLY)
     still = S.remove_median(fused, keys, [f"accel_{a}" for a in "xyz"])
-    out = still.select(*keys, "sample_idx", C.seconds_of("sample_idx", rate).alias("t"), "q", "R", *(f"accel_{a}" for a in "xyz"))
-    for a in "xyz":
-        summed = O.running_sum(still.select(*keys, "sample_idx", f"accel_{a}"), keys, "sample_idx", F.col(f"accel_{a}") / rate, "v")
-        speed = S.zero_phase_filter(summed, keys, "sample_idx", "v", 0.1, rate, "high").withColumnRenamed("y", f"speed_{a}")
-        out = out.join(speed, [*keys, "sample_idx"])
-    return out
+    out = still.select(*keys, "sample_idx", C.seconds_of("sample_idx", rate).alias("t"), "q", "R", *(f"accel_{a}" for a in "xyz")).persist(StorageLevel.DISK_ONLY)
+    axes = F.explode(F.array(*(F.struct(F.lit(a).alias("axis"), F.col(f"accel_{a}").alias("v")) for a in "xyz")))
+    long = out.select(*keys, "sample_idx", axes.alias("a")).select(*keys, "a.axis", "sample_idx", (F.col("a.v") / rate).alias("v"))
+    summed = O.running_sum(long, [*keys, "axis"], "sample_idx", "v", "s").select(*keys, "axis", "sample_idx", F.col("s").alias("v"))
+    speed = S.zero_phase_filter(summed, [*keys, "axis"], "sample_idx", "v", 0.1, rate, "high")
+    speed = S.pivot_channels(speed, [*keys, "sample_idx"], "axis", "y", list("xyz")).withColumnsRenamed({a: f"speed_{a}" for a in "xyz"})
+    return out.join(speed, [*keys, "sample_idx"])
 
 
 def preprocess(spark: SparkSession, folder: str, compat: bool = False) -> Session:

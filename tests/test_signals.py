@@ -172,3 +172,84 @@ def test_bands_and_hilbert():
     tone = np.cos(2 * np.pi * 0.2 * np.arange(400))
     turned = np.convolve(tone, K.hilbert_taps(), "same")
     assert np.allclose(turned[50:350], np.sin(2 * np.pi * 0.2 * np.arange(400))[50:350], atol=0.02)
+
+
+def channels(spark, lengths, seed=6):
+    rng = np.random.default_rng(seed)
+    data = {k: rng.normal(size=n).cumsum() for k, n in lengths.items()}
+    rows = [(k, i, float(v)) for k, x in data.items() for i, v in enumerate(x)]
+    rng.shuffle(rows)
+    return data, spark.createDataFrame([(r[0], int(r[1]), float(r[2])) for r in rows], "k string, sample_idx long, v double")
+
+
+LENGTHS = {"a": 1000, "b": 64, "c": 127, "d": 129, "e": 5, "f": 1, None: 200, "g": 2}
+
+
+@pytest.mark.parametrize(("kind", "cutoff"), [("high", 0.5), ("low", 50), ("high", 100)])
+def test_zero_phase_by_chunks(spark, kind, cutoff):
+    data, df = channels(spark, LENGTHS)
+    got = S.zero_phase_filter(df, ["k"], "sample_idx", "v", cutoff, 1250, kind, chunk=64).toPandas()
+    assert len(got) == sum(LENGTHS.values())
+    b, a = K.butter2(cutoff, 1250, kind)
+    for k, x in data.items():
+        own = got[got.k.isna() if k is None else got.k == k].sort_values("sample_idx")
+        assert own.sample_idx.tolist() == list(range(len(x)))
+        assert np.allclose(own.y, K.zero_phase(b, a, x), atol=1e-9, rtol=1e-9)
+
+
+@pytest.mark.parametrize(("p", "q"), [(2, 25), (1250, 20000), (3, 2), (1, 1), (3, 10)])
+def test_resample_by_chunks(spark, p, q):
+    data, df = channels(spark, LENGTHS)
+    got = S.resample(df, ["k"], "sample_idx", "v", p, q, chunk=64).toPandas()
+    for k, x in data.items():
+        own = got[got.k.isna() if k is None else got.k == k].sort_values("sample_idx")
+        want = K.resample(x, p, q)
+        assert own.sample_idx.tolist() == list(range(len(want)))
+        assert np.allclose(own.y, want, atol=1e-9, rtol=1e-9)
+
+
+def test_signals_without_keys_and_with_gaps(spark):
+    data, df = channels(spark, {"a": 300})
+    got = S.zero_phase_filter(df, [], "sample_idx", "v", 5, 1250, chunk=64).orderBy("sample_idx").toPandas().y
+    assert np.allclose(got, K.zero_phase(*K.butter2(5, 1250, "high"), data["a"]))
+    got = S.resample(df, [], "sample_idx", "v", 1, 4, chunk=64).orderBy("sample_idx").toPandas().y
+    assert np.allclose(got, K.resample(data["a"], 1, 4))
+    assert S.zero_phase_filter(df.limit(0), ["k"], "sample_idx", "v", 5, 1250).count() == 0
+    with pytest.raises(Exception, match="not numbered"):
+        S.resample(df.where("sample_idx <> 7"), ["k"], "sample_idx", "v", 1, 4).count()
+
+
+def test_no_row_is_lost_to_a_null(spark):
+    """Rows with null keys are a group of their own; null values stay, or are left out where a docstring says so."""
+    rows = [("a", 0, 1.0), ("a", 1, None), (None, 0, 4.0), (None, 1, 6.0), (None, 2, None)]
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    at = lambda out, c: sorted(((r.k, r.i, r[c]) for r in out.collect()), key=str)
+    want = lambda *v: sorted(zip([r[0] for r in rows], [r[1] for r in rows], v, strict=True), key=str)
+    assert at(S.remove_median(df, ["k"], ["v"]), "v") == want(0.0, None, -1.0, 1.0, None)
+    assert at(S.remove_median(df, [], ["v"]), "v") == want(-3.0, None, 0.0, 2.0, None)
+    assert at(S.with_statistic(df, ["k"], n=F.count("v")), "n") == want(1, 1, 2, 2, 2)
+    assert at(S.equalise_histogram(df, ["k"], "v"), "equalised") == want(1, None, 0, 255, None)
+    assert at(O.running_sum(df, ["k"], "i", "v", "s", 2), "s") == want(1.0, 1.0, 4.0, 10.0, 10.0)
+    assert at(O.fir(df, ["k"], "i", "v", [1.0, 0.5], chunk=2), "y") == want(1.0, 0.5, 4.0, 8.0, 3.0)
+    assert at(O.moving_average(df, ["k"], "i", "v", 2, chunk=2), "y") == want(1.0, 1.0, 4.0, 5.0, 6.0)
+    assert at(O.iir_filter(df, ["k"], ["i"], "v", [1.0], [1.0, -0.5]), "y") == want(1.0, 0.5, 4.0, 8.0, 4.0)
+    assert at(S.zip_signals(df, df.select("k", "i", F.col("v").alias("w")), ["k"], "i"), "w") == want(1.0, None, 4.0, 6.0, None)
+    assert at(S.resample_by_join(df, ["k"], "i", "v", 1, 1, [1.0]), "y") == want(1.0, None, 4.0, 6.0, None)
+    assert at(S.attach_frames(df, df.select("k", F.col("i").alias("frame_idx"), F.col("v").alias("w")), ["k"], "i", 1), "w") == want(1.0, None, 4.0, 6.0, None)
+    assert at(O.first_difference(df, ["k"], ["i"], "v"), "step") == want(1.0, None, 4.0, 2.0, None)
+    assert at(O.every_other(df, ["k"], ["i"]), "v") == [("a", 0, 1.0), (None, 0, 4.0), (None, 2, None)]
+    assert at(O.greedy_refractory(df, ["k"], ["i"], "v", 1.0), "v") == [("a", 0, 1.0), (None, 0, 4.0), (None, 1, 6.0)]
+    assert at(E.interval_filter(df, ["k"], "v", 0.5), "v") == [("a", 0, 1.0), (None, 0, 4.0), (None, 1, 6.0)]
+    words = df.withColumn("v", F.col("v").cast("long"))
+    edges = {(r.k, r.phase, r.tick) for r in O.threshold_edges(words, ["k"], "i", "v", 3).collect()}
+    assert edges == {(None, "start", 1), (None, "end", 3)}
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 64, 1 << 20])
+def test_short_filters_by_chunks(spark, chunk):
+    x = np.random.default_rng(9).normal(size=200)
+    taps = [0.4, -0.3, 0.2, 0.1, 0.05]
+    df = signal(spark, x.tolist())
+    assert np.allclose(O.fir(df, ["k"], "sample_idx", "v", taps, chunk=chunk).orderBy("sample_idx").toPandas().y, np.convolve(x, taps)[:200])
+    got = O.moving_average(df, ["k"], "sample_idx", "v", 7, chunk=chunk).orderBy("sample_idx").toPandas().y
+    assert np.allclose(got, [x[max(0, i - 6) : i + 1].mean() for i in range(200)])
