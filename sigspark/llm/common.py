@@ -40,14 +40,19 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-#: In a folder of scheme file:, the default file system starts processes (chmod) for each file that a task creates; the raw
-#: one does not. Other schemes are not touched.
+#: In a folder of scheme file:, a chmod process is started for each file and checksum file that a task creates; the raw file
+#: system writes no checksum files (Parquet's pages have their own). Other schemes are not touched.
 PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage through a table in the shared folder, which outlives any executor."""
+def materialize(df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
+    """Cut the lineage through a table in the shared folder, which outlives any executor.
+
+    narrow: the rows are few and short, so that one more shuffle of them, which
+    Spark sizes by bytes, is less than a small file from each task.
+    """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, tag)
+    df = df.hint("rebalance") if narrow else df
     df.write.options(**PLAIN_FILES).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

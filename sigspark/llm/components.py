@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+#: Edges of a task of a round that has too few for all tasks.
+EDGES_A_TASK = 200_000
+
+
 def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.min("v").alias("m"))
 
@@ -40,7 +44,12 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.select("u", "v").where("u <> v").distinct(), "edges")
     seen = _print(now)
     while seen[0]:
-        now = materialize(_small_star(_large_star(now)), "edges")
+        now = _small_star(_large_star(now))
+        # a round makes about as many edges as it was given
+        parts = -(-seen[0] // EDGES_A_TASK)
+        if parts < int(now.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            now = now.coalesce(parts)
+        now = materialize(now, "edges")
         if (new := _print(now)) == seen:
             break
         seen = new

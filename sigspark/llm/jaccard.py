@@ -117,7 +117,7 @@ def frequent_bits(docs: DataFrame) -> np.ndarray:
     # about a shingle a word, four bytes each
     n_ranges = parts_for(spark, text_bytes(docs))
     counts = docs.select("text").mapInArrow(lambda b: _count_shingles(b, n_ranges), "part long, once binary, many binary, counts binary")
-    found = materialize(counts.repartition(n_ranges, "part").groupBy("part").applyInArrow(_sum_counts, "low long, n long"), "frequent")
+    found = materialize(counts.repartition(n_ranges, "part").groupBy("part").applyInArrow(_sum_counts, "low long, n long"), "frequent", narrow=True)
     by_size = found.groupBy(F.floor(F.log2("n")).alias("k")).count().orderBy(F.desc("k")).collect()  # a row for each power of two
     least, held = 0, 0
     for row in by_size:
@@ -441,7 +441,7 @@ class _Search:
         ends = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         full = join_checked(self.docs, ends, "doc_id", "left_semi", BROADCAST_ROWS)
         full = materialize(full.mapInArrow(_full_sets, "rep long, hashes binary").where("length(hashes) > 0"), "sets")
-        return materialize(verify(likely, full), "links")
+        return materialize(verify(likely, full), "links", narrow=True)
 
     def shared_ids(self) -> DataFrame:
         """(u, v): each doc_id that rows of different sets share, with the representatives of their classes."""
