@@ -33,6 +33,8 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,8 @@ WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Words that are sent to the workers, and characters that a word of the lattice has at most (bits of its state).
 TABLE_WORDS = 300_000
 MASK_BITS = 60
+#: Above all merge ranks.
+NEVER = 1 << 30
 #: Distinct words that a task counts before it hands them on.
 FLUSH_WORDS = 300_000
 
@@ -79,19 +83,19 @@ class Vocabulary:
         return Vocabulary(ids, {p: order[m.get_score(i)] for p, i in ids.items()}, names, byte_ids, m.unk_id())
 
     def fold(self, word: str) -> list[str]:
-        """Symbols of a word: as ``encode_words``, but only edges that span two symbols are looked up, step by step."""
+        """Symbols of a word: as ``encode_words``, but only edges that span two symbols are looked up, those beside the last merge anew."""
         if len(word) > MASK_BITS:
             return self._fold_long(word)
-        symbols, ranks = list(word), self.ranks
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                r = ranks.get(symbols[i] + symbols[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if at < 0:
-                break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        symbols, rank = list(word), self.ranks.get
+        ranks = list(map(rank, map(add, word, word[1:]), repeat(NEVER)))
+        while ranks and (best := min(ranks)) != NEVER:
+            at = ranks.index(best)
+            symbols[at] = joined = symbols[at] + symbols.pop(at + 1)
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank(joined + symbols[at + 1], NEVER)
+            if at:
+                ranks[at - 1] = rank(symbols[at - 1] + joined, NEVER)
         return symbols
 
     def _fold_long(self, word: str) -> list[str]:
@@ -237,32 +241,35 @@ class _Shared:
         own = (names[a:b].decode()[1:] for a, b in zip([0, *ends], ends))
         return Vocabulary(*vocab), {w: ids[a:b].tobytes() for w, a, b in zip(own, cuts[:-1], cuts[1:], strict=True)}
 
-    def get(self) -> tuple[Vocabulary, dict[str, bytes]]:
-        return in_worker(self.ident, self._unpack)
+    def get(self) -> _Words:
+        return in_worker(self.ident, lambda: _Words(*self._unpack()))
+
+
+#: Words beside the table's that a worker remembers, from task to task.
+REMEMBERED = 400_000
 
 
 class _Words(dict):
-    """Ids of words by key: the shared table's, or folded here."""
+    """Ids of words by key: the shared table's, and those folded here, which are forgotten when they are too many."""
 
     def __init__(self, vocab: Vocabulary, known: dict[str, bytes]):
+        super().__init__(known)
         self.vocab, self.known = vocab, known
 
     def __missing__(self, key: str) -> bytes:
-        got = self.known.get(key)
-        if got is None:
-            got = array("i", self.vocab.encode_word(SPACE + key)).tobytes()
-        self[key] = got
+        got = self[key] = array("i", self.vocab.encode_word(SPACE + key)).tobytes()
         return got
 
-
-#: Words that a worker remembers.
-REMEMBERED = 400_000
+    def bound(self) -> None:
+        if len(self) > len(self.known) + REMEMBERED:
+            self.clear()
+            self.update(self.known)
 
 
 @tidy
 def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decode: bool, digest: bool) -> Iterator[pa.RecordBatch]:
-    vocab, known = shared.get()
-    words = _Words(vocab, known)
+    words = shared.get()
+    vocab = words.vocab
     first = min(vocab.byte_ids)
     for batch in batches:
         ids, same = [], []
@@ -270,8 +277,7 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decod
             keys = keys_of(t) if t else []
             ids.append(np.frombuffer(b"".join([words[k] for k in keys]), np.int32))
             same.append(vocab.decode(ids[-1].tolist())[1:] == (t or "").encode() if decode else None)
-            if len(words) > REMEMBERED:
-                words.clear()
+            words.bound()
         made = {"round_trip": pa.array(same, pa.bool_())}
         if digest:
             made["n_tokens"] = pa.array(map(len, ids), pa.int64())

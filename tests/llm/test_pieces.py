@@ -71,7 +71,7 @@ def test_round_trip_decodes_the_ids_of_the_document(monkeypatch):
         vocab = pieces.Vocabulary.load()
 
         def get(self):
-            return self.vocab, {}
+            return pieces._Words(self.vocab, {})
 
     texts = [None, "", "one", "one two two three", "a  b ", f"x{pieces.SPACE}y", "one one"]
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.nulls(len(texts), pa.list_(pa.int32())), pa.nulls(len(texts), pa.bool_())], names=["text", "token_ids", "round_trip"])
