@@ -180,12 +180,27 @@ def rotated(matrix: Column | str, x: Column, y: Column, z: Column) -> Column:
     return F.struct(row(0).alias("x"), row(1).alias("y"), row(2).alias("z"))
 
 
+def ten_to_eight(c: Column | str) -> Column:
+    """A 10-bit value on the scale of 8 bits, its fraction kept."""
+    return col(c) / 4.0
+
+
 def utf16_string(text: Column | str) -> Column:
     """struct<length, bytes>: UTF-16 little-endian with its byte length; an empty string has length 0."""
     data = F.encode(col(text), "UTF-16LE")
     return F.struct(F.octet_length(data).cast("long").alias("length"), data.alias("bytes"))
 
 
+def xml_text(xml: Column | str, tag: str) -> Column:
+    """Text of the first such element without others inside, any case; empty where there is none."""
+    return F.regexp_extract(col(xml), rf"(?i)<{tag}>([^<]*)</{tag}>", 1)
+
+
+def xml_count(xml: Column | str, tag: str) -> Column:
+    """Number of opening tags without attributes, any case."""
+    return F.size(F.regexp_extract_all(col(xml), F.lit(rf"(?i)<{tag}>"), F.lit(0))).cast("long")
+
+
 def xml_number(xml: Column | str, tag: str) -> Column:
     """First number in a tag, any case."""
     return F.regexp_extract(col(xml), rf"(?i)<{tag}>\s*(-?[0-9]+)\s*</{tag}>", 1).try_cast("int")

@@ -189,9 +189,113 @@ def orientation(acc: np.ndarray, gyr: np.ndarray, mag: np.ndarray | None, fs: fl
     return out
 
 
+#: Variances that the published nine-axis filter starts from (accelerometer, gyroscope, its drift, linear
+#: acceleration, magnetometer, magnetic disturbance), its two decay factors, field strength in uT and first error variances.
+AHRS_NOISE = {"acc": 0.00019247, "gyr": 9.1385e-5, "drift": 3.0462e-13, "linear": 0.0096236, "mag": 0.1, "disturbance": 0.5}
+AHRS_DECAY, AHRS_FIELD = 0.5, 50.0
+AHRS_FIRST = [6.092348396e-6] * 3 + [7.6154354947e-5] * 3 + [0.009623610] * 3 + [0.6] * 3
+GRAVITY = 9.81
+
+
+def _skew(v: np.ndarray) -> np.ndarray:
+    return np.array([[0.0, v[2], -v[1]], [-v[2], 0.0, v[0]], [v[1], -v[0], 0.0]])
+
+
+def _turned(q: np.ndarray, rotation: np.ndarray) -> np.ndarray:
+    """q followed by a rotation vector, of unit length."""
+    angle = np.sqrt(rotation @ rotation)
+    half = 0.5 - angle * angle / 48 if angle < 1e-4 else np.sin(angle / 2) / angle
+    q = product(q, np.concatenate(([np.cos(angle / 2)], half * rotation)))
+    return q / np.sqrt(q @ q)
+
+
+def compass(acc: np.ndarray, mag: np.ndarray) -> np.ndarray:
+    """Quaternion of the frame whose third axis lies along acc and whose first points to magnetic north."""
+    down = acc / np.linalg.norm(acc)
+    east = np.cross(down, mag)
+    east = east / np.linalg.norm(east)
+    return quaternion_of(np.stack((np.cross(east, down), east, down)))
+
+
+def quaternion_of(r: np.ndarray) -> np.ndarray:
+    """Unit quaternion with a positive first part of a rotation matrix."""
+    four = np.array([1 + r[0, 0] + r[1, 1] + r[2, 2], 1 + r[0, 0] - r[1, 1] - r[2, 2], 1 - r[0, 0] + r[1, 1] - r[2, 2], 1 - r[0, 0] - r[1, 1] + r[2, 2]])
+    k = int(four.argmax())
+    pairs = [[four[0], r[2, 1] - r[1, 2], r[0, 2] - r[2, 0], r[1, 0] - r[0, 1]], [r[2, 1] - r[1, 2], four[1], r[0, 1] + r[1, 0], r[0, 2] + r[2, 0]], [r[0, 2] - r[2, 0], r[0, 1] + r[1, 0], four[2], r[1, 2] + r[2, 1]], [r[1, 0] - r[0, 1], r[0, 2] + r[2, 0], r[1, 2] + r[2, 1], four[3]]]
+    q = np.array(pairs[k])
+    return q / np.linalg.norm(q) * (-1 if q[0] < 0 else 1)
+
+
+class Ahrs:
+    """Orientation by an error-state Kalman filter over nine axes, as published for attitude and heading reference systems.
+
+    The twelve errors are those of orientation, gyroscope offset, linear
+    acceleration and magnetic disturbance; they are estimated anew at each
+    sample from gravity and field as predicted and as measured, and taken out
+    of the state. A field that is disturbed by more than twice its strength is
+    not used.
+    """
+
+    def __init__(self, fs: float):
+        self.fs, self.q = fs, None
+        self.offset, self.linear = np.zeros(3), np.zeros(3)
+        self.variance, self.field = np.array(AHRS_FIRST), np.array([AHRS_FIELD, 0.0, 0.0])
+
+    def step(self, acc: np.ndarray, gyr: np.ndarray, mag: np.ndarray) -> np.ndarray:
+        if self.q is None:
+            self.q = self._first(acc, mag)
+        dt, noise = 1 / self.fs, AHRS_NOISE
+        q = _turned(self.q, (gyr - self.offset) * dt)
+        r = matrix_of(q)
+        gravity, field = GRAVITY * r[2], self.field @ r
+        prior = AHRS_DECAY * self.linear
+        seen = np.concatenate((gravity - (acc - prior), field - mag))
+
+        p = np.diag(self._predicted(dt))
+        cross = -dt * (self.variance[3:6] + noise["drift"])
+        i = np.arange(3)
+        p[i, i + 3] = p[i + 3, i] = cross
+        h = np.zeros((6, 12))
+        for k, v in ((0, gravity), (3, field)):
+            h[k : k + 3, :3] = _skew(v)
+            h[k : k + 3, 3:6] = -dt * h[k : k + 3, :3]
+        h[i, i + 6], h[i + 3, i + 9] = 1.0, -1.0
+        turn = dt * dt * (noise["drift"] + noise["gyr"])
+        error = np.repeat((noise["acc"] + noise["linear"] + turn, noise["mag"] + noise["disturbance"] + turn), 3)
+
+        gain = p @ h.T @ np.linalg.inv(h @ p @ h.T + np.diag(error))
+        x = gain @ seen
+        jammed = x[9:] @ x[9:] > 4 * AHRS_FIELD**2
+        if jammed:
+            x = p @ h[:3].T @ np.linalg.inv(h[:3] @ p @ h[:3].T + np.diag(error[:3])) @ seen[:3]
+        self.variance = np.diag(p) - np.einsum("ij,ji->i", gain, h @ p)
+        self.q = _turned(q, x[:3])
+        self.offset, self.linear = self.offset + x[3:6], prior - x[6:9]
+        if not jammed:
+            self._point_field(self.field + matrix_of(self.q) @ x[9:])
+        return self.q
+
+    def _first(self, acc: np.ndarray, mag: np.ndarray) -> np.ndarray:
+        if np.linalg.norm(np.cross(acc, mag)) == 0:
+            return np.array([1.0, 0, 0, 0])
+        q = compass(acc, mag)
+        self._point_field(matrix_of(q) @ mag)
+        return q
+
+    def _point_field(self, field: np.ndarray) -> None:
+        dip = np.clip(np.arctan2(field[2], field[0]), -np.pi / 2, np.pi / 2)
+        self.field = AHRS_FIELD * np.array([np.cos(dip), 0.0, np.sin(dip)])
+
+    def _predicted(self, dt: float) -> np.ndarray:
+        v, noise = self.variance, AHRS_NOISE
+        drift = v[3:6] + noise["drift"]
+        return np.concatenate((v[:3] + dt * dt * (drift + noise["gyr"]), drift, AHRS_DECAY**2 * v[6:9] + noise["linear"], AHRS_DECAY**2 * v[9:] + noise["disturbance"]))
+
+
 def product(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    a, u, b, v = p[0], p[1:], q[0], q[1:]
-    return np.concatenate(([a * b - u @ v], a * v + b * u + np.cross(u, v)))
+    a, b, c, d = p
+    e, f, g, h = q
+    return np.array([a * e - b * f - c * g - d * h, a * f + b * e + c * h - d * g, a * g - b * h + c * e + d * f, a * h + b * g - c * f + d * e])
 
 
 def matrix_of(q: np.ndarray) -> np.ndarray:

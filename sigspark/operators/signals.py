@@ -57,6 +57,16 @@ def with_statistic(df: DataFrame, keys: list[str], **statistics: Column) -> Data
     return same_keys(df, groups, keys)
 
 
+def medians(df: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
+    """(keys, names): exact medians of columns by group; nulls do not count."""
+    return df.groupBy(*keys).agg(*(F.median(v).alias(n) for n, v in values.items()))
+
+
+def mean_std(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, n, mean, std): rows, mean and sample standard deviation by group."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
+
+
 def remove_median(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Gyroscope bias, gravity: values less the median of their group."""
     out = with_statistic(df, keys, **{f"_m{i}": F.median(v) for i, v in enumerate(values)})
@@ -266,13 +276,18 @@ def resample_by_join(df: DataFrame, keys: list[str], index: str, value: str, p:
     return met.groupBy(*keys, F.floor(at / q).cast("long").alias(index)).agg(F.sum(F.col("_x") * F.get(weights, F.col("_k"))).alias("y"))
 
 
-def fuse_orientation(df: DataFrame, keys: list[str], index: str, fs: float, gain: float = 0.1) -> DataFrame:
-    """(keys, index, q): quaternion by sample from acc_*, gyr_* and mag_*; one state is carried along each key, rows stream."""
+def fuse_orientation(df: DataFrame, keys: list[str], index: str, fs: float, method: str = "kalman", gain: float = 0.1) -> DataFrame:
+    """(keys, index, q): quaternion by sample from acc_*, gyr_* and mag_*; one state is carried along each key, rows stream.
+
+    method is kalman (``kernels.Ahrs``) or complementary (``kernels.orientation``, with its gain).
+    """
+    if method not in ("kalman", "complementary"):
+        raise ValueError(f"unknown method {method!r}")
     names = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
     slots = df.select(*keys, index, *names).withColumn("q", F.lit(None).cast("array<double>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, q = None, None
+        now, q, state = None, None, None
         for batch in batches:
             held = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
             x = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], 1).astype(float)
@@ -282,22 +297,52 @@ def fuse_orientation(df: DataFrame, keys: list[str], index: str, fs: float, gain
                 end = at
                 while end < len(held) and held[end] == held[at]:
                     end += 1
-                q = q if held[at] == now else None
-                part = K.orientation(x[at:end, :3], x[at:end, 3:6], x[at:end, 6:], fs, gain, q)
-                now, q, at = held[at], part[-1], end
-                out += part.tolist()
+                if held[at] != now:
+                    now, q, state = held[at], None, K.Ahrs(fs)
+                if method == "kalman":
+                    part = [state.step(row[:3], row[3:6], row[6:]).tolist() for row in x[at:end]]
+                else:
+                    part = K.orientation(x[at:end, :3], x[at:end, 3:6], x[at:end, 6:], fs, gain, q).tolist()
+                    q = np.array(part[-1])
+                at = end
+                out += part
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(pa.float64()))], names=batch.schema.names)
 
     return slots.repartition(*keys).sortWithinPartitions(*keys, index).mapInArrow(run, slots.schema).select(*keys, index, "q", *names)
 
 
+def envelope(df: DataFrame, keys: list[str], index: str, value: str, name: str = "envelope") -> DataFrame:
+    """Size of the analytic signal: a Hilbert filter beside the signal delayed by half its length."""
+    from .ordered import fir
+
+    taps = K.hilbert_taps().tolist()
+    half = len(taps) // 2
+    out = fir(df, keys, index, value, taps, "_turned")
+    out = fir(out, keys, index, value, [0.0] * half + [1.0], "_delayed")
+    return out.withColumn(name, F.sqrt(F.col("_turned") * F.col("_turned") + F.col("_delayed") * F.col("_delayed"))).drop("_turned", "_delayed")
+
+
 def dsp_mode(df: DataFrame, keys: list[str], index: str, value: str, mode: str, a: tuple, b: tuple, level: float, seed: int = 0) -> DataFrame:
-    """df with ``dsp1``, ``dsp2`` and ``trigger`` in one of the device's modes: disabled, single, double, cascade, gated, random.
+    """df with ``dsp1``, ``dsp2`` and ``trigger`` in one of the device's modes.
 
-    a and b are (b, a) coefficients of the two causal filters.
+    Modes: disabled, single, single_hilbert, double, double_hilbert, cascade,
+    gated, random. a and b are (b, a) coefficients of the two causal filters;
+    in the Hilbert modes the envelope of a filter's output is compared with the
+    level, in place of the output.
     """
     from .ordered import iir_filter
 
+    if mode.endswith("_hilbert"):
+        out, fired = df, []
+        for name, (num, den) in zip(("dsp1", "dsp2"), (a, b), strict=True):
+            if name == "dsp2" and mode == "single_hilbert":
+                out = out.withColumn("dsp2", F.lit(0.0))
+                continue
+            out = iir_filter(out, keys, [index], value, num, den, "_band")
+            out = envelope(out, keys, index, "_band", name).drop("_band")
+            fired.append(F.col(name) > level)
+        return out.withColumn("trigger", fired[0] if len(fired) == 1 else fired[0] | fired[1])
+
     if mode == "disabled":
         return df.withColumns({"dsp1": F.lit(0.0), "dsp2": F.lit(0.0), "trigger": F.lit(False)})
     if mode == "random":

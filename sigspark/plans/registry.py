@@ -17,6 +17,9 @@ from sigspark.operators import events as E
 from sigspark.operators import frames as V
 from sigspark.operators import ordered as O
 from sigspark.operators import signals as S
+from sigspark.plans import session
+from sigspark.sources import text
+from sigspark.streaming import live
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -49,6 +52,9 @@ def samples(spark: SparkSession, sf: str) -> DataFrame:
 SAMPLES = "s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx, (event_id * 7919) % 65536 AS word FROM events)"
 
 
+VALUES = "s AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx, (event_id * 7919) % 65536 AS word FROM events)"
+
+
 def clicks(spark: SparkSession, sf: str) -> DataFrame:
     """Triggers with milliseconds since the session's first event."""
     e = read(spark, sf, "events").select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
@@ -163,6 +169,27 @@ def start_end_interleave(spark: SparkSession, sf: str) -> DataFrame:
     return E.interleave(e.select("event_id", (F.col("event_id") * 800).alias("a"), (F.col("event_id") * 800 + F.floor("value").cast("long")).alias("b")), ["event_id"], "a", "b")
 
 
+_STIM_MS = 2.0
+_STIMULI = f"""{VALUES}, b AS (SELECT CAST(user_id AS VARCHAR) AS session, CAST(bit AS INTEGER) AS bit, sample_idx, (word >> bit) & 1 AS v FROM s, range(4) r(bit)),
+u AS (SELECT session, bit, (sample_idx + 1) / 1250.0 AS time FROM (SELECT *, lag(v, 1, 0) OVER (PARTITION BY session, bit ORDER BY sample_idx) AS p FROM b) x WHERE v = 1 AND p = 0),
+m AS (SELECT session, bit, time FROM (SELECT *, time - lag(time, 1, 0) OVER (PARTITION BY session, bit ORDER BY time) AS gap FROM u) x WHERE gap > {_STIM_MS} / 1000)"""
+
+
+def _stimuli(spark: SparkSession, sf: str) -> DataFrame:
+    words = samples(spark, sf).select(F.col("user_id").cast("string").alias("session"), "sample_idx", "word")
+    return session.stimulation_events(session.device_events(O.word_edges(words, ["session"], "sample_idx", "word")), [_STIM_MS, 9.0, 9.0, 9.0])
+
+
+@query(f"WITH {_STIMULI} SELECT session, bit, round(time, 6) AS time, 'StimOn start ' || (bit + 1) AS description FROM m")
+def stimulation_list(spark: SparkSession, sf: str) -> DataFrame:
+    return _stimuli(spark, sf).select("session", "bit", F.round("time", 6).alias("time"), "description")
+
+
+@query(f"WITH {_STIMULI} SELECT session, round(time, 6) AS time, 'Detect start 1' AS description FROM m WHERE bit = 0 AND NOT EXISTS (SELECT 1 FROM m o WHERE o.session = m.session AND o.bit = 1 AND o.time = m.time)")
+def detected_only_list(spark: SparkSession, sf: str) -> DataFrame:
+    return session.detected_only(_stimuli(spark, sf)).select("session", F.round("time", 6).alias("time"), "description")
+
+
 @query("SELECT event_id, printf('%.6f' || chr(9) || '%s', (event_id / 1250.0) * 1000.0, 'DigitIn start ' || (event_id % 16 + 1)) AS line FROM events")
 def event_format(spark: SparkSession, sf: str) -> DataFrame:
     label = C.event_label(F.lit("DigitIn"), F.lit("start"), F.col("event_id") % 16 + 1)
@@ -186,12 +213,6 @@ def path_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "pages").select("page_id", C.sibling("url", "http://", "file://").alias("path"))
 
 
-@query("SELECT event_id, user_id FROM events WHERE event_type = 'click' AND event_id >= (SELECT max(event_id) FROM events WHERE event_type = 'view' AND event_id < 500)")
-def stim_ready(spark: SparkSession, sf: str) -> DataFrame:
-    e = read(spark, sf, "events").select("event_id", "user_id", "event_type")
-    return E.after_last(e.where("event_type = 'click'").drop("event_type"), e.where("event_type = 'view' AND event_id < 500"), "event_id")
-
-
 @query("SELECT e.event_id, e.user_id FROM events e LEFT JOIN (SELECT user_id, max(event_id) AS last FROM events WHERE event_type = 'view' GROUP BY user_id) v ON e.user_id = v.user_id WHERE e.event_type = 'click' AND (v.last IS NULL OR e.event_id >= v.last)")
 def stim_ready_by_user(spark: SparkSession, sf: str) -> DataFrame:
     e = read(spark, sf, "events").select("event_id", "user_id", "event_type")
@@ -294,12 +315,14 @@ def acc_gain(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT l_returnflag, round(median(l_quantity), 6) AS m_quantity, round(median(l_extendedprice), 6) AS m_price, round(median(l_discount), 6) AS m_discount FROM lineitem GROUP BY l_returnflag")
 def column_median(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.round(F.median("l_quantity"), 6).alias("m_quantity"), F.round(F.median("l_extendedprice"), 6).alias("m_price"), F.round(F.median("l_discount"), 6).alias("m_discount"))
+    out = S.medians(read(spark, sf, "lineitem"), ["l_returnflag"], {"m_quantity": "l_quantity", "m_price": "l_extendedprice", "m_discount": "l_discount"})
+    return out.select("l_returnflag", *(F.round(c, 6).alias(c) for c in ("m_quantity", "m_price", "m_discount")))
 
 
 @query("SELECT l_returnflag, count(*) AS n, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS std FROM lineitem GROUP BY l_returnflag")
 def mean_std(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("mean"), F.round(F.stddev_samp("l_extendedprice"), 4).alias("std"))
+    out = S.mean_std(read(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice")
+    return out.select("l_returnflag", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
 @query("SELECT l_returnflag, CAST(CASE WHEN l_extendedprice < 0 THEN 0 WHEN l_extendedprice >= 100000 THEN 21 ELSE floor(l_extendedprice * 20 / 100000) + 1 END AS BIGINT) AS bin, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -360,10 +383,16 @@ def iir_first_order(spark: SparkSession, sf: str) -> DataFrame:
     return O.iir_first_order(samples(spark, sf), USER, ["sample_idx"], "value", 0.2137546291).select("user_id", "sample_idx", F.round("y", 6).alias("y"))
 
 
-_BUTTER = K.butter2(100, 1250, "high")
+def _butter_sql(name: str, cutoff: float, kind: str) -> str:
+    """A one-row table of a second-order Butterworth's coefficients and the state that a constant input of 1 holds."""
+    b = "1, -2, 1" if kind == "high" else "k * k, 2 * k * k, k * k"
+    return f"""{name} AS (
+  SELECT *, b2 - a2 * (b0 + b1 + b2) / (1 + a1 + a2) AS s2, b1 + b2 - (a1 + a2) * (b0 + b1 + b2) / (1 + a1 + a2) AS s1 FROM (
+    SELECT b[1] * g AS b0, b[2] * g AS b1, b[3] * g AS b2, 2 * (k * k - 1) * g AS a1, (1 - sqrt(2) * k + k * k) * g AS a2
+    FROM (SELECT k, [{b}] AS b, 1 / (1 + sqrt(2) * k + k * k) AS g FROM (SELECT tan(pi() * {cutoff} / 1250) AS k) x) y) z)"""
 
 
-@query("SELECT " + ", ".join(f"round(CAST({float(v)!r} AS DOUBLE), 9) AS {n}" for n, v in zip(("b0", "b1", "b2", "a1", "a2"), [*_BUTTER[0], *_BUTTER[1][1:]], strict=True)))
+@query(f"WITH {_butter_sql('f', 100, 'high')} SELECT " + ", ".join(f"round({n}, 9) AS {n}" for n in ("b0", "b1", "b2", "a1", "a2")) + " FROM f")
 def filter_design(spark: SparkSession, sf: str) -> DataFrame:
     b, a = K.butter2(100, 1250, "high")
     return spark.range(1).select(*(F.round(F.lit(float(v)), 9).alias(n) for n, v in zip(("b0", "b1", "b2", "a1", "a2"), [*b, *a[1:]], strict=True)))
@@ -383,14 +412,46 @@ def resample_polyphase(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", "sample_idx", F.round("y", 6).alias("y"))
 
 
-@query()
+def _iir_step(x: str, z: str) -> str:
+    """Output and state of the transposed direct form for input x, from the states {z}1 and {z}2 of the row before."""
+    return f"f.b0 * {x} + r.{z}1 AS y, f.b1 * {x} - f.a1 * (f.b0 * {x} + r.{z}1) + r.{z}2 AS {z}1, f.b2 * {x} - f.a2 * (f.b0 * {x} + r.{z}1) AS {z}2"
+
+
+@query(f"""
+WITH RECURSIVE {VALUES}, {_butter_sql("f", 0.5, "high")},
+n AS (SELECT user_id, count(*) AS n, least(6, count(*) - 1) AS pad FROM s GROUP BY user_id),
+x AS (SELECT user_id, n, pad, CAST(sample_idx AS BIGINT) AS i, value FROM s JOIN n USING (user_id)),
+ends AS (SELECT user_id, max(value) FILTER (i = 0) AS head, max(value) FILTER (i = n - 1) AS tail FROM x GROUP BY user_id),
+w AS (
+  SELECT user_id, i + pad AS j, value AS x FROM x
+  UNION ALL SELECT user_id, pad - i, 2 * head - value FROM x JOIN ends USING (user_id) WHERE i BETWEEN 1 AND pad
+  UNION ALL SELECT user_id, 2 * n - 2 - i + pad, 2 * tail - value FROM x JOIN ends USING (user_id) WHERE i BETWEEN n - 1 - pad AND n - 2
+), r AS (
+  SELECT user_id, CAST(-1 AS BIGINT) AS j, CAST(0 AS DOUBLE) AS y, f.s1 * x AS z1, f.s2 * x AS z2 FROM w, f WHERE j = 0
+  UNION ALL SELECT w.user_id, w.j, {_iir_step("w.x", "z")} FROM r JOIN w ON w.user_id = r.user_id AND w.j = r.j + 1, f
+), v AS (SELECT user_id, max(j) OVER (PARTITION BY user_id) - j AS j, y AS x FROM r WHERE j >= 0),
+q AS (
+  SELECT user_id, CAST(-1 AS BIGINT) AS j, CAST(0 AS DOUBLE) AS y, f.s1 * x AS z1, f.s2 * x AS z2 FROM v, f WHERE j = 0
+  UNION ALL SELECT v.user_id, v.j, {_iir_step("v.x", "z").replace("r.z", "q.z")} FROM q JOIN v ON v.user_id = q.user_id AND v.j = q.j + 1, f
+)
+SELECT x.user_id, x.i AS sample_idx, round(CASE WHEN x.n = 1 THEN x.value ELSE q.y END, 4) AS y FROM x JOIN q ON q.user_id = x.user_id AND q.j = x.n - 1 + x.pad - x.i
+""")
 def zero_phase_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return S.zero_phase_filter(samples(spark, sf), USER, "sample_idx", "value", 0.5, 1250).withColumn("y", F.round("y", 6))
+    return S.zero_phase_filter(samples(spark, sf), USER, "sample_idx", "value", 0.5, 1250, chunk=64).withColumn("y", F.round("y", 4))
 
 
-@query()
+_BESSEL = "list_sum(list_transform(range(0, 30), lambda m: power({x} * {x} / 4, m) / power(gamma(m + 1), 2)))"
+
+
+@query(f"""
+WITH {VALUES}, u AS (SELECT k, k - 250 AS t, 5.0 * sqrt(greatest(0, 1 - (k / 250.0 - 1) * (k / 250.0 - 1))) AS x FROM range(501) r(k)),
+t AS (SELECT k, 2 / 25.0 * CASE WHEN t = 0 THEN 1 ELSE sin(pi() * t / 25) / (pi() * t / 25) END * {_BESSEL.format(x="x")} / {_BESSEL.format(x="5.0")} AS c FROM u),
+n AS (SELECT user_id, max(sample_idx) + 1 AS n FROM s GROUP BY user_id)
+SELECT user_id, CAST((sample_idx * 2 + k - 250) // 25 AS BIGINT) AS sample_idx, round(sum(value * c), 6) AS y FROM s JOIN n USING (user_id), t
+WHERE (sample_idx * 2 + k - 250) % 25 = 0 AND sample_idx * 2 + k - 250 >= 0 AND sample_idx * 2 + k - 250 < ceil(n * 2 / 25.0) * 25 GROUP BY 1, 2
+""")
 def resample_channel(spark: SparkSession, sf: str) -> DataFrame:
-    return S.resample(samples(spark, sf), USER, "sample_idx", "value", 2, 25).withColumn("y", F.round("y", 6))
+    return S.resample(samples(spark, sf), USER, "sample_idx", "value", 2, 25, chunk=64).withColumn("y", F.round("y", 6))
 
 
 @query()
@@ -398,7 +459,18 @@ def ahrs_fusion(spark: SparkSession, sf: str) -> DataFrame:
     return S.fuse_orientation(axes(spark, sf), ["label"], "vec_id", 100.0).select("label", "vec_id", *(F.round(F.get("q", F.lit(i)), 6).alias(f"q_{n}") for i, n in enumerate("wxyz")))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {VALUES}, {_butter_sql("f", 4, "high")}, {_butter_sql("g", 12, "low")},
+r AS (
+  SELECT user_id, CAST(-1 AS BIGINT) AS sample_idx, CAST(0 AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS z1, CAST(0 AS DOUBLE) AS z2 FROM s WHERE sample_idx = 0
+  UNION ALL SELECT s.user_id, s.sample_idx, {_iir_step("s.value", "z")} FROM r JOIN s ON s.user_id = r.user_id AND s.sample_idx = r.sample_idx + 1, f
+), q AS (
+  SELECT user_id, CAST(-1 AS BIGINT) AS sample_idx, CAST(0 AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS x, CAST(0 AS DOUBLE) AS z1, CAST(0 AS DOUBLE) AS z2 FROM s WHERE sample_idx = 0
+  UNION ALL SELECT a.user_id, a.sample_idx, g.b0 * a.y + q.z1, a.y, g.b1 * a.y - g.a1 * (g.b0 * a.y + q.z1) + q.z2, g.b2 * a.y - g.a2 * (g.b0 * a.y + q.z1)
+  FROM q JOIN r a ON a.user_id = q.user_id AND a.sample_idx = q.sample_idx + 1, g
+)
+SELECT user_id, sample_idx, round(x, 6) AS dsp1, round(y, 6) AS dsp2, y > 5.0 AS trigger FROM q WHERE sample_idx >= 0
+""")
 def dsp_cascade(spark: SparkSession, sf: str) -> DataFrame:
     modes = S.dsp_mode(samples(spark, sf), USER, "sample_idx", "value", "cascade", K.butter2(4, 1250, "high"), K.butter2(12, 1250), 5.0)
     return modes.select("user_id", "sample_idx", F.round("dsp1", 6).alias("dsp1"), F.round("dsp2", 6).alias("dsp2"), "trigger")
@@ -445,19 +517,40 @@ def hist_equalise(spark: SparkSession, sf: str) -> DataFrame:
     return S.equalise_histogram(long, ["vec_id"], "v").select("vec_id", "place", F.col("equalised").cast("int").alias("equalised"))
 
 
-@query()
+_BAD = [1, 10, 11, 12, 64]
+
+
+def _repair_sql(width: int, bad: list[int]) -> str:
+    """A chain of tables, each with one more listed pixel of the image replaced by the median of its clamped neighbourhood."""
+    steps = ["i0 AS (SELECT vec_id, list_transform(pixels, lambda v: CAST(v AS DOUBLE)) AS x FROM p)"]
+    for k, n in enumerate(bad):
+        row, column = (n - 1) // width, (n - 1) % width
+        near = [f"x[{a * width + b + 1}]" for a in range(max(row - 1, 0), min(row + 2, width)) for b in range(max(column - 1, 0), min(column + 2, width))]
+        steps.append(f"i{k + 1} AS (SELECT vec_id, list_concat(x[1:{n - 1}], [list_aggregate([{', '.join(near)}], 'median')], x[{n + 1}:]) AS x FROM i{k})")
+    return ", ".join(steps)
+
+
+@query(f"WITH {PIXELS}, {_repair_sql(8, _BAD)} SELECT vec_id, array_to_string(list_transform(x, lambda v: CAST(trunc(v) AS INTEGER)), ',') AS image FROM i{len(_BAD)}")
 def badpixel_median(spark: SparkSession, sf: str) -> DataFrame:
-    return V.repair_pixels(pixels(spark, sf), "pixels", 8, [1, 10, 11, 12, 64]).select("vec_id", F.array_join(F.transform("image", lambda v: v.cast("int")), ",").alias("image"))
+    return V.repair_pixels(pixels(spark, sf), "pixels", 8, _BAD).select("vec_id", F.array_join(F.transform("image", lambda v: v.cast("int")), ",").alias("image"))
 
 
-@query()
+@query(f"""
+WITH {PIXELS}, v AS (SELECT vec_id, (place - 1) // 8 AS r, (place - 1) % 8 AS c, pixels[place] AS v FROM p, range(1, 65) t(place)),
+m AS (SELECT *, CASE WHEN r % 2 = 0 AND c % 2 = 0 THEN 2 WHEN r % 2 = 1 AND c % 2 = 1 THEN 0 ELSE 1 END AS have FROM v),
+o AS (
+  SELECT a.vec_id, a.r, a.c, ch, CASE WHEN a.have = ch THEN any_value(a.v) ELSE sum(b.v * (2 - abs(a.r - b.r)) * (2 - abs(a.c - b.c))) / CAST(sum((2 - abs(a.r - b.r)) * (2 - abs(a.c - b.c))) AS DOUBLE) END AS x
+  FROM m a, range(3) k(ch), m b WHERE a.vec_id = b.vec_id AND b.have = ch AND abs(a.r - b.r) < 2 AND abs(a.c - b.c) < 2 GROUP BY a.vec_id, a.r, a.c, a.have, ch
+)
+SELECT vec_id, string_agg(CAST(round(CAST(x AS DOUBLE), 4) AS VARCHAR), ',' ORDER BY r, c, ch) AS image FROM o GROUP BY vec_id
+""")
 def demosaic(spark: SparkSession, sf: str) -> DataFrame:
     return V.demosaic(pixels(spark, sf), "pixels", 8).select("vec_id", F.array_join(F.transform("image", lambda v: F.round(v, 4)), ",").alias("image"))
 
 
 @query("SELECT event_id, (event_id * 37 % 1024) / 4.0 AS v FROM events")
 def scale_10_to_8(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "events").select("event_id", ((F.col("event_id") * 37 % 1024) / 4.0).alias("v"))
+    return read(spark, sf, "events").select("event_id", C.ten_to_eight(F.col("event_id") * 37 % 1024).alias("v"))
 
 
 # -- text scans, headers, streaming windows ---------------------------------------------------
@@ -465,7 +558,7 @@ def scale_10_to_8(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT page_id, regexp_extract(html, '(?i)<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '(?i)<li>')) AS n_items FROM pages")
 def xml_regex(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "pages").select("page_id", F.regexp_extract("html", "(?i)<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(?i)<li>"), F.lit(0))).cast("long").alias("n_items"))
+    return read(spark, sf, "pages").select("page_id", C.xml_text("html", "title").alias("title"), C.xml_count("html", "li").alias("n_items"))
 
 
 _XML = "'<parameters><nChannels>64</nChannels><samplingRate>20000</samplingRate><channel skip=\"0\">' || (event_id % 7) || '</channel><channel skip=\"1\">3</channel><CHANNEL SKIP=\"0\">' || (event_id % 5) || '</CHANNEL></parameters>'"
@@ -479,7 +572,7 @@ def good_channels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT doc_id, octet_length(encode(text)) // (2 * 4) AS n_samples, CASE WHEN source = 'src0' THEN 1250 ELSE 20000 END AS fs FROM documents")
 def sample_count(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "documents").select("doc_id", F.floor(F.octet_length("text") / 8).cast("long").alias("n_samples"), F.when(F.col("source") == "src0", 1250).otherwise(20000).alias("fs"))
+    return read(spark, sf, "documents").select("doc_id", text.samples_in(F.octet_length("text"), F.lit(4)).alias("n_samples"), F.when(F.col("source") == "src0", 1250).otherwise(20000).alias("fs"))
 
 
 @query("SELECT CAST(n AS INTEGER) AS n, kind, CASE kind WHEN 0 THEN 'A-' || lpad(CAST(n - 1 AS VARCHAR), 3, '0') ELSE 'CH' || (n - 1) END AS name FROM (SELECT n, 0 AS kind FROM range(1, 65) r(n) UNION ALL SELECT n, 3 FROM range(1, 17) r(n))")
@@ -489,12 +582,12 @@ def channel_header(spark: SparkSession, sf: str) -> DataFrame:
     return channel_table(spark, 64)
 
 
-@query("SELECT doc_id, CAST(2 * length(source) AS BIGINT) AS n FROM documents")
+@query("SELECT doc_id, CAST(2 * length(source) AS BIGINT) AS n, array_to_string(list_transform(string_split(source, ''), lambda c: hex(encode(c)) || '00'), '') AS bytes FROM documents")
 def utf16_string(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "documents").select("doc_id", C.utf16_string("source")["length"].alias("n"))
+    s = C.utf16_string("source")
+    return read(spark, sf, "documents").select("doc_id", s["length"].alias("n"), F.hex(s["bytes"]).alias("bytes"))
 
 
 @query("SELECT date_trunc('second', ts) AS second, count(*) AS n_frames FROM events GROUP BY 1")
 def fps_window(spark: SparkSession, sf: str) -> DataFrame:
-    e = read(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    return e.groupBy(F.window("ts", "1 second")).agg(F.count("*").alias("n_frames")).select(F.col("window.start").cast("timestamp_ntz").alias("second"), "n_frames")
+    return live.frames_per_second(read(spark, sf, "events").select("ts"), "ts").select(F.col("window.start").cast("timestamp_ntz").alias("second"), "n_frames")

@@ -253,3 +253,91 @@ def test_short_filters_by_chunks(spark, chunk):
     assert np.allclose(O.fir(df, ["k"], "sample_idx", "v", taps, chunk=chunk).orderBy("sample_idx").toPandas().y, np.convolve(x, taps)[:200])
     got = O.moving_average(df, ["k"], "sample_idx", "v", 7, chunk=chunk).orderBy("sample_idx").toPandas().y
     assert np.allclose(got, [x[max(0, i - 6) : i + 1].mean() for i in range(200)])
+
+
+def test_events_not_before_the_last_of_all(spark):
+    events = spark.createDataFrame([(1.0,), (5.0,), (7.0,)], "t double")
+    assert sorted(r.t for r in E.after_last(events, spark.createDataFrame([(2.0,), (5.0,)], "t double"), "t").collect()) == [5.0, 7.0]
+    assert E.after_last(events, events.limit(0), "t").count() == 3
+
+
+def test_hilbert_modes(spark):
+    """The envelope of a tone is its size, where the tone itself falls below the level twice a period."""
+    t = np.arange(500)
+    df = signal(spark, (2.0 * np.cos(2 * np.pi * 0.2 * t)).tolist())
+    same = ([1.0, 0.0], [1.0, 0.0])
+    one = S.dsp_mode(df, ["k"], "sample_idx", "v", "single_hilbert", same, same, 1.8).orderBy("sample_idx").toPandas()
+    assert np.allclose(one.dsp1[100:], 2.0, atol=0.1) and one.trigger[100:].all() and (one.dsp2 == 0).all()
+    plain = S.dsp_mode(df, ["k"], "sample_idx", "v", "single", same, same, 1.8).toPandas()
+    assert 0 < plain.trigger.sum() < 200
+    both = S.dsp_mode(df, ["k"], "sample_idx", "v", "double_hilbert", ([0.1, 0.0], [1.0, 0.0]), same, 1.8).orderBy("sample_idx").toPandas()
+    assert (both.dsp1 < 1).all() and both.trigger[100:].all()
+
+
+def turning(n, fs, seed=3):
+    """Nine axes of a device that turns about changing axes, its true quaternions and a gyroscope offset."""
+    rng = np.random.default_rng(seed)
+    at = np.arange(n) / fs
+    rate = np.stack([0.6 * np.sin(2 * np.pi * f * at + p) for f, p in ((0.11, 0.3), (0.17, 1.0), (0.07, 2.0))], 1)
+    q, true = np.array([1.0, 0, 0, 0]), []
+    for w in rate:
+        q = K._turned(q, w / fs)
+        true.append(q)
+    down, north = np.array([0, 0, 9.81]), 50 * np.array([np.cos(0.9), 0, np.sin(0.9)])
+    acc = np.stack([K.matrix_of(t).T @ down for t in true]) + rng.normal(0, 0.02, (n, 3))
+    mag = np.stack([K.matrix_of(t).T @ north for t in true]) + rng.normal(0, 0.3, (n, 3))
+    offset = np.array([0.02, -0.015, 0.01])
+    return acc, rate + offset + rng.normal(0, 0.005, (n, 3)), mag, np.array(true), offset
+
+
+def apart(p, q):
+    """Degrees between quaternions."""
+    return np.degrees(2 * np.arccos(np.clip(np.abs((p * q).sum(1)), 0, 1)))
+
+
+def test_kalman_orientation():
+    acc, gyr, mag, true, offset = turning(3000, 100.0)
+    f = K.Ahrs(100.0)
+    got = np.array([f.step(*row) for row in zip(acc, gyr, mag, strict=True)])
+    assert np.median(apart(got, true)) < 1 and apart(got, true)[200:].max() < 3
+    assert np.abs(f.offset - offset).max() < 0.01
+    # the simpler filter ends nearby
+    simple = K.orientation(acc, gyr, mag, 100.0)
+    assert np.median(apart(got, simple)[500:]) < 5
+
+
+def test_kalman_survives_a_magnet_and_still_air():
+    acc, gyr, mag, true, _ = turning(1500, 100.0)
+    mag[700:800] += 500.0
+    f = K.Ahrs(100.0)
+    got = np.array([f.step(*row) for row in zip(acc, gyr, mag, strict=True)])
+    assert apart(got, true)[1200:].max() < 5
+    f = K.Ahrs(100.0)
+    assert np.allclose(f.step(np.array([0, 0, 9.81]), np.zeros(3), np.array([30.0, 0, 40.0])), [1, 0, 0, 0], atol=1e-6)
+    assert np.isfinite(K.Ahrs(100.0).step(np.zeros(3), np.zeros(3), np.zeros(3))).all()
+
+
+def test_quaternion_of_a_matrix():
+    rng = np.random.default_rng(1)
+    for q in [*rng.normal(size=(20, 4)), *np.eye(4)]:
+        q = q / np.linalg.norm(q)
+        assert np.isclose(abs(K.quaternion_of(K.matrix_of(q)) @ q), 1)
+
+
+def test_orientation_streams_by_key(spark):
+    acc, gyr, mag, *_ = turning(300, 100.0)
+    names = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
+    rows = [(k, i, *map(float, np.concatenate((acc[i], gyr[i], mag[i])))) for k in (1, 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, i long, " + ", ".join(f"{n} double" for n in names))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        for method, want in (("kalman", None), ("complementary", K.orientation(acc, gyr, mag, 100.0))):
+            if want is None:
+                f = K.Ahrs(100.0)
+                want = np.array([f.step(*row) for row in zip(acc, gyr, mag, strict=True)])
+            got = S.fuse_orientation(df, ["k"], "i", 100.0, method).orderBy("k", "i").toPandas()
+            assert np.allclose(np.stack(got.q), np.concatenate((want, want)))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with pytest.raises(ValueError, match="method"):
+        S.fuse_orientation(df, ["k"], "i", 100.0, "none")
