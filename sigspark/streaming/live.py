@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from sigspark.functions import kernels as K
 from sigspark.operators.frames import decode_frames
 
 
@@ -64,9 +66,19 @@ class _Fold(StatefulProcessor):
         pass
 
 
-def _folded(df: DataFrame, keys: list[str], order: list[str], width: int, step: Callable, schema: str) -> DataFrame:
+class _Whole(_Fold):
+    """step(state, rows as a table) -> (state, table): all rows of a key and batch at once, for streams of samples."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable", ignore_index=True)
+        state, made = self.step(self.state.get() if self.state.exists() else None, batch)
+        self.state.update(tuple(float(x) for x in state))
+        yield made[self.columns]
+
+
+def _folded(df: DataFrame, keys: list[str], order: list[str], width: int, step: Callable, schema: str, fold: type[_Fold] = _Fold) -> DataFrame:
     columns = [c.strip().split(" ")[0] for c in schema.split(",")]
-    return df.groupBy(*keys).transformWithStateInPandas(_Fold(order, width, step, columns), schema, "Append", "None")
+    return df.groupBy(*keys).transformWithStateInPandas(fold(order, width, step, columns), schema, "Append", "None")
 
 
 def _schema(df: DataFrame, extra: str = "") -> str:
@@ -84,29 +96,29 @@ def refractory_stream(df: DataFrame, keys: list[str], time: str, least: float) -
 
 
 def iir_stream(df: DataFrame, keys: list[str], index: str, value: str, b: list[float], a: list[float]) -> DataFrame:
-    """df with ``y``: the causal filter, its delays carried from batch to batch."""
-    n = max(len(a), len(b))
-    b, a = [x / a[0] for x in [*b, *[0.0] * (n - len(b))]], [x / a[0] for x in [*a, *[0.0] * (n - len(a))]]
+    """df with ``y``: the causal filter, its delays carried from batch to batch; a null sample counts as 0."""
+    width = max(len(a), len(b)) - 1
 
-    def step(z, row):
-        z, x = z or (0.0,) * (n - 1), row[value]
-        y = b[0] * x + z[0]
-        return tuple(b[k] * x - a[k] * y + (z[k] if k < n - 1 else 0.0) for k in range(1, n)), [row | {"y": y}]
+    def step(state, batch):
+        y, state = K.iir(np.array(b), np.array(a), batch[value].astype(float).fillna(0.0).to_numpy(), None if state is None else np.array(state))
+        return state, batch.assign(y=y)
 
-    return _folded(df, keys, [index], n - 1, step, _schema(df, ", y double"))
+    return _folded(df, keys, [index], width, step, _schema(df, ", y double"), _Whole)
 
 
 def edge_stream(df: DataFrame, keys: list[str], index: str, word: str, n_bits: int = 16) -> DataFrame:
     """(keys, bit, phase, tick): edges as they happen; a run that is still open has no end yet."""
     kinds = dict(df.dtypes)
 
-    def step(state, row):
-        before, now = int(state[0]) if state else 0, int(row[word]) & ((1 << n_bits) - 1)
-        head = {k: row[k] for k in keys}
-        made = [head | {"bit": i, "phase": "start" if now >> i & 1 else "end", "tick": int(row[index]) + 1} for i in range(n_bits) if (before ^ now) >> i & 1]
-        return (now,), made
+    def step(state, batch):
+        now = batch[word].fillna(0).to_numpy().astype(np.int64) & ((1 << n_bits) - 1)
+        changed = now ^ np.concatenate(([int(state[0]) if state else 0], now[:-1]))
+        at, bit = np.nonzero(changed[:, None] >> np.arange(n_bits) & 1)
+        phase = np.where(now[at] >> bit & 1, "start", "end")
+        head = {k: batch[k].to_numpy()[at] for k in keys}
+        return (now[-1],), pd.DataFrame(head | {"bit": bit.astype(np.int32), "phase": phase, "tick": batch[index].to_numpy().astype(np.int64)[at] + 1})
 
-    return _folded(df, keys, [index], 1, step, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "bit int", "phase string", "tick long"]))
+    return _folded(df, keys, [index], 1, step, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "bit int", "phase string", "tick long"]), _Whole)
 
 
 def closed_loop(df: DataFrame, keys: list[str], time: str, value: str, level: float, delay: float, width: float, count: int, period: float, jitter: float = 0.0) -> DataFrame:

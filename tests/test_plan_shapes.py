@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sigspark.operators import ordered as O
+from sigspark.operators import signals as S
 from sigspark.plans import registry
 from sigspark.sources import dat
 
@@ -60,3 +61,25 @@ def test_last_response_is_sought_over_all_ids(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
     assert sorted(map(str, con.execute(registry.ORACLE["stim_ready_by_user"]).fetchall())) == sorted(map(str, want))
+
+
+def test_no_task_gets_a_whole_channel(spark):
+    """Filters and resampling group by key and chunk, and shuffle a channel's samples once."""
+    df = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").alias("i"), F.col("id").cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (S.resample(df, ["k"], "i", "v", 2, 25), S.zero_phase_filter(df, ["k"], "i", "v", 5, 1250)):
+            text = plan(out)
+            groups = re.findall(r"(?:FlatMapGroupsInArrow|FlatMapCoGroupsInArrow) \[([^\]]*)\]", text)
+            by_sample = [g for g in groups if "_chunk" in g]
+            assert by_sample and text.count("Range (") == 1
+            # what is grouped by key alone is a row for each chunk: its length and state, no sample
+            assert all("_state" in g for g in re.findall(r"FlatMapGroupsInArrow \[k#\d+\], [^(]*\(([^)]*)\)", text))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("make_plan", [lambda df: O.fir(df, ["k"], "i", "v", [1.0, 0.5]), lambda df: O.moving_average(df, ["k"], "i", "v", 4)])
+def test_short_filters_window_over_chunks(spark, make_plan):
+    df = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").alias("i"), F.col("id").cast("double").alias("v"))
+    assert re.search(r"hashpartitioning\([^)]*_chunk", plan(make_plan(df)))
