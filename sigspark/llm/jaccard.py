@@ -52,7 +52,7 @@ FREQUENT_BITS = 24
 #: Shingles that a task counts before it sends the counts.
 COUNTED = 500_000
 #: Candidates of a query that are searched at a time and sent to one task.
-CANDIDATES = 256
+CANDIDATES = 64
 #: Rows up to which the list of candidates is broadcast.
 BROADCAST_ROWS = 500_000
 
