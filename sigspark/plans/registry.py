@@ -575,11 +575,11 @@ def sample_count(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "documents").select("doc_id", text.samples_in(F.octet_length("text"), F.lit(4)).alias("n_samples"), F.when(F.col("source") == "src0", 1250).otherwise(20000).alias("fs"))
 
 
-@query("SELECT CAST(n AS INTEGER) AS n, kind, CASE kind WHEN 0 THEN 'A-' || lpad(CAST(n - 1 AS VARCHAR), 3, '0') ELSE 'CH' || (n - 1) END AS name FROM (SELECT n, 0 AS kind FROM range(1, 65) r(n) UNION ALL SELECT n, 3 FROM range(1, 17) r(n))")
+@query("SELECT n, kind, name, printf('%02X000000', 2 * length(name)) || wide || printf('%02X000000', 2 * length(name)) || wide || printf('%02X00%02X00%02X000100%02X000100', n, n, kind, n) || repeat('0', 32) AS record FROM (SELECT *, array_to_string(list_transform(string_split(name, ''), lambda c: hex(encode(c)) || '00'), '') AS wide FROM (SELECT CAST(n AS INTEGER) AS n, kind, CASE kind WHEN 0 THEN 'A-' || lpad(CAST(n - 1 AS VARCHAR), 3, '0') ELSE 'CH' || (n - 1) END AS name FROM (SELECT n, 0 AS kind FROM range(1, 65) r(n) UNION ALL SELECT n, 3 FROM range(1, 17) r(n)) x) y) z")
 def channel_header(spark: SparkSession, sf: str) -> DataFrame:
-    from sigspark.sources.rhd import channel_table
+    from sigspark.sources.rhd import channel_table, with_record
 
-    return channel_table(spark, 64)
+    return with_record(channel_table(spark, 64)).withColumn("record", F.hex("record"))
 
 
 @query("SELECT doc_id, CAST(2 * length(source) AS BIGINT) AS n, array_to_string(list_transform(string_split(source, ''), lambda c: hex(encode(c)) || '00'), '') AS bytes FROM documents")

@@ -32,6 +32,16 @@ def channel_table(spark: SparkSession, nch: int) -> DataFrame:
     return each.select("n", "kind", name.alias("name"))
 
 
+def with_record(channels: DataFrame) -> DataFrame:
+    """channels(n, kind, name) with ``record``: the bytes of each in the header, as ``_channel`` makes them."""
+    word = lambda c: F.format_string("%02X%02X", F.pmod(c, F.lit(256)).cast("int"), F.floor(c / 256).cast("int"))
+    name = utf16_string("name")
+    text = F.concat(word(name["length"]), F.lit("0000"), F.hex(name["bytes"]))
+    n, kind, one, zero = F.col("n"), F.col("kind"), F.lit(1), F.lit(0)
+    fields = [word(c) for c in (n, n, kind, one, n, one, *[zero] * 8)]  # the last two pairs are empty 32-bit floats
+    return channels.withColumn("record", F.unhex(F.concat(text, text, *fields)))
+
+
 def _channel(n: int, kind: int, name: str) -> bytes:
     return q_string(name) * 2 + struct.pack("<10h2f", n, n, kind, 1, n, 1, 0, 0, 0, 0, 0.0, 0.0)
 

@@ -189,3 +189,9 @@ def test_viewer_range(spark, tmp_path):
     (tmp_path / "v.nrs").write_text("<startTime>5000</startTime><duration>700</duration><offset>-3</offset>")
     for compat, until in ((False, 5700), (True, 10000)):
         assert text.read_viewer(spark, str(tmp_path / "v.nrs"), compat).first().until == until
+
+
+def test_channel_records_are_the_headers_bytes(spark):
+    rows = rhd.with_record(rhd.channel_table(spark, 1024)).where("n IN (1, 7, 64, 256, 300, 1000)").collect()
+    assert len(rows) == 10 and all(bytes(r.record) == rhd._channel(r.n, r.kind, r.name) for r in rows)
+    assert all(bytes(r.record) in rhd.header_bytes(20000, 1024) for r in rows)
