@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -45,6 +46,23 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
 PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
+#: Removes a write's shuffle files when it ends, rather than when the driver next collects garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
     """Cut the lineage through a table in the shared folder, which outlives any executor.
 
@@ -53,7 +71,8 @@ def materialize(df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, tag)
     df = df.hint("rebalance") if narrow else df
-    df.write.options(**PLAIN_FILES).option("compression", "zstd").parquet(path)
+    with shuffles_removed(spark):
+        df.write.options(**PLAIN_FILES).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
