@@ -246,7 +246,7 @@ class _Shared:
 
 
 #: Words beside the table's that a worker remembers, from task to task.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class _Words(dict):

@@ -60,3 +60,22 @@ def test_empty(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, DATA).count() == 0
+
+
+def test_repeated_rows_and_rows_without_an_id(spark, tmp_path):
+    """Rows of one doc_id stay or go together; a row without an id is never a near duplicate of another."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where(F.col("doc_id") < 40)
+    once = docs.where("doc_id >= 30")
+    nameless = docs.where("doc_id < 6").withColumn("doc_id", F.lit(None).cast("long"))
+    docs.unionByName(once).unionByName(nameless).unionByName(nameless).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    spark.read.parquet(str(tmp_path / "documents.parquet")).dropDuplicates(["doc_id"]).where("doc_id IS NOT NULL").write.parquet(str(tmp_path / "once/documents.parquet"))
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(str(tmp_path / "once/benchmark.parquet"))
+    single = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path / "once")).collect()}
+    counts = {}
+    for r in got:
+        counts[r.doc_id] = counts.get(r.doc_id, 0) + 1
+    assert {d: n for d, n in counts.items() if d is not None} == {d: 1 + (d >= 30) for d in single}
+    assert counts[None] == 2 * sum(d < 6 for d in single)
+    assert all(r.token_ids == single[r.doc_id].token_ids for r in got if r.doc_id is not None)
