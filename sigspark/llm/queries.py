@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, contamination, jaccard, language, media, pieces, quality, secrets, suffix_dedup, warc
+from . import chat, contamination, jaccard, language, lloyd, media, merges, pieces, quality, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_secret_scans": secrets.op10_secret_scans,
+    "op11_bpe": merges.op11_bpe,
+    "op12_lloyd": lloyd.op12_lloyd,
 }
 
 #: Further queries of an operator, over the table that has the rest of its evidence.
@@ -27,4 +29,5 @@ ORACLE = {
     "op8_chat_formatting": chat.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
     "op10_secret_scans": secrets.OP10_SQL,
+    "op12_lloyd": lloyd.OP12_SQL,
 }

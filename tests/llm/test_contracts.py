@@ -20,6 +20,8 @@ CONTRACTS = {
     "op8_chat_formatting": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
     "op9_jaccard_join": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op10_secret_scans": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
+    "op11_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op12_lloyd": "vec_id bigint, cluster int, distance bigint, cluster_inertia bigint, inertia bigint, centroid_sha256 string",
 }
 
 
