@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigspark.functions import columns as C
@@ -53,3 +54,34 @@ def after_last(events: DataFrame, others: DataFrame, time: str, keys: list[str]
         return joined.select(*events.columns)
     last = others.agg(F.max(time).alias("_last"))
     return events.join(F.broadcast(last), F.col("_last").isNull() | (F.col(time) >= F.col("_last"))).drop("_last")
+
+
+def time_parts(events: DataFrame, time: str, size: int, before: int, after: int, part: str = "part") -> DataFrame:
+    """events with ``part`` (time // size) and ``own``: a row near a border is also sent to the part beside it, there not own.
+
+    What reaches at most ``before`` back and ``after`` ahead (both at most ``size``, the
+    ends included) can then be computed for each part's own rows by itself, so
+    that a long session is many tasks. Rows without a time are left out.
+    """
+    if not (0 <= before <= size and 0 <= after <= size):
+        raise ValueError("a part is to be at least as long as what is looked back and ahead")
+    own = F.floor(F.col(time) / F.lit(size)).cast("long")
+    place = F.pmod(F.col(time), F.lit(size))
+    reach = F.array_compact(F.array(own, F.when(place <= after, own - 1), F.when(place >= size - before, own + 1)))
+    dealt = events.where(F.col(time).isNotNull()).withColumn(part, F.explode(reach))
+    return dealt.withColumn("own", F.col(part) == own)
+
+
+def with_previous(events: DataFrame, keys: list[str], order: list[str], which: Column, name: str) -> DataFrame:
+    """events with ``name``: the first of ``order`` (the time) of the last row before each that ``which`` holds for; null where there is none."""
+    before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return events.withColumn(name, F.last(F.when(which, F.col(order[0])), ignorenulls=True).over(before))
+
+
+def with_next(events: DataFrame, keys: list[str], time: str, which: Column, name: str) -> DataFrame:
+    """events with ``name``: the time of the first row at or after each that ``which`` holds for; null where there is none.
+
+    Read backward, so that each row looks at what is behind it once; shares the shuffle of ``with_previous``.
+    """
+    behind = W.partitionBy(*keys).orderBy(F.col(time).desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
+    return events.withColumn(name, F.last(F.when(which, F.col(time)), ignorenulls=True).over(behind))

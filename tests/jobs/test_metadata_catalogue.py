@@ -1,0 +1,132 @@
+"""The metadata catalogue over growing input, repeats and replays."""
+
+import hashlib
+
+import pytest
+
+from jobs import metadata_catalogue as job
+
+CONFIG = {"pattern": "pages*.parquet", "tags": ["p", "li"], "files_per_batch": 2}
+ACQUISITION = "<Parameters><nChannels> 64 </nChannels><samplingRate>20000</samplingRate></Parameters>"
+FIRST = [
+    (1, "http://a.example/x?y", '<html lang="fr"><title>One</title><p>a<p>b<li>c</html>'),
+    (1, "http://a.example/x?y", '<html lang="fr"><title>One</title><p>a<p>b<li>c</html>'),
+    (2, "no address", None),
+    (None, None, ""),
+    (3, "https://b.example:81#f", ACQUISITION),
+    (4, "http://c.example/", "<HTML class=x LANG=De-at><P>" + "<html" * 20_000 + "<title>" * 20_000),
+]
+SECOND = [
+    (1, "http://a.example/x?y", '<html lang="fr"><title>One</title><p>a<p>b<li>c</html>'),
+    (3, "https://b.example:81#f", ACQUISITION.replace("64", "32")),
+    (5, "http://d.example", "<title></title>"),
+    (2, "no address", None),
+]
+
+
+def expected(rows):
+    """(page_id, url, host, title, n_channels, fs, n_tags, tag_counts, n_chars, digest, lang) of each different text."""
+    known = {
+        '<html lang="fr"><title>One</title><p>a<p>b<li>c</html>': ("a.example", "One", None, None, [2, 1], "fr"),
+        None: (None, None, None, None, [0, 0], "none"),
+        "": (None, None, None, None, [0, 0], "none"),
+        ACQUISITION: ("b.example:81", None, 64, 20000, [0, 0], "none"),
+        SECOND[1][2]: ("b.example:81", None, 32, 20000, [0, 0], "none"),
+        "<title></title>": ("d.example", None, None, None, [0, 0], "none"),
+        FIRST[5][2]: ("c.example", None, None, None, [1, 0], "de-at"),
+    }
+    out = set()
+    for i, url, html in rows:
+        host, title, nch, fs, counts, lang = known[html]
+        out.add((i, url, host, title, nch, fs, sum(counts), tuple(counts), len(html or ""), None if html is None else hashlib.sha256(html.encode()).hexdigest(), lang))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.drop("batch").collect()), key=str)
+
+
+def deliver(spark, rows, folder, name):
+    """Files named pages-...parquet in the folder, as a table that grows."""
+    df = spark.createDataFrame(rows, job.SOURCE_SCHEMA).withColumnRenamed("page_id", "page_id").coalesce(1)
+    df.toPandas().astype({"page_id": "Int64"}).to_parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.fixture()
+def place(tmp_path):
+    (tmp_path / "in").mkdir()
+    return str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+
+def test_growing_input(spark, place):
+    folder, out, checkpoint = place
+    deliver(spark, FIRST, folder, "pages-1")
+    deliver(spark, [(0, "x", "not a page")], folder, "other-1")
+    assert job.run(spark, folder, out, checkpoint, CONFIG) == {"batches": 1, "read": 6, "written": 5}
+    assert found(job.read_catalogue(spark, out)) == expected(FIRST)
+    # nothing new: nothing is read
+    assert job.run(spark, folder, out, checkpoint, CONFIG) == {"batches": 0, "read": 0, "written": 0}
+    deliver(spark, SECOND, folder, "pages-2")
+    assert job.run(spark, folder, out, checkpoint, CONFIG) == {"batches": 1, "read": 4, "written": 2}
+    assert found(job.read_catalogue(spark, out)) == expected(FIRST + SECOND)
+    latest = job.current(job.read_catalogue(spark, out))
+    assert sorted((r["page_id"], r["n_channels"]) for r in latest.collect() if r["page_id"] == 3) == [(3, 32)]
+    assert latest.count() == 6
+
+
+def test_many_files_come_in_bounded_batches(spark, place):
+    folder, out, checkpoint = place
+    for k in range(5):
+        deliver(spark, [(k, f"http://{k}.example/", "<p>"), (9, "http://same.example/", "<li>")], folder, f"pages-{k}")
+    CONFIG_ = CONFIG | {"files_per_batch": 2}
+    assert job.run(spark, folder, out, checkpoint, CONFIG_) == {"batches": 3, "read": 10, "written": 6}
+    assert job.read_catalogue(spark, out).count() == 6
+
+
+def test_a_batch_that_failed_after_its_write_is_repeated(spark, place, monkeypatch):
+    folder, out, checkpoint = place
+    deliver(spark, FIRST, folder, "pages-1")
+    job.run(spark, folder, out, checkpoint, CONFIG)
+    deliver(spark, SECOND, folder, "pages-2")
+    add = job._add
+
+    def broken(*args):
+        add(*args)
+        raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(job, "_add", broken)
+    with pytest.raises(Exception, match="lost after the write"):
+        job.run(spark, folder, out, checkpoint, CONFIG)
+    monkeypatch.setattr(job, "_add", add)
+    job.run(spark, folder, out, checkpoint, CONFIG)
+    assert found(job.read_catalogue(spark, out)) == expected(FIRST + SECOND)
+
+
+def test_a_lost_checkpoint_adds_nothing_twice(spark, place):
+    folder, out, checkpoint = place
+    deliver(spark, FIRST, folder, "pages-1")
+    job.run(spark, folder, out, checkpoint, CONFIG)
+    deliver(spark, SECOND, folder, "pages-2")
+    job.run(spark, folder, out, checkpoint, CONFIG)
+    before = found(job.read_catalogue(spark, out))
+    job.run(spark, folder, out, f"{checkpoint}-2", CONFIG)
+    assert found(job.read_catalogue(spark, out)) == before
+
+
+def test_no_files(spark, place):
+    folder, out, checkpoint = place
+    assert job.run(spark, folder, out, checkpoint, CONFIG) == {"batches": 0, "read": 0, "written": 0}
+
+
+def test_command_line(monkeypatch):
+    seen = {}
+
+    class Fake:
+        @staticmethod
+        def stop():
+            seen["stopped"] = True
+
+    monkeypatch.setattr(job.SparkSession.Builder, "getOrCreate", lambda self: Fake)
+    monkeypatch.setattr(job, "run", lambda *a: seen.update(args=a))
+    job.main(["--source", "s", "--out", "o", "--checkpoint", "c"])
+    assert seen["stopped"] and seen["args"][1:] == ("s", "o", "c", job.read_config())
