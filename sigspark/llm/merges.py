@@ -12,9 +12,11 @@ put behind it. In an order of tokens that lists each before those that begin
 with it, latest first, these are one interval; a state is a few intervals of
 tokens that do not leave it.
 
-A word is read from left to right: each prefix has just one sequence that the
-automaton accepts, so its last token is all that is kept of it, and one pass
-over the tokens that start at each symbol, taken from a trie, finds the next.
+A word is read from left to right. Each prefix has just one sequence that the
+automaton accepts, so any way to the end is the right one: at each place the
+tokens that start there, taken from a trie, are tried from the longest on, and
+a place from which none goes on is left for good. The time is in proportion to
+the word's length.
 Decoding emits the labels of the ids' arcs, joined as the library joins them.
 
 Workers get the compiled tables (of the vocabulary's size) as a broadcast, and
@@ -34,7 +36,6 @@ import uuid
 from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, in_worker, table, tidy, without
 
-#: Words that a worker remembers, from task to task.
-REMEMBERED = 200_000
+#: Words that a worker remembers, from task to task, in each of two generations.
+REMEMBERED = 150_000
 #: Text whose code points are below this is split by the pattern here; other text by the library's own splitter, whose
 #: version of Unicode may be another (tests compare all code points).
 OWN_SPLIT = 0x0558
@@ -175,30 +176,42 @@ class Automaton:
         a = self.start[s]
         return not (bisect_right(self.edges, self.place[following], a, self.start[s + 1]) - a) & 1
 
-    def encode(self, symbols: list[int]) -> array:
-        """The one sequence of tokens that spells ``symbols``."""
-        n, step, ends, edges, place = len(symbols), self.step, self.ends, self.edges, self.place
-        last, size = [-1] * (n + 1), array("i", bytes(4 * (n + 1)))
-        for i in range(n):
-            if i:
-                s = self.state[last[i]]
-                a, b = self.start[s], self.start[s + 1]
-            else:
-                a = b = 0
-            node, j = step[symbols[i]], i + 1
+    def encode(self, symbols: list[int]) -> list[int]:
+        """The one sequence of tokens that spells ``symbols``: the longest first, and back where no token goes on.
+
+        The tokens before a place are the same whatever way it is reached, so a place that leads nowhere is left for good.
+        """
+        n, step, ends, edges, place, state, start = len(symbols), self.step.get, self.ends, self.edges, self.place, self.state, self.start
+        out: list[int] = []
+        open_: list[tuple[int, list[tuple[int, int]]]] = []  # places on the way, with the tokens not yet tried
+        dead: set[int] = set()
+        at, a, b = 0, 0, 0
+        while at < n:
+            node, i, found = step(symbols[at]), at, []
             while node is not None:
-                t = ends[node]
-                if t >= 0 and last[j] < 0 and not (bisect_right(edges, place[t], a, b) - a) & 1:
-                    last[j], size[j] = t, j - i
-                if j == n:
+                i += 1
+                if ends[node] >= 0:
+                    found.append((ends[node], i))
+                if i == n:
                     break
-                node = step.get(node << 16 | symbols[j])
-                j += 1
-        out = array("i")
-        while n:
-            out.append(last[n])
-            n -= size[n]
-        out.reverse()
+                node = step(node << 16 | symbols[i])
+            while True:
+                while found:
+                    t, end = found.pop()
+                    if end not in dead and not (bisect_right(edges, place[t], a, b) - a) & 1:
+                        break
+                else:
+                    dead.add(at)
+                    at, found = open_.pop()
+                    out.pop()
+                    s = state[out[-1]] if out else -1
+                    a, b = (start[s], start[s + 1]) if out else (0, 0)
+                    continue
+                break
+            open_.append((at, found))
+            out.append(t)
+            at, s = end, state[t]
+            a, b = start[s], start[s + 1]
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -217,7 +230,7 @@ class Tokenizer:
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
         self.beyond = regex.compile(f"[^\\x00-\\u{OWN_SPLIT - 1:04x}]")
         self.source, self.library = source, None
-        self.words: dict[str, array] = {}
+        self.words = _Words(self)
 
     @staticmethod
     def load(path: str) -> tuple:
@@ -241,6 +254,11 @@ class Tokenizer:
         automaton = Automaton.compile(labels, [vocab[c + s] for s in ("", suffix) for c in BYTE_CHARS], made)
         return source, automaton, suffix, special, splits[0]["pattern"]["Regex"]
 
+    def encode_word(self, word: str) -> list[int]:
+        """Ids of one pre-split word."""
+        raw = word.encode()
+        return self.automaton.encode([*map(self.plain.__getitem__, raw[:-1]), self.final[raw[-1]]])
+
     def _split(self, text: str) -> list[str]:
         if not self.beyond.search(text):
             normal = unicodedata.normalize("NFC", text)
@@ -252,29 +270,38 @@ class Tokenizer:
         words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(map(self.byte_of.__getitem__, w)).decode() for w, _ in words]
 
-    def _word(self, word: str) -> array:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        raw = word.encode()
-        ids = self.automaton.encode([*map(self.plain.__getitem__, raw[:-1]), self.final[raw[-1]]])
-        if len(raw) <= 64:
-            self.words[word] = ids
-        return ids
-
-    def _encode_part(self, text: str) -> Iterator[array]:
-        known = self.words.get
-        return (known(w) or self._word(w) for w in self._split(text))
+    def _encode_part(self, text: str) -> bytes:
+        words = self.words
+        return b"".join([words[w] for w in self._split(text)])
 
-    def encode(self, text: str) -> array:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text."""
         if self.specials is None or not self.specials.search(text):
-            return array("i", chain.from_iterable(self._encode_part(text)))
-        out, at = array("i"), 0
+            return np.frombuffer(self._encode_part(text), np.int32)
+        out, at = [], 0
         for m in self.specials.finditer(text):
-            out.extend(chain.from_iterable(self._encode_part(text[at : m.start()])))
-            out.append(self.special[m[0]])
+            out += [self._encode_part(text[at : m.start()]), array("i", [self.special[m[0]]]).tobytes()]
             at = m.end()
-        out.extend(chain.from_iterable(self._encode_part(text[at:])))
-        return out
+        return np.frombuffer(b"".join([*out, self._encode_part(text[at:])]), np.int32)
+
+
+class _Words(dict):
+    """Ids of words as bytes; of the words before the last ``REMEMBERED`` new ones those met since are kept."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer, self.old = tokenizer, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = array("i", self.tokenizer.encode_word(word)).tobytes()
+        if len(word) <= 64:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class _Shared:
@@ -293,9 +320,9 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decod
     for batch in batches:
         ids = [tokenizer.encode(t or "") for t in batch.column(text).to_pylist()]
         offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32))
-        made = {"token_ids": pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), np.int32)))}
+        made = {"token_ids": pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))}
         if decode:
-            made["decoded"] = pa.array([tokenizer.automaton.decode(x) for x in ids], pa.string())
+            made["decoded"] = pa.array([tokenizer.automaton.decode(x.tolist()) for x in ids], pa.string())
         yield pa.RecordBatch.from_arrays([made.get(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
 
 
