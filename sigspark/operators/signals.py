@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sigspark.functions import columns as C
 from sigspark.functions import kernels as K
 
+from . import selection
 from .joins import same_keys
 
 
@@ -58,8 +59,8 @@ def with_statistic(df: DataFrame, keys: list[str], **statistics: Column) -> Data
 
 
 def medians(df: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
-    """(keys, names): exact medians of columns by group; nulls do not count."""
-    return df.groupBy(*keys).agg(*(F.median(v).alias(n) for n, v in values.items()))
+    """(keys, names): exact medians of columns by group, of any size; nulls do not count."""
+    return selection.medians(df, keys, {n: F.col(v) for n, v in values.items()})
 
 
 def mean_std(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -69,13 +70,13 @@ def mean_std(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def remove_median(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Gyroscope bias, gravity: values less the median of their group."""
-    out = with_statistic(df, keys, **{f"_m{i}": F.median(v) for i, v in enumerate(values)})
+    out = same_keys(df, selection.medians(df, keys, {f"_m{i}": F.col(v) for i, v in enumerate(values)}), keys)
     return out.withColumns({v: F.col(v) - F.col(f"_m{i}") for i, v in enumerate(values)}).drop(*(f"_m{i}" for i in range(len(values))))
 
 
 def calibrate_gain(df: DataFrame, keys: list[str], axes: list[str], target: float = C.GRAVITY) -> DataFrame:
     """Axes scaled so that the median of their norm is ``target``."""
-    out = with_statistic(df, keys, _g=F.median(C.norm(*axes)))
+    out = same_keys(df, selection.medians(df, keys, {"_g": C.norm(*axes)}), keys)
     return out.withColumns({a: F.col(a) / F.col("_g") * target for a in axes}).drop("_g")
 
 
