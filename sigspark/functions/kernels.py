@@ -142,14 +142,17 @@ def resample(x: np.ndarray, p: int, q: int, taps: np.ndarray | None = None) -> n
 
 
 def resample_part(x: np.ndarray, first: int, p: int, q: int, taps: np.ndarray, start: int, end: int) -> np.ndarray:
-    """Output samples start..end - 1 of a change of rate by p/q, of a signal of which x begins at sample ``first``; zeros beyond x."""
-    out = np.zeros(end - start)
+    """Output samples start..end - 1 of a change of rate by p/q, of a signal of which x begins at sample ``first``; zeros beyond x.
+
+    x may have a column for each channel.
+    """
+    out = np.zeros((end - start, *x.shape[1:]))
     at = np.arange(start, end) * q + len(taps) // 2  # place in the upsampled signal, delay of the filter added
     for k in range(-(-len(taps) // p)):
         j = at % p + k * p
         i = (at - j) // p - first
         good = (j < len(taps)) & (i >= 0) & (i < len(x))
-        out[good] += taps[j[good]] * x[i[good]]
+        out[good] += (taps[j[good]] * x[i[good]].T).T
     return out
 
 

@@ -7,13 +7,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigspark.functions import columns as C
 from sigspark.functions import kernels as K
 
+from . import chunks as H
 from . import selection
+from .chunks import CHUNK
 from .joins import same_keys
 
 
@@ -111,147 +114,130 @@ def _per_channel(df: DataFrame, keys: list[str], index: str, value: str, kernel,
     return df.select(*keys, index, value).groupBy(*keys).applyInArrow(run, schema)
 
 
-def _schema(df: DataFrame, keys: list[str], index: str) -> str:
-    return ", ".join([*(f"{k} {dict(df.dtypes)[k]}" for k in keys), f"{index} long", "y double"])
+def _schema(df: DataFrame, keys: list[str], index: str, wide: bool = False) -> str:
+    return ", ".join([*(f"{k} {dict(df.dtypes)[k]}" for k in keys), f"{index} long", "y array<double>" if wide else "y double"])
 
 
-#: Samples of a chunk: what a task holds of a channel.
-CHUNK = 1 << 18
+def _samples(df: DataFrame, keys: list[str], index: str, value: str) -> DataFrame:
+    """(keys, index, value) as doubles, or arrays of doubles with an element for each channel."""
+    of = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+    if dict(df.dtypes)[value].startswith("array"):
+        of = F.transform(value, lambda v: F.coalesce(v.cast("double"), F.lit(0.0)))
+    return df.select(*keys, F.col(index).cast("long").alias(index), of.alias(value))
 
 
-def _chunked(df: DataFrame, keys: list[str], index: str, value: str, chunk: int, before: int, after: int) -> DataFrame:
-    """(keys, index, value, _chunk): channels cut into chunks of a dense index from 0, by arithmetic on the index.
+def _matrix(tab: pa.Table, value: str) -> np.ndarray:
+    """Samples by channels."""
+    x = tab.column(value).combine_chunks()
+    if not pa.types.is_list(x.type):
+        return x.to_numpy(zero_copy_only=False)[:, None]
+    sizes = x.value_lengths()
+    if sizes.null_count or pa.compute.min_max(sizes)["min"] != pa.compute.min_max(sizes)["max"]:
+        raise ValueError("all samples of a recording have the same channels")
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
 
-    A chunk also gets the last ``before`` samples of the chunk before it and the first ``after`` of the one behind it.
-    """
-    at = F.col(index)
-    reach = F.sequence(F.floor(F.greatest(at - after, F.lit(0)) / chunk).cast("long"), F.floor((at + before) / chunk).cast("long"))
-    out = df.select(*keys, at.cast("long").alias(index), F.col(value).cast("double").alias(value))
-    return out.withColumn("_chunk", F.explode(reach))
-
-
-class _Part:
-    """A chunk's samples: its own are x[own:stop], from sample ``first`` on; ``last`` if no sample follows them."""
-
-    def __init__(self, tab: pa.Table, index: str, value: str, chunk: int):
-        at = tab.column(index).to_numpy()
-        order = np.argsort(at, kind="stable")
-        self.at, self.x = at[order], tab.column(value).to_numpy(zero_copy_only=False)[order]
-        if len(at) and self.at[-1] - self.at[0] + 1 != len(at):
-            raise ValueError("the samples of a channel are not numbered 0, 1, 2, ...")
-        self.number = tab.column("_chunk")[0].as_py()
-        self.first, end = self.number * chunk, (self.number + 1) * chunk
-        self.own, self.stop = (int(i) for i in np.searchsorted(self.at, (self.first, end)))
-        if self.own < self.stop and self.at[self.own] != self.first:
-            raise ValueError("the samples of a channel are not numbered 0, 1, 2, ...")
-        self.last = self.stop == len(self.at)
 
+def _column(y: np.ndarray, wide: bool) -> pa.Array:
+    if not wide:
+        return pa.array(y.reshape(-1))
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1]), pa.array(np.ascontiguousarray(y).reshape(-1)))
 
-def _kind(df: DataFrame, names: list[str]) -> str:
-    return ", ".join(f"`{n}` {dict(df.dtypes)[n]}" for n in names)
 
-
-def zero_phase_filter(df: DataFrame, keys: list[str], index: str, value: str, cutoff: float, fs: float, kind: str = "high", design_fs: float | None = None, chunk: int = CHUNK) -> DataFrame:
+def zero_phase_filter(df: DataFrame, keys: list[str], index: str, value: str, cutoff: float, fs: float, kind: str = "high", design_fs: float | None = None, chunk: int | None = None) -> DataFrame:
     """(keys, index, y): second-order Butterworth, forward and backward; design_fs reproduces a cutoff designed at another rate.
 
-    A channel is many chunks. Each is filtered from a zero state; the states at
-    the chunks' borders follow one another by a power of the filter's state
-    matrix (a row for each chunk), and each chunk is filtered again from its
-    state; the same is done backward. The samples are shuffled once.
+    The value is a number, or an array with an element for each channel.
+    A channel may start at any index and is many chunks, each filtered from as
+    many samples before and after it as the filter remembers (to 1e-15 of the
+    signal), in one pass and one shuffle. A null counts as 0. A hole in the
+    index is an error, or an end and a start where it takes whole chunks.
     """
     b, a = K.butter2(cutoff, design_fs or fs, kind)
-    edge, start = K.edge_length(b, a), K.steady_state(b, a)
-    chunk = max(chunk, edge + 1)
-    cut = _chunked(df, keys, index, value, chunk, edge, 1)
-    groups = [*keys, "_chunk"]
-    state_ddl = f"{_kind(cut, groups)}, _len long, _edge double, _state array<double>"
-    out_ddl = _schema(df, keys, index)
-
-    def wide(p: _Part) -> tuple[np.ndarray, int]:
-        """The chunk's samples with the prolongations of the channel's ends that fall to it, and the length of the first."""
-        x = p.x[p.own : p.stop]
-        before = after = x[:0]
-        if p.number == 0:
-            pad = min(edge, len(x) - 1)
-            before = 2 * x[0] - x[pad:0:-1]
-        if p.last:
-            pad = min(edge, p.stop - 1)
-            after = 2 * x[-1] - p.x[p.stop - pad - 1 : p.stop - 1][::-1]
-        return np.concatenate((before, x, after)), len(before)
-
-    def row(tab: pa.Table, n: int, edge_value: float, state: np.ndarray) -> pa.Table:
-        own = {"_len": pa.array([n], pa.int64()), "_edge": pa.array([edge_value], pa.float64()), "_state": pa.array([state.tolist()], pa.list_(pa.float64()))}
-        return pa.table({**{k: tab.column(k).slice(0, 1) for k in groups}, **own})
-
-    def none(tab: pa.Table) -> pa.Table:
-        return row(tab, 0, 0.0, start).slice(0, 0)
-
-    def follow(tab: pa.Table, backward: bool) -> pa.Table:
-        """Of a channel's chunks, the state that each starts with."""
-        order = np.argsort(tab.column("_chunk").to_numpy())
-        rows = tab.take(pa.array(order[::-1] if backward else order))
-        z, out = start * rows.column("_edge")[0].as_py(), []
-        for n, own in zip(rows.column("_len").to_pylist(), rows.column("_state").to_pylist(), strict=True):
-            out.append(z.tolist())
-            z = K.state_after(b, a, z, n) + np.array(own)
-        return rows.set_column(rows.schema.get_field_index("_state"), "_state", pa.array(out, pa.list_(pa.float64())))
-
-    def forward_state(tab: pa.Table) -> pa.Table:
-        p = _Part(tab, index, value, chunk)
-        if p.own == p.stop:
-            return none(tab)
-        x, _ = wide(p)
-        return row(tab, len(x), x[0], K.iir(b, a, x)[1])
-
-    def forward(p: _Part, states: pa.Table) -> tuple[np.ndarray, int]:
-        x, before = wide(p)
-        return K.iir(b, a, x, np.array(states.column("_state")[0].as_py()))[0], before
-
-    def backward_state(tab: pa.Table, states: pa.Table) -> pa.Table:
-        if not states.num_rows:
-            return none(tab)
-        y, _ = forward(_Part(tab, index, value, chunk), states)
-        return row(tab, len(y), y[-1], K.iir(b, a, y[::-1])[1])
-
-    def result(tab: pa.Table, states: pa.Table) -> pa.Table:
-        p = _Part(tab, index, value, chunk)
-        own = p.x[p.own : p.stop]
-        if states.num_rows and not (p.number == 0 and p.last and len(own) == 1):
-            y, before = forward(p, states)
-            own = K.iir(b, a, y[::-1], np.array(states.column("_back")[0].as_py()))[0][::-1][before : before + len(own)]
-        return pa.table({**{k: pa.repeat(tab.column(k)[0], len(own)) for k in keys}, index: pa.array(p.at[p.own : p.stop]), "y": pa.array(own)})
-
-    by_key = keys or [F.lit(0).alias("_all")]
-    first = cut.groupBy(*groups).applyInArrow(forward_state, state_ddl).groupBy(*by_key).applyInArrow(lambda t: follow(t, False), state_ddl)
-    then = cut.groupBy(*groups).cogroup(first.groupBy(*groups)).applyInArrow(backward_state, state_ddl).groupBy(*by_key).applyInArrow(lambda t: follow(t, True), state_ddl)
-    states = same_keys(first, then.select(*groups, F.col("_state").alias("_back")), groups)
-    return cut.groupBy(*groups).cogroup(states.groupBy(*groups)).applyInArrow(result, out_ddl)
-
-
-def resample(df: DataFrame, keys: list[str], index: str, value: str, p: int, q: int, chunk: int = CHUNK) -> DataFrame:
+    edge, start, reach = K.edge_length(b, a), K.steady_state(b, a), H.reach_of(a)
+    if reach is None:
+        raise ValueError("the filter is not stable")
+    reach = max(reach, edge) + 1
+    wide = dict(df.dtypes)[value].startswith("array")
+    chunk = max(chunk or (H.WIDE_CHUNK if wide else CHUNK), reach)
+    cut = H.with_halo(_samples(df, keys, index, value), index, chunk, reach, reach)
+
+    def filtered(at: np.ndarray, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """y of a chunk's rows: a chunk has as many neighbours as the filter reaches unless the channel ends there, which is then prolonged."""
+        H.consecutive(at)
+        if len(x) < 2:
+            return x
+        first, last = int(own.argmax()), len(own) - int(own[::-1].argmax())
+        pad = min(edge, len(x) - 1)
+        y = np.empty_like(x)
+        for k in range(x.shape[1]):
+            v = np.ascontiguousarray(x[:, k])
+            before = after = v[:0]
+            if first < reach:
+                before = 2 * v[0] - v[pad:0:-1]
+            if len(v) - last < reach:
+                after = 2 * v[-1] - v[-2 : -pad - 2 : -1]
+            whole = np.concatenate((before, v, after))
+            out, _ = K.iir(b, a, whole, start * whole[0])
+            out, _ = K.iir(b, a, out[::-1], start * out[-1])
+            y[:, k] = out[::-1][len(before) : len(before) + len(v)]
+        return y
+
+    def work(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        at, own = (tab.column(c).to_numpy(zero_copy_only=False) for c in (index, "_own"))
+        x = _matrix(tab, value)
+        made = [filtered(at[i:j], x[i:j], own[i:j])[own[i:j]] for i, j in groups if own[i:j].any()]
+        y = np.concatenate(made) if made else x[:0]
+        return tab.select([*keys, index]).filter(pa.array(own)).append_column("y", _column(y, wide))
+
+    return H.dealt(cut, keys, index).mapInArrow(H.in_groups([*keys, "_chunk"], work), _schema(df, keys, index, wide))
+
+
+def resample(df: DataFrame, keys: list[str], index: str, value: str, p: int, q: int, chunk: int | None = None, first: int | None = None) -> DataFrame:
     """(keys, index, y): rate changed by p/q with the kernel's own low-pass.
 
-    A chunk gets, beside its samples, those that the kernel reaches on both
-    sides, and makes the output samples that fall into it.
+    The value is a number, or an array with an element for each channel. A
+    chunk gets, beside its samples, those that the kernel reaches on both
+    sides, and makes the output samples that fall into it. The output of a
+    channel that starts at index f is that of the same samples from 0 on, numbered
+    from f * p // q; f is found by a pass over the index, unless ``first`` gives it
+    for all channels. A null counts as 0.
     """
     g = math.gcd(p, q)
     p, q = p // g, q // g
+    wide = dict(df.dtypes)[value].startswith("array")
+    rows = _samples(df, keys, index, value)
     if p == q:
-        return df.select(*keys, F.col(index).cast("long").alias(index), F.col(value).cast("double").alias("y"))
+        return rows.withColumnRenamed(value, "y")
     taps = K.resample_taps(p, q)
     halo = len(taps) // (2 * p) + 1
-    chunk = q * max(1, -(-max(chunk, halo) // q))
-
-    def run(tab: pa.Table) -> pa.Table:
-        part = _Part(tab, index, value, chunk)
-        start = part.first // q * p
-        end = start
-        if part.own < part.stop:
-            end = -(-(part.first + part.stop - part.own) * p // q) if part.last else (part.first + chunk) // q * p
-        y = K.resample_part(part.x, int(part.at[0]), p, q, taps, start, end)
-        return pa.table({**{k: pa.repeat(tab.column(k)[0], len(y)) for k in keys}, index: pa.array(np.arange(start, end)), "y": pa.array(y)})
-
-    return _chunked(df, keys, index, value, chunk, halo, halo).groupBy(*keys, "_chunk").applyInArrow(run, _schema(df, keys, index))
+    chunk = q * max(1, -(-max(chunk or (H.WIDE_CHUNK if wide else CHUNK), halo) // q))
+    if first is None:
+        rows = same_keys(rows, rows.groupBy(*keys).agg(F.min(index).alias("_first")), keys)
+    else:
+        rows = rows.withColumn("_first", F.lit(first).cast("long"))
+    cut = H.with_halo(rows.withColumn(index, F.col(index) - F.col("_first")), index, chunk, halo, halo)
+
+    def work(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        at, own, origin = (tab.column(c).to_numpy(zero_copy_only=False) for c in (index, "_own", "_first"))
+        x = _matrix(tab, value)
+        rows, numbers, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [x[:0]]
+        for i, j in groups:
+            if not own[i:j].any():
+                continue
+            H.consecutive(at[i:j])
+            a = i + int(own[i:j].argmax())
+            b = j - int(own[i:j][::-1].argmax())
+            if at[a] < 0 or at[a] % chunk or (at[a] > 0 and a == i):
+                raise ValueError("the samples of a channel are not numbered one by one from its first")
+            start = int(at[a]) // q * p
+            end = -(-int(at[b - 1] + 1) * p // q) if b == j else int(at[b - 1] + 1) // q * p
+            y.append(K.resample_part(x[i:j], int(at[i]), p, q, taps, start, end))
+            numbers.append(np.arange(start, end) + int(origin[i]) * p // q)
+            rows.append(np.full(end - start, i))
+        heads = tab.select(keys).take(pa.array(np.concatenate(rows)))
+        return pa.Table.from_arrays([*heads.columns, pa.array(np.concatenate(numbers)), _column(np.concatenate(y), wide)], names=[*keys, index, "y"])
+
+    return H.dealt(cut, keys, index).mapInArrow(H.in_groups([*keys, "_chunk"], work), _schema(df, keys, index, wide))
 
 
 def pitch_shift(df: DataFrame, keys: list[str], index: str, value: str, semitones: float) -> DataFrame:

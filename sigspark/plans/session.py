@@ -43,16 +43,22 @@ def long_form(wide: DataFrame, name: str = "x") -> DataFrame:
     return wide.select("session", "sample_idx", F.posexplode(name).alias("channel", "value")).withColumn("value", F.col("value").cast("double"))
 
 
-def lfp(wide: DataFrame, fs: int, cutoff: float = 0.5, compat: bool = False) -> DataFrame:
-    """(session, channel, sample_idx, y): every channel at the LFP rate, high-passed forward and backward.
+def lfp_rows(wide: DataFrame, fs: int, cutoff: float = 0.5, compat: bool = False) -> DataFrame:
+    """(session, sample_idx, y): the samples of all channels at the LFP rate, high-passed forward and backward, of whole recordings; read once.
 
     compat designs the filter at the recording's own rate, as the tool did.
     """
-    keys = ["session", "channel"]
-    slow = S.resample(long_form(wide), keys, "sample_idx", "value", LFP_RATE, fs) if fs != LFP_RATE else long_form(wide).withColumnRenamed("value", "y")
+    keys = ["session"]
+    slow = S.resample(wide, keys, "sample_idx", "x", LFP_RATE, fs, first=0)
     return S.zero_phase_filter(slow, keys, "sample_idx", "y", cutoff, LFP_RATE, "high", fs if compat else None)
 
 
+def lfp(wide: DataFrame, fs: int, cutoff: float = 0.5, compat: bool = False) -> DataFrame:
+    """(session, channel, sample_idx, y): ``lfp_rows`` with a row for each channel."""
+    rows = lfp_rows(wide, fs, cutoff, compat)
+    return rows.select("session", "sample_idx", F.posexplode("y").alias("channel", "y")).select("session", "channel", "sample_idx", "y")
+
+
 def device_events(edges: DataFrame) -> DataFrame:
     """(session, bit, phase, time, description) of digital edges; times count samples from 1."""
     out = edges.withColumn("time", F.col("tick") / LFP_RATE)
@@ -95,11 +101,10 @@ def imu(analog: DataFrame, fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFram
     """(session, sample_idx, t, q, R, accel_*, speed_*): inertial axes resampled, scaled, calibrated and fused."""
     keys = ["session"]
     names = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
-    nine = long_form(analog.withColumn("x", C.channels("x", INERTIAL)))
-    slow = S.resample(nine, [*keys, "channel"], "sample_idx", "value", rate, fs)
-    wide = S.pivot_channels(slow, [*keys, "sample_idx"], "channel", "y", list(range(9)))
+    nine = analog.select(*keys, "sample_idx", C.channels("x", INERTIAL).alias("x"))
+    wide = S.resample(nine, keys, "sample_idx", "x", rate, fs, first=0).withColumnRenamed("y", "x")
     # read twice and more by the statistics and filters that follow; at this rate it is a twelfth of the recording
-    wide = scale_axes(wide.select(*keys, "sample_idx", F.array(*(F.col(str(i)) for i in range(9))).alias("x"))).persist(StorageLevel.DISK_ONLY)
+    wide = scale_axes(wide).persist(StorageLevel.DISK_ONLY)
     wide = S.calibrate_gain(wide, keys, names[:3])
     wide = S.remove_median(wide, keys, names[3:6])
     fused = S.fuse_orientation(wide, keys, "sample_idx", rate)
@@ -124,8 +129,9 @@ def preprocess(spark: SparkSession, folder: str, compat: bool = False) -> Sessio
     mode = header.recording_mode(system["fs"], system["Nch"]) | {"cl_mode": system["cl_mode"]}
     analog = dat.read_dat(spark, path["analog"], mode["analog_channels"])
     raw = analog.withColumn("x", C.channels("x", STAND_IN)) if mode["from_analog"] else dat.read_dat(spark, path["amplifier"], mode["nch"])
-    slow = lfp(raw, LFP_RATE if mode["from_analog"] else mode["fs"], compat=compat)
-    rows = slow.groupBy("session", "sample_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("channel", "y"))), lambda v: C.saturate_int16(v["y"])).alias("lfp"))
+    fs = LFP_RATE if mode["from_analog"] else mode["fs"]
+    slow = lfp(raw, fs, compat=compat)
+    rows = lfp_rows(raw, fs, compat=compat).select("session", "sample_idx", F.transform("y", C.saturate_int16).alias("lfp"))
     combined = S.zip_signals(rows, analog, ["session"], "sample_idx").select("session", "sample_idx", F.concat("lfp", "x").alias("x"))
     words = analog.select("session", "sample_idx", C.unsigned16(F.element_at("x", DIGITAL)).alias("word"))
     edges = O.word_edges(words, ["session"], "sample_idx", "word")

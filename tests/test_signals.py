@@ -208,6 +208,66 @@ def test_resample_by_chunks(spark, p, q):
         assert np.allclose(own.y, want, atol=1e-9, rtol=1e-9)
 
 
+@pytest.mark.parametrize("first", [7, 128, 130, 10_000])
+def test_channels_that_start_anywhere(spark, first):
+    data, df = channels(spark, LENGTHS)
+    moved = df.withColumn("sample_idx", F.col("sample_idx") + first)
+    for cutoff, kind in ((0.5, "high"), (100, "low")):
+        got = S.zero_phase_filter(moved, ["k"], "sample_idx", "v", cutoff, 1250, kind, chunk=64).toPandas()
+        b, a = K.butter2(cutoff, 1250, kind)
+        for k, x in data.items():
+            own = got[got.k.isna() if k is None else got.k == k].sort_values("sample_idx")
+            assert own.sample_idx.tolist() == list(range(first, first + len(x)))
+            assert np.allclose(own.y, K.zero_phase(b, a, x), atol=1e-9, rtol=1e-9)
+    for p, q in ((2, 25), (3, 2)):
+        got = S.resample(moved, ["k"], "sample_idx", "v", p, q, chunk=64).toPandas()
+        for k, x in data.items():
+            own = got[got.k.isna() if k is None else got.k == k].sort_values("sample_idx")
+            want = K.resample(x, p, q)
+            assert own.sample_idx.tolist() == list(range(first * p // q, first * p // q + len(want)))
+            assert np.allclose(own.y, want, atol=1e-9, rtol=1e-9)
+
+
+@pytest.mark.parametrize("first", [0, 130])
+def test_rows_of_all_channels(spark, first):
+    """An array with an element for each channel gives what the channels give by themselves."""
+    rng = np.random.default_rng(4)
+    rows = [(k, first + i, rng.normal(size=3).tolist()) for k, n in (("a", 700), (None, 90), ("b", 1)) for i in range(n)]
+    rows[5][2][1] = None
+    df = spark.createDataFrame(rows, "k string, sample_idx long, x array<double>").repartition(3)
+    each = df.select("k", "sample_idx", F.posexplode("x").alias("c", "v"))
+    for of in (lambda d, keys, v: S.resample(d, keys, "sample_idx", v, 2, 5, chunk=64), lambda d, keys, v: S.zero_phase_filter(d, keys, "sample_idx", v, 100, 1250, chunk=64)):
+        got = of(df, ["k"], "x").select("k", "sample_idx", F.posexplode("y").alias("c", "y"))
+        want = of(each, ["k", "c"], "v")
+        a, b = ({(r.k, r.sample_idx, r.c): r.y for r in d.collect()} for d in (got, want))
+        assert a.keys() == b.keys() and np.allclose([a[k] for k in a], [b[k] for k in a], atol=1e-12)
+    with pytest.raises(Exception, match="same channels"):
+        S.resample(df.withColumn("x", F.slice("x", 1, F.when(F.col("sample_idx") == first + 3, 2).otherwise(3))), ["k"], "sample_idx", "x", 2, 5).count()
+
+
+def test_a_null_sample_counts_as_zero(spark):
+    data, df = channels(spark, {"a": 300, "b": 40})
+    holes = df.withColumn("v", F.when(F.col("sample_idx") % 17 != 3, F.col("v")))
+    zeros = {k: np.where(np.arange(len(x)) % 17 != 3, x, 0.0) for k, x in data.items()}
+    b, a = K.butter2(100, 1250, "low")
+    got = S.zero_phase_filter(holes, ["k"], "sample_idx", "v", 100, 1250, "low", chunk=64).orderBy("k", "sample_idx").toPandas()
+    assert np.allclose(got.y, np.concatenate([K.zero_phase(b, a, zeros[k]) for k in "ab"]))
+    got = S.resample(holes, ["k"], "sample_idx", "v", 1, 3, chunk=64).orderBy("k", "sample_idx").toPandas()
+    assert np.allclose(got.y, np.concatenate([K.resample(zeros[k], 1, 3) for k in "ab"]))
+
+
+def test_groups_over_many_batches(spark):
+    """Chunks that are longer than an Arrow batch, and batches that hold many chunks."""
+    data, df = channels(spark, {f"k{i}": n for i, n in enumerate([3000, 5, 2999, 1, 700, 700])})
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+        got = S.zero_phase_filter(df, ["k"], "sample_idx", "v", 50, 1250, chunk=1000).orderBy("k", "sample_idx").toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert np.allclose(got.y, np.concatenate([K.zero_phase(*K.butter2(50, 1250, "high"), data[k]) for k in sorted(data)]), atol=1e-9)
+
+
 def test_signals_without_keys_and_with_gaps(spark):
     data, df = channels(spark, {"a": 300})
     got = S.zero_phase_filter(df, [], "sample_idx", "v", 5, 1250, chunk=64).orderBy("sample_idx").toPandas().y
