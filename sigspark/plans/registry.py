@@ -437,21 +437,22 @@ q AS (
 SELECT x.user_id, x.i AS sample_idx, round(CASE WHEN x.n = 1 THEN x.value ELSE q.y END, 4) AS y FROM x JOIN q ON q.user_id = x.user_id AND q.j = x.n - 1 + x.pad - x.i
 """)
 def zero_phase_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return S.zero_phase_filter(samples(spark, sf), USER, "sample_idx", "value", 0.5, 1250, chunk=64).withColumn("y", F.round("y", 4))
-
-
-_BESSEL = "list_sum(list_transform(range(0, 30), lambda m: power({x} * {x} / 4, m) / power(gamma(m + 1), 2)))"
+    return S.zero_phase_filter(samples(spark, sf), USER, "sample_idx", "value", 0.5, 1250).withColumn("y", F.round("y", 4))
 
 
+# the window's Bessel terms are summed by plain joins: z = (x / 2)^2, term m = z^m / (m!)^2
 @query(f"""
-WITH {VALUES}, u AS (SELECT k, k - 250 AS t, 5.0 * sqrt(greatest(0, 1 - (k / 250.0 - 1) * (k / 250.0 - 1))) AS x FROM range(501) r(k)),
-t AS (SELECT k, 2 / 25.0 * CASE WHEN t = 0 THEN 1 ELSE sin(pi() * t / 25) / (pi() * t / 25) END * {_BESSEL.format(x="x")} / {_BESSEL.format(x="5.0")} AS c FROM u),
-n AS (SELECT user_id, max(sample_idx) + 1 AS n FROM s GROUP BY user_id)
+WITH {VALUES.replace(" AS (", " AS MATERIALIZED (", 1)},
+f AS MATERIALIZED (SELECT m, sum(ln(greatest(m, 1))) OVER (ORDER BY m) AS log_factorial FROM range(40) r(m)),
+u AS MATERIALIZED (SELECT k, k - 250 AS t, 6.25 * greatest(0.0, 1 - (k / 250.0 - 1) * (k / 250.0 - 1)) AS z FROM range(501) r(k)),
+w AS MATERIALIZED (SELECT k, sum(CASE WHEN m = 0 THEN 1.0 WHEN z = 0 THEN 0.0 ELSE exp(m * ln(greatest(z, 1e-300)) - 2 * log_factorial) END) AS b FROM u CROSS JOIN f GROUP BY k),
+t AS MATERIALIZED (SELECT u.k, 2 / 25.0 * CASE WHEN t = 0 THEN 1 ELSE sin(pi() * t / 25) / (pi() * t / 25) END * w.b / (SELECT max(b) FROM w) AS c FROM u JOIN w ON u.k = w.k),
+n AS MATERIALIZED (SELECT user_id, max(sample_idx) + 1 AS n FROM s GROUP BY user_id)
 SELECT user_id, CAST((sample_idx * 2 + k - 250) // 25 AS BIGINT) AS sample_idx, round(sum(value * c), 6) AS y FROM s JOIN n USING (user_id), t
 WHERE (sample_idx * 2 + k - 250) % 25 = 0 AND sample_idx * 2 + k - 250 >= 0 AND sample_idx * 2 + k - 250 < ceil(n * 2 / 25.0) * 25 GROUP BY 1, 2
 """)
 def resample_channel(spark: SparkSession, sf: str) -> DataFrame:
-    return S.resample(samples(spark, sf), USER, "sample_idx", "value", 2, 25, chunk=64).withColumn("y", F.round("y", 6))
+    return S.resample(samples(spark, sf), USER, "sample_idx", "value", 2, 25).withColumn("y", F.round("y", 6))
 
 
 @query()
