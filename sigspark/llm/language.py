@@ -11,16 +11,18 @@ text of a row is scored by the model fitted to the other fold, so a
 declaration is not judged by a model that was fitted to it.
 
 The languages are counted over all rows: each with ``LEAST_ROWS`` rows of text
-or more has a class, up to the ``MOST_LANGUAGES`` commonest. The text model is
+or more has a class. The model's table has ``MODEL_CELLS`` cells however many
+there are: beyond 64 languages the trigrams share buckets. The text model is
 fitted to a bounded sample (``SAMPLE_ROWS``, in equal parts by language) of rows
 with a declared language; everything else covers all rows.
 
 Cases: a language with fewer than ``LEAST_ROWS`` sampled rows in one fold is
 fitted to both for the other; a text without a letter has no text evidence; a row without any text
 evidence gets ``und`` and is rejected; null or unknown declarations, suffixes
-and hosts say nothing; a row that declares a language of ``LEAST_ROWS`` rows or
-more that has no class (beyond ``MOST_LANGUAGES``) is ``und`` and rejected, a
-declaration of fewer rows is unknown; rows are kept one by one; with no
+and hosts say nothing; a declaration of fewer than ``LEAST_ROWS`` rows is
+unknown; a declared column of more than ``MOST_LANGUAGES`` values of ``LEAST_ROWS``
+rows does not hold languages: rows that declare one beyond the commonest are
+``und`` and rejected; very long texts are scored in blocks; rows are kept one by one; with no
 language of ``LEAST_ROWS`` rows every text is ``und``; an empty table gives no rows; extra columns are kept, those
 named like the results are replaced.
 """
@@ -29,8 +31,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,13 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import bounded_batches, in_worker, materialize, small_enough, table, tidy, without
 
-#: Rows of the sample that the text model is fitted to, languages it can tell apart, and least rows of one in the whole table.
+#: Rows of the sample that the text model is fitted to, and least rows of a language in the whole table.
 SAMPLE_ROWS = 8000
-MOST_LANGUAGES = 64
 LEAST_ROWS = 5
+#: Bits of a trigram's bucket, and buckets times languages, of which there are at most the next (many times those there are).
 BUCKET_BITS = 16
+MODEL_CELLS = 1 << 22
+MOST_LANGUAGES = 1 << 12
 #: Overlapping trigrams are not independent: their log likelihood counts for a third.
 TEMPER = 1 / 3
 #: Pseudo-counts of a parent for its hosts, of the corpus for parents, and of a declaration.
@@ -58,17 +60,24 @@ _LETTERS = bytes(c | 32 if 65 <= c <= 90 or 97 <= c <= 122 else c if c >= 128 el
 #: A character that ``_LETTERS`` keeps.
 _LETTER = r"[A-Za-z]|[^\x00-\x7F]"
 _BLOCK = 1 << 20
+#: Trigrams whose weights are added one by one.
+_FEW = 1 << 13
 #: Columns that the operator makes, the last for its own use.
 OWN = ("lang_id", "lang_posterior", "lang_text", "lang_keep", "_declared", "_suffix", "_host", "_parent", "_ll", "_log", "_prior", "_say_declared", "_say_suffix", "_no_class", "_fold")
 
 
-def trigram_buckets(data: bytes) -> np.ndarray:
+def bits_for(languages: int) -> int:
+    """Bits of a trigram's bucket that keep a table of so many languages within MODEL_CELLS."""
+    return min(BUCKET_BITS, (MODEL_CELLS // max(1, languages)).bit_length() - 1)
+
+
+def trigram_buckets(data: bytes, bits: int = BUCKET_BITS) -> np.ndarray:
     """Hash bucket of each byte trigram of the letters in data that is not all spaces."""
     a = np.frombuffer(data, np.uint8).astype(np.uint32)
     if len(a) < 3:
         return np.zeros(0, np.int64)
     code = (a[:-2] << 16) | (a[1:-1] << 8) | a[2:]
-    return ((code * np.uint32(2654435761)) >> np.uint32(32 - BUCKET_BITS))[code != 0x202020].astype(np.int64)
+    return ((code * np.uint32(2654435761)) >> np.uint32(32 - bits))[code != 0x202020].astype(np.int64)
 
 
 def fold_of(text: Column) -> Column:
@@ -76,15 +85,15 @@ def fold_of(text: Column) -> Column:
 
 
 @tidy
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     counts: dict[tuple[str, int], np.ndarray] = {}
     rows: dict[tuple[str, int], int] = {}
     for batch in batches:
         for text, *key in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             data = b" " + (text or b"").translate(_LETTERS) + b" "
-            held = counts.setdefault(tuple(key), np.zeros(1 << BUCKET_BITS, np.int64))
+            held = counts.setdefault(tuple(key), np.zeros(1 << bits, np.int64))
             for at in range(0, len(data), _BLOCK):
-                held += np.bincount(trigram_buckets(data[at : at + _BLOCK + 2]), minlength=len(held))
+                held += np.bincount(trigram_buckets(data[at : at + _BLOCK + 2], bits), minlength=len(held))
             rows[tuple(key)] = rows.get(tuple(key), 0) + 1
     for (lang, fold), held in counts.items():
         at = np.flatnonzero(held)
@@ -107,15 +116,16 @@ class TextModel:
         common = {r[0]: (r[1], r[2]) for r in counted.where(f"n >= {LEAST_ROWS}").orderBy(F.desc("n"), declared).limit(MOST_LANGUAGES).collect()}
         if not common:
             return TextModel([], np.zeros((2, 1 << BUCKET_BITS, 0), np.float32))
-        part = max(1, SAMPLE_ROWS // len(common))
+        part, bits = max(1, SAMPLE_ROWS // len(common)), bits_for(len(common))
         # the row of the least draw as well, so that no language is left without one
-        drawn = [(F.col(declared) == lang) & ((F.pmod("_draw", F.lit(n)) < part) | (F.col("_draw") == least)) for lang, (n, least) in common.items()]
-        sample = labelled.where(reduce(or_, drawn)).select(text, declared, fold_of(F.col(text)).alias("fold"))
-        counted = sample.mapInArrow(_count, "lang string, fold int, bucket long, n long")
-        rows = counted.groupBy("lang", "fold", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most MOST_LANGUAGES * 2 * (2 ** BUCKET_BITS + 1)
+        known = docs.sparkSession.createDataFrame([(lang, n, least) for lang, (n, least) in common.items()], "_lang string, _n long, _least long")
+        drawn = labelled.join(F.broadcast(known), F.col(declared) == F.col("_lang")).where((F.pmod("_draw", "_n") < part) | (F.col("_draw") == F.col("_least")))
+        sample = drawn.select(text, declared, fold_of(F.col(text)).alias("fold"))
+        counted = sample.mapInArrow(lambda b: _count(b, bits), "lang string, fold int, bucket long, n long")
+        rows = counted.groupBy("lang", "fold", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most 2 * (MODEL_CELLS + languages)
         languages = sorted(common)
         place = {x: i for i, x in enumerate(languages)}
-        counts = np.zeros((2, (1 << BUCKET_BITS) + 1, len(languages)))  # the last row holds the numbers of texts
+        counts = np.zeros((2, (1 << bits) + 1, len(languages)))  # the last row holds the numbers of texts
         lang = np.array([place[x] for x in rows.column("lang").to_pylist()], np.int64)
         counts[rows.column("fold").to_numpy(), rows.column("bucket").to_numpy(), lang] = rows.column("n").to_numpy()
         other = np.where(counts[::-1, -1:] >= LEAST_ROWS, counts[::-1], counts.sum(0))[:, :-1]
@@ -124,14 +134,19 @@ class TextModel:
 
     def score(self, texts: list[bytes | None], folds: list[int]) -> list[list[float] | None]:
         out = []
+        bits = self.weights.shape[1].bit_length() - 1
         for t, fold in zip(texts, folds, strict=True):
             data = b" " + (t or b"").translate(_LETTERS) + b" "
             total, any_ = np.zeros(len(self.languages)), False
             if not data.isspace() and self.languages:
                 for at in range(0, len(data), _BLOCK):
-                    hits = trigram_buckets(data[at : at + _BLOCK + 2])
+                    hits = trigram_buckets(data[at : at + _BLOCK + 2], bits)
                     any_ = any_ or bool(len(hits))
-                    total += self.weights[fold][hits].sum(0, dtype=np.float64)
+                    if len(hits) <= _FEW:
+                        total += self.weights[fold][hits].sum(0, dtype=np.float64)
+                    else:  # no more rows than buckets
+                        hits, n = np.unique(hits, return_counts=True)
+                        total += n @ self.weights[fold][hits].astype(np.float64)
             out.append((total - total.max()).tolist() if any_ else None)
         return out
 
@@ -164,11 +179,26 @@ def _best(scores: Column) -> Column:
     return F.array_position(scores, F.array_max(scores)).cast("int")
 
 
+def _by_language(counted: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, ns): for each value of key its rows by language, as an array."""
+    pairs = counted.where(F.col(key).isNotNull()).groupBy(key, "_best").agg(F.sum("n").alias("n"))
+    held = pairs.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_best", "n"))).alias("m"))
+    return held.select(key, F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("ns"))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+
+def _pulled(weight: float, base: Column) -> Column:
+    """Language shares of ``ns``, pulled towards base with so many pseudo-rows."""
+    return F.transform(F.arrays_zip(F.col("ns").alias("n"), base.alias("b")), lambda z: (z["n"] + weight * z["b"]) / (F.col("total") + weight))
+
+
 def _shares(counted: DataFrame, key: str, k: int, weight: float, base: Column) -> DataFrame:
     """(key, n, p): for each value of key its rows and the language shares, pulled towards ``base`` with ``weight`` pseudo-rows."""
-    sums = counted.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.sum(F.when(F.col("_best") == i + 1, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(k)))
-    total = sum((F.col(f"n{i}") for i in range(k)), F.lit(0))
-    return sums.select(key, total.alias("n"), F.array(*((F.col(f"n{i}") + weight * F.get(base, F.lit(i))) / (total + weight) for i in range(k))).alias("p"))
+    sums = _by_language(counted, key, k).withColumn("total", _sum(F.col("ns")))
+    return sums.select(key, F.col("total").alias("n"), _pulled(weight, base).alias("p"))
 
 
 def identify(docs: DataFrame, text: str = "text", declared: Column | None = None, suffix: Column | None = None, host: Column | None = None, parent: Column | None = None, model: TextModel | None = None) -> DataFrame:
@@ -198,9 +228,10 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
     base = F.array(*map(F.lit, corpus.tolist()))
     parents = _shares(counted, "_parent", k, PARENT_WEIGHT, base).select("_parent", F.col("p").alias("pp"))
     pairs = counted.join(parents, "_parent", "left").withColumn("pp", F.coalesce("pp", base)) if parent is not None else counted.withColumn("pp", base)
-    host_parent = pairs.where(F.col("_host").isNotNull()).groupBy("_host").agg(F.min_by("pp", F.coalesce("_parent", F.lit(""))).alias("pp"), *(F.sum(F.when(F.col("_best") == i + 1, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(k)))
-    total = sum((F.col(f"n{i}") for i in range(k)), F.lit(0))
-    hosts = host_parent.select("_host", F.array(*(F.log((F.col(f"n{i}") + HOST_WEIGHT * F.get("pp", F.lit(i))) / (total + HOST_WEIGHT)) for i in range(k))).alias("_prior"))
+    # a host has one parent, or else the first
+    parent_of = pairs.where(F.col("_host").isNotNull()).groupBy("_host").agg(F.min_by("pp", F.coalesce("_parent", F.lit(""))).alias("pp"))
+    host_rows = _by_language(counted, "_host", k).join(parent_of, "_host").withColumn("total", _sum(F.col("ns")))
+    hosts = host_rows.select("_host", F.transform(_pulled(HOST_WEIGHT, F.col("pp")), lambda p: F.log(p)).alias("_prior"))
 
     def say(column: str, *more: Column) -> DataFrame:
         """What each value of a cue says of each language: log likelihood ratios."""
@@ -235,11 +266,14 @@ def host_of(url: Column) -> Column:
 
 
 def markup_language(html: Column) -> Column:
-    return F.nullif(F.lower(F.regexp_extract(html, r"(?i)<html[^>]*\slang=[\"']?([A-Za-z]+)", 1)), F.lit(""))
+    head = F.regexp_extract(html, r"(?i)<html[^>]*+", 0)  # ends with the first tag or the text: no way back
+    return F.nullif(F.lower(F.regexp_extract(head, r"(?i)\slang=[\"']?([A-Za-z]+)", 1)), F.lit(""))
 
 
 def visible_text(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<!--.*?-->|<[^>]*>", " ")
+    """Text outside scripts, styles, comments and tags; one that is not closed goes on to the end. Takes time in proportion to the length."""
+    html = F.regexp_replace(html, r"(?is)<(script|style)\b(?:.*?</\1\s*+>|.*+)", " ")
+    return F.regexp_replace(html, r"(?s)<!--(?:.*?-->|.*+)|<[^>]*+>?", " ")
 
 
 def identify_pages(pages: DataFrame) -> DataFrame:

@@ -185,3 +185,77 @@ def test_fused_posterior_by_sql(spark):
     assert len(want) == len(rows)
     for i, k, p in want:
         assert got[i].lang_id == model.languages[k] and got[i].lang_posterior == pytest.approx(p, abs=1e-9)
+
+
+def invented(n_languages, n_rows):
+    """Rows of languages with letters and words of their own; some rows declare nothing."""
+    import random
+
+    rows = []
+    for k in range(n_languages):
+        rng = random.Random(k)
+        letters = [chr(0x4E00 + k * 40 + j) for j in range(40)]
+        words = ["".join(rng.choices(letters, k=rng.randrange(2, 6))) for _ in range(30)]
+        rows += [(k * n_rows + i, " ".join(rng.choices(words, k=40)), f"x{k:03}" if i % 10 else None, f"s{k % 7}", f"x{k:03}") for i in range(n_rows)]
+    return rows
+
+
+@pytest.mark.parametrize("languages", [80, 300])
+def test_every_language_comes_back(spark, languages):
+    rows = invented(languages, 20)
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in language.identify_documents(docs).collect()}
+    assert len(got) == len(rows)
+    assert [(r[0], got[r[0]].lang_id) for r in rows if got[r[0]].lang_id != r[4] or not got[r[0]].lang_keep] == []
+
+
+def test_the_model_stays_of_one_size():
+    assert [language.bits_for(n) for n in (1, 64, 65, 128, 129, 1 << 12)] == [16, 16, 15, 15, 14, 10]
+    assert all(n << language.bits_for(n) <= language.MODEL_CELLS for n in range(1, (1 << 12) + 1))
+
+
+@pytest.mark.parametrize("unit", ["<", "<script", "<!--", "<html ", "<style x", "</script ", "< ", "<html lang", "<script></script"])
+def test_long_broken_markup_takes_time_in_proportion(spark, unit):
+    """1 MB takes at most 2.3 times as long as 0.5 MB (the best of three, a tenth of a second aside)."""
+    import time
+
+    took = []
+    for size in (1 << 19, 1 << 20):
+        page = spark.createDataFrame([("a" + unit * (size // len(unit)),)], "html string").cache()
+        page.count()
+        out = page.select(F.length(language.visible_text(F.col("html"))), language.markup_language(F.col("html")))
+        best = []
+        for _ in range(3):
+            at = time.perf_counter()
+            out.collect()
+            best.append(time.perf_counter() - at)
+        took.append(min(best))
+    assert took[1] < 2.3 * took[0] + 0.1
+
+
+def test_visible_text(spark):
+    cases = {
+        "a<b>c</b>d": "a c d",
+        "x<script>var t='</p>';</script>y<STYLE a=1>p{}</style >z": "x y z",
+        "x<!-- a > b -->y<!-- open <b>z": "x y ",
+        "x<script>never closed": "x ",
+        "x<b never closed": "x ",
+        "1 < 2 <b>3": "1  3",
+        "": "",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "html string, want string")
+    assert [(r.html, r.got) for r in df.withColumn("got", language.visible_text(F.col("html"))).collect() if r.got != r.want] == []
+    heads = {'<html lang="fr">': "fr", "<HTML class=x LANG='De-AT'>": "de", "<html><body lang=en>": None, "<html ": None, "": None}
+    df = spark.createDataFrame([(k, v) for k, v in heads.items()], "html string, want string")
+    assert [(r.html, r.got) for r in df.withColumn("got", language.markup_language(F.col("html"))).collect() if r.got != r.want] == []
+
+
+def test_long_texts_are_scored_as_short_ones(spark, monkeypatch):
+    rows = [(i, ["the cat and the dog ", "le chat et le chien "][i % 2] * (1 if i < 40 else 40_000), ["en", "fr"][i % 2]) for i in range(44)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = language.TextModel.fit(df.where("id < 40"), "text", "lang")
+    texts = [r[1].encode() for r in rows]
+    got = model.score(texts, [0] * len(texts))
+    monkeypatch.setattr(language, "_FEW", 1 << 60)
+    want = model.score(texts, [0] * len(texts))
+    assert all(g == pytest.approx(w, rel=1e-9) for g, w in zip(got, want, strict=True))
