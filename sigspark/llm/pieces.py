@@ -245,26 +245,31 @@ class _Shared:
         return in_worker(self.ident, lambda: _Words(*self._unpack()))
 
 
-#: Words beside the table's that a worker remembers, from task to task.
-REMEMBERED = 200_000
+#: Words beside the table's that a worker remembers, from task to task, in each of two generations.
+REMEMBERED = 100_000
 
 
 class _Words(dict):
-    """Ids of words by key: the shared table's, and those folded here, which are forgotten when they are too many."""
+    """Ids of words by key: the shared table's, and those folded here, of which the ones met lately are kept."""
 
     def __init__(self, vocab: Vocabulary, known: dict[str, bytes]):
-        super().__init__(known)
-        self.vocab, self.known = vocab, known
+        super().__init__()
+        self.vocab, self.known, self.old = vocab, known, {}
 
     def __missing__(self, key: str) -> bytes:
-        got = self[key] = array("i", self.vocab.encode_word(SPACE + key)).tobytes()
+        got = self.known.get(key)
+        if got is not None:
+            return got
+        got = self.old.get(key)
+        if got is None:
+            got = array("i", self.vocab.encode_word(SPACE + key)).tobytes()
+        if len(key) <= MASK_BITS:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
         return got
 
-    def bound(self) -> None:
-        if len(self) > len(self.known) + REMEMBERED:
-            self.clear()
-            self.update(self.known)
-
 
 @tidy
 def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decode: bool, digest: bool) -> Iterator[pa.RecordBatch]:
@@ -277,7 +282,6 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: _Shared, text: str, decod
             keys = keys_of(t) if t else []
             ids.append(np.frombuffer(b"".join([words[k] for k in keys]), np.int32))
             same.append(vocab.decode(ids[-1].tolist())[1:] == (t or "").encode() if decode else None)
-            words.bound()
         made = {"round_trip": pa.array(same, pa.bool_())}
         if digest:
             made["n_tokens"] = pa.array(map(len, ids), pa.int64())
