@@ -8,6 +8,9 @@ and ``documents`` for text scans.
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +21,9 @@ from sigspark.operators import frames as V
 from sigspark.operators import ordered as O
 from sigspark.operators import signals as S
 from sigspark.plans import session
-from sigspark.sources import text
+from sigspark.sources import dat, header, rhd, text, wav
+from sigspark.sources import frames as frame_files
+from sigspark.sources.shared import fresh_folder
 from sigspark.streaming import live
 
 QUERIES: dict = {}
@@ -392,10 +397,23 @@ def _butter_sql(name: str, cutoff: float, kind: str) -> str:
     FROM (SELECT k, [{b}] AS b, 1 / (1 + sqrt(2) * k + k * k) AS g FROM (SELECT tan(pi() * {cutoff} / 1250) AS k) x) y) z)"""
 
 
-@query(f"WITH {_butter_sql('f', 100, 'high')} SELECT " + ", ".join(f"round({n}, 9) AS {n}" for n in ("b0", "b1", "b2", "a1", "a2")) + " FROM f")
+@query("""
+SELECT n_nationkey, round(g, 9) AS b0, round(-2 * g, 9) AS b1, round(g, 9) AS b2, round(2 * (k * k - 1) * g, 9) AS a1, round((1 - sqrt(2) * k + k * k) * g, 9) AS a2
+FROM (SELECT n_nationkey, k, 1 / (1 + sqrt(2) * k + k * k) AS g FROM (SELECT n_nationkey, tan(pi() * (10 + 20 * n_nationkey) / 1250) AS k FROM nation) x) y
+""")
 def filter_design(spark: SparkSession, sf: str) -> DataFrame:
-    b, a = K.butter2(100, 1250, "high")
-    return spark.range(1).select(*(F.round(F.lit(float(v)), 9).alias(n) for n, v in zip(("b0", "b1", "b2", "a1", "a2"), [*b, *a[1:]], strict=True)))
+    """High-pass filters, one for each nation's cutoff."""
+    names = ["b0", "b1", "b2", "a1", "a2"]
+    cutoffs = read(spark, sf, "nation").select("n_nationkey", (10.0 + 20 * F.col("n_nationkey")).alias("cutoff"))
+
+    def design(batches):
+        for batch in batches:
+            made = [[*b, *a[1:]] for b, a in (K.butter2(c, 1250, "high") for c in batch.column("cutoff").to_pylist())]
+            columns = [pa.array([m[i] for m in made], pa.float64()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column("n_nationkey"), *columns], names=["n_nationkey", *names])
+
+    out = cutoffs.mapInArrow(design, "n_nationkey int, " + ", ".join(f"{n} double" for n in names))
+    return out.select("n_nationkey", *(F.round(n, 9).alias(n) for n in names))
 
 
 _RESAMPLE_TAPS = [0.1, 0.3, 0.5, 0.8, 0.5, 0.3, 0.1]
@@ -576,11 +594,13 @@ def sample_count(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "documents").select("doc_id", text.samples_in(F.octet_length("text"), F.lit(4)).alias("n_samples"), F.when(F.col("source") == "src0", 1250).otherwise(20000).alias("fs"))
 
 
-@query("SELECT n, kind, name, printf('%02X000000', 2 * length(name)) || wide || printf('%02X000000', 2 * length(name)) || wide || printf('%02X00%02X00%02X000100%02X000100', n, n, kind, n) || repeat('0', 32) AS record FROM (SELECT *, array_to_string(list_transform(string_split(name, ''), lambda c: hex(encode(c)) || '00'), '') AS wide FROM (SELECT CAST(n AS INTEGER) AS n, kind, CASE kind WHEN 0 THEN 'A-' || lpad(CAST(n - 1 AS VARCHAR), 3, '0') ELSE 'CH' || (n - 1) END AS name FROM (SELECT n, 0 AS kind FROM range(1, 65) r(n) UNION ALL SELECT n, 3 FROM range(1, 17) r(n)) x) y) z")
+@query("SELECT n, kind, name, printf('%02X000000', 2 * length(name)) || wide || printf('%02X000000', 2 * length(name)) || wide || printf('%02X00%02X00%02X000100%02X000100', n, n, kind, n) || repeat('0', 32) AS record FROM (SELECT *, array_to_string(list_transform(string_split(name, ''), lambda c: hex(encode(c)) || '00'), '') AS wide FROM (SELECT CAST(n_nationkey + 1 AS INTEGER) AS n, CASE WHEN n_regionkey < 3 THEN 0 ELSE 3 END AS kind, n_name AS name FROM nation) y) z")
 def channel_header(spark: SparkSession, sf: str) -> DataFrame:
-    from sigspark.sources.rhd import channel_table, with_record
-
-    return with_record(channel_table(spark, 64)).withColumn("record", F.hex("record"))
+    """Header records of channels that are numbered and named by the nations."""
+    nations = read(spark, sf, "nation")
+    kind = F.when(F.col("n_regionkey") < 3, rhd.AMPLIFIER).otherwise(rhd.ADC)
+    channels = nations.select((F.col("n_nationkey") + 1).cast("int").alias("n"), kind.alias("kind"), F.col("n_name").alias("name"))
+    return rhd.with_record(channels).withColumn("record", F.hex("record"))
 
 
 @query("SELECT doc_id, CAST(2 * length(source) AS BIGINT) AS n, array_to_string(list_transform(string_split(source, ''), lambda c: hex(encode(c)) || '00'), '') AS bytes FROM documents")
@@ -592,3 +612,139 @@ def utf16_string(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT date_trunc('second', ts) AS second, count(*) AS n_frames FROM events GROUP BY 1")
 def fps_window(spark: SparkSession, sf: str) -> DataFrame:
     return live.frames_per_second(read(spark, sf, "events").select("ts"), "ts").select(F.col("window.start").cast("timestamp_ntz").alias("second"), "n_frames")
+
+
+# -- sources and sinks: tables are written in the engine's formats into the shared folder, and read back ----------------
+
+
+def _recorded(spark: SparkSession, sf: str) -> DataFrame:
+    """(session, sample_idx, x): a recording of three channels for each user."""
+    s = samples(spark, sf)
+    return s.select(F.col("user_id").cast("string").alias("session"), "sample_idx", F.array(F.round(F.col("value") * 10), F.col("word") - 32768.0, F.col("sample_idx").cast("double")).alias("x"))
+
+
+_RECORDED = f"{SAMPLES}, r AS (SELECT user_id, sample_idx, [CAST(round(value * 10) AS INTEGER), CAST(word - 32768 AS INTEGER), CAST(sample_idx AS INTEGER)] AS x, count(*) OVER (PARTITION BY user_id) AS n FROM s)"
+
+
+@query(f"""
+WITH {_RECORDED}, c AS (SELECT user_id, sample_idx, n, unnest([1, 2, 3]) AS channel, unnest(x) AS value FROM r)
+SELECT 'whole' AS form, CAST(user_id AS VARCHAR) AS session, sample_idx, CAST(channel AS INTEGER) AS channel, value FROM c
+UNION ALL SELECT 'chosen', CAST(user_id AS VARCHAR), sample_idx, channel, value FROM c WHERE channel IN (1, 3) AND sample_idx BETWEEN 2 AND 5
+UNION ALL SELECT 'last', CAST(user_id AS VARCHAR), sample_idx, channel, value FROM c WHERE sample_idx >= greatest(n - 4, 0)
+UNION ALL SELECT 'pushed', CAST(user_id AS VARCHAR), sample_idx, channel, value FROM c WHERE channel = 2 AND sample_idx >= 3 AND sample_idx < 6
+UNION ALL SELECT 'skipped', CAST(user_id AS VARCHAR), sample_idx, 1, value FROM c WHERE channel = 1
+""")
+def recording_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Recordings by session: channel selection, ranges from both ends, pushed filters, bytes skipped after each value."""
+    folder = fresh_folder(spark, "recordings")
+    dat.write_recordings(_recorded(spark, sf), folder)
+    of = lambda nch, **options: dat.read_dat(spark, folder, nch, layout="long", **options)
+    forms = {
+        "whole": of(3),
+        "chosen": of(3, select="3,1", start=2, until=5),
+        "last": of(3, start=-4, until=0),
+        "pushed": of(3, select="2").where("sample_idx >= 3 AND sample_idx < 6"),
+        "skipped": of(1, skip_bytes=4),
+    }
+    out = None
+    for form, df in forms.items():
+        df = df.select(F.lit(form).alias("form"), "session", "sample_idx", "channel", F.col("value").cast("int").alias("value"))
+        out = df if out is None else out.union(df)
+    return out
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS session, count(*) AS n_samples, CASE WHEN user_id % 2 = 0 THEN 1250 END AS fs FROM events GROUP BY user_id")
+def recording_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of samples from the sizes of files; every other session is at the LFP rate by its name."""
+    folder = fresh_folder(spark, "sizes")
+    rows = _recorded(spark, sf)
+    dat.write_recordings(rows.where("CAST(session AS BIGINT) % 2 = 0"), f"{folder}/slow", "amplifier.lfp")
+    dat.write_recordings(rows.where("CAST(session AS BIGINT) % 2 = 1"), f"{folder}/fast", "amplifier.dat")
+    found = text.sample_counts(spark, f"{folder}/*/*/amplifier.*", 3)
+    return found.select(F.regexp_extract("path", "/([0-9]+)/amplifier", 1).alias("session"), "n_samples", "fs")
+
+
+def _zero_phase_sql(source: str, first: int) -> str:
+    """The zero-phase filter over a channel's samples from ``first`` on, which keep their numbers."""
+    sql = ORACLE["zero_phase_filter"].replace(VALUES, f"{VALUES.replace('s AS', 'whole AS', 1)}, s AS (SELECT user_id, value, word, sample_idx - {first} AS sample_idx FROM {source})", 1)
+    return f"SELECT user_id, sample_idx + {first} AS sample_idx, y FROM ({sql}) z"
+
+
+@query(_zero_phase_sql("whole WHERE sample_idx BETWEEN 3 AND 40", 3))
+def range_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of each recording is read from its file and filtered forward and backward."""
+    folder = fresh_folder(spark, "ranges")
+    s = samples(spark, sf).select(F.col("user_id").cast("string").alias("session"), "sample_idx", F.array("value").alias("x"))
+    dat.write_recordings(s, folder, dtype="double")
+    part = dat.read_dat(spark, folder, 1, dtype="double", start=3, until=40)
+    out = S.zero_phase_filter(part.withColumn("x", F.get("x", F.lit(0))), ["session"], "sample_idx", "x", 0.5, 1250)
+    return out.select(F.col("session").cast("long").alias("user_id"), "sample_idx", F.round("y", 4).alias("y"))
+
+
+@query("SELECT vec_id, rank - 1 AS frame_idx, array_to_string(list_transform(embedding, lambda v: printf('%02X', CAST(least(255, greatest(0, round(CAST(v AS DOUBLE) * 64 + 128))) AS INTEGER))), '') AS raw FROM (SELECT vec_id, embedding, row_number() OVER (ORDER BY vec_id) AS rank FROM embeddings)")
+def frame_files_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors as frames of 64 bytes in one file, read by byte ranges."""
+    folder = fresh_folder(spark, "frames")
+    e = read(spark, sf, "embeddings")
+    # their places: vec_id is dense at the source, so that no window over the table is needed
+    numbered = e.select((F.col("vec_id") - e.agg(F.min("vec_id")).first()[0]).alias("sample_idx"), F.transform("embedding", lambda v: v.cast("double") * 64 + 128).alias("x"), F.lit("cam").alias("session"))
+    dat.write_recordings(numbered, folder, "misc.dat", dtype="uint8")
+    found = frame_files.read_frames(spark, folder, frame_bytes=64)
+    first = e.agg(F.min("vec_id").alias("_first"))
+    return found.join(first).select((F.col("frame_idx") + F.col("_first")).alias("vec_id"), "frame_idx", F.hex("raw").alias("raw"))
+
+
+@query("SELECT user_id, round(event_id / 1250.0, 6) AS time, event_type || ' start ' || (event_id % 16 + 1) AS description, event_type AS kind, 'start' AS phase, CAST(event_id % 16 + 1 AS INTEGER) AS channel FROM events")
+def event_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as text files by session, parsed back."""
+    folder = fresh_folder(spark, "events")
+    e = read(spark, sf, "events")
+    label = C.event_label(F.col("event_type"), F.lit("start"), F.col("event_id") % 16 + 1)
+    lines = e.select("user_id", C.event_line(F.col("event_id") / 1250.0, label).alias("value"))
+    lines.hint("rebalance", "user_id").write.partitionBy("user_id").text(folder)
+    found = text.read_events(spark, f"{folder}/user_id=*")
+    return found.select(F.regexp_extract("path", "user_id=([0-9]+)/", 1).cast("long").alias("user_id"), F.round("time", 6).alias("time"), "description", "kind", "phase", "channel")
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS device, CAST(s_suppkey * 7 % 31 * 1000 AS BIGINT) AS fs, CAST(s_suppkey % 16 * 4 + 4 AS BIGINT) AS nch, (s_suppkey % 1000) / 10.0 AS interval_ms, 0 AS n_dsp FROM supplier")
+def parameter_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A parameter block for each supplier's device, written byte by byte and parsed."""
+    folder = fresh_folder(spark, "parameters")
+    # bytes of the fields' places: rate, channels, first stimulation interval in tenths
+    at = {"fs": F.col("s_suppkey") * 7 % 31 * 1000, "Nch": F.col("s_suppkey") % 16 * 4 + 4, "stim_interval": F.col("s_suppkey") % 1000}
+    place, offset = {}, 0
+    for name, kind, n in header.SYSTEM_FIELDS:
+        if name in at:
+            place[name] = offset
+        offset += struct.calcsize(f"<{n}{kind}")
+    byte = lambda v, i: F.call_function("shiftright", v.cast("long"), (i * 8).cast("int")).bitwiseAND(F.lit(255))
+
+    def content(i):
+        out = F.lit(0).cast("long")
+        for name, v in at.items():
+            out = F.when(i.between(place[name], place[name] + 3), byte(v, i - place[name])).otherwise(out)
+        return out
+
+    blocks = read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("session"), F.lit(0).cast("long").alias("sample_idx"), F.transform(F.sequence(F.lit(0), F.lit(header.BLOCK - 1)), content).alias("x"))
+    dat.write_recordings(blocks, folder, "CE_params.bin", dtype="uint8")
+    found = header.read_header(spark, f"{folder}/*/CE_params.bin")
+    return found.select(F.regexp_extract("path", "/([0-9]+)/CE_params", 1).alias("device"), "sys.fs", F.col("sys.Nch").alias("nch"), F.get("sys.stim_interval", F.lit(0)).alias("interval_ms"), F.size("dsp").alias("n_dsp"))
+
+
+@query("SELECT event_id, CAST((event_id * 7919) % 65536 - 32768 AS INTEGER) AS pcm FROM events")
+def wav_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as the samples of a WAV file, read behind its header."""
+    folder = fresh_folder(spark, "wav")
+    e = read(spark, sf, "events").select(F.col("event_id").alias("sample_idx"), C.audio_sample((F.col("event_id") * 7919) % 65536).alias("pcm"))
+    wav.write_wav(e, f"{folder}.wav")
+    head = dat.WAV_HEADER // 2
+    found = dat.read_dat(spark, f"{folder}.wav", 1, start=head)
+    first = e.agg(F.min("sample_idx").alias("_first"))
+    return found.join(first).select((F.col("sample_idx") - head + F.col("_first")).alias("event_id"), F.get("x", F.lit(0)).cast("int").alias("pcm"))
+
+
+@query("WITH o AS (SELECT max(event_id) AS last FROM events WHERE event_type = 'view' AND value > 200) SELECT event_id FROM events, o WHERE event_type = 'click' AND event_id >= last")
+def stim_ready(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks not before the last large view of all sessions."""
+    e = read(spark, sf, "events")
+    return E.after_last(e.where("event_type = 'click'"), e.where("event_type = 'view' AND value > 200"), "event_id").select("event_id")

@@ -147,7 +147,7 @@ def export(session: Session, spark: SparkSession, folder: str) -> None:
     n = session.combined.count()
     dat.write_index(spark, n, os.path.join(folder, "time.dat"))
     rhd.write_header(os.path.join(folder, "info.rhd"), fs=session.mode["fs"], nch=session.mode["nch"], cl_mode=session.mode["cl_mode"])
-    dat.write_dat(session.combined, os.path.join(folder, "amplifier_cat.lfp"))
+    dat.write_dat(session.combined, os.path.join(folder, "amplifier_cat.lfp"), first=0)
     for name in ("lfp", "events", "stimulation", "detected_only", "imu"):
         if getattr(session, name) is None:
             continue

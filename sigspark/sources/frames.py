@@ -1,6 +1,6 @@
 """Raw camera frames: a batch and streaming data source ("sigframes").
 
-Options: path (file, folder or glob), frame_bytes (default 160,000), offset.
+Options: path (file, folder or glob, mounted or URI), file (pattern of a folder's files, default *.dat), frame_bytes (default 160,000), offset.
 A truncated last frame is dropped. The stream reads the frames that a growing
 file or folder has gained since the last batch, in order of file name; it never
 opens anything for writing.
@@ -8,7 +8,6 @@ opens anything for writing.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -17,7 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from sigspark.functions.kernels import FRAME_BYTES
 
-from .dat import files_of
+from . import files
 
 SCHEMA = "path string, frame_idx long, raw binary"
 PER_PARTITION = 64
@@ -36,15 +35,20 @@ def _runs(path: str, first: int, end: int) -> list[Run]:
 
 class _Frames:
     def __init__(self, options: dict):
-        self.where, self.size, self.offset = options["path"], int(options.get("frame_bytes", FRAME_BYTES)), int(options.get("offset", 0))
+        self.where, self.name = options["path"], options.get("file", "*.dat")
+        self.size, self.offset = int(options.get("frame_bytes", FRAME_BYTES)), int(options.get("offset", 0))
 
     def counts(self) -> dict[str, int]:
-        return {p: max(0, os.path.getsize(p) - self.offset) // self.size for p in files_of(self.where) if os.path.exists(p)}
+        try:
+            found = files.listed(self.where, self.name)
+        except FileNotFoundError:
+            found = []  # a stream may wait for its file
+        return {p: max(0, n - self.offset) // self.size for p, n in found}
 
     def read(self, partition: Run) -> Iterator[tuple[str, int, bytes]]:
         if partition.end <= partition.first:
             return
-        with open(partition.path, "rb") as f:
+        with files.opened(partition.path) as f:
             f.seek(self.offset + partition.first * self.size)
             for i in range(partition.first, partition.end):
                 yield partition.path, i, f.read(self.size)

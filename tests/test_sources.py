@@ -195,3 +195,111 @@ def test_channel_records_are_the_headers_bytes(spark):
     rows = rhd.with_record(rhd.channel_table(spark, 1024)).where("n IN (1, 7, 64, 256, 300, 1000)").collect()
     assert len(rows) == 10 and all(bytes(r.record) == rhd._channel(r.n, r.kind, r.name) for r in rows)
     assert all(bytes(r.record) in rhd.header_bytes(20000, 1024) for r in rows)
+
+
+def recording(spark, frames):
+    return spark.createDataFrame(frames, "session string, sample_idx long, x array<double>").repartition(3)
+
+
+def test_many_recordings_in_one_job(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    data = {"a": rng.integers(-40_000, 40_000, (500, 2)), "b": rng.integers(-9, 9, (1, 2)), "c": rng.integers(-9, 9, (77, 2))}
+    rows = [(k, i, [float(v) + 0.25 for v in x[i]]) for k, x in data.items() for i in range(len(x))]
+    rows[3][2][1] = None
+    dat.write_recordings(recording(spark, rows), f"{tmp_path}/out", "x.dat")
+    for k, x in data.items():
+        want = np.clip(x, -32768, 32767)  # a quarter more is rounded away, beyond the ends as well
+        if k == "a":
+            want[3, 1] = 0
+        assert (np.fromfile(f"{tmp_path}/out/{k}/x.dat", "<i2").reshape(-1, 2) == want).all()
+    got = dat.read_dat(spark, f"file://{tmp_path}/out", 2, file="x.dat")
+    assert got.rdd.getNumPartitions() == 1 and got.select("session").distinct().count() == 3
+    # written again: the old folder is replaced as a whole
+    dat.write_recordings(recording(spark, [("z", 5, [1.0]), ("z", 6, [2.0])]), f"{tmp_path}/out", "x.dat", first=5)
+    assert os.listdir(f"{tmp_path}/out") == ["z"] and sorted(os.listdir(tmp_path)) == ["out"]
+    assert np.fromfile(f"{tmp_path}/out/z/x.dat", "<i2").tolist() == [1, 2]
+
+
+@pytest.mark.parametrize("bad", [[("a", 0, [1.0]), ("a", 2, [1.0])], [("a", 0, [1.0]), ("a", 0, [2.0])], [("a", 1, [1.0])], [("a", 0, [1.0]), ("a", 1, [1.0, 2.0])], [("../a", 0, [1.0])], [(None, 0, [1.0])], [("a", 0, None)], [("a", -1, [1.0])]])
+def test_what_is_no_recording_leaves_the_old_one(spark, tmp_path, bad):
+    make(f"{tmp_path}/out/a/x.dat", [7])
+    with pytest.raises(Exception, match="numbered|same channels|no name|before"):
+        dat.write_recordings(recording(spark, bad), f"{tmp_path}/out", "x.dat")
+    assert np.fromfile(f"{tmp_path}/out/a/x.dat", "<i2").tolist() == [7] and os.listdir(tmp_path) == ["out"]
+
+
+def test_a_failed_append_leaves_the_old_file(spark, tmp_path):
+    path = make(f"{tmp_path}/a.dat", range(1000))
+    fails = F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("stopped")).cast("long"))
+    with pytest.raises(Exception, match="stopped"):
+        dat.write_dat(spark.range(100).select(F.col("id").alias("sample_idx"), F.array(fails).alias("x")), path, mode="append", first=0)
+    assert np.fromfile(path, "<i2").tolist() == list(range(1000)) and os.listdir(tmp_path) == ["a.dat"]
+    rows = spark.range(10).select((F.col("id") + 4).alias("sample_idx"), F.array("id").alias("x"))
+    dat.write_dat(rows, path, mode="append")
+    dat.write_dat(rows.limit(0), path, mode="append")
+    assert np.fromfile(path, "<i2").tolist() == [*range(1000), *range(10)] and os.listdir(tmp_path) == ["a.dat"]
+
+
+def test_a_stream_of_samples(spark, tmp_path):
+    """Micro-batches in any cut end in the same file; a batch that is repeated changes nothing."""
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    rows = [("ab"[i % 2], i // 2, [float(i), -float(i)]) for i in range(200)]
+    for k, (a, b) in enumerate([(0, 31), (31, 32), (32, 150), (150, 200)]):
+        recording(spark, rows[a:b]).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("session string, sample_idx long, x array<double>").option("maxFilesPerTrigger", 1).parquet(source)
+        dat.stream_dat(stream, out, f"{tmp_path}/check", file="x.dat").awaitTermination()
+        for s in "ab":
+            own = [r[2] for r in rows[:b] if r[0] == s]
+            assert np.fromfile(f"{out}/{s}/x.dat", "<i2").reshape(-1, 2).tolist() == own
+    # a checkpoint that was lost: all batches once more
+    stream = spark.readStream.schema("session string, sample_idx long, x array<double>").parquet(source)
+    dat.stream_dat(stream, out, f"{tmp_path}/check2", file="x.dat").awaitTermination()
+    assert np.fromfile(f"{out}/b/x.dat", "<i2").reshape(-1, 2).tolist() == [r[2] for r in rows if r[0] == "b"]
+
+
+def test_short_files_share_a_task_and_long_ones_are_cut(spark, tmp_path):
+    for k in range(100):
+        make(f"{tmp_path}/s{k:03}/a.dat", range(3))
+    make(f"{tmp_path}/long/a.dat", range(2500))
+    df = dat.read_dat(spark, str(tmp_path), 1, frames_per_partition=1000)
+    assert 4 <= df.rdd.getNumPartitions() <= 8
+    assert df.count() == 2800 and df.agg(F.sum(F.get("x", F.lit(0)))).first()[0] == sum(range(2500)) + 300
+    assert dat.read_dat(spark, f"{tmp_path}/s00*/a.dat", 1).select("session").distinct().count() == 10
+
+
+def test_paths_and_uris(tmp_path):
+    from sigspark.sources import files
+
+    for name in ("b/x.dat", "a/x.dat", "a/y.txt", "a/c/z.dat"):
+        make(f"{tmp_path}/{name}", [1, 2])
+    every = [(f"{tmp_path}/{n}", 4) for n in ("a/c/z.dat", "a/x.dat", "b/x.dat")]
+    for path in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}"):
+        assert files.listed(path, "*.dat") == every
+        assert files.listed(f"{path}/*/x.dat") == every[1:]
+        assert files.listed(f"{path}/a/x.dat") == every[1:2]
+        assert files.listed(f"{path}/none*") == []
+        with pytest.raises(FileNotFoundError):
+            files.listed(f"{path}/none")
+    with files.opened(f"file://{tmp_path}/a/x.dat") as f:
+        f.seek(2)
+        assert f.read(2) == b"\2\0"
+
+
+def test_files_of_another_file_system(spark, tmp_path, monkeypatch):
+    """Ranges are read through the file system that a URI names."""
+    from pyarrow import fs
+
+    from sigspark.sources import files
+
+    make(f"{tmp_path}/bucket/s1/a.dat", range(10))
+    made = []
+
+    def from_uri(uri):
+        made.append(uri)
+        return fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem()), "bucket"
+
+    monkeypatch.setattr(files, "fs", type("fs", (), {"FileSystem": type("F", (), {"from_uri": staticmethod(from_uri)}), "FileType": fs.FileType, "FileSelector": fs.FileSelector, "LocalFileSystem": fs.LocalFileSystem}))
+    assert files.listed("s3://bucket/s1", "*.dat") == [("s3://bucket/s1/a.dat", 20)]
+    with files.opened("s3://bucket/s1/a.dat") as f:
+        assert f.size() == 20
+    assert set(made) == {"s3://bucket/"}
