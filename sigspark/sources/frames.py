@@ -4,10 +4,22 @@ Options: path (file, folder or glob, mounted or URI), file (pattern of a folder'
 A truncated last frame is dropped. The stream reads the frames that a growing
 file or folder has gained since the last batch, in order of file name; it never
 opens anything for writing.
+
+"sigslot" follows a device that writes one frame after another to the same
+place (options path, offset, frame_bytes, poll_ms, frames_per_trigger, spool).
+The driver polls the place; a poll that finds the frame of the poll before is a
+repeat, told by its digest, one that finds no whole frame, or a frame that
+changes while it is read, is lost and counted. A new frame goes into the
+spool folder, which all executors have mounted, until its batch is committed:
+a batch that is repeated has the same frames, and a restart repeats none.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+import threading
+import time
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -93,3 +105,117 @@ def read_frames(spark: SparkSession, path: str, **options: object) -> DataFrame:
 def stream_frames(spark: SparkSession, path: str, **options: object) -> DataFrame:
     spark.dataSource.register(SigFrames)
     return spark.readStream.format("sigframes").options(**options).load(path)
+
+
+SLOT_SCHEMA = "frame_idx long, poll long, lost long, raw binary"
+
+
+@dataclass
+class Held(InputPartition):
+    first: int
+    end: int
+
+
+class SlotStream(DataSourceStreamReader):
+    """Frames of a place that is written again and again; the offset is the number of frames seen."""
+
+    def __init__(self, options: dict):
+        self.path, self.offset, self.size = options["path"], int(options.get("offset", 0)), int(options.get("frame_bytes", FRAME_BYTES))
+        self.wait, self.most = int(options.get("poll_ms", 20)) / 1000, int(options.get("frames_per_trigger", 64))
+        self.spool = files.place(options["spool"])[1]
+        self.thread: threading.Thread | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"thread": None}  # tasks read the spool only
+
+    def _held(self) -> dict[int, tuple[str, int, int]]:
+        """Frames in the spool: number -> (name, poll, lost)."""
+        names = [n.removesuffix(".raw").split("-") for n in os.listdir(self.spool) if n.endswith(".raw")]
+        return {int(n): (f"{self.spool}/{n}-{poll}-{lost}.raw", int(poll), int(lost)) for n, poll, lost in names}
+
+    def _start(self) -> None:
+        if self.thread is not None:
+            return
+        os.makedirs(self.spool, exist_ok=True)
+        held = self._held()
+        self.seen = max(held, default=-1) + 1
+        self.given = min(held, default=0)
+        self.polls, self.digest = 0, b""
+        if held:
+            name, self.polls, _ = held[self.seen - 1]
+            with open(name, "rb") as f:
+                self.digest = hashlib.sha256(f.read()).digest()
+            self.polls += 1
+        self.thread = threading.Thread(target=self._follow, daemon=True)
+        self.thread.start()
+
+    def _look(self) -> bytes | None:
+        """The frame in the place, if it is whole and the same when read again."""
+        try:
+            with open(self.path, "rb") as f:
+                found = []
+                for _ in range(2):
+                    f.seek(self.offset)
+                    found.append(f.read(self.size))
+        except OSError:
+            return None
+        return found[0] if len(found[0]) == self.size and found[0] == found[1] else None
+
+    def _follow(self) -> None:
+        lost = 0
+        while True:
+            raw = self._look()
+            if raw is None:
+                lost += 1
+            elif (digest := hashlib.sha256(raw).digest()) != self.digest:
+                name = f"{self.spool}/{self.seen}-{self.polls}-{lost}"
+                with open(f"{name}.new", "wb") as f:
+                    f.write(raw)
+                os.rename(f"{name}.new", f"{name}.raw")
+                self.digest, self.seen, lost = digest, self.seen + 1, 0
+            self.polls += 1
+            time.sleep(self.wait)
+
+    def initialOffset(self) -> dict:
+        self._start()
+        return {"n": min(self._held(), default=0)}
+
+    def latestOffset(self) -> dict:
+        self._start()
+        return {"n": min(self.seen, self.given + self.most)}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        self._start()  # a restart plans its last batch again before it asks for more
+        self.given = max(self.given, end["n"])
+        return [Held(at, min(at + PER_PARTITION, end["n"])) for at in range(start["n"], end["n"], PER_PARTITION)] or [Held(0, 0)]
+
+    def read(self, partition: Held) -> Iterator[tuple[int, int, int, bytes]]:
+        held = self._held() if partition.end > partition.first else {}
+        for i in range(partition.first, partition.end):
+            name, poll, lost = held[i]
+            with open(name, "rb") as f:
+                yield i, poll, lost, f.read()
+
+    def commit(self, end: dict) -> None:
+        # the last frame stays: a restart compares the place with it
+        for i, (name, _, _) in self._held().items():
+            if i < end["n"] - 1:
+                os.unlink(name)
+
+
+class SigSlot(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "sigslot"
+
+    def schema(self) -> str:
+        return SLOT_SCHEMA
+
+    def streamReader(self, schema) -> SlotStream:
+        return SlotStream(self.options)
+
+
+def stream_slot(spark: SparkSession, path: str, spool: str, **options: object) -> DataFrame:
+    """(frame_idx, poll, lost, raw) of the frames that follow one another in one place of a file or device."""
+    spark.dataSource.register(SigSlot)
+    return spark.readStream.format("sigslot").options(path=path, spool=spool, **options).load()
