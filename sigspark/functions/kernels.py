@@ -357,27 +357,37 @@ def unpack10(payload: np.ndarray) -> np.ndarray:
 
 
 def repair(image: np.ndarray, bad: list[int]) -> np.ndarray:
-    """Listed pixels, in order, become the median of their 3 x 3 neighbourhood, edge-clamped; later ones see earlier repairs."""
+    """Listed pixels, in order, become the median of their 3 x 3 neighbourhood, edge-clamped; later ones see earlier repairs. One image or a stack of them."""
     out = image.copy()
-    h, w = out.shape
+    w = out.shape[-1]
     for n in bad:
         r, c = divmod(n - 1, w)
-        out[r, c] = np.median(out[max(0, r - 1) : r + 2, max(0, c - 1) : c + 2])
+        out[..., r, c] = np.median(out[..., max(0, r - 1) : r + 2, max(0, c - 1) : c + 2], axis=(-2, -1))
     return out
 
 
-def demosaic(mosaic: np.ndarray) -> np.ndarray:
-    """Bilinear colours (h, w, RGB) of a BGGR mosaic; neighbours beyond the edge do not count."""
-    h, w = mosaic.shape
-    out = np.zeros((h, w, 3))
+@functools.lru_cache(maxsize=8)
+def _mosaic_weights(h: int, w: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(channel, where it is measured, summed weights of the neighbours that measure it) of a BGGR mosaic."""
     rows, cols = np.indices((h, w)) % 2
     masks = {2: (rows == 0) & (cols == 0), 1: rows != cols, 0: (rows == 1) & (cols == 1)}
-    kernel = np.array([[1, 2, 1], [2, 4, 2], [1, 2, 1]], float)
-    for channel, mask in masks.items():
-        have, value = np.pad(mask.astype(float), 1), np.pad(np.where(mask, mosaic, 0).astype(float), 1)
-        weight = sum(kernel[i, j] * have[i : i + h, j : j + w] for i in range(3) for j in range(3))
-        total = sum(kernel[i, j] * value[i : i + h, j : j + w] for i in range(3) for j in range(3))
-        out[..., channel] = np.where(mask, mosaic, total / np.maximum(weight, 1e-12))
+    return [(channel, mask, np.maximum(_smoothed(mask.astype(float)), 1e-12)) for channel, mask in masks.items()]
+
+
+def _smoothed(x: np.ndarray) -> np.ndarray:
+    """Sum over the 3 x 3 neighbourhood with weights 1, 2, 1 each way, of the last two axes; zeros beyond the edge."""
+    wide = np.pad(x, [(0, 0)] * (x.ndim - 1) + [(1, 1)])
+    x = wide[..., :-2] + 2 * wide[..., 1:-1] + wide[..., 2:]
+    wide = np.pad(x, [(0, 0)] * (x.ndim - 2) + [(1, 1), (0, 0)])
+    return wide[..., :-2, :] + 2 * wide[..., 1:-1, :] + wide[..., 2:, :]
+
+
+def demosaic(mosaic: np.ndarray) -> np.ndarray:
+    """Bilinear colours (..., h, w, RGB) of a BGGR mosaic or a stack of them; neighbours beyond the edge do not count."""
+    mosaic = np.asarray(mosaic, float)
+    out = np.empty((*mosaic.shape, 3))
+    for channel, mask, weight in _mosaic_weights(*mosaic.shape[-2:]):
+        out[..., channel] = np.where(mask, mosaic, _smoothed(np.where(mask, mosaic, 0.0)) / weight)
     return out
 
 
@@ -404,12 +414,16 @@ def equalise_luminance(rgb: np.ndarray) -> np.ndarray:
     return np.clip(rgb + (even - luma)[..., None], 0, 255).astype(np.uint8)
 
 
+def decode_stack(raws: list[bytes], bad: list[int] | None = None, target: float | None = 160.0) -> np.ndarray:
+    """RGB (n, 320, 320, 3), 8 bits, of raw frames: unpack, scale, repair, rotate, colours, brightness of each."""
+    images = unpack10(np.stack([deframe(r) for r in raws])).reshape(-1, SIDE, SIDE) / 4.0
+    images = repair(images, bad) if bad else images
+    rgb = demosaic(np.rot90(images, 2, (1, 2)).astype(np.uint16))
+    return np.stack([brightness(x, target) for x in rgb]) if target else np.clip(rgb, 0, 255).astype(np.uint8)
+
+
 def decode_frame(raw: bytes, bad: list[int] | None = None, target: float | None = 160.0) -> np.ndarray:
-    """RGB (320, 320, 3), 8 bits, of a raw frame: unpack, scale, repair, rotate, colours, brightness."""
-    image = unpack10(deframe(raw)).reshape(SIDE, SIDE) / 4.0
-    image = repair(image, bad) if bad else image
-    rgb = demosaic(np.rot90(image, 2).astype(np.uint16))
-    return brightness(rgb, target) if target else np.clip(rgb, 0, 255).astype(np.uint8)
+    return decode_stack([raw], bad, target)[0]
 
 
 def letterbox(image: np.ndarray, height: int, width: int) -> np.ndarray:

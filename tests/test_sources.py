@@ -303,3 +303,18 @@ def test_files_of_another_file_system(spark, tmp_path, monkeypatch):
     with files.opened("s3://bucket/s1/a.dat") as f:
         assert f.size() == 20
     assert set(made) == {"s3://bucket/"}
+
+
+def test_images_of_many_sizes(spark):
+    """Stacks give what single images give; nulls, empty images and missing pixels stay in their rows."""
+    rng = np.random.default_rng(1)
+    images = [rng.integers(0, 255, (h, 8)).astype(float) for h in (8, 4, 8, 2, 4, 1)]
+    rows = [(i, None if m is None else [float(v) for v in m.reshape(-1)]) for i, m in enumerate([images[0], None, *images[1:], np.zeros((0, 8))])]
+    df = spark.createDataFrame(rows, "i int, p array<double>").coalesce(1)
+    for op, kernel in ((lambda d: V.demosaic(d, "p", 8), K.demosaic), (lambda d: V.repair_pixels(d, "p", 8, [1, 2, 8, 8]), lambda m: K.repair(m, [1, 2, 8, 8]))):
+        got = {r.i: r.image for r in op(df.where("i <> 7")).collect()}
+        assert got[1] is None
+        for i, p in rows[:-1]:
+            if p is not None:
+                assert np.allclose(got[i], kernel(np.array(p).reshape(-1, 8)).reshape(-1))
+    assert V.demosaic(df.where("i = 7"), "p", 8).first().image == []
