@@ -11,9 +11,9 @@ from sigspark.functions import columns as C
 from .ordered import first_difference
 
 
-def interval_filter(events: DataFrame, keys: list[str], time: str, least: float) -> DataFrame:
-    """Events more than ``least`` after the previous raw one; the first is compared with time 0. A row without a time is no event."""
-    return first_difference(events.where(F.col(time).isNotNull()), keys, [time], time, 0, "_gap").where(F.col("_gap") > least).drop("_gap")
+def interval_filter(events: DataFrame, keys: list[str], time: str, least: float, span: Column | None = None) -> DataFrame:
+    """Events more than ``least`` after the previous raw one; the first is compared with time 0. A row without a time is no event. ``span`` as in ``ordered.with_index``."""
+    return first_difference(events.where(F.col(time).isNotNull()), keys, [time], time, 0, "_gap", span).where(F.col("_gap") > least).drop("_gap")
 
 
 def detect_only(detected: DataFrame, stimulated: DataFrame, on: list[str]) -> DataFrame:

@@ -18,14 +18,42 @@ from pyspark.sql import functions as F
 
 from sigspark.functions import kernels as K
 
+from . import chunks as H
 from .joins import same_keys
 
 CHUNK = 1 << 20
 
 
-def with_index(df: DataFrame, keys: list[str], order: list[str], name: str = "sample_idx") -> DataFrame:
-    """Dense 0-based index by key; recordings have theirs from the scan, tables get it here."""
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
+def with_index(df: DataFrame, keys: list[str], order: list[str], name: str = "sample_idx", span: Column | None = None) -> DataFrame:
+    """Dense 0-based index by key; recordings have theirs from the scan, tables get it here.
+
+    ``span`` is an expression that does not fall along the order (the day of a
+    time, say): rows are then numbered by key and span, and the numbers of the
+    rows in earlier spans are added, so that a long session is many tasks.
+    """
+    place = lambda by: F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("long") - 1
+    if span is None:
+        return df.withColumn(name, place(keys))
+    cut, by = df.withColumn("_span", span), [*keys, "_span"]
+    counts = cut.groupBy(*by).agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy(*keys).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(*by, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return same_keys(cut.withColumn(name, place(by)), before, by).withColumn(name, F.col(name) + F.col("_before")).drop("_span", "_before")
+
+
+def with_lag(df: DataFrame, keys: list[str], order: list[str], value: str, start: object = None, name: str = "prev", span: Column | None = None) -> DataFrame:
+    """df with the value one row before; ``start`` for the first. With ``span`` (see ``with_index``) only the last row of each span is looked for beyond it."""
+    if span is None:
+        return df.withColumn(name, F.lag(value, 1, start).over(W.partitionBy(*keys).orderBy(*order)))
+    cut, by = df.withColumn("_span", span), [*keys, "_span"]
+    # in a struct, a null value is not the lack of a row
+    held = F.struct(F.col(value).alias("v"))
+    lasts = cut.groupBy(*by).agg(F.max_by(held, F.struct(*order)).alias("_last"))
+    lasts = lasts.select(*by, F.lag("_last").over(W.partitionBy(*keys).orderBy("_span")).alias("_last"))
+    inside = F.lag(held).over(W.partitionBy(*by).orderBy(*order))
+    out = same_keys(cut.withColumn("_inside", inside), lasts, by)
+    found = F.coalesce("_inside", "_last")
+    return out.withColumn(name, F.when(found.isNull(), F.lit(start)).otherwise(found["v"])).drop("_span", "_inside", "_last")
 
 
 def with_neighbours(df: DataFrame, keys: list[str], index: str, value: str, pad: object = 0, chunk: int = CHUNK) -> DataFrame:
@@ -43,9 +71,9 @@ def with_neighbours(df: DataFrame, keys: list[str], index: str, value: str, pad:
     return out.withColumns({"prev": F.coalesce("prev", F.lit(pad)), "next": F.coalesce("next", F.lit(pad))})
 
 
-def first_difference(df: DataFrame, keys: list[str], order: list[str], value: str, start: object = 0, name: str = "step") -> DataFrame:
-    """Value minus its predecessor; the first is compared with ``start``."""
-    return df.withColumn(name, F.col(value) - F.lag(value, 1, start).over(W.partitionBy(*keys).orderBy(*order)))
+def first_difference(df: DataFrame, keys: list[str], order: list[str], value: str, start: object = 0, name: str = "step", span: Column | None = None) -> DataFrame:
+    """Value minus its predecessor; the first is compared with ``start``. ``span`` as in ``with_index``."""
+    return with_lag(df, keys, order, value, start, "_lag", span).withColumn(name, F.col(value) - F.col("_lag")).drop("_lag")
 
 
 def word_edges(df: DataFrame, keys: list[str], index: str, word: str, n_bits: int = 16, chunk: int = CHUNK) -> DataFrame:
@@ -110,9 +138,9 @@ def moving_average(df: DataFrame, keys: list[str], index: str, value: str, n: in
     return _with_halo(df, index, n - 1, chunk).withColumn(name, F.avg(value).over(w)).where("_own = _chunk").drop("_own", "_chunk")
 
 
-def every_other(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Rows 1, 3, 5, ... by key."""
-    return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_n % 2 = 1").drop("_n")
+def every_other(df: DataFrame, keys: list[str], order: list[str], span: Column | None = None) -> DataFrame:
+    """Rows 1, 3, 5, ... by key. ``span`` as in ``with_index``."""
+    return with_index(df, keys, order, "_n", span).where("_n % 2 = 0").drop("_n")
 
 
 def sequential(df: DataFrame, keys: list[str], order: list[str], value: str, step: Callable[[object, float], tuple[object, object]], start: Callable[[], object], name: str, kind: str) -> DataFrame:
@@ -168,11 +196,86 @@ def iir_filter(df: DataFrame, keys: list[str], order: list[str], value: str, b:
     return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, slots.schema)
 
 
-def greedy_refractory(df: DataFrame, keys: list[str], order: list[str], time: str, least: float) -> DataFrame:
-    """Events at least ``least`` after the last one kept; a row without a time is no event and is left out."""
+#: Refractory times that a chunk of events spans.
+SPANS = 1024
+
+
+def _successors(t: np.ndarray, least: float) -> np.ndarray:
+    """For each of sorted times the first event at least ``least`` later; their number where there is none."""
+    return np.maximum(np.searchsorted(t, t + least, "left"), np.arange(1, len(t) + 1))
 
-    def step(last: float | None, t: float) -> tuple[float | None, bool]:
-        keep = last is None or t >= last + least
-        return (t if keep else last), keep
 
-    return sequential(df.where(F.col(time).isNotNull()), keys, order, time, step, lambda: None, "_keep", "boolean").where("_keep").drop("_keep")
+def _last_of_chain(nxt: np.ndarray) -> np.ndarray:
+    """For each event the last that follows from it, by doubling the pointers."""
+    n = len(nxt)
+    here = np.append(np.where(nxt < n, nxt, np.arange(n)), n)
+    while True:
+        further = here[here]
+        if (further == here).all():
+            return here[:n]
+        here = further
+
+
+def greedy_refractory(df: DataFrame, keys: list[str], order: list[str], time: str, least: float, chunk: float | None = None) -> DataFrame:
+    """Events at least ``least`` after the last one kept; a row without a time is no event and is left out.
+
+    The time is cut into chunks (``SPANS`` times ``least``, or ``chunk``). What a chunk makes of the
+    last event kept before it is a few steps: the chains of its first events, of which most
+    meet, found by successor pointers. A key's steps (a row a chunk) are followed one
+    after another, and each chunk then keeps its chain: a key is many tasks.
+    """
+    if not least > 0:
+        return df.where(F.col(time).isNotNull())
+    size = float(chunk or SPANS * least)
+    if size < least:
+        raise ValueError("a chunk is to be at least as long as the refractory time")
+    value = F.col(time).cast("double")
+    rows = df.where(F.col(time).isNotNull()).withColumns({"_t": value, "_chunk": F.floor(value / F.lit(size)).cast("long")})
+    by = [*keys, "_chunk"]
+    kinds = dict(rows.dtypes)
+    head = ", ".join(f"`{k}` {kinds[k]}" for k in by)
+
+    def steps(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        """Per chunk: for an event kept before, ``upto`` has the last starts (sorted) that end in the chain's last event ``ends``."""
+        t = tab.column("_t").to_numpy()
+        upto, ends = [], []
+        for i, j in groups:
+            own = t[i:j]
+            # the first event that an earlier one lets pass is among these
+            first = int(np.searchsorted(own, own[0] + least, "right")) + 1
+            last = own[_last_of_chain(_successors(own, least))[:first]]
+            final = np.append(last[1:] != last[:-1], True)
+            upto.append(own[:first][final].tolist())
+            ends.append(last[final].tolist())
+        heads = tab.select(by).take(pa.array([i for i, _ in groups], pa.int64()))
+        return heads.append_column("upto", pa.array(upto, pa.list_(pa.float64()))).append_column("ends", pa.array(ends, pa.list_(pa.float64())))
+
+    def follow(tab: pa.Table) -> pa.Table:
+        """The last event kept before each of a key's chunks; null before the first."""
+        at = np.argsort(tab.column("_chunk").to_numpy())
+        tab = tab.take(pa.array(at))
+        last, before = None, []
+        for upto, ends in zip(tab.column("upto").to_pylist(), tab.column("ends").to_pylist(), strict=True):
+            before.append(last)
+            i = 0 if last is None else int(np.searchsorted(upto, last + least, "left"))
+            # beyond the listed starts is the chain of the last of them, unless nothing in the chunk is late enough
+            last = ends[i] if i < len(ends) else last
+        return tab.select(by).append_column("_last", pa.array(before, pa.float64()))
+
+    def kept(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        t, last = tab.column("_t").to_numpy(), tab.column("_last").to_numpy(zero_copy_only=False)
+        keep = np.zeros(len(t), bool)
+        for i, j in groups:
+            own = t[i:j]
+            nxt = _successors(own, least)
+            at = 0 if np.isnan(last[i]) else int(np.searchsorted(own, last[i] + least, "left"))
+            while at < len(own):
+                keep[i + at] = True
+                at = nxt[at]
+        return tab.drop_columns(["_t", "_chunk", "_last"]).filter(pa.array(keep))
+
+    dealt = lambda d: d.repartition(*by).sortWithinPartitions(*by, "_t", *order)
+    maps = dealt(rows.select(*by, "_t", *(c for c in order if c not in by))).mapInArrow(H.in_groups(by, steps), f"{head}, upto array<double>, ends array<double>")
+    starts = maps.groupBy(*(keys or [F.lit(0).alias("_all")])).applyInArrow(follow, f"{head}, _last double")
+    out = dealt(same_keys(rows, starts, by)).mapInArrow(H.in_groups(by, kept), df.schema)
+    return out

@@ -156,7 +156,7 @@ def greedy_refractory(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {CLICKS} SELECT user_id, event_id, t_ms FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t_ms, event_id) AS k FROM c) WHERE k % 2 = 1")
 def every_other(spark: SparkSession, sf: str) -> DataFrame:
-    return O.every_other(clicks(spark, sf), USER, ["t_ms", "event_id"])
+    return O.every_other(clicks(spark, sf), USER, ["t_ms", "event_id"], span=F.floor(F.col("t_ms") / DAY_MS))
 
 
 @query("SELECT event_id, user_id, value FROM events e WHERE event_type = 'click' AND NOT EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id AND v.value = e.value)")
@@ -226,7 +226,7 @@ def stim_ready_by_user(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {CLICKS} SELECT user_id, event_id, t_ms - lag(t_ms, 1, 0) OVER (PARTITION BY user_id ORDER BY t_ms) AS step FROM c")
 def first_difference(spark: SparkSession, sf: str) -> DataFrame:
-    return O.first_difference(clicks(spark, sf), USER, ["t_ms"], "t_ms").select("user_id", "event_id", "step")
+    return O.first_difference(clicks(spark, sf), USER, ["t_ms"], "t_ms", span=F.floor(F.col("t_ms") / DAY_MS)).select("user_id", "event_id", "step")
 
 
 # -- selection, zipping, joins ------------------------------------------------------------
@@ -280,7 +280,9 @@ def av_bucket_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {SAMPLES} SELECT user_id, sample_idx, sample_idx / 1250.0 AS t FROM s")
 def sample_index(spark: SparkSession, sf: str) -> DataFrame:
-    return samples(spark, sf).select("user_id", "sample_idx", C.seconds_of("sample_idx", 1250).alias("t"))
+    """Samples numbered by session and day, so that a long session is many tasks."""
+    e = read(spark, sf, "events").select("user_id", "ts", "event_id")
+    return O.with_index(e, USER, TIME_ORDER, span=F.to_date("ts")).select("user_id", "sample_idx", C.seconds_of("sample_idx", 1250).alias("t"))
 
 
 # -- scaling, statistics, calibration -----------------------------------------------------
