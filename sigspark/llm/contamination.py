@@ -163,9 +163,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = with_verdict(scan(docs, table(spark, sf_dir, "benchmark"), keep_text=False))
+    found = with_verdict(scan(docs, table(spark, sf_dir, "benchmark"), offsets=True, keep_text=False))
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(listed, 256).alias("items_sha256"), "contaminated")
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(listed, 256).alias("items_sha256"), "contaminated", spans.alias("spans"))
 
 
 OP4_SQL = """
@@ -175,15 +176,23 @@ WITH b AS (
   SELECT DISTINCT item_id, CAST(least(13, len(w)) AS BIGINT) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS g
   FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0
 ), d AS (
-  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  SELECT doc_id, r, x, regexp_extract_all(x, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM (SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents) t
 ), dw AS (
   SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM d, (SELECT DISTINCT k FROM bw) q, unnest(range(1, len(w) - k + 2)) t(i)
 ), m AS (SELECT dw.r, dw.k, dw.i, bw.item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.g = bw.g),
-h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, k, i FROM m) x, unnest(range(i, i + k)) t(p) GROUP BY r),
+hp AS (SELECT DISTINCT r, p FROM (SELECT DISTINCT r, k, i FROM m) x, unnest(range(i, i + k)) t(p)),
+h AS (SELECT r, count(*) AS n_hit FROM hp GROUP BY r),
+u AS (SELECT r, p - place AS island, min(p) AS first, max(p) AS last FROM (SELECT r, p, row_number() OVER (PARTITION BY r ORDER BY p) AS place FROM hp) x GROUP BY r, p - place),
+tk AS (SELECT r, t, n, sum(length(t)) OVER (PARTITION BY r ORDER BY n) AS upto, sum(CASE WHEN regexp_matches(t, '^[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]') THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY n) AS word
+  FROM (SELECT r, unnest(l) AS t, unnest(range(len(l))) AS n FROM (SELECT r, regexp_extract_all(x, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+|[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS l FROM d WHERE r IN (SELECT r FROM h)) y) z),
+wp AS (SELECT r, word, upto - length(t) AS start, upto AS stop FROM tk WHERE regexp_matches(t, '^[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]')),
+sp AS (SELECT u.r, string_agg(CAST(a.start AS BIGINT) || ':' || CAST(b.stop AS BIGINT), ',' ORDER BY a.start) AS spans FROM u JOIN wp a ON a.r = u.r AND a.word = u.first JOIN wp b ON b.r = u.r AND b.word = u.last GROUP BY u.r),
 j AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN h USING (r) LEFT JOIN j USING (r)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(spans, '') AS spans
+FROM d LEFT JOIN h USING (r) LEFT JOIN j USING (r) LEFT JOIN sp USING (r)
 """
 
 

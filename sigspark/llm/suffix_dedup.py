@@ -166,11 +166,11 @@ def _send_runs(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.R
         # anchors have the least ranks of their windows, so the high bits would deal to few parts
         part = (rank & np.uint64(0xFFFFFFFF)) * np.uint64(n_parts) >> np.uint64(32)
         order = np.argsort(part, kind="stable")
-        part, rank, content, shape, doc, tag, lo = (x[order] for x in (part, rank, content, shape.astype(np.uint16), doc, tag.astype(np.int32), lo.astype(np.uint32)))
+        part, rank, content, shape, doc, tag, lo = (x[order] for x in (part, rank, content, shape.astype(np.uint16), doc, tag.astype(np.int64), lo.astype(np.uint32)))
         cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
         rows = [(int(part[a]), 1, *(x[a:b].tobytes() for x in (rank, content, shape, doc, tag, lo))) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         if len(gone[0]):
-            rows.append((int(content[0] % np.uint64(n_parts)), 0, gone[3].tobytes(), None, None, gone[0].tobytes(), gone[1].astype(np.int32).tobytes(), gone[2].tobytes()))
+            rows.append((int(content[0] % np.uint64(n_parts)), 0, gone[3].tobytes(), None, None, gone[0].tobytes(), gone[1].astype(np.int64).tobytes(), gone[2].tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), *[pa.binary()] * 6], strict=True)], names=["part", "kind", "rank", "content", "shape", "doc", "tag", "lo"])
 
     size = 0
@@ -188,11 +188,11 @@ def _send_runs(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.R
         yield flush()
 
 
-LEFT_DDL = "kind long, doc_id long, tag int, place long, lo long, hi long"
+LEFT_DDL = "kind long, doc_id long, tag long, place long, lo long, hi long"
 
 
 def _left(kind: int, doc, tag, place, lo, hi) -> dict[str, np.ndarray]:
-    return {"kind": np.full(len(doc), kind, np.int64), "doc_id": doc, "tag": tag.astype(np.int32), "place": place, "lo": lo, "hi": hi}
+    return {"kind": np.full(len(doc), kind, np.int64), "doc_id": doc, "tag": tag.astype(np.int64), "place": place, "lo": lo, "hi": hi}
 
 
 def _rank_runs(tab: pa.Table) -> pa.Table:
@@ -203,9 +203,9 @@ def _rank_runs(tab: pa.Table) -> pa.Table:
         packed = tab.column(name).filter(pa.array(kinds == kind))
         return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x.as_buffer(), dtype) for x in packed)])
 
-    spans = [(joined("doc", 0, np.int64), joined("tag", 0, np.int32), joined("lo", 0, np.int64), joined("rank", 0, np.int64))]
+    spans = [(joined("doc", 0, np.int64), joined("tag", 0, np.int64), joined("lo", 0, np.int64), joined("rank", 0, np.int64))]
     rank, content, shape = joined("rank", 1, np.uint64), joined("content", 1, np.uint64), joined("shape", 1, np.uint16).astype(np.int64)
-    doc, tag, lo = joined("doc", 1, np.int64), joined("tag", 1, np.int32), joined("lo", 1, np.uint32).astype(np.int64)
+    doc, tag, lo = joined("doc", 1, np.int64), joined("tag", 1, np.int64), joined("lo", 1, np.uint32).astype(np.int64)
     order, first, later = _earliest((rank, content, shape), doc, tag, lo)
     rank, shape, doc, tag, lo = (x[order] for x in (rank, shape, doc, tag, lo))
     spans.append((doc[later], tag[later], lo[later], lo[later] + (shape[later] & 127) + LENGTH))
@@ -219,7 +219,7 @@ def _rank_runs(tab: pa.Table) -> pa.Table:
     return pa.table({c: pa.array(np.concatenate([x[c] for x in out])) for c in out[0]})
 
 
-BINS_DDL = "core long, number long, near long, doc_id long, tag int, lo long, content binary"
+BINS_DDL = "core long, number long, near long, doc_id long, tag long, lo long, content binary"
 
 
 def _digest(data: bytes) -> int:
@@ -247,11 +247,11 @@ def _send_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bins(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [*[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary()], strict=True)], names=["core", "number", "near", "doc_id", "tag", "lo", "content"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [*[pa.int64()] * 6, pa.binary()], strict=True)], names=["core", "number", "near", "doc_id", "tag", "lo", "content"])
 
 
-WINDOWS_DDL = "kind long, doc_id long, tag int, lo long, hi long, window binary"
-_WINDOWS = pa.schema([("kind", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64()), ("window", pa.binary())])
+WINDOWS_DDL = "kind long, doc_id long, tag long, lo long, hi long, window binary"
+_WINDOWS = pa.schema([("kind", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("window", pa.binary())])
 
 
 @tidy
@@ -328,8 +328,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
-    """docs with a hash of the text, which tells rows of one doc_id apart."""
-    return docs.select("doc_id", F.hash("text").alias("tag"), "text")
+    """docs with a 64-bit hash of the text and its length, which tells rows of one doc_id apart."""
+    return docs.select("doc_id", F.xxhash64("text", F.octet_length("text")).alias("tag"), "text")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -364,7 +364,7 @@ def _union_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of each row of docs(doc_id, text)."""
-    spans = repeated_spans(docs).mapInArrow(_union_spans, "doc_id long, tag int, lo long, hi long")
+    spans = repeated_spans(docs).mapInArrow(_union_spans, "doc_id long, tag long, lo long, hi long")
     spans = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return _tagged(docs).join(spans, ["doc_id", "tag"], "left").mapInArrow(lambda b: _cut_out(b, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 

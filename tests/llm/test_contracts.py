@@ -13,7 +13,7 @@ CONTRACTS = {
     "op1_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
     "op2_quality_classifier": "doc_id bigint, quality_own double, quality_posterior double, toxic_own double, toxic_posterior double, keep boolean",
     "op3_media_columns": "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string",
-    "op4_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op4_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, spans string",
     "op5_sentencepiece": "doc_id bigint, n_tokens bigint, n_byte_tokens bigint, ids_sha256 string, round_trip boolean",
     "op6_suffix_array_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op7_language_id": "doc_id bigint, lang string, lang_id string, lang_posterior double, lang_text string, keep boolean",

@@ -98,7 +98,14 @@ def test_contamination(spark, tmp_path):
     bench.write.parquet(str(tmp_path / "benchmark.parquet"))
     q = contamination.op4_decontamination(spark, str(tmp_path))
     want = brute(docs, items)
-    assert sorted(map(tuple, q.collect()), key=str) == want
+    got = q.collect()
+    assert sorted((tuple(r)[:6] for r in got), key=str) == want
+    for r in got:
+        # the column of spans: code points of the original, each a run of hit words, none of them apart
+        spans = [tuple(map(int, s.split(":"))) for s in r.spans.split(",") if s]
+        texts = [t or "" for d, t in docs if d == r.doc_id]
+        assert any(sum(len(words(t[a:b])) for a, b in spans) == r.n_hit for t in texts)
+        assert spans == sorted(spans) and all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
     df = spark.read.parquet(str(tmp_path / "documents.parquet"))
     blocks = contamination.with_verdict(contamination.scan(df.drop("runs"), bench, offsets=True, block_bytes=40)).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, contamination.items_digest(r["items"]), r.contaminated) for r in blocks), key=str) == want
