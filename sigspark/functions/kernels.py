@@ -229,6 +229,10 @@ def quaternion_of(r: np.ndarray) -> np.ndarray:
     return q / np.linalg.norm(q) * (-1 if q[0] < 0 else 1)
 
 
+#: Numbers of an ``Ahrs`` state.
+AHRS_STATE = 25
+
+
 class Ahrs:
     """Orientation by an error-state Kalman filter over nine axes, as published for attitude and heading reference systems.
 
@@ -244,6 +248,31 @@ class Ahrs:
         self.offset, self.linear = np.zeros(3), np.zeros(3)
         self.variance, self.field = np.array(AHRS_FIRST), np.array([AHRS_FIELD, 0.0, 0.0])
 
+    def state(self) -> list[float] | None:
+        """All that the filter knows, as numbers; None before the first sample."""
+        if self.q is None:
+            return None
+        return np.concatenate((self.q, self.offset, self.linear, self.variance, self.field)).tolist()
+
+    @staticmethod
+    def of_state(fs: float, state: list[float] | None) -> Ahrs:
+        """A filter that goes on from a state."""
+        out = Ahrs(fs)
+        if state is not None:
+            x = np.array(state, float)
+            out.q, out.offset, out.linear, out.variance, out.field = x[:4], x[4:7], x[7:10], x[10:22], x[22:25]
+        return out
+
+    def follow(self, rows: np.ndarray) -> list[list[float] | None]:
+        """Orientations along rows of nine axes; a row with a missing axis keeps the last one, None before the first."""
+        whole = np.isfinite(rows).all(1)
+        out: list[list[float] | None] = []
+        for row, good in zip(rows, whole.tolist(), strict=True):
+            if good:
+                self.step(row[:3], row[3:6], row[6:])
+            out.append(None if self.q is None else self.q.tolist())
+        return out
+
     def step(self, acc: np.ndarray, gyr: np.ndarray, mag: np.ndarray) -> np.ndarray:
         if self.q is None:
             self.q = self._first(acc, mag)
@@ -306,26 +335,84 @@ def matrix_of(q: np.ndarray) -> np.ndarray:
     return np.array([[1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)], [2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)], [2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y)]])
 
 
+class Vocoder:
+    """Pitch changed and length kept: a phase vocoder stretches time, linear interpolation undoes it.
+
+    Step k of the output takes its spectrum from between the frames beside
+    k * rate, and its phase from the sum of the turns of the steps before. A part of the
+    steps can thus be made from their frames and that sum alone.
+    """
+
+    def __init__(self, semitones: float, n: int = 1024):
+        self.n, self.hop, self.rate, self.shape = n, n // 4, 2.0 ** (-semitones / 12), np.hanning(n)
+        self.advance = 2 * np.pi * self.hop * np.arange(n // 2 + 1) / n
+        #: Steps that overlap the one behind them.
+        self.overlap = n // self.hop - 1
+
+    def steps(self, length: int) -> int:
+        """Steps that a signal of so many samples makes."""
+        return len(np.arange(0, -(-(length + self.n // 2 + 1) // self.hop) - 1, self.rate))
+
+    def frames(self, x: np.ndarray, first: int, low: int, high: int) -> np.ndarray:
+        """Spectra of the frames low..high - 1; x begins at sample ``first``, zeros beyond it."""
+        a, b = low * self.hop - self.n // 2, (high - 1) * self.hop + self.n // 2
+        wide = np.zeros(b - a)
+        i, j = max(a, first), min(b, first + len(x))
+        if j > i:
+            wide[i - a : j - a] = x[i - first : j - first]
+        return np.fft.rfft(np.lib.stride_tricks.sliding_window_view(wide, self.n)[:: self.hop] * self.shape, axis=1)
+
+    def turns(self, spectra: np.ndarray) -> np.ndarray:
+        """What the phase goes on by from each frame to the next."""
+        turn = np.diff(np.angle(spectra), axis=0) - self.advance
+        return self.advance + turn - 2 * np.pi * np.round(turn / (2 * np.pi))
+
+    def _of(self, x: np.ndarray, first: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the steps low..high - 1: frame (from the first used), place behind it, spectra and turns."""
+        t = np.arange(low, high) * self.rate
+        i = t.astype(int)
+        spectra = self.frames(x, first, int(i[0]), int(i[-1]) + 2)
+        return i - i[0], t - i, spectra, self.turns(spectra)
+
+    def total(self, x: np.ndarray, first: int, low: int, high: int) -> np.ndarray:
+        """Sum of the turns of the steps low..high - 1, and the first phase where they begin the signal."""
+        i, _, spectra, turns = self._of(x, first, low, high)
+        return turns[i].sum(0) + (np.angle(spectra[0]) if low == 0 else 0)
+
+    def part(self, x: np.ndarray, first: int, low: int, high: int, last: int, phase: np.ndarray | None) -> tuple[np.ndarray, int]:
+        """The stretched signal that the steps low..high - 1 of ``last`` complete, and its place; ``phase`` is that of step low."""
+        a, b = max(0, low - self.overlap), min(high + 1, last)
+        i, part, spectra, turns = self._of(x, first, a, b)
+        sums = np.concatenate((np.zeros((1, turns.shape[1])), np.cumsum(turns[i], axis=0)))[: b - a]
+        at = np.angle(spectra[0]) if phase is None else phase - sums[low - a]
+        size = np.abs(spectra)
+        size = (1 - part)[:, None] * size[i] + part[:, None] * size[i + 1]
+        made = np.fft.irfft(size * np.exp(1j * (at + sums)), axis=1) * self.shape
+        out, weight = np.zeros((b - a) * self.hop + self.n), np.zeros((b - a) * self.hop + self.n)
+        for k in range(b - a):
+            out[k * self.hop : k * self.hop + self.n] += made[k]
+            weight[k * self.hop : k * self.hop + self.n] += self.shape**2
+        return out / np.maximum(weight, 1e-8), a * self.hop
+
+    def back(self, stretched: np.ndarray, place: int, m: np.ndarray) -> np.ndarray:
+        """Output samples m of a stretched part that begins at ``place``."""
+        at = m / self.rate + self.n // 2 - place
+        return np.interp(at, np.arange(len(stretched)), stretched)
+
+    def owned(self, low: int, high: int, last: int, length: int) -> np.ndarray:
+        """Output samples that lie in the steps low..high - 1 of ``last``."""
+        reach = lambda k: int((k * self.hop - self.n // 2) * self.rate)
+        m = np.arange(max(0, reach(low) - 2), length if high >= last else min(length, reach(high) + 3))
+        at = m / self.rate + self.n // 2
+        return m[((at >= low * self.hop) | (low == 0)) & ((at < high * self.hop) | (high >= last))]
+
+
 def pitch_shift(x: np.ndarray, semitones: float, n: int = 1024) -> np.ndarray:
-    """Pitch changed and length kept: a phase vocoder stretches time, linear interpolation undoes it."""
-    x = np.asarray(x, float)
-    rate = 2.0 ** (-semitones / 12)
-    hop, shape = n // 4, np.hanning(n)
-    wide = np.pad(x, (n // 2, n))
-    frames = np.lib.stride_tricks.sliding_window_view(wide, n)[::hop]
-    spectra = np.fft.rfft(frames * shape, axis=1)
-    advance = 2 * np.pi * hop * np.arange(n // 2 + 1) / n
-    at = np.arange(0, len(spectra) - 1, rate)
-    phase, out, weight = np.angle(spectra[0]), np.zeros(len(at) * hop + n), np.zeros(len(at) * hop + n)
-    for k, t in enumerate(at):
-        i, part = int(t), t - int(t)
-        size = (1 - part) * np.abs(spectra[i]) + part * np.abs(spectra[i + 1])
-        out[k * hop : k * hop + n] += np.fft.irfft(size * np.exp(1j * phase)) * shape
-        weight[k * hop : k * hop + n] += shape**2
-        turn = np.angle(spectra[i + 1]) - np.angle(spectra[i]) - advance
-        phase = phase + advance + turn - 2 * np.pi * np.round(turn / (2 * np.pi))
-    stretched = (out / np.maximum(weight, 1e-8))[n // 2 :]
-    return np.interp(np.arange(len(x)) / rate, np.arange(len(stretched)), stretched)
+    """``Vocoder`` over a whole signal."""
+    x, v = np.asarray(x, float), Vocoder(semitones, n)
+    last = v.steps(len(x))
+    stretched, place = v.part(x, 0, 0, last, last, None)
+    return v.back(stretched, place, np.arange(len(x)))
 
 
 # -- frames -------------------------------------------------------------------------------

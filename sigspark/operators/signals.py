@@ -101,19 +101,6 @@ def equalise_histogram(df: DataFrame, keys: list[str], value: str, name: str = "
     return same_keys(df, cdf.select(*keys, value, even.alias(name)), [*keys, value], "left")
 
 
-def _per_channel(df: DataFrame, keys: list[str], index: str, value: str, kernel, schema: str) -> DataFrame:
-    """kernel(values in order) -> values, for each key; the backward pass of a filter needs the whole channel."""
-
-    def run(tab: pa.Table) -> pa.Table:
-        order = np.argsort(tab.column(index).to_numpy(), kind="stable")
-        y = kernel(tab.column(value).to_numpy()[order].astype(float))
-        head = {k: pa.repeat(tab.column(k)[0], len(y)) for k in keys}
-        at = tab.column(index).to_numpy()[order] if len(y) == len(order) else np.arange(len(y))
-        return pa.table({**head, index: pa.array(at, pa.int64()), "y": pa.array(y, pa.float64())})
-
-    return df.select(*keys, index, value).groupBy(*keys).applyInArrow(run, schema)
-
-
 def _schema(df: DataFrame, keys: list[str], index: str, wide: bool = False) -> str:
     return ", ".join([*(f"{k} {dict(df.dtypes)[k]}" for k in keys), f"{index} long", "y array<double>" if wide else "y double"])
 
@@ -240,9 +227,69 @@ def resample(df: DataFrame, keys: list[str], index: str, value: str, p: int, q:
     return H.dealt(cut, keys, index).mapInArrow(H.in_groups([*keys, "_chunk"], work), _schema(df, keys, index, wide))
 
 
-def pitch_shift(df: DataFrame, keys: list[str], index: str, value: str, semitones: float) -> DataFrame:
-    """(keys, index, y): pitch changed, length kept. The phase goes through a whole channel, which one task holds."""
-    return _per_channel(df, keys, index, value, lambda x: K.pitch_shift(x, semitones), _schema(df, keys, index))
+def pitch_shift(df: DataFrame, keys: list[str], index: str, value: str, semitones: float, steps: int = 1024) -> DataFrame:
+    """(keys, index, y): pitch changed, length kept (``kernels.Vocoder``); a null counts as 0.
+
+    A channel is many chunks of ``steps`` output steps, dealt with the samples that
+    their frames reach. A pass sums the phases' turns in each chunk (a row a chunk);
+    with the sums of the chunks before it, each chunk makes its own part.
+    """
+    v = K.Vocoder(semitones)
+    span, pad = steps * v.rate, v.n / v.hop + 2 + (v.overlap + 1) * v.rate
+    rows = _samples(df, keys, index, value)
+    sizes = rows.groupBy(*keys).agg(F.min(index).alias("_first"), F.max(index).alias("_last"))
+    rows = same_keys(rows, sizes, keys).withColumn(index, F.col(index) - F.col("_first"))
+    # a chunk of steps reaches the frames beside its own; a few samples more do no harm
+    frame = F.col(index) / v.hop
+    low, high = F.floor(F.greatest(frame - pad, F.lit(0.0)) / span), F.floor((frame + pad) / span)
+    cut = rows.withColumn("_chunk", F.explode(F.sequence(low.cast("long"), high.cast("long"))))
+    by = [*keys, "_chunk"]
+    width = v.n // 2 + 1
+
+    def chunks(tab: pa.Table, groups: list[tuple[int, int]]) -> Iterator[tuple]:
+        at, x, first, last = (tab.column(c).to_numpy(zero_copy_only=False) for c in (index, value, "_first", "_last"))
+        number = tab.column("_chunk").to_numpy()
+        for i, j in groups:
+            H.consecutive(at[i:j])
+            length = int(last[i] - first[i]) + 1
+            n = v.steps(length)
+            a, b = int(number[i]) * steps, min((int(number[i]) + 1) * steps, n)
+            if a < b:
+                yield i, j, x[i:j], int(at[i]), a, b, n, length, int(first[i])
+
+    def totals(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        made = [(i, v.total(x, start, a, b).tolist()) for i, _, x, start, a, b, *_ in chunks(tab, groups)]
+        heads = tab.select(by).take(pa.array([i for i, _ in made], pa.int64()))
+        return heads.append_column("_turn", pa.array([t for _, t in made], pa.list_(pa.float64())))
+
+    def follow(tab: pa.Table) -> pa.Table:
+        """The phase that each of a channel's chunks starts with; null for the first."""
+        tab = tab.take(pa.array(np.argsort(tab.column("_chunk").to_numpy())))
+        phase, out = np.zeros(width), []
+        for k, turn in zip(tab.column("_chunk").to_pylist(), tab.column("_turn").to_pylist(), strict=True):
+            out.append(phase.tolist() if k else None)
+            phase = phase + np.array(turn)
+        return tab.select(by).append_column("_phase", pa.array(out, pa.list_(pa.float64())))
+
+    def shifted(tab: pa.Table, starts: pa.Table) -> pa.Table:
+        tab = tab.sort_by(index)
+        for _, _, x, start, a, b, n, length, first in chunks(tab, [(0, tab.num_rows)] if starts.num_rows else []):
+            phase = starts.column("_phase")[0].as_py()
+            m = v.owned(a, b, n, length)
+            stretched, place = v.part(x, start, a, b, n, None if phase is None else np.array(phase))
+            heads = tab.select(keys).take(pa.array(np.zeros(len(m), np.int64)))
+            return pa.Table.from_arrays([*heads.columns, pa.array(m + first), pa.array(v.back(stretched, place, m))], names=[*keys, index, "y"])
+        none = tab.select(keys).slice(0, 0)
+        return pa.Table.from_arrays([*none.columns, pa.array([], pa.int64()), pa.array([], pa.float64())], names=[*keys, index, "y"])
+
+    kinds = _kind(cut, by)
+    sums = H.dealt(cut, keys, index).mapInArrow(H.in_groups(by, totals), f"{kinds}, _turn array<double>")
+    phases = sums.groupBy(*(keys or [F.lit(0).alias("_all")])).applyInArrow(follow, f"{kinds}, _phase array<double>")
+    return cut.groupBy(*by).cogroup(phases.groupBy(*by)).applyInArrow(shifted, _schema(df, keys, index))
+
+
+def _kind(df: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {dict(df.dtypes)[n]}" for n in names)
 
 
 def resample_by_join(df: DataFrame, keys: list[str], index: str, value: str, p: int, q: int, taps: list[float]) -> DataFrame:
@@ -263,39 +310,69 @@ def resample_by_join(df: DataFrame, keys: list[str], index: str, value: str, p:
     return met.groupBy(*keys, F.floor(at / q).cast("long").alias(index)).agg(F.sum(F.col("_x") * F.get(weights, F.col("_k"))).alias("y"))
 
 
-def fuse_orientation(df: DataFrame, keys: list[str], index: str, fs: float, method: str = "kalman", gain: float = 0.1) -> DataFrame:
-    """(keys, index, q): quaternion by sample from acc_*, gyr_* and mag_*; one state is carried along each key, rows stream.
+def _orientations(x: np.ndarray, fs: float, method: str, gain: float, state: object) -> tuple[list[list[float] | None], object]:
+    """Orientations along rows of nine axes, and the state to go on with; a row with a missing axis keeps the last one."""
+    if method == "kalman":
+        state = K.Ahrs(fs) if state is None else state
+        return state.follow(x), state
+    whole = np.isfinite(x).all(1)
+    part = K.orientation(x[whole, :3], x[whole, 3:6], x[whole, 6:], fs, gain, state).tolist()
+    place = np.cumsum(whole) - 1
+    before = None if state is None else state.tolist()
+    return [part[i] if i >= 0 else before for i in place.tolist()], np.array(part[-1]) if part else state
+
+
+def fuse_orientation(df: DataFrame, keys: list[str], index: str, fs: float, method: str = "kalman", gain: float = 0.1, chunk: int | None = None, warm: int = 3000) -> DataFrame:
+    """(keys, index, q): quaternion by sample from acc_*, gyr_* and mag_*; a row with a missing axis keeps the last one, null before the first.
 
     method is kalman (``kernels.Ahrs``) or complementary (``kernels.orientation``, with its gain).
+    Without ``chunk`` a state is carried along each key, and rows stream. With it a key is
+    many tasks: each chunk of a dense index starts from the compass ``warm``
+    samples before its own. What the start leaves is measured in the tests: after 3,000 samples
+    at 100 Hz at most half a degree from the sequential filter, a tenth in the median.
     """
     if method not in ("kalman", "complementary"):
         raise ValueError(f"unknown method {method!r}")
     names = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
-    slots = df.select(*keys, index, *names).withColumn("q", F.lit(None).cast("array<double>"))
+    axes = lambda rows: np.stack([rows.column(n).to_numpy(zero_copy_only=False) for n in names], 1).astype(float)
+    rows = df.select(*keys, index, *names)
+    schema = rows.withColumn("q", F.lit(None).cast("array<double>")).schema
+    kind = pa.list_(pa.float64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, q, state = None, None, None
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, None
         for batch in batches:
-            held = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
-            x = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], 1).astype(float)
-            out: list[list[float]] = []
-            at = 0
-            while at < len(held):
-                end = at
-                while end < len(held) and held[end] == held[at]:
-                    end += 1
-                if held[at] != now:
-                    now, q, state = held[at], None, K.Ahrs(fs)
-                if method == "kalman":
-                    part = [state.step(row[:3], row[3:6], row[6:]).tolist() for row in x[at:end]]
-                else:
-                    part = K.orientation(x[at:end, :3], x[at:end, 3:6], x[at:end, 6:], fs, gain, q).tolist()
-                    q = np.array(part[-1])
-                at = end
+            if not batch.num_rows:
+                continue
+            tab = pa.Table.from_batches([batch])
+            starts = H.starts_of(tab, keys).tolist()
+            if last is not None and len(H.starts_of(pa.Table.from_batches([last, batch.slice(0, 1)]), keys)) > 1:
+                state = None
+            x, out = axes(batch), []
+            for i, j in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                state = None if i else state
+                part, state = _orientations(x[i:j], fs, method, gain, state)
                 out += part
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(pa.float64()))], names=batch.schema.names)
+            last = batch.slice(batch.num_rows - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, "q"])
 
-    return slots.repartition(*keys).sortWithinPartitions(*keys, index).mapInArrow(run, slots.schema).select(*keys, index, "q", *names)
+    def by_chunk(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        own, at, x = tab.column("_own").to_numpy(zero_copy_only=False), tab.column(index).to_numpy(), axes(tab)
+        out: list = []
+        for i, j in groups:
+            if own[i:j].any():
+                H.consecutive(at[i:j])
+                part, _ = _orientations(x[i:j], fs, method, gain, None)
+                out += [q for q, mine in zip(part, own[i:j].tolist(), strict=True) if mine]
+        return tab.filter(pa.array(own)).select([*keys, index, *names]).append_column("q", pa.array(out, kind))
+
+    if chunk is None:
+        dealt = rows.repartition(*keys) if keys else rows.coalesce(1)
+        made = dealt.sortWithinPartitions(*keys, index).mapInArrow(along, schema)
+    else:
+        cut = H.with_halo(rows, index, max(chunk, warm), warm, 0)
+        made = H.dealt(cut, keys, index).mapInArrow(H.in_groups([*keys, "_chunk"], by_chunk), schema)
+    return made.select(*keys, index, "q", *names)
 
 
 def envelope(df: DataFrame, keys: list[str], index: str, value: str, name: str = "envelope") -> DataFrame:

@@ -213,6 +213,21 @@ def resample_stream(df: DataFrame, keys: list[str], index: str, value: str, p: i
     return _folded(df, keys, [index], width + 1, step, schema, _Whole)
 
 
+def orientation_stream(df: DataFrame, keys: list[str], index: str, fs: float) -> DataFrame:
+    """(keys, index, qw, qx, qy, qz): as ``signals.fuse_orientation`` by the Kalman filter, whose quaternion, offsets and variances are kept from batch to batch."""
+    names = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
+    kinds = dict(df.dtypes)
+    parts = ["qw", "qx", "qy", "qz"]
+
+    def step(state, batch):
+        known = K.Ahrs.of_state(fs, None if state is None or state[0] != state[0] else list(state))
+        q = np.array([[np.nan] * 4 if r is None else r for r in known.follow(batch[names].to_numpy(float))])
+        return known.state() or [np.nan] * K.AHRS_STATE, batch[[*keys, index]].assign(**{n: q[:, i] for i, n in enumerate(parts)})
+
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in [*keys, index]), *(f"{n} double" for n in parts)])
+    return _folded(df, keys, [index], K.AHRS_STATE, step, schema, _Whole)
+
+
 def zip_live(left: DataFrame, right: DataFrame, keys: list[str], index: str, left_time: str, right_time: str, delay: str, apart: str) -> DataFrame:
     """Two streams side by side by sample or frame number, as ``signals.zip_signals``.
 

@@ -268,3 +268,17 @@ def test_a_slot_gives_each_frame_once(spark, tmp_path):
     q.stop()
     assert [i for i, _, _ in flat()] == list(range(23)) and [raw for _, raw, _ in flat()[21:]] == [frame(51), frame(52)]
     assert len(os.listdir(f"{tmp_path}/spool")) <= 4
+
+
+def test_orientation_live(spark, tmp_path):
+    from .test_signals import AXES, turning
+
+    acc, gyr, mag, *_ = turning(200, 100.0)
+    schema = "k string, i long, " + ", ".join(f"{n} double" for n in AXES)
+    rows = [(k, i, *map(float, np.concatenate((acc[i], gyr[i], mag[i])))) for i in range(200) for k in "ab"]
+    rows[0] = (*rows[0][:4], None, *rows[0][5:])
+    live.use_state_store(spark)
+    arrive(spark, cut(rows, 6, 4), schema, f"{tmp_path}/in")
+    got = drain(spark, live.orientation_stream(stream_of(spark, schema, f"{tmp_path}/in"), ["k"], "i", 100.0), tmp_path, "out")
+    whole = S.fuse_orientation(spark.createDataFrame(rows, schema), ["k"], "i", 100.0).select("k", "i", *(F.get("q", F.lit(j)).alias(n) for j, n in enumerate(["qw", "qx", "qy", "qz"])))
+    same(got, whole, ["k", "i"], ["qw", "qx", "qy", "qz"])

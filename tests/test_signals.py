@@ -401,3 +401,58 @@ def test_orientation_streams_by_key(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     with pytest.raises(ValueError, match="method"):
         S.fuse_orientation(df, ["k"], "i", 100.0, "none")
+
+
+AXES = [f"{s}_{a}" for s in ("acc", "gyr", "mag") for a in "xyz"]
+
+
+def test_orientation_by_chunks_is_near_the_sequential_one(spark):
+    """The bounds that the docstring states."""
+    acc, gyr, mag, *_ = turning(12_000, 100.0)
+    rows = [("a", i, *map(float, np.concatenate((acc[i], gyr[i], mag[i])))) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "k string, i long, " + ", ".join(f"{n} double" for n in AXES))
+    whole = np.stack(S.fuse_orientation(df, ["k"], "i", 100.0).orderBy("i").toPandas().q)
+    cut = S.fuse_orientation(df, ["k"], "i", 100.0, chunk=3000, warm=3000)
+    assert "_chunk" in cut._jdf.queryExecution().executedPlan().toString()
+    got = cut.orderBy("i").toPandas()
+    assert got.i.tolist() == list(range(12_000))
+    away = apart(np.stack(got.q), whole)
+    assert away.max() < 0.1 and np.median(away) < 0.002 and away[:3000].max() < 1e-4
+
+
+@pytest.mark.parametrize("method", ["kalman", "complementary"])
+def test_a_missing_axis_keeps_the_orientation(spark, method):
+    acc, gyr, mag, *_ = turning(120, 100.0)
+    rows = [[k, i, *map(float, np.concatenate((acc[i], gyr[i], mag[i])))] for k in ("a", None) for i in range(120)]
+    for r in rows:
+        if r[1] in (0, 1, 40, 41, 80):
+            r[2 + r[1] % 9] = None
+    df = spark.createDataFrame(rows, "k string, i long, " + ", ".join(f"{n} double" for n in AXES))
+    for chunk in (None, 200):
+        got = {(r.k, r.i): r.q for r in S.fuse_orientation(df, ["k"], "i", 100.0, method, chunk=chunk, warm=10).collect()}
+        assert len(got) == 240
+        for k in ("a", None):
+            assert got[k, 0] is None and got[k, 1] is None and got[k, 2] is not None
+            assert got[k, 40] == got[k, 39] and got[k, 41] == got[k, 39] and got[k, 80] == got[k, 79]
+            good = [i for i in range(120) if i not in (0, 1, 40, 41, 80)]
+            if method == "kalman":
+                f = K.Ahrs(100.0)
+                want = [f.step(acc[i], gyr[i], mag[i]) for i in good]
+            else:
+                want = K.orientation(acc[good], gyr[good], mag[good], 100.0)
+            assert np.allclose([got[k, i] for i in good], want, atol=1e-12)
+
+
+@pytest.mark.parametrize(("semitones", "lengths"), [(-4.0, {"a": 30_000, "b": 700, "c": 1, "d": 4096}), (7.0, {"a": 20_000, "b": 513}), (0.0, {"a": 5000}), (-24.0, {"a": 9000})])
+def test_pitch_by_chunks(spark, semitones, lengths):
+    """Chunks of a few frames give what the whole channel gives; a channel may start anywhere."""
+    rng = np.random.default_rng(2)
+    data = {k: np.sin(np.arange(n) * 0.07) * 100 + rng.normal(size=n) for k, n in lengths.items()}
+    first = {k: 1000 * i for i, k in enumerate(data)}
+    df = spark.createDataFrame([(k, first[k] + i, float(v)) for k, x in data.items() for i, v in enumerate(x)], "k string, i long, v double").repartition(4)
+    got = S.pitch_shift(df, ["k"], "i", "v", semitones, steps=8).toPandas()
+    for k, x in data.items():
+        own = got[got.k == k].sort_values("i")
+        assert own.i.tolist() == list(range(first[k], first[k] + len(x)))
+        assert np.allclose(own.y, K.pitch_shift(x, semitones), atol=1e-6)
+    assert S.pitch_shift(df.limit(0), ["k"], "i", "v", semitones).count() == 0
