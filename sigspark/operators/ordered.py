@@ -172,13 +172,36 @@ def iir_first_order(df: DataFrame, keys: list[str], order: list[str], value: str
     return iir_filter(df, keys, order, value, [gain], [1.0, gain - 1.0], name)
 
 
-def iir_filter(df: DataFrame, keys: list[str], order: list[str], value: str, b: list[float], a: list[float], name: str = "y") -> DataFrame:
+def _iir_by_chunk(df: DataFrame, keys: list[str], index: str, value: str, b: np.ndarray, a: np.ndarray, name: str, chunk: int, reach: int) -> DataFrame:
+    """As ``iir_filter`` over a dense index: each chunk is filtered from as many samples before it as the filter remembers."""
+    cut = H.with_halo(df, index, max(chunk, reach), reach, 0)
+    made = df.withColumn(name, F.lit(None).cast("double")).schema
+
+    def work(tab: pa.Table, groups: list[tuple[int, int]]) -> pa.Table:
+        own, at = tab.column("_own").to_numpy(zero_copy_only=False), tab.column(index).to_numpy()
+        x = tab.column(value).combine_chunks().cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+        y = np.zeros(len(x))
+        for i, j in groups:
+            if own[i:j].any():
+                H.consecutive(at[i:j])
+                y[i:j] = K.iir(b, a, x[i:j])[0]
+        out = tab.drop_columns(["_chunk", "_own"])
+        out = out.set_column(out.schema.get_field_index(name), name, pa.array(y)) if name in out.schema.names else out.append_column(name, pa.array(y))
+        return out.filter(pa.array(own))
+
+    return H.dealt(cut, keys, index).mapInArrow(H.in_groups([*keys, "_chunk"], work), made)
+
+
+def iir_filter(df: DataFrame, keys: list[str], order: list[str], value: str, b: list[float], a: list[float], name: str = "y", dense: bool = False, chunk: int = H.CHUNK) -> DataFrame:
     """Causal filter of any order, its state carried along each key; a null sample counts as 0.
 
-    Rows stream sorted by key; the samples of one key in an Arrow batch are filtered at once.
+    Rows stream sorted by key; the samples of one key in an Arrow batch are filtered at once. Where
+    the order is one dense index (``dense``), a key is many chunks, unless the filter never forgets.
     """
     slots = df.withColumn(name, F.lit(None).cast("double"))
     b, a = np.asarray(b, float), np.asarray(a, float)
+    if dense and (reach := H.reach_of(a)) is not None:
+        return _iir_by_chunk(df, keys, order[0], value, b, a, name, chunk, max(reach, len(b)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state = None, None

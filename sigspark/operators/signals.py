@@ -387,7 +387,7 @@ def envelope(df: DataFrame, keys: list[str], index: str, value: str, name: str =
 
 
 def dsp_mode(df: DataFrame, keys: list[str], index: str, value: str, mode: str, a: tuple, b: tuple, level: float, seed: int = 0) -> DataFrame:
-    """df with ``dsp1``, ``dsp2`` and ``trigger`` in one of the device's modes.
+    """df with ``dsp1``, ``dsp2`` and ``trigger`` in one of the device's modes; the index is dense.
 
     Modes: disabled, single, single_hilbert, double, double_hilbert, cascade,
     gated, random. a and b are (b, a) coefficients of the two causal filters;
@@ -402,7 +402,7 @@ def dsp_mode(df: DataFrame, keys: list[str], index: str, value: str, mode: str,
             if name == "dsp2" and mode == "single_hilbert":
                 out = out.withColumn("dsp2", F.lit(0.0))
                 continue
-            out = iir_filter(out, keys, [index], value, num, den, "_band")
+            out = iir_filter(out, keys, [index], value, num, den, "_band", dense=True)
             out = envelope(out, keys, index, "_band", name).drop("_band")
             fired.append(F.col(name) > level)
         return out.withColumn("trigger", fired[0] if len(fired) == 1 else fired[0] | fired[1])
@@ -411,9 +411,9 @@ def dsp_mode(df: DataFrame, keys: list[str], index: str, value: str, mode: str,
         return df.withColumns({"dsp1": F.lit(0.0), "dsp2": F.lit(0.0), "trigger": F.lit(False)})
     if mode == "random":
         return df.withColumns({"dsp1": F.lit(0.0), "dsp2": F.lit(0.0)}).withColumn("trigger", (F.pmod(F.xxhash64(*keys, index, F.lit(seed)), F.lit(1_000_000)) / 1e6) < level)
-    out = iir_filter(df, keys, [index], value, *a, "dsp1")
+    out = iir_filter(df, keys, [index], value, *a, "dsp1", dense=True)
     if mode == "single":
         return out.withColumn("dsp2", F.lit(0.0)).withColumn("trigger", F.col("dsp1") > level)
-    out = iir_filter(out, keys, [index], "dsp1" if mode == "cascade" else value, *b, "dsp2")
+    out = iir_filter(out, keys, [index], "dsp1" if mode == "cascade" else value, *b, "dsp2", dense=True)
     one, two = F.col("dsp1") > level, F.col("dsp2") > level
     return out.withColumn("trigger", {"double": one | two, "cascade": two, "gated": one & two}[mode])

@@ -9,6 +9,7 @@ and ``documents`` for text scans.
 from __future__ import annotations
 
 import struct
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -497,6 +498,49 @@ def dsp_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return modes.select("user_id", "sample_idx", F.round("dsp1", 6).alias("dsp1"), F.round("dsp2", 6).alias("dsp2"), "trigger")
 
 
+def _dsp_filter_sql(name: str, of: str) -> str:
+    """A causal second-order filter along each session's samples: (user_id, sample_idx, y), by the coefficients in table ``of``."""
+    step = _iir_step("s.value", "z").replace("f.", f"{of}.").replace("r.z", f"{name}.z")
+    return f"""{name} AS (
+  SELECT user_id, CAST(-1 AS BIGINT) AS sample_idx, CAST(0 AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS z1, CAST(0 AS DOUBLE) AS z2 FROM s WHERE sample_idx = 0
+  UNION ALL SELECT s.user_id, s.sample_idx, {step} FROM {name} JOIN s ON s.user_id = {name}.user_id AND s.sample_idx = {name}.sample_idx + 1, {of}
+)"""
+
+
+_MODES = ["disabled", "single", "double", "gated"]
+
+
+@query(f"""
+WITH RECURSIVE {VALUES}, {_butter_sql("f", 4, "high")}, {_butter_sql("g", 12, "low")}, {_dsp_filter_sql("p", "f")}, {_dsp_filter_sql("q", "g")},
+b AS (SELECT p.user_id, p.sample_idx, p.y AS one, q.y AS two FROM p JOIN q ON p.user_id = q.user_id AND p.sample_idx = q.sample_idx WHERE p.sample_idx >= 0)
+SELECT mode, user_id, sample_idx, round(CASE WHEN mode = 'disabled' THEN 0 ELSE one END, 6) AS dsp1, round(CASE WHEN mode IN ('double', 'gated') THEN two ELSE 0 END, 6) AS dsp2,
+  CASE mode WHEN 'disabled' THEN FALSE WHEN 'single' THEN one > 5.0 WHEN 'double' THEN one > 5.0 OR two > 5.0 ELSE one > 5.0 AND two > 5.0 END AS trigger
+FROM b, (VALUES {", ".join(f"('{m}')" for m in _MODES)}) m(mode)
+""")
+def dsp_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """The device's modes without a Hilbert envelope, one after another."""
+    a, b = K.butter2(4, 1250, "high"), K.butter2(12, 1250)
+    s = samples(spark, sf).select("user_id", "sample_idx", "value")
+    made = [S.dsp_mode(s, USER, "sample_idx", "value", m, a, b, 5.0).select(F.lit(m).alias("mode"), "user_id", "sample_idx", F.round("dsp1", 6).alias("dsp1"), F.round("dsp2", 6).alias("dsp2"), "trigger") for m in _MODES]
+    return reduce(DataFrame.union, made)
+
+
+_HILBERT = [float(t) for t in K.hilbert_taps()]
+
+
+@query(f"""
+WITH RECURSIVE {VALUES}, {_butter_sql("f", 4, "high")}, {_dsp_filter_sql("p", "f")},
+t AS (SELECT unnest(range({len(_HILBERT)})) AS k, unnest([{", ".join(map(repr, _HILBERT))}]) AS c),
+e AS (SELECT a.user_id, a.sample_idx, sum(b.y * t.c) AS turned, sum(CASE WHEN t.k = {len(_HILBERT) // 2} THEN b.y ELSE 0 END) AS late FROM p a JOIN t ON TRUE JOIN p b ON b.user_id = a.user_id AND b.sample_idx = a.sample_idx - t.k WHERE b.sample_idx >= 0 GROUP BY a.user_id, a.sample_idx)
+SELECT user_id, sample_idx, round(sqrt(turned * turned + late * late), 6) AS dsp1, sqrt(turned * turned + late * late) > 5.0 AS trigger FROM e
+""")
+def dsp_hilbert(spark: SparkSession, sf: str) -> DataFrame:
+    """The mode that compares a band's envelope with the level."""
+    s = samples(spark, sf).select("user_id", "sample_idx", "value")
+    out = S.dsp_mode(s, USER, "sample_idx", "value", "single_hilbert", K.butter2(4, 1250, "high"), K.butter2(12, 1250), 5.0)
+    return out.select("user_id", "sample_idx", F.round("dsp1", 6).alias("dsp1"), "trigger")
+
+
 # -- conversions ----------------------------------------------------------------------------
 
 

@@ -121,6 +121,15 @@ def imu(analog: DataFrame, fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFram
     return out.join(speed, [*keys, "sample_idx"])
 
 
+def acceleration(analog: DataFrame, channels: list[int], fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFrame:
+    """(session, sample_idx, t, acc_*) of a device with three axes, at the given 1-based analog channels: resampled and scaled, not fused."""
+    if len(channels) != 3:
+        raise ValueError("there are three axes")
+    slow = S.resample(analog.select("session", "sample_idx", C.channels("x", channels).alias("x")), ["session"], "sample_idx", "x", rate, fs, first=0)
+    scaled = scale_axes(slow.withColumnRenamed("y", "x"), n_axes=3)
+    return scaled.select("session", "sample_idx", C.seconds_of("sample_idx", rate).alias("t"), "acc_x", "acc_y", "acc_z")
+
+
 def preprocess(spark: SparkSession, folder: str, compat: bool = False) -> Session:
     """All products of a session folder. A missing file is an error."""
     path = {k: os.path.join(folder, f) for k, f in FILES.items()}
@@ -142,13 +151,40 @@ def preprocess(spark: SparkSession, folder: str, compat: bool = False) -> Sessio
     return Session(mode, slow, combined, edges, events, stimulation, detected, axes)
 
 
+#: The file that says what a table was made from.
+MADE_FROM = "_made_from"
+
+
+def fingerprint(folder: str) -> str:
+    """Names, sizes and times of a session's input files."""
+    found = [os.stat(os.path.join(folder, f)) if os.path.exists(os.path.join(folder, f)) else None for f in FILES.values()]
+    return " ".join(f"{f}:{s.st_size}:{s.st_mtime_ns}" if s else f"{f}:none" for f, s in zip(FILES.values(), found, strict=True))
+
+
+def is_done(path: str, made_from: str) -> bool:
+    """Whether a table was written to its end, from these inputs."""
+    mark = os.path.join(path, MADE_FROM)
+    if not os.path.exists(os.path.join(path, "_SUCCESS")) or not os.path.exists(mark):
+        return False
+    with open(mark, encoding="utf-8") as f:
+        return f.read() == made_from
+
+
 def export(session: Session, spark: SparkSession, folder: str) -> None:
-    """Files beside the recording: time.dat, info.rhd, amplifier_cat.lfp; tables as Parquet. What exists is left alone."""
+    """Files beside the recording: time.dat, info.rhd, amplifier_cat.lfp; tables as Parquet.
+
+    A table that was written to its end from the same input files is left alone;
+    one that was broken off, or made from other files, is written again.
+    """
     n = session.combined.count()
     dat.write_index(spark, n, os.path.join(folder, "time.dat"))
     rhd.write_header(os.path.join(folder, "info.rhd"), fs=session.mode["fs"], nch=session.mode["nch"], cl_mode=session.mode["cl_mode"])
     dat.write_dat(session.combined, os.path.join(folder, "amplifier_cat.lfp"), first=0)
+    made_from = fingerprint(folder)
     for name in ("lfp", "events", "stimulation", "detected_only", "imu"):
-        if getattr(session, name) is None:
+        path = os.path.join(folder, name)
+        if getattr(session, name) is None or is_done(path, made_from):
             continue
-        getattr(session, name).write.mode("ignore").parquet(os.path.join(folder, name))
+        getattr(session, name).write.mode("overwrite").parquet(path)
+        with open(os.path.join(path, MADE_FROM), "w", encoding="utf-8") as f:
+            f.write(made_from)

@@ -16,7 +16,7 @@ from .test_sources import make
 DATA = "/root/testdata/sf0.001"
 WITH_PYTHON = {"greedy_refractory", "iir_first_order", "zero_phase_filter", "resample_channel", "ahrs_fusion", "dsp_cascade", "badpixel_median", "demosaic"}
 #: Files in the engine's own formats are read and written by Python data sources; filters are designed by numpy.
-WITH_PYTHON |= {"recording_files", "range_filter", "frame_files_read", "parameter_files", "wav_file", "filter_design"}
+WITH_PYTHON |= {"recording_files", "range_filter", "frame_files_read", "parameter_files", "wav_file", "filter_design", "dsp_modes", "dsp_hilbert"}
 
 
 def plan(df) -> str:

@@ -217,3 +217,39 @@ def test_windows(spark, tmp_path):
     with pytest.raises(ValueError, match="preview"):
         live.preview(stream, "ts", 3, [])
     assert live.preview(stream, "ts", 5, [F.avg("value").alias("v")], 1).isStreaming
+
+
+def test_a_table_that_was_broken_off_is_written_again(spark, tmp_path):
+    folder = f"{tmp_path}/rec"
+    build_session(folder, nch=64, fs=2500, n=300)
+    s = session.preprocess(spark, folder)
+    session.export(s, spark, folder)
+    want = spark.read.parquet(f"{folder}/events").count()
+    stamp = lambda: os.stat(f"{folder}/events/_SUCCESS").st_mtime_ns
+    first = stamp()
+    session.export(s, spark, folder)
+    assert stamp() == first
+    os.unlink(f"{folder}/events/_SUCCESS")  # as a run that was killed leaves it
+    for f in os.listdir(f"{folder}/events"):
+        if f.startswith("part-"):
+            os.unlink(f"{folder}/events/{f}")
+    session.export(s, spark, folder)
+    assert spark.read.parquet(f"{folder}/events").count() == want
+    second = stamp()
+    os.utime(f"{folder}/analogin.dat")  # another recording in the same place
+    session.export(s, spark, folder)
+    assert stamp() > second
+
+
+def test_three_axes(spark, tmp_path):
+    from sigspark.functions import columns as C
+    from sigspark.sources import dat
+
+    x = np.random.default_rng(1).integers(-3000, 3000, (2500, 8))
+    make(f"{tmp_path}/s/analogin.dat", x.reshape(-1))
+    got = session.acceleration(dat.read_dat(spark, f"{tmp_path}/s/analogin.dat", 8), [2, 3, 4]).orderBy("sample_idx").toPandas()
+    assert got.sample_idx.tolist() == list(range(200)) and np.allclose(got.t, np.arange(200) / 100)
+    for i, a in enumerate("xyz"):
+        assert np.allclose(got[f"acc_{a}"], K.resample(x[:, 1 + i], 100, 1250) * C.ACC3_SCALE)
+    with pytest.raises(ValueError):
+        session.acceleration(got, [1, 2])
