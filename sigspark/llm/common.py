@@ -41,6 +41,12 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: In a shared folder that is mounted (scheme file:), tables are written without a checksum file beside each file: Parquet's pages
+#: have their own. 2,000 small files take 9 % less time, 10 % less CPU and half as many files (measured outside any tool, see
+#: the README). Other schemes are not touched.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 #: Removes a write's shuffle files when it ends, rather than when the driver next collects garbage.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -67,7 +73,7 @@ def materialize(df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
     spark, path = df.sparkSession, fresh_path(df.sparkSession, tag)
     df = df.hint("rebalance") if narrow else df
     with shuffles_removed(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**PLAIN_FILES).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
