@@ -1,6 +1,6 @@
 """Metadata catalogue: an incremental inventory of markup files.
 
-    python -m jobs.metadata_catalogue --source FOLDER --out PATH --checkpoint PATH [--config FILE]
+    python -m jobs.metadata_catalogue --source FOLDER --out PATH --checkpoint PATH [--current PATH] [--config FILE]
 
 Follows a folder to which Parquet files of (page_id, url, html) are added: a
 file stream takes, at each run, the files that have come since the checkpoint
@@ -14,7 +14,8 @@ and language:
 A text that the catalogue has already under the same id, url and digest is not
 added again, be it delivered twice in a file, in two files or after the
 checkpoint was lost; a text that has changed is a further row, and
-``current`` gives the latest of each id. A batch that is repeated after a
+``current`` gives the latest of each id and url, which ``--current`` writes
+out, partitioned by language, when a run has brought something new. A batch that is repeated after a
 failure replaces its own partitions with the same rows, so that a rerun leaves
 the same catalogue. Null html has no metadata, and a row; a null id is an id.
 """
@@ -72,6 +73,16 @@ def read_catalogue(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(out)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def current(catalogue: DataFrame) -> DataFrame:
     """Of each page_id and url, the row that came last."""
     w = W.partitionBy("page_id", "url").orderBy(F.desc("batch"), F.desc("html_sha256"))
@@ -82,12 +93,9 @@ def _add(found: DataFrame, batch: int, out: str, said: dict) -> None:
     """The rows of one batch that no other batch has, into the batch's own partitions."""
     spark = found.sparkSession
     rows = found.dropDuplicates(SAME)
-    try:
+    if _exists(spark, out):
         known = read_catalogue(spark, out).where(F.col("batch") != batch).select(*SAME)
         rows = same_keys(rows, known, SAME, "left_anti")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # else this is the first batch
-            raise
     rows = rows.withColumn("batch", F.lit(batch).cast("long")).hint("rebalance", "lang")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "lang").parquet(out)
     read, written = found.count(), read_catalogue(spark, out).where(F.col("batch") == batch).count()
@@ -97,14 +105,17 @@ def _add(found: DataFrame, batch: int, out: str, said: dict) -> None:
     log.info("batch %d: read %d pages, wrote %d new ones to %s", batch, read, written, out)
 
 
-def run(spark: SparkSession, source: str, out: str, checkpoint: str, config: dict) -> dict:
-    """Take the files that are new since the checkpoint; returns when all are in the catalogue."""
+def run(spark: SparkSession, source: str, out: str, checkpoint: str, config: dict, latest: str | None = None) -> dict:
+    """Take the files that are new since the checkpoint; returns when all are in the catalogue, and its latest rows at ``latest``."""
     said = {"batches": 0, "read": 0, "written": 0}
     pages = spark.readStream.schema(SOURCE_SCHEMA).option("pathGlobFilter", config["pattern"]).option("maxFilesPerTrigger", int(config["files_per_batch"])).parquet(source)
     writer = described(pages, config["tags"]).writeStream.foreachBatch(lambda df, batch: _add(df, batch, out, said))
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     log.info("read %d pages in %d batches of %s, wrote %d", said["read"], said["batches"], source, said["written"])
+    if latest and (said["batches"] or not _exists(spark, latest)):
+        current(read_catalogue(spark, out)).hint("rebalance", "lang").write.mode("overwrite").partitionBy("lang").parquet(latest)
+        log.info("wrote the latest rows to %s", latest)
     return said
 
 
@@ -113,12 +124,13 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--source", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--current")
     p.add_argument("--config", default=CONFIG)
     a = p.parse_args(args)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("metadata_catalogue").getOrCreate()
     try:
-        run(spark, a.source, a.out, a.checkpoint, read_config(a.config))
+        run(spark, a.source, a.out, a.checkpoint, read_config(a.config), a.current)
     finally:
         spark.stop()
 

@@ -134,7 +134,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(job, "run", lambda *a: seen.update(args=a))
     (tmp_path / "c.json").write_text(json.dumps(CONFIG))
     job.main(["--events", "e", "--out", "o", "--config", str(tmp_path / "c.json"), "--first-day", "2024-01-02"])
-    assert seen["stopped"] and seen["args"][1:] == ("e", "o", CONFIG | {"first_day": "2024-01-02"})
+    assert seen["stopped"] and seen["args"][1:] == ("e", "o", CONFIG | {"first_day": "2024-01-02"}, None)
 
 
 def test_nothing_of_the_text_operators_is_imported():
@@ -142,3 +142,36 @@ def test_nothing_of_the_text_operators_is_imported():
 
     code = "import sys, jobs.queries; assert not [m for m in sys.modules if m.startswith('sigspark.llm') or m == 'corpus_pipeline']"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_summary(spark, tmp_path):
+    import statistics
+
+    rows, out, summary = random_rows(11), f"{tmp_path}/out", f"{tmp_path}/summary"
+    src = store(spark, rows, f"{tmp_path}/events")
+    want = plain(rows, "view", "click", 600, 3600)
+    said = job.run(spark, src, out, CONFIG, summary)
+    got = {(r.user_id, r.day): r for r in job.read_output(spark, summary, job.SUMMARY).collect()}
+    assert set(got) == {(r[0], r[8]) for r in want} and said["sessions"] == len(got)
+    for key, r in got.items():
+        own = [w for w in want if (w[0], w[8]) == key]
+        waits = [w[5] for w in own if w[5] is not None]
+        assert (r.detections, r.answered) == (len(own), len(waits))
+        assert r.median_us == (statistics.median(waits) if waits else None)
+        assert r.mean_us == (pytest.approx(statistics.mean(waits)) if waits else None)
+        assert r.deviation_us == (pytest.approx(statistics.stdev(waits)) if len(waits) > 1 else None)
+    # a day by itself replaces its own part only, and leaves the same
+    job.run(spark, src, out, CONFIG | {"first_day": "2024-03-31", "last_day": "2024-03-31"}, summary)
+    assert {(r.user_id, r.day): r for r in job.read_output(spark, summary, job.SUMMARY).collect()} == got
+
+
+def test_a_broken_run_is_mended_by_the_next(spark, tmp_path, monkeypatch):
+    rows, out = random_rows(2), f"{tmp_path}/out"
+    src = store(spark, rows, f"{tmp_path}/events")
+    job.run(spark, src, out, CONFIG | {"first_day": "2024-03-30", "last_day": "2024-03-31"})
+    monkeypatch.setattr(job, "_within", lambda df, column, *a: (_ for _ in ()).throw(RuntimeError("stopped")) if column == "ts" else df)
+    with pytest.raises(RuntimeError):
+        job.run(spark, src, out, CONFIG)
+    monkeypatch.undo()
+    job.run(spark, src, out, CONFIG)
+    assert rows_at(spark, out) == plain(rows, "view", "click", 600, 3600)

@@ -129,4 +129,19 @@ def test_command_line(monkeypatch):
     monkeypatch.setattr(job.SparkSession.Builder, "getOrCreate", lambda self: Fake)
     monkeypatch.setattr(job, "run", lambda *a: seen.update(args=a))
     job.main(["--source", "s", "--out", "o", "--checkpoint", "c"])
-    assert seen["stopped"] and seen["args"][1:] == ("s", "o", "c", job.read_config())
+    assert seen["stopped"] and seen["args"][1:] == ("s", "o", "c", job.read_config(), None)
+
+
+def test_latest_rows_are_written(spark, place):
+    folder, out, checkpoint = place
+    latest = f"{out}-latest"
+    deliver(spark, FIRST, folder, "pages-1")
+    job.run(spark, folder, out, checkpoint, CONFIG, latest)
+    read = lambda: sorted(((r.page_id, r.url, r.html_sha256) for r in spark.read.schema(job.SCHEMA).parquet(latest).collect()), key=str)
+    first = read()
+    assert len(first) == 5
+    job.run(spark, folder, out, checkpoint, CONFIG, latest)
+    assert read() == first
+    deliver(spark, SECOND, folder, "pages-2")
+    job.run(spark, folder, out, checkpoint, CONFIG, latest)
+    assert len(read()) == 6 and (3, SECOND[1][1], hashlib.sha256(SECOND[1][2].encode()).hexdigest()) in read()
