@@ -20,6 +20,7 @@ import hashlib
 import os
 import threading
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -124,6 +125,7 @@ class SlotStream(DataSourceStreamReader):
         self.wait, self.most = int(options.get("poll_ms", 20)) / 1000, int(options.get("frames_per_trigger", 64))
         self.spool = files.place(options["spool"])[1]
         self.thread: threading.Thread | None = None
+        self.me, self.ended = uuid.uuid4().hex, False
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"thread": None}  # tasks read the spool only
@@ -137,6 +139,9 @@ class SlotStream(DataSourceStreamReader):
         if self.thread is not None:
             return
         os.makedirs(self.spool, exist_ok=True)
+        # one reader fills the spool: one of an earlier run that still lives sees that it is not it, and ends
+        with open(f"{self.spool}/owner", "w", encoding="utf-8") as f:
+            f.write(self.me)
         held = self._held()
         self.seen = max(held, default=-1) + 1
         self.given = min(held, default=0)
@@ -161,9 +166,19 @@ class SlotStream(DataSourceStreamReader):
             return None
         return found[0] if len(found[0]) == self.size and found[0] == found[1] else None
 
+    def _mine(self) -> bool:
+        try:
+            with open(f"{self.spool}/owner", encoding="utf-8") as f:
+                return f.read() == self.me
+        except OSError:
+            return False
+
+    def stop(self) -> None:
+        self.ended = True
+
     def _follow(self) -> None:
         lost = 0
-        while True:
+        while not self.ended and self._mine():
             raw = self._look()
             if raw is None:
                 lost += 1

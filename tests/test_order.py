@@ -116,3 +116,13 @@ def test_previous_and_next(spark):
     assert got == {("a", 1, "x"): 2, ("a", 2, "y"): 2, ("a", 2, "x"): 2, ("a", 5, "x"): 7, ("a", 7, "y"): 7, (None, 3, "y"): 3, (None, 4, "x"): None}
     got = {(r.k, r.t, r.c): r.n for r in E.with_previous(df, ["k"], ["t", "c"], F.col("c") == "x", "n").collect()}
     assert got == {("a", 1, "x"): None, ("a", 2, "x"): 1, ("a", 2, "y"): 2, ("a", 5, "x"): 2, ("a", 7, "y"): 5, (None, 3, "y"): None, (None, 4, "x"): None}
+
+
+def test_a_join_without_keys_takes_one_row(spark):
+    from sigspark.operators.joins import same_keys
+
+    df = spark.range(5)
+    assert sorted(map(tuple, same_keys(df, spark.range(1).select(F.lit(7).alias("m"), F.lit(None).cast("int").alias("n")), []).collect())) == [(i, 7, None) for i in range(5)]
+    assert same_keys(df, spark.range(0).select(F.lit(7).alias("m")), []).count() == 0
+    with pytest.raises(Exception, match="one row"):
+        same_keys(df, spark.range(2).select(F.col("id").alias("m")), []).collect()
