@@ -83,6 +83,14 @@ def calibrate_gain(df: DataFrame, keys: list[str], axes: list[str], target: floa
     return out.withColumns({a: F.col(a) / F.col("_g") * target for a in axes}).drop("_g")
 
 
+def calibrate(df: DataFrame, keys: list[str], gain: list[str], bias: list[str], target: float = C.GRAVITY) -> DataFrame:
+    """``calibrate_gain`` of some axes and ``remove_median`` of others, by one search for all their medians."""
+    found = selection.medians(df, keys, {"_g": C.norm(*gain)} | {f"_m{i}": F.col(v) for i, v in enumerate(bias)})
+    out = same_keys(df, found, keys)
+    out = out.withColumns({a: F.col(a) / F.col("_g") * target for a in gain} | {v: F.col(v) - F.col(f"_m{i}") for i, v in enumerate(bias)})
+    return out.drop("_g", *(f"_m{i}" for i in range(len(bias))))
+
+
 def histogram(df: DataFrame, keys: list[str], value: str, low: float, high: float, n: int) -> DataFrame:
     """(keys, bin, n): counts of equal bins 1..n, 0 below, n + 1 from high on."""
     return df.groupBy(*keys, F.width_bucket(F.col(value).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(n)).alias("bin")).agg(F.count("*").alias("n"))

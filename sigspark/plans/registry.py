@@ -699,7 +699,7 @@ def recording_files(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS session, count(*) AS n_samples, CASE WHEN user_id % 2 = 0 THEN 1250 END AS fs FROM events GROUP BY user_id")
+@query("SELECT CAST(user_id AS VARCHAR) AS session, count(*) AS n_samples, CASE WHEN user_id % 2 = 0 THEN 1250 ELSE 0 END AS fs FROM events GROUP BY user_id")
 def recording_sizes(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers of samples from the sizes of files; every other session is at the LFP rate by its name."""
     folder = fresh_folder(spark, "sizes")
@@ -707,7 +707,7 @@ def recording_sizes(spark: SparkSession, sf: str) -> DataFrame:
     dat.write_recordings(rows.where("CAST(session AS BIGINT) % 2 = 0"), f"{folder}/slow", "amplifier.lfp")
     dat.write_recordings(rows.where("CAST(session AS BIGINT) % 2 = 1"), f"{folder}/fast", "amplifier.dat")
     found = text.sample_counts(spark, f"{folder}/*/*/amplifier.*", 3)
-    return found.select(F.regexp_extract("path", "/([0-9]+)/amplifier", 1).alias("session"), "n_samples", "fs")
+    return found.select(F.regexp_extract("path", "/([0-9]+)/amplifier", 1).alias("session"), "n_samples", F.coalesce("fs", F.lit(0)).alias("fs"))
 
 
 def _zero_phase_sql(source: str, first: int) -> str:

@@ -105,8 +105,7 @@ def imu(analog: DataFrame, fs: int = LFP_RATE, rate: int = IMU_RATE) -> DataFram
     wide = S.resample(nine, keys, "sample_idx", "x", rate, fs, first=0).withColumnRenamed("y", "x")
     # read twice and more by the statistics and filters that follow; at this rate it is a twelfth of the recording
     wide = scale_axes(wide).persist(StorageLevel.DISK_ONLY)
-    wide = S.calibrate_gain(wide, keys, names[:3])
-    wide = S.remove_median(wide, keys, names[3:6])
+    wide = S.calibrate(wide, keys, names[:3], names[3:6])
     fused = S.fuse_orientation(wide, keys, "sample_idx", rate)
     q = [F.get("q", F.lit(i)) for i in range(4)]
     fused = fused.withColumn("R", C.quaternion_matrix(*q))

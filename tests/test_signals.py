@@ -472,3 +472,12 @@ def test_causal_filter_by_chunks(spark, cutoff):
     # an integrator never forgets: its state is carried
     out = O.iir_filter(df, ["k"], ["sample_idx"], "v", [1.0], [1.0, -1.0], dense=True, chunk=64).toPandas()
     assert np.allclose(out[out.k == "a"].sort_values("sample_idx").y, np.cumsum(data["a"]))
+
+
+def test_calibrate_is_both_at_once(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, *map(float, rng.normal(size=4))) for k in ("a", None) for _ in range(31)]
+    df = spark.createDataFrame(rows, "k string, x double, y double, z double, w double")
+    same = lambda d: np.array(sorted(tuple(r)[1:] for r in d.collect()))
+    want = S.remove_median(S.calibrate_gain(df, ["k"], ["x", "y", "z"]), ["k"], ["w"])
+    assert np.allclose(same(S.calibrate(df, ["k"], ["x", "y", "z"], ["w"])), same(want))
