@@ -2,9 +2,10 @@
 
     python -m jobs.metadata_catalogue --source FOLDER --out PATH --checkpoint PATH [--current PATH] [--config FILE]
 
-Follows a folder to which Parquet files of (page_id, url, html) are added: a
-file stream takes, at each run, the files that have come since the checkpoint
-of the run before, and ends. Each text is scanned whole for its metadata
+Follows a folder to which Parquet files of (page_id, url, html) are added, or
+tables that are folders of such files: a file stream takes, at each run, the
+files that have come since the checkpoint of the run before, and ends. The
+pattern is for the names of the files or tables in the folder. Each text is scanned whole for its metadata
 (title, language, rate and number of channels where it is an acquisition
 file, tags counted by name) and gets a row in Parquet partitioned by batch
 and language:
@@ -108,7 +109,8 @@ def _add(found: DataFrame, batch: int, out: str, said: dict) -> None:
 def run(spark: SparkSession, source: str, out: str, checkpoint: str, config: dict, latest: str | None = None) -> dict:
     """Take the files that are new since the checkpoint; returns when all are in the catalogue, and its latest rows at ``latest``."""
     said = {"batches": 0, "read": 0, "written": 0}
-    pages = spark.readStream.schema(SOURCE_SCHEMA).option("pathGlobFilter", config["pattern"]).option("maxFilesPerTrigger", int(config["files_per_batch"])).parquet(source)
+    # matched anew at each trigger: a file is taken by itself, a table by the files that it has
+    pages = spark.readStream.schema(SOURCE_SCHEMA).option("maxFilesPerTrigger", int(config["files_per_batch"])).parquet(f"{source.rstrip('/')}/{config['pattern']}")
     writer = described(pages, config["tags"]).writeStream.foreachBatch(lambda df, batch: _add(df, batch, out, said))
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -145,3 +145,22 @@ def test_latest_rows_are_written(spark, place):
     deliver(spark, SECOND, folder, "pages-2")
     job.run(spark, folder, out, checkpoint, CONFIG, latest)
     assert len(read()) == 6 and (3, SECOND[1][1], hashlib.sha256(SECOND[1][2].encode()).hexdigest()) in read()
+
+
+def test_tables_of_many_files(spark, place):
+    """A table that is a folder is taken by its files, beside plain files; what is added to it later is new."""
+    folder, out, checkpoint = place
+    table = f"{folder}/pages.parquet"
+    spark.createDataFrame(FIRST, job.SOURCE_SCHEMA).repartition(3).write.parquet(table)
+    spark.createDataFrame([(0, "x", "not a page")], job.SOURCE_SCHEMA).write.parquet(f"{folder}/other.parquet")
+    n = len(spark.read.parquet(table).inputFiles())
+    assert n > 1
+    config = CONFIG | {"files_per_batch": n}
+    assert job.run(spark, folder, out, checkpoint, config) == {"batches": 1, "read": 6, "written": 5}
+    assert found(job.read_catalogue(spark, out)) == expected(FIRST)
+    assert job.run(spark, folder, out, checkpoint, config) == {"batches": 0, "read": 0, "written": 0}
+    spark.createDataFrame(SECOND, job.SOURCE_SCHEMA).coalesce(1).write.mode("append").parquet(table)
+    deliver(spark, [(7, "no address", "")], folder, "pages-2")
+    said = job.run(spark, folder, out, checkpoint, config)
+    assert said["read"] == 5 and said["written"] == 3
+    assert found(job.read_catalogue(spark, out)) == expected([*FIRST, *SECOND, (7, "no address", "")])
