@@ -1,11 +1,14 @@
 """Exact distributed selection: medians of any number of rows without a group in one task.
 
-Doubles become 64-bit whole numbers in the same order (sign, exponent,
-mantissa), by arithmetic that Spark compiles. Four rounds count 16 bits each:
-a round counts, in each group, the rows that share the bits found so far by
-their next 16 bits (at most 65,536 counts a group, combined before the
-shuffle), and goes on with the count that holds the wanted rank. Ties are
-counted, never listed. The plan is lazy and reads its input once a round.
+The rows of each value of a group are counted first, combined before the
+shuffle, so that ties are counted, never listed. The values, doubles, become
+64-bit whole numbers in the same order (sign, exponent, mantissa), by
+arithmetic that Spark compiles. Four rounds count 16 bits each: a round sums,
+in each group, the counts of the values that share the bits found so far by
+their next 16 bits, and goes on with the sum that holds the wanted rank. What
+is joined and ordered by key is at most 65,536 sums for the same bits of a
+group. The plan is lazy; all rounds use the one shuffle of the values, so that
+the input is read once.
 """
 
 from __future__ import annotations
@@ -37,25 +40,27 @@ def with_order_key(df: DataFrame, value: str, name: str) -> DataFrame:
     return steps.withColumn(name, key).drop("_size", "_near", "_e")
 
 
-def _long(df: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
-    """(keys, _c, _v, _key): a row for each value that is not null."""
+def _counted(df: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
+    """(keys, _c, _v, _n, _key): a row for each different value that is not null, with its number of rows."""
     each = F.explode(F.array(*(F.struct(F.lit(i).alias("c"), v.cast("double").alias("v")) for i, v in enumerate(values))))
     rows = df.select(*keys, each.alias("_e")).where("_e.v IS NOT NULL").select(*keys, F.col("_e.c").alias("_c"), F.col("_e.v").alias("_v"))
-    return with_order_key(rows, "_v", "_key")
+    return with_order_key(rows.groupBy(*keys, "_c", "_v").agg(F.count("*").alias("_n")), "_v", "_key")
 
 
 def middle_values(df: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
     """(keys, _c, _m): the median of each column by its number; groups without values have no row."""
     by = [*keys, "_c"]
-    rows = _long(df, keys, values)
+    rows = _counted(df, keys, values)
     state: DataFrame | None = None
     for r in range(ROUNDS):
         shift = BITS * (ROUNDS - 1 - r)
+        if r < ROUNDS - 1:
+            counts = rows.groupBy(*by, F.shiftright("_key", shift).alias("_next")).agg(F.sum("_n").alias("_n"))
+        else:
+            counts = rows.select(*by, F.col("_key").alias("_next"), "_n", "_v")
         parts = by if state is None else [*by, "_bits"]
-        met = rows if state is None else same_keys(rows.withColumn("_bits", F.shiftright("_key", shift + BITS)), state, parts)
-        more = [F.min("_v").alias("_v")] if r == ROUNDS - 1 else []
-        ranks = [] if state is None else [F.first("_ranks").alias("_ranks")]
-        counts = met.groupBy(*parts, F.shiftright("_key", shift).alias("_next")).agg(F.count("*").alias("_n"), *ranks, *more)
+        if state is not None:
+            counts = same_keys(counts.withColumn("_bits", F.shiftright("_next", BITS)), state, parts)
         counts = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy(*parts).orderBy("_next")))
         if state is None:
             # ranks from 0: one for an odd number of values, two for an even one
@@ -63,7 +68,7 @@ def middle_values(df: DataFrame, keys: list[str], values: list[Column]) -> DataF
             counts = counts.withColumn("_ranks", F.array_distinct(F.array(F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2))))
         below = F.col("_upto") - F.col("_n")
         held = F.transform(F.filter("_ranks", lambda k: (k >= below) & (k < F.col("_upto"))), lambda k: k - below)
-        state = counts.select(*by, F.col("_next").alias("_bits"), held.alias("_ranks"), *(["_v"] if more else [])).where(F.size("_ranks") > 0)
+        state = counts.select(*by, F.col("_next").alias("_bits"), held.alias("_ranks"), *(["_v"] if r == ROUNDS - 1 else [])).where(F.size("_ranks") > 0)
     return state.groupBy(*by).agg((F.min("_v") * 0.5 + F.max("_v") * 0.5).alias("_m"))
 
 

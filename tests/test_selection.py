@@ -64,3 +64,15 @@ def test_no_group_in_one_task(spark):
     plan = S.remove_median(df, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "median(" not in plan and "percentile" not in plan and "collect_list" not in plan
     assert "shiftright" in plan
+
+
+def test_values_are_counted_before_anything_is_joined(spark):
+    """One shuffle of counted values is used by all rounds; rows are neither joined nor sorted."""
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = X.middle_values(df, ["k"], [F.col("v")])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("Range (") == 1 and plan.count("ReusedExchange") >= X.ROUNDS - 1
+    assert "SortAggregate" not in plan
