@@ -318,3 +318,15 @@ def test_images_of_many_sizes(spark):
             if p is not None:
                 assert np.allclose(got[i], kernel(np.array(p).reshape(-1, 8)).reshape(-1))
     assert V.demosaic(df.where("i = 7"), "p", 8).first().image == []
+
+
+def test_many_short_files_are_few_tasks_and_batches(spark, tmp_path):
+    for k in range(300):
+        make(f"{tmp_path}/s{k:03}/a.dat", range(k % 4))
+    df = dat.read_dat(spark, str(tmp_path), 1)
+    assert df.rdd.getNumPartitions() <= 2
+    assert df.count() == sum(k % 4 for k in range(300)) and df.select("session").distinct().count() == 225
+    reader = dat.DatReader({"path": str(tmp_path), "nch": "1", "layout": "long"})
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert len(batches) <= 2
+    assert sorted({b for x in batches for b in x.column("session").to_pylist()}) == [f"s{k:03}" for k in range(300) if k % 4]
