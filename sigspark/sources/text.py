@@ -28,6 +28,19 @@ def write_events(events: DataFrame, path: str) -> None:
     E.to_text(events.orderBy("time")).write.mode("errorifexists").text(path)
 
 
+def write_sessions(events: DataFrame, path: str, session: str) -> None:
+    """events(session, time, description) as lines of event files behind their session's name (without tabs; none for a null): many short sessions share a file."""
+    line = F.concat(F.coalesce(F.col(session).cast("string"), F.lit("")), F.lit("\t"), C.event_line("time", "description"))
+    events.select(session, line.alias("value")).hint("rebalance", session).select("value").write.text(path)
+
+
+def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """(session, time, description, kind, phase, channel) of what ``write_sessions`` wrote."""
+    at = F.instr("value", "\t")
+    lines = spark.read.text(path).where("value <> ''").select(F.nullif(F.substring("value", F.lit(1), at - 1), F.lit("")).alias("session"), F.substring("value", at + 1, F.length("value")).alias("value"))
+    return E.from_text(lines, keep=["session"])
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """(path, n_channels, fs, good_ch, ch_sel) of acquisition XML files."""
     xml = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))

@@ -330,3 +330,19 @@ def test_many_short_files_are_few_tasks_and_batches(spark, tmp_path):
     batches = [b for p in reader.partitions() for b in reader.read(p)]
     assert len(batches) <= 2
     assert sorted({b for x in batches for b in x.column("session").to_pylist()}) == [f"s{k:03}" for k in range(300) if k % 4]
+
+
+def test_events_of_many_sessions_share_files(spark, tmp_path):
+    """Files are few however many sessions there are, by the operator and in the query; a null session is one."""
+    import datetime
+
+    from sigspark.plans import registry
+
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(i, at, None if i == 7 else i % 300, "click", 1.0, None) for i in range(600)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    out = registry.QUERIES["event_files"](spark, str(tmp_path))
+    assert len(out.inputFiles()) <= 8
+    want = [(u, round(i / 1250.0, 6), f"click start {i % 16 + 1}", "click", "start", i % 16 + 1) for i, _, u, *_ in rows]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    assert text.read_sessions(spark, os.path.dirname(out.inputFiles()[0])).where("session IS NULL").count() == 1
